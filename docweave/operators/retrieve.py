@@ -72,7 +72,7 @@ def _measure(best: _Best, queries: np.ndarray, chunks: np.ndarray, ids: np.ndarr
     step = max(1, _PRODUCT_CELLS // max(1, len(ids)))
     for lo in range(0, len(queries), step):
         hi = min(lo + step, len(queries))
-        distance = np.round(1.0 - queries[lo:hi] @ unit.T, DISTANCE_DIGITS)
+        distance = np.abs(np.round(1.0 - queries[lo:hi] @ unit.T, DISTANCE_DIGITS))  # no minus zero
         distance[np.isnan(distance)] = np.inf
         limit = np.minimum(best.bound[lo:hi], threshold)
         widest = int(best.keep[lo:hi].max())

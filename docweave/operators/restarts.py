@@ -66,7 +66,7 @@ def mark_restarts(
     """
     keys = list(keys)
     blocked = df.withColumn("__block", F.floor(F.col(position) / block_rows).cast("bigint"))
-    narrow = blocked.select(*keys, "__block", position, base, test)
+    narrow = blocked.select(*dict.fromkeys([*keys, "__block", position, base, test]))
     key_fields = [f for f in narrow.schema.fields if f.name in keys]
 
     def report(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

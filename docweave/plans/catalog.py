@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.plans import catalog_search, catalog_text  # noqa: F401  (they register their queries)
+from docweave.plans import catalog_search, catalog_sync, catalog_text  # noqa: F401  (they register their queries)
 from docweave.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docweave.functions.text import let
+
 # Fixed values of the lexical ranking.
 TOKEN = r"[가-힣]+|[a-zA-Z]+|\p{Nd}+"
 HANGUL = r"\A[가-힣]"
@@ -35,20 +37,22 @@ def tokens(col: Column) -> Column:
 def query_terms(col: Column) -> Column:
     """Words of two or more characters in their own spelling, first spelling of each kept."""
     long_words = F.filter(words(col), lambda w: F.length(w) >= MIN_TERM_CHARS)
-    keys = F.transform(long_words, lambda w: F.lower(w))
-    return F.filter(long_words, lambda w, i: F.array_position(keys, F.lower(w)) == i + 1)
+    keyed = F.struct(long_words.alias("words"), F.transform(long_words, lambda w: F.lower(w)).alias("keys"))
+    return let(keyed, lambda both: F.filter(
+        both["words"], lambda w, i: F.array_position(both["keys"], F.lower(w)) == i + 1
+    ))
 
 
 def matched_terms(terms: Column, text: Column) -> Column:
     """Terms found in a text: Hangul anywhere, other words only as whole tokens."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    plain = F.array_distinct(words(low))
-    return F.filter(
+    read = let(low, lambda t: F.struct(t.alias("text"), F.array_distinct(words(t)).alias("words")))
+    return let(read, lambda known: F.filter(
         terms,
-        lambda t: F.when(t.rlike(HANGUL), F.contains(low, F.lower(t))).otherwise(
-            F.array_contains(plain, F.lower(t))
+        lambda t: F.when(t.rlike(HANGUL), F.contains(known["text"], F.lower(t))).otherwise(
+            F.array_contains(known["words"], F.lower(t))
         ),
-    )
+    ))
 
 
 def bm25_term(n: Column, df: Column, tf: Column, length: Column, mean_length: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,6 +30,14 @@ PAGE_OF_LINE = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it inside a lambda.
+
+    An outer expression named in a lambda is evaluated again for each element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def blank_to_null(col: Column) -> Column:
     """NULL for the empty string (a missing value, not a white-space one)."""
     return F.nullif(col, F.lit(""))
@@ -118,13 +127,16 @@ def is_separator_row(line: Column) -> Column:
 def count_markdown_tables(col: Column) -> Column:
     """Rules that follow a line starting with a bar, plus HTML table tags."""
     text = F.coalesce(col, F.lit(""))
-    rows = lines(text)
-    ruled = F.filter(
-        F.sequence(F.lit(2), F.size(rows)),
-        lambda i: is_separator_row(F.element_at(rows, i))
-        & lstrip(F.element_at(rows, i - 1)).startswith("|"),
-    )
-    gfm = F.when(F.contains(text, F.lit("---")) & (F.size(rows) > 1), F.size(ruled)).otherwise(0)
+
+    def ruled(rows: Column) -> Column:
+        rules = F.filter(
+            F.sequence(F.lit(2), F.size(rows)),
+            lambda i: is_separator_row(F.element_at(rows, i))
+            & lstrip(F.element_at(rows, i - 1)).startswith("|"),
+        )
+        return F.when(F.size(rows) > 1, F.size(rules)).otherwise(0)
+
+    gfm = F.when(F.contains(text, F.lit("---")), let(lines(text), ruled)).otherwise(0)
     return F.regexp_count(F.lower(text), F.lit("<table")) + gfm
 
 
@@ -142,18 +154,27 @@ def table_spans(col: Column) -> Column:
     offsets are sums of piece lengths; no line leaves its row.
     """
     text = F.coalesce(col, F.lit(""))
+
+    def sizes(pieces: Column) -> Column:
+        return F.transform(pieces, lambda piece: F.length(piece))
+
+    def total(counts: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(counts, 1, n), F.lit(0), lambda acc, count: acc + count)
+
+    def spans(cut: Column) -> Column:
+        return F.transform(
+            cut["newlines"],
+            lambda newlines, k: F.struct(
+                (total(cut["gaps"], k + 1) + total(cut["blocks"], k)).alias("start"),
+                (total(cut["gaps"], k + 1) + total(cut["blocks"], k + 1)).alias("end"),
+                newlines.alias("newlines"),
+            ),
+        )
+
     blocks = F.regexp_extract_all(text, F.lit(TABLE_BLOCK), F.lit(0))
-    gaps = F.split(text, TABLE_BLOCK, -1)
-
-    def total(pieces: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(pieces, 1, n), F.lit(0), lambda acc, piece: acc + F.length(piece))
-
-    spans = F.transform(
-        blocks,
-        lambda block, k: F.struct(
-            (total(gaps, k + 1) + total(blocks, k)).alias("start"),
-            (total(gaps, k + 1) + total(blocks, k + 1)).alias("end"),
-            F.regexp_count(block, F.lit("\n")).alias("newlines"),
-        ),
-    )
-    return F.filter(spans, lambda span: span["newlines"] >= 2)
+    cut = let(blocks, lambda found: F.struct(
+        sizes(found).alias("blocks"),
+        sizes(F.split(text, TABLE_BLOCK, -1)).alias("gaps"),
+        F.transform(found, lambda block: F.regexp_count(block, F.lit("\n"))).alias("newlines"),
+    ))
+    return F.filter(let(cut, spans), lambda span: span["newlines"] >= 2)

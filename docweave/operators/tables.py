@@ -63,7 +63,7 @@ def dense_grid(covered: DataFrame) -> DataFrame:
     filled = wanted.join(rows, ["table_id", "row_no"], "left")
     texts = F.transform(
         F.sequence(F.lit(1), F.col("cols").cast("int")),
-        lambda c: F.coalesce(F.get(F.array(F.col("by_col")), F.lit(0))[c], F.lit("")),
+        lambda c: F.coalesce(F.element_at("by_col", c), F.lit("")),
     )
     return filled.select("table_id", "row_no", F.posexplode(texts).alias("__pos", "cell_text")).select(
         "table_id", "row_no", (F.col("__pos") + 1).alias("col_no"), "cell_text"
@@ -334,11 +334,12 @@ def rejoin_split_rows(markdown: Column) -> Column:
 _TOKEN_MARK = "\x01"  # no white space, no mark, never part of a composition
 
 
-def lost_cells(tokens: Column, markdown: Column) -> Column:
-    """Cell texts whose canonical form is not part of the canonical rendering."""
-    folded = F.split(text.canonical(F.array_join(tokens, _TOKEN_MARK)), _TOKEN_MARK, -1)
-    whole = text.canonical(markdown)
-    return F.size(F.filter(folded, lambda t: (t != "") & ~F.contains(whole, t)))
+def lost_cells(tokens: Column, canonical: Column) -> Column:
+    """Number of canonical cell texts that are not part of a canonical rendering."""
+    pair = F.struct(tokens.alias("tokens"), canonical.alias("whole"))
+    return text.let(pair, lambda p: F.size(
+        F.filter(p["tokens"], lambda t: (t != "") & ~F.contains(p["whole"], t))
+    ))
 
 
 def best_rendering(candidates: DataFrame) -> DataFrame:
@@ -347,9 +348,15 @@ def best_rendering(candidates: DataFrame) -> DataFrame:
     ``candidates`` has (doc_id, priority, markdown, tokens); priority 0 is the original, which
     stays unless another one is strictly better.
     """
-    scored = candidates.withColumn("lost", lost_cells(F.col("tokens"), F.col("markdown"))).withColumn(
-        "broken", broken_tables(F.col("markdown"))
-    )
+    # All cell texts of a document are folded in one pass, held apart by a mark.
+    folded = candidates.withColumns({
+        "__tokens": text.canonical(F.array_join("tokens", _TOKEN_MARK)),
+        "__whole": text.canonical(F.col("markdown")),
+    })
+    scored = folded.withColumns({
+        "lost": lost_cells(F.split("__tokens", _TOKEN_MARK, -1), F.col("__whole")),
+        "broken": broken_tables(F.col("markdown")),
+    })
     rank = F.struct("lost", "broken", "priority")
     base = F.when(F.col("priority") == 0, F.struct("lost", "broken"))
     best = scored.groupBy("doc_id").agg(

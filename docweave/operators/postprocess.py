@@ -81,13 +81,13 @@ def spend_budget(ranked: DataFrame, top_k: Column, opts: SearchOptions) -> DataF
     """
     m = opts.max_chunks_per_file
     chosen = ranked.filter((F.col("ordinal") <= m) & (F.col("file_rank") <= top_k))
-    files = F.max("file_rank").over(_query())
+    files = F.col("__files")
     budget = F.lit(opts.max_total_chunks) if opts.max_total_chunks else files * m
     rounds = F.row_number().over(_query().orderBy("ordinal", "file_rank"))
     return (
-        chosen.withColumn("__files", files)
+        chosen.withColumn("__files", F.max("file_rank").over(_query()))
         .withColumn("__round", rounds)
-        .filter(F.col("__round") <= F.greatest(budget, F.col("__files")))
+        .filter(F.col("__round") <= F.greatest(budget, files))
         .drop("__files", "__round")
     )
 

@@ -16,14 +16,14 @@ def round_robin_page(
 
     A sort with a limit keeps ``limit`` rows per task; the page is the feature here.
     """
-    ahead = F.when(F.col(key) > cursor, 0).otherwise(1) if cursor else F.lit(0)
+    ahead = ~(F.col(key) > cursor) if cursor else F.lit(False)
     order = [priority] if priority is not None else []
     return rows.orderBy(*order, ahead, key).limit(limit)
 
 
 def page_cursor(page: DataFrame, cursor: str | None = None, key: str = "file_id") -> DataFrame:
     """One row: the id the page ends on, from which the next one goes on."""
-    ahead = F.when(F.col(key) > cursor, 0).otherwise(1) if cursor else F.lit(0)
+    ahead = ~(F.col(key) > cursor) if cursor else F.lit(False)
     return page.agg(F.max_by(key, F.struct(ahead, F.col(key))).alias("cursor"))
 
 

@@ -22,12 +22,17 @@ def silence_alerts(successes: DataFrame, limit: str = "24 hours", lateness: str
 
 
 def hourly_alerts(logs: DataFrame, pattern: str, level: str = "ERROR", lateness: str = "1 hour") -> DataFrame:
-    """At most one alert an hour and service, for a severity reached or a text matched."""
+    """At most one alert an hour and service, for a severity reached or a text matched.
+
+    All rows are grouped and the hits counted inside: a filter would sink below the watermark,
+    which must also move on rows that match nothing.
+    """
     at_least = values.SEVERITIES[values.SEVERITIES.index(level):]
-    hits = logs.filter(F.col("severity").isin(*at_least) | F.col("message").rlike(pattern))
-    return hits.withWatermark("ts", lateness).groupBy("service", F.window("ts", "1 hour").alias("hour")).agg(
-        F.min("ts").alias("first_ts"), F.count(F.lit(1)).alias("matches")
-    ).select("service", F.col("hour.start").alias("hour"), "first_ts", "matches")
+    hit = F.coalesce(F.col("severity").isin(*at_least) | F.col("message").rlike(pattern), F.lit(False))
+    hours = logs.withWatermark("ts", lateness).groupBy("service", F.window("ts", "1 hour").alias("hour")).agg(
+        F.min(F.when(hit, F.col("ts"))).alias("first_ts"), F.count_if(hit).alias("matches")
+    )
+    return hours.filter("matches > 0").select("service", F.col("hour.start").alias("hour"), "first_ts", "matches")
 
 
 def query_bursts(calls: DataFrame, gap: str = "60 seconds", lateness: str = "10 minutes") -> DataFrame:

@@ -1,8 +1,10 @@
 """Table grids on a long table of cells.
 
-Cells are rows (table_id, row_no, col_no, cell_text, row_span, col_span), numbered from 1. A
-table may be of any size: rows are joined and grouped on (table_id, row_no), and what needs an
-order down a whole table uses the blocked forms of ``prefix``.
+Cells are rows (table_id, row_no, col_no, cell_text, row_span, col_span), numbered from 1. Grids
+are kept by row, (table_id, row_no, texts), so that a row is shuffled once and not once for
+each cell. A table may be of any size: rows are grouped on (table_id, row_no), and what needs an
+order down a whole table uses the blocked forms of ``prefix`` or a bound that follows from the
+size of its result.
 """
 
 from __future__ import annotations
@@ -32,57 +34,78 @@ def _row_block(row: str = "row_no") -> Column:
 
 # --- Grids ---------------------------------------------------------------------------
 
-def expand_spans(cells: DataFrame) -> DataFrame:
-    """(table_id, row_no, col_no, cell_text) of all covered positions.
+def grid_rows(cells: DataFrame) -> DataFrame:
+    """(table_id, row_no, texts) of all rows that a cell covers, gaps blank.
 
     A row span repeats the text downwards, a column span keeps it in its first column. Where
     spans overlap, the cell that comes first in row order wins.
     """
     down = F.sequence(F.col("row_no"), F.col("row_no") + F.greatest(F.lit(1), F.col("row_span")) - 1)
-    across = F.sequence(F.col("col_no"), F.col("col_no") + F.greatest(F.lit(1), F.col("col_span")) - 1)
-    covered = (
-        cells.select("table_id", "row_no", "col_no", "cell_text", F.explode(down).alias("r"), across.alias("__across"))
-        .select("table_id", "row_no", "col_no", "cell_text", "r", F.explode("__across").alias("c"))
+    def slot(col: Column, value: Column) -> Column:
+        return F.named_struct(
+            F.lit("col"), col, F.lit("from_row"), F.col("row_no"), F.lit("from_col"), F.col("col_no"),
+            F.lit("text"), value,
+        )
+
+    own = F.array(slot(F.col("col_no"), F.coalesce("cell_text", F.lit(""))))
+    further = F.transform(
+        F.sequence(F.col("col_no") + 1, F.col("col_no") + F.col("col_span") - 1), lambda c: slot(c, F.lit(""))
     )
-    value = F.when(F.col("c") == F.col("col_no"), F.col("cell_text")).otherwise("")
-    return covered.groupBy("table_id", F.col("r").alias("row_no"), F.col("c").alias("col_no")).agg(
-        F.min_by(value, F.struct(covered["row_no"], covered["col_no"])).alias("cell_text")
+    slots = F.when(F.col("col_span") > 1, F.concat(own, further)).otherwise(own)
+    covered = cells.select("table_id", F.explode(down).alias("__row"), slots.alias("slots"))
+    rows = covered.groupBy("table_id", F.col("__row").alias("row_no")).agg(
+        F.array_sort(F.flatten(F.collect_list("slots"))).alias("slots")
     )
+    winners = F.filter("slots", lambda s, i: (i == 0) | (F.get("slots", i - 1)["col"] != s["col"]))
+    by_col = F.map_from_entries(F.transform(winners, lambda s: F.struct(s["col"], s["text"])))
+    width = F.element_at("slots", -1)["col"]
+    texts = text.let(by_col, lambda m: F.transform(
+        F.sequence(F.lit(1), width), lambda c: F.coalesce(F.element_at(m, c), F.lit(""))
+    ))
+    return rows.select("table_id", "row_no", texts.alias("texts"))
 
 
-def dense_grid(covered: DataFrame) -> DataFrame:
-    """All positions of each table's rectangle, holes blank.
-
-    The cells of one row become a map; rows without cells come from the table's height.
-    """
-    size = covered.groupBy("table_id").agg(F.max("row_no").alias("rows"), F.max("col_no").alias("cols"))
-    rows = covered.groupBy("table_id", "row_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_no", "cell_text"))).alias("by_col")
+def cells_of_rows(rows: DataFrame) -> DataFrame:
+    return rows.select("table_id", "row_no", F.posexplode("texts").alias("__pos", "cell_text")).select(
+        "table_id", "row_no", (F.col("__pos") + 1).alias("col_no"), "cell_text"
     )
-    wanted = size.select("table_id", "cols", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row_no"))
-    filled = wanted.join(rows, ["table_id", "row_no"], "left")
-    texts = F.transform(
-        F.sequence(F.lit(1), F.col("cols").cast("int")),
-        lambda c: F.coalesce(F.element_at("by_col", c), F.lit("")),
+
+
+def _padded(width: Column) -> Column:
+    texts = F.coalesce("texts", F.array().cast("array<string>"))
+    return F.concat(texts, F.array_repeat(F.lit(""), (width - F.size(texts)).cast("int")))
+
+
+def dense_rows(rows: DataFrame) -> DataFrame:
+    """The rows of each table's rectangle: all of one width, rows without cells blank."""
+    size = rows.groupBy("table_id").agg(F.max("row_no").alias("height"), F.max(F.size("texts")).alias("width"))
+    wanted = size.select(
+        "table_id", "width", F.explode(F.sequence(F.lit(1), F.col("height").cast("int"))).alias("row_no")
     )
-    return filled.select("table_id", "row_no", F.posexplode(texts).alias("__pos", "cell_text")).select(
-        "table_id", "row_no", (F.col("__pos") + 1).alias("col_no"), "cell_text"
+    return wanted.join(rows, ["table_id", "row_no"], "left").select(
+        "table_id", "row_no", _padded(F.col("width")).alias("texts")
     )
 
 
-def trim_blank(grid: DataFrame) -> DataFrame:
-    """Drop blank rows, blank columns and empty tables, and number what is left from 1."""
-    full = grid.filter(~text.is_blank(F.col("cell_text")))
-    rows = full.groupBy("table_id", "row_no").agg(F.lit(1).alias("one"))
-    rows = prefix.running_sum(rows, ["table_id"], ["row_no"], F.col("one"), _row_block(), "new_row").drop("one")
-    columns = full.groupBy("table_id", "col_no").agg(F.lit(1).alias("one")).select(
-        "table_id", "col_no",
-        F.row_number().over(Window.partitionBy("table_id").orderBy("col_no")).alias("new_col"),
+def trim_blank(rows: DataFrame) -> DataFrame:
+    """Drop blank rows, blank columns and empty tables, and number the rows from 1.
+
+    The filled columns of a row are an array of their numbers; a table's are the distinct union,
+    no longer than the table is wide.
+    """
+    filled = F.filter(
+        F.transform("texts", lambda t, i: F.when(~text.is_blank(t), i + 1)), lambda c: c.isNotNull()
     )
-    kept = grid.join(rows, ["table_id", "row_no"]).join(columns, ["table_id", "col_no"])
-    return kept.select(
-        "table_id", F.col("new_row").cast("int").alias("row_no"), F.col("new_col").alias("col_no"), "cell_text"
+    full = rows.withColumn("__filled", filled).filter(F.size("__filled") > 0)
+    columns = full.select("table_id", F.explode("__filled").alias("c")).groupBy("table_id").agg(
+        F.array_sort(F.collect_set("c")).alias("__columns")
     )
+    kept = full.join(columns, "table_id").select(
+        "table_id", "row_no",
+        F.transform("__columns", lambda c: F.coalesce(F.get("texts", c - 1), F.lit(""))).alias("texts"),
+    )
+    numbered = prefix.running_sum(kept, ["table_id"], ["row_no"], F.lit(1), _row_block(), "__new")
+    return numbered.select("table_id", F.col("__new").cast("int").alias("row_no"), "texts")
 
 
 def fold_nested(cells: DataFrame, nested: DataFrame) -> DataFrame:
@@ -167,22 +190,25 @@ def _line(texts: Column) -> Column:
     return F.concat(F.lit("| "), F.array_join(texts, " | "), F.lit(" |"))
 
 
+def pad_rows(rows: DataFrame) -> DataFrame:
+    """Rows of one width in each table, numbered so that the first is the table's header."""
+    size = rows.groupBy("table_id").agg(F.max(F.size("texts")).alias("width"), F.min("row_no").alias("__first"))
+    return rows.join(size, "table_id").select(
+        "table_id", (F.col("row_no") - F.col("__first") + 1).alias("row_no"), _padded(F.col("width")).alias("texts")
+    )
+
+
 def render_lines(rows: DataFrame) -> DataFrame:
-    """(table_id, line_no from 1, line): header, rule and body, ragged rows padded.
+    """(table_id, line_no, line) of rows of one width: row 1 is the header, a rule follows it.
 
-    The first row of each table is its header. Lines stay rows here, so that a table too big
-    for one text can still be cut by a budget.
+    Lines stay rows here, so that a table too big for one text can still be cut by a budget.
     """
-    size = rows.groupBy("table_id").agg(F.max(F.size("texts")).alias("width"), F.min("row_no").alias("first"))
-    sized = rows.join(size, "table_id")
-    padded = F.concat("texts", F.array_repeat(F.lit(""), (F.col("width") - F.size("texts")).cast("int")))
-    rule = _line(F.array_repeat(F.lit("---"), F.col("width").cast("int")))
-    head = F.col("row_no") == F.col("first")
-    parts = F.when(head, F.array(_line(padded), rule)).otherwise(F.array(_line(padded)))
-    return sized.select("table_id", "row_no", F.posexplode(parts).alias("__part", "line")).select(
+    rule = _line(F.transform("texts", lambda _: F.lit("---")))
+    parts = F.when(F.col("row_no") == 1, F.array(_line(F.col("texts")), rule)).otherwise(F.array(_line(F.col("texts"))))
+    return rows.select("table_id", "row_no", F.posexplode(parts).alias("__part", "line")).select(
         "table_id",
-        # One step is left free after each row, so that the rule keeps its place.
-        (F.col("row_no") * 2 + F.col("__part")).cast("bigint").alias("line_no"),
+        # Row r is line r + 1, but for the header, whose rule is line 2.
+        (F.when(F.col("row_no") == 1, F.col("__part")).otherwise(F.col("row_no")) + 1).cast("bigint").alias("line_no"),
         "line",
     )
 
@@ -198,25 +224,29 @@ def within_cell_budget(rows: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame
     return kept.join(total, "table_id")
 
 
-def within_byte_budget(
-    lines: DataFrame, keys: list[str], order: list[str], block: Column, max_bytes: int = MAX_BYTES
-) -> DataFrame:
-    """Lines up to the first that would pass the budget, each counted with its line end.
-
-    Adds ``bytes_cut``, true for all lines of a document that lost some.
-    """
-    size = F.octet_length("line") + 1
-    upto = prefix.running_sum(lines, keys, order, size, block, "__upto")
-    total = lines.groupBy(*keys).agg((F.sum(size) > max_bytes).alias("bytes_cut"))
-    return upto.filter(F.col("__upto") <= max_bytes).drop("__upto").join(total, keys)
+SHORTEST_LINE = len("|  |\n")
 
 
 def assemble(lines: DataFrame, keys: list[str], order: list[str], max_bytes: int = MAX_BYTES) -> DataFrame:
-    """One text per document from its lines within the byte budget, so at most that long."""
-    kept = within_byte_budget(lines, keys, order, F.floor(F.col(order[-1]) / _BLOCK), max_bytes)
-    joined = F.array_join(F.array_sort(F.collect_list(F.struct(*order, "line")))["line"], "\n")
-    return kept.groupBy(*keys).agg(joined.alias("__text"), F.max("bytes_cut").alias("__cut")).select(
-        *keys, F.when(F.col("__cut"), F.concat("__text", F.lit(f"\n\n{TRUNCATED}"))).otherwise(F.col("__text")).alias("markdown")
+    """One text per document (keys, markdown): its lines up to the first that passes the budget.
+
+    Every line takes at least five bytes with its end, so a line numbered beyond a fifth of the
+    budget can never be part of the text. Such lines are dropped before the shuffle, which
+    bounds what one document brings to a task; the window then only streams over it. The last
+    entry of ``order`` numbers the lines from 1 where it is the only one.
+    """
+    if len(order) == 1:
+        lines = lines.filter(F.col(order[0]) <= max_bytes // SHORTEST_LINE + 1)
+    down = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    used = lines.withColumn("__used", F.sum(F.octet_length("line") + 1).over(down))
+    inside = F.when(F.col("__used") <= max_bytes, F.struct(*order, "line"))
+    return used.groupBy(*keys).agg(
+        F.array_join(F.array_sort(F.collect_list(inside))["line"], "\n").alias("__text"),
+        (F.max("__used") > max_bytes).alias("__cut"),
+    ).select(
+        *keys,
+        F.when(F.col("__cut"), F.concat("__text", F.lit(f"\n\n{TRUNCATED}"))).otherwise(F.col("__text")).alias("markdown"),
+        F.col("__cut").alias("bytes_cut"),
     )
 
 
@@ -230,27 +260,35 @@ def workbook_markdown(
     A workbook without any text is an error.
     """
     block = F.struct("sheet_no", _row_block().alias("b"))
-    order = ["sheet_no", "row_no"]
-    upto = prefix.running_sum(rows, ["book_id"], order, F.size("texts"), block, "__upto")
+    upto = prefix.running_sum(rows, ["book_id"], ["sheet_no", "row_no"], F.size("texts"), block, "__upto")
     books = sheets.groupBy("book_id").agg(F.count(F.lit(1)).alias("sheet_count"))
     spent = rows.groupBy("book_id").agg((F.sum(F.size("texts")) >= max_cells).alias("cells_cut"))
+    # No more than max_cells rows of a workbook pass here.
     read = drop_trailing_blanks(upto.filter(F.col("__upto") - F.size("texts") < max_cells).drop("__upto"))
     keyed = read.withColumn("table_id", F.struct("book_id", "sheet_no"))
-    body = render_lines(keyed.select("table_id", "row_no", "texts")).select("table_id.*", "line_no", "line")
-    titled = body.select("book_id", "sheet_no").distinct().join(books.filter("sheet_count > 1"), "book_id").join(
-        sheets, ["book_id", "sheet_no"]
-    ).select("book_id", "sheet_no", F.lit(0).cast("bigint").alias("line_no"), F.concat(F.lit("## "), "title").alias("line"))
-    lines = body.unionByName(titled)
-    line_block = F.struct("sheet_no", F.floor(F.col("line_no") / _BLOCK).alias("b"))
-    kept = within_byte_budget(lines, ["book_id"], ["sheet_no", "line_no"], line_block, max_bytes)
-    first = F.min("line_no").over(Window.partitionBy("book_id", "sheet_no"))
-    lead = F.min("sheet_no").over(Window.partitionBy("book_id"))
-    # An empty line divides the sheets.
-    spaced = kept.withColumn(
-        "line", F.when((F.col("line_no") == first) & (F.col("sheet_no") != lead), F.concat(F.lit("\n"), "line")).otherwise(F.col("line"))
+    in_sheet = Window.partitionBy("table_id")
+    dense = keyed.withColumn("__width", F.max(F.size("texts")).over(in_sheet)).select(
+        "table_id", F.row_number().over(in_sheet.orderBy("row_no")).alias("row_no"), _padded(F.col("__width")).alias("texts")
+    )
+    body = render_lines(dense).select("table_id.*", "line_no", "line")
+    joined = body.join(sheets, ["book_id", "sheet_no"]).join(books, "book_id")
+    first_line = F.col("line_no") == 1
+    title = F.concat(F.lit("## "), "title")
+    parts = F.when(first_line & (F.col("sheet_count") > 1), F.array(title, F.col("line"))).otherwise(F.array("line"))
+    lines = joined.select("book_id", "sheet_no", "line_no", F.posexplode(parts).alias("part", "line"))
+    in_book = Window.partitionBy("book_id")
+    down = in_book.orderBy("sheet_no", "line_no", "part").rowsBetween(Window.unboundedPreceding, 0)
+    used = lines.withColumn("__used", F.sum(F.octet_length("line") + 1).over(down)).withColumn(
+        "__lead", F.min("sheet_no").over(in_book)
+    )
+    # An empty line divides a sheet from the one before.
+    opens = first_line & (F.col("part") == 0) & (F.col("sheet_no") != F.col("__lead"))
+    spaced = F.when(opens, F.concat(F.lit("\n"), "line")).otherwise(F.col("line")).alias("line")
+    inside = F.when(F.col("__used") <= max_bytes, F.struct("sheet_no", "line_no", "part", spaced))
+    texts = used.groupBy("book_id").agg(
+        F.array_join(F.array_sort(F.collect_list(inside))["line"], "\n").alias("__text"),
+        (F.max("__used") > max_bytes).alias("bytes_cut"),
     )
-    joined = F.array_join(F.array_sort(F.collect_list(F.struct("sheet_no", "line_no", "line")))["line"], "\n")
-    texts = spaced.groupBy("book_id").agg(joined.alias("__text"), F.max("bytes_cut").alias("bytes_cut"))
     out = books.join(texts, "book_id", "left").join(spent, "book_id", "left")
     cut = F.coalesce("cells_cut", F.lit(False)) | F.coalesce("bytes_cut", F.lit(False))
     empty = F.col("__text").isNull()

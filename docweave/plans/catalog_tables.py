@@ -24,29 +24,32 @@ gfm AS (SELECT table_id, string_agg(line || CASE WHEN row_no = 1 THEN chr(10) ||
         FROM line_texts GROUP BY 1)"""
 
 
-def trimmed(t: Tables) -> DataFrame:
-    return tables.trim_blank(tables.dense_grid(tables.expand_spans(t.v_cells)))
+def trimmed_rows(t: Tables) -> DataFrame:
+    return tables.trim_blank(tables.grid_rows(t.v_cells))
 
 
 def rendered(t: Tables) -> DataFrame:
     """One Markdown table per order, from its trimmed grid."""
-    lines = tables.render_lines(tables.rows_of_cells(trimmed(t)))
-    return tables.assemble(lines, ["table_id"], ["line_no"])
+    lines = tables.render_lines(trimmed_rows(t))
+    return tables.assemble(lines, ["table_id"], ["line_no"]).drop("bytes_cut")
 
 
-@query("expanded_spans", "T1", f"WITH {GRID} SELECT table_id, row_no, col_no, cell_text FROM covered")
+@query("expanded_rows", "T1", f"""
+WITH {GRID}, rows_seen AS (SELECT table_id, row_no, max(col_no) AS w FROM covered GROUP BY 1, 2)
+SELECT g.table_id, g.row_no, g.col_no, g.cell_text FROM grid g JOIN rows_seen r USING (table_id, row_no) WHERE g.col_no <= r.w
+""")
 def _(t: Tables):
-    return tables.expand_spans(t.v_cells)
+    return tables.cells_of_rows(tables.grid_rows(t.v_cells))
 
 
 @query("dense_grid", "T1", f"WITH {GRID} SELECT table_id, row_no, col_no, cell_text FROM grid")
 def _(t: Tables):
-    return tables.dense_grid(tables.expand_spans(t.v_cells))
+    return tables.cells_of_rows(tables.dense_rows(tables.grid_rows(t.v_cells)))
 
 
 @query("trimmed_grid", "T2", f"WITH {GRID} SELECT table_id, row_no, col_no, cell_text FROM trimmed")
 def _(t: Tables):
-    return trimmed(t)
+    return tables.cells_of_rows(trimmed_rows(t))
 
 
 @query("folded_tables", "T3", """
@@ -212,7 +215,7 @@ SELECT table_id AS doc_id, markdown, CASE WHEN table_id % 4 = 0 THEN 1 ELSE 0 EN
        CASE WHEN table_id % 4 = 0 THEN n ELSE 0 END AS cells_recovered, 0 AS tables_repaired FROM gfm JOIN texts USING (table_id)
 """)
 def _(t: Tables):
-    cells = trimmed(t).groupBy("table_id").agg(F.collect_list("cell_text").alias("tokens"))
+    cells = tables.cells_of_rows(trimmed_rows(t)).groupBy("table_id").agg(F.collect_list("cell_text").alias("tokens"))
     rows = rendered(t).join(cells, "table_id")
     base = F.when(F.col("table_id") % 4 == 0, "lost").otherwise(F.col("markdown"))
     options = F.array(

@@ -23,9 +23,9 @@ def grid(frame):
 
 def test_spans_holes_and_collisions(spark):
     frame = cells(spark, [(1, 1, "a", 2, 1), (1, 2, "b", 1, 2), (2, 1, "hidden"), (2, 3, "c"), (4, 2, "d")])
-    assert grid(tables.dense_grid(tables.expand_spans(frame))) == [["a", "b", ""], ["a", "", "c"], ["", "", ""], ["", "d", ""]]
-    assert grid(tables.trim_blank(tables.dense_grid(tables.expand_spans(frame)))) == [["a", "b", ""], ["a", "", "c"], ["", "d", ""]]
-    assert grid(tables.trim_blank(tables.dense_grid(tables.expand_spans(cells(spark, [(1, 1, " ")]))))) == []
+    assert grid(tables.cells_of_rows(tables.dense_rows(tables.grid_rows(frame)))) == [["a", "b", ""], ["a", "", "c"], ["", "", ""], ["", "d", ""]]
+    assert grid(tables.cells_of_rows(tables.trim_blank(tables.grid_rows(frame)))) == [["a", "b", ""], ["a", "", "c"], ["", "d", ""]]
+    assert grid(tables.cells_of_rows(tables.trim_blank(tables.grid_rows(cells(spark, [(1, 1, " ")]))))) == []
 
 
 def test_nested_tables(spark):
@@ -43,7 +43,7 @@ def test_fill_down(spark):
 
 def test_rendering_and_budgets(spark):
     frame = tables.rows_of_cells(cells(spark, [(1, 1, "h"), (2, 1, "a"), (2, 2, "가"), (3, 1, ""), (4, 3, "z")]))
-    lines = tables.render_lines(tables.drop_trailing_blanks(frame))
+    lines = tables.render_lines(tables.pad_rows(tables.drop_trailing_blanks(frame)))
     whole = tables.assemble(lines, ["table_id"], ["line_no"]).first().markdown
     assert whole == "| h |  |  |\n| --- | --- | --- |\n| a | 가 |  |\n|  |  | z |"
     cut = tables.assemble(lines, ["table_id"], ["line_no"], max_bytes=35).first().markdown

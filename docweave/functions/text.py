@@ -43,17 +43,21 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+# The same white space as a set of characters, for trimming without a pattern.
+WS_CHARS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+
+
 def strip(col: Column) -> Column:
-    """Trim Unicode white space at both ends; each run is visited once."""
-    return F.regexp_replace(col, rf"\A[{WS}]+|(?<![{WS}])[{WS}]++\z", "")
+    """Trim Unicode white space at both ends."""
+    return F.btrim(col, F.lit(WS_CHARS))
 
 
 def lstrip(col: Column) -> Column:
-    return F.regexp_replace(col, rf"\A[{WS}]+", "")
+    return F.ltrim(col, F.lit(WS_CHARS))
 
 
 def is_blank(col: Column) -> Column:
-    return ~F.coalesce(col, F.lit("")).rlike(rf"[^{WS}]")
+    return strip(F.coalesce(col, F.lit(""))) == ""
 
 
 def lines(col: Column) -> Column:

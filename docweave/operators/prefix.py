@@ -18,6 +18,21 @@ BLOCK_ROWS = 65_536
 _BLOCK = "__block"
 
 
+def row_block(df: DataFrame, number: str) -> Column | None:
+    """Block of a row number, or NULL where no group is longer than one block.
+
+    The check reads the number alone, and the filter sinks to the scan. With one block for each
+    group a plain window is as good, and the rows are not read a second time for their carry.
+    """
+    if df.filter(F.col(number) > BLOCK_ROWS).isEmpty():
+        return None
+    return F.floor(F.col(number) / BLOCK_ROWS)
+
+
+def _plain(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*order)
+
+
 def _with_carry(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
     summary: Column, over_blocks: Column,
@@ -35,9 +50,12 @@ def _inside(keys: Sequence[str], order: Sequence[str]):
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row of its group."""
+    if block is None:
+        upto = _plain(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.sum(value).over(upto))
     valued = df.withColumn("__value", value)
     out = _with_carry(valued, keys, order, block, F.sum("__value"), F.sum("__summary"))
     inside = F.sum("__value").over(_inside(keys, order).rowsBetween(Window.unboundedPreceding, 0))
@@ -47,9 +65,12 @@ def running_sum(
 
 
 def last_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
 ) -> DataFrame:
     """Latest non-null ``value`` at or above each row of its group."""
+    if block is None:
+        upto = _plain(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.last(value, ignorenulls=True).over(upto))
     valued = df.withColumn("__value", value)
     newest = F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(*order)))
     out = _with_carry(valued, keys, order, block, newest, F.last("__summary", ignorenulls=True))
@@ -60,9 +81,11 @@ def last_value(
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
 ) -> DataFrame:
     """``value`` of the row before, NULL on the first row of a group."""
+    if block is None:
+        return df.withColumn(name, F.lag(value).over(_plain(keys, order)))
     valued = df.withColumn("__value", value)
     out = _with_carry(
         valued, keys, order, block,
@@ -76,9 +99,11 @@ def previous_value(
 
 
 def next_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
 ) -> DataFrame:
     """``value`` of the row after, NULL on the last row of a group."""
+    if block is None:
+        return df.withColumn(name, F.lead(value).over(_plain(keys, order)))
     blocked = df.withColumn("__value", value).withColumn(_BLOCK, block)
     per_block = blocked.groupBy(*keys, _BLOCK).agg(
         F.min_by("__value", F.struct(*order)).alias("__summary")

@@ -57,12 +57,13 @@ def _block_report(base: np.ndarray, test: np.ndarray, limit: float, inclusive: b
 
 def mark_restarts(
     df: DataFrame, keys: Sequence[str], position: str, base: str, test: str, limit: float,
-    inclusive: bool = False, block_rows: int = BLOCK_ROWS, name: str = "restarts",
+    inclusive: bool = False, block_rows: int = BLOCK_ROWS, name: str = "restarts", short: bool = False,
 ) -> DataFrame:
     """Add a boolean column that is true on the rows that restart their group's fold.
 
     ``position`` counts from 0 inside a group; ``base`` and ``test`` are bigint columns that do
-    not fall along it. The first row of a group always restarts.
+    not fall along it. The first row of a group always restarts. ``short`` says that no group is
+    longer than a block, so that nothing has to be chained.
     """
     keys = list(keys)
     blocked = df.withColumn("__block", F.floor(F.col(position) / block_rows).cast("bigint"))
@@ -123,7 +124,8 @@ def mark_restarts(
                     anchor = bases[i]
             yield pdf.drop(columns=["__entry", "__block"]).assign(**{name: flags})
 
-    joined = blocked.join(entries, [*keys, "__block"], "left")
+    none = F.lit(None).cast("bigint")
+    joined = blocked.withColumn("__entry", none) if short else blocked.join(entries, [*keys, "__block"], "left")
     ordered = joined.repartition(*keys, "__block").sortWithinPartitions(*keys, "__block", position)
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())])
     columns = [*df.columns, "__block", "__entry"]

@@ -104,7 +104,8 @@ def trim_blank(rows: DataFrame) -> DataFrame:
         "table_id", "row_no",
         F.transform("__columns", lambda c: F.coalesce(F.get("texts", c - 1), F.lit(""))).alias("texts"),
     )
-    numbered = prefix.running_sum(kept, ["table_id"], ["row_no"], F.lit(1), _row_block(), "__new")
+    block = prefix.row_block(rows, "row_no")
+    numbered = prefix.running_sum(kept, ["table_id"], ["row_no"], F.lit(1), block, "__new")
     return numbered.select("table_id", F.col("__new").cast("int").alias("row_no"), "texts")
 
 
@@ -154,7 +155,8 @@ def fill_down(cells: DataFrame) -> DataFrame:
     ).distinct()
     joined = cells.join(inside, ["table_id", "row_no", "col_no"], "left")
     above = prefix.last_value(
-        joined, ["table_id", "col_no"], ["row_no"], text.blank_to_null(F.col("cell_text")), _row_block(), "__above"
+        joined, ["table_id", "col_no"], ["row_no"], text.blank_to_null(F.col("cell_text")),
+        prefix.row_block(cells, "row_no"), "__above",
     )
     fill = F.coalesce("__inside", F.lit(False)) & (F.col("cell_text") == "")
     return above.withColumn(
@@ -218,7 +220,8 @@ def within_cell_budget(rows: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame
 
     Adds ``cells_cut``, true for all rows of a table whose budget ran out.
     """
-    upto = prefix.running_sum(rows, ["table_id"], ["row_no"], F.size("texts"), _row_block(), "__upto")
+    block = prefix.row_block(rows, "row_no")
+    upto = prefix.running_sum(rows, ["table_id"], ["row_no"], F.size("texts"), block, "__upto")
     total = rows.groupBy("table_id").agg((F.sum(F.size("texts")) >= max_cells).alias("cells_cut"))
     kept = upto.filter(F.col("__upto") - F.size("texts") < max_cells).drop("__upto")
     return kept.join(total, "table_id")

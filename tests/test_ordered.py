@@ -11,7 +11,7 @@ from docweave.operators import prefix, profile, recover, restarts
 @pytest.fixture
 def tiny_blocks(monkeypatch):
     monkeypatch.setattr(prefix, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(restarts.mark_restarts, "__defaults__", (False, 7, "restarts"))
+    monkeypatch.setattr(restarts.mark_restarts, "__defaults__", (False, 7, "restarts", False))
 
 
 def test_prefix_forms(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import ids, paths
 from docweave.functions.text import blank_to_null
-from docweave.operators import merge
+from docweave.operators import merge, sizes
 from docweave.operators.routing import (
     EXPORTS, OUT_OF_SCOPE, SHEET_MIMES, SIDECAR_ONLY_MIMES, TEXT_MIMES, _lookup, _lower, source_suffix,
 )
@@ -20,7 +20,7 @@ def replace_files(index: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def delete_files(index: DataFrame, files: DataFrame) -> DataFrame:
-    return index.join(files.select("file_id").distinct(), "file_id", "left_anti")
+    return sizes.rows_without(index, files)
 
 
 def batch_mismatch(deleted: DataFrame, imported: DataFrame) -> DataFrame:
@@ -84,9 +84,10 @@ def delete_counts(
     brings one row.
     """
     wanted = files.select("file_id").distinct()
+    few = sizes.if_small(wanted)
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
-        met = rows.join(wanted, "file_id", "left_semi")
+        met = rows.join(few, "file_id", "left_semi")
         return met.groupBy("file_id").agg(F.count(F.lit(1)).alias(name))
 
     owned = objects.withColumn("file_id", ids.object_owner(F.col("name")))
@@ -110,12 +111,8 @@ def delete_counts(
 
 def delete_objects(objects: DataFrame, files: DataFrame) -> DataFrame:
     """Objects left after all objects of the given files are gone, in any bucket."""
-    owner = ids.object_owner(F.col("name"))
-    return (
-        objects.withColumn("file_id", owner)
-        .join(files.select("file_id").distinct(), "file_id", "left_anti")
-        .select(*objects.columns)
-    )
+    owned = objects.withColumn("file_id", ids.object_owner(F.col("name")))
+    return sizes.rows_without(owned, files).select(*objects.columns)
 
 
 def delete_everywhere(

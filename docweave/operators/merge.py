@@ -1,8 +1,8 @@
 """Merging rows into keyed tables where a row may write only some of its fields.
 
 Updates are few against the table they meet, so the table is not shuffled as a whole: a left
-join (broadcast by adaptive execution while the updates are small) rewrites the met rows, and
-new keys are added.
+join, with the updates broadcast where a count shows them small, rewrites the met rows, and new
+keys are added.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import values
+from docweave.operators import sizes
 
 # Fields of a state row that each kind of update writes; the rest survive.
 FAILED_FIELDS = ("status", "error", "last_synced_at")
@@ -42,10 +43,11 @@ def merge_rows(target: DataFrame, updates: DataFrame, key: str = "file_id") -> D
         named = F.col(FIELDS).isNull() | F.array_contains(FIELDS, c)
         return F.when(F.col("__met") & named, F.col(f"__new_{c}"))
 
-    met = target.join(renamed, key, "left").select(
+    few = sizes.if_small(renamed)
+    met = target.join(few, key, "left").select(
         key, *[written(c).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    old_keys = target.join(updates.select(key), key, "left_semi").select(key)
+    old_keys = target.select(key).join(few, key, "left_semi")
     added = renamed.join(old_keys, key, "left_anti").select(key, *[written(c).alias(c) for c in columns])
     return met.unionByName(added)
 
@@ -106,7 +108,7 @@ def enqueue(queue: DataFrame, rows: DataFrame, now: Column) -> DataFrame:
 
 
 def clear(queue: DataFrame, ids: DataFrame) -> DataFrame:
-    return queue.join(ids.select("file_id"), "file_id", "left_anti")
+    return sizes.rows_without(queue, ids)
 
 
 def record_attempts(queue: DataFrame, ids: DataFrame, now: Column) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import ids, lexical, paths, text
+from docweave.operators import sizes
 from docweave.options import SearchOptions
 
 CHUNK_JOINER = "\n\n[...]\n\n"
@@ -29,9 +30,12 @@ def servable(status: Column, error: Column) -> Column:
 
 
 def with_state(hits: DataFrame, state: DataFrame) -> DataFrame:
-    """Join the state of each hit's file; its columns get a ``state_`` prefix."""
+    """Join the state of each hit's file; its columns get a ``state_`` prefix.
+
+    The state table is first cut down to the files that were hit.
+    """
     fields = [c for c in state.columns if c != "file_id"]
-    renamed = state.select("file_id", F.lit(True).alias("has_state"), *[F.col(c).alias(f"state_{c}") for c in fields])
+    renamed = sizes.rows_of(state, hits).select("file_id", F.lit(True).alias("has_state"), *[F.col(c).alias(f"state_{c}") for c in fields])
     return hits.join(renamed, "file_id", "left").withColumn("has_state", F.coalesce("has_state", F.lit(False)))
 
 

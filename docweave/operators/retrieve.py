@@ -95,6 +95,20 @@ def nearest_chunks(queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -
     ``queries`` has query_id, embedding and, where it varies, fetch_k; ``chunks`` has chunk_id
     and embedding. The distance is one minus the cosine, rounded to six digits.
     """
+    return _nearest(queries, chunks, opts)[0]
+
+
+def with_chunk_fields(queries: DataFrame, chunks: DataFrame, fields: list[str], opts: SearchOptions) -> DataFrame:
+    """The nearest chunks with more of their fields, read for the kept rows only.
+
+    Up to the checked number of queries the kept rows are at most that times ``fetch_max`` short
+    rows; they are broadcast, and the texts are scanned where they lie.
+    """
+    near, bounded = _nearest(queries, chunks, opts)
+    return chunks.select("chunk_id", *fields).join(F.broadcast(near) if bounded else near, "chunk_id")
+
+
+def _nearest(queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -> tuple[DataFrame, bool]:
     if "fetch_k" not in queries.columns:
         queries = queries.withColumn("fetch_k", F.lit(opts.fetch_k(None)))
     queries = queries.select("query_id", "embedding", F.col("fetch_k").cast("int"))
@@ -104,7 +118,7 @@ def nearest_chunks(queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -
     local = _against_broadcast(head, queries, chunks, opts) if fits else _in_blocks(queries, chunks, opts)
     order = Window.partitionBy("query_id").orderBy("distance", "chunk_id")
     ranked = local.withColumn("vec_rank", F.row_number().over(order) - 1)
-    return ranked.filter(F.col("vec_rank") < F.col("fetch_k")).drop("fetch_k")
+    return ranked.filter(F.col("vec_rank") < F.col("fetch_k")).drop("fetch_k"), fits
 
 
 def _result_schema(queries: DataFrame, chunks: DataFrame) -> T.StructType:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docweave.operators import answer as answers
 from docweave.operators import postprocess, rerank, retrieve
 from docweave.options import SearchOptions
+from docweave.session import cut_lineage
 
 _CARRY = ("display_name", "source_uri", "modified_time", "top_k", "has_state")
 
@@ -34,12 +35,12 @@ def with_optional(chunks: DataFrame) -> DataFrame:
 def candidates(queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -> DataFrame:
     """Candidates of each query with their texts.
 
-    Vectors are scanned first and alone; texts are fetched for the kept rows only. Those are at
-    most ``fetch_max`` times the queries, and adaptive execution broadcasts them while small.
+    Vectors are scanned first and alone; texts are fetched for the kept rows only. The few
+    candidates are then written to the checkpoint folder, so that no later step, and no lost
+    executor, makes the scan run again.
     """
-    near = retrieve.nearest_chunks(queries, chunks, opts)
-    fields = chunks.select("chunk_id", "display_name", "text", "source_uri", "modified_time")
-    return near.join(fields, "chunk_id")
+    fields = ["display_name", "text", "source_uri", "modified_time"]
+    return cut_lineage(retrieve.with_chunk_fields(queries, chunks, fields, opts))
 
 
 def search(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.operators import corpus, merge, reconcile, routing, scope
+from docweave.operators import corpus, merge, reconcile, routing, scope, sizes
 from docweave.options import SyncOptions
 from docweave.session import cut_lineage
 from docweave.sources import readers
@@ -19,7 +19,7 @@ MEASURES = {
 
 def with_prefixed_state(changes: DataFrame, state: DataFrame) -> DataFrame:
     fields = [c for c in state.columns if c != "file_id"]
-    stored = state.select("file_id", F.lit(True).alias("has_state"), *[F.col(c).alias(f"state_{c}") for c in fields])
+    stored = sizes.rows_of(state, changes).select("file_id", F.lit(True).alias("has_state"), *[F.col(c).alias(f"state_{c}") for c in fields])
     return changes.join(stored, "file_id", "left").withColumn("has_state", F.coalesce("has_state", F.lit(False)))
 
 
@@ -38,7 +38,7 @@ def plan_changes(
     The plan, one row per changed file, is written to the checkpoint folder: everything that
     applies it reads it, so it must be computed once and stay the same.
     """
-    latest = routing.latest_changes(readers.has_file_id(changes))
+    latest = cut_lineage(routing.latest_changes(readers.has_file_id(changes)))
     scopes = scope.resolve_scope(file_parents(latest), folders, opts.sync_roots, opts.student_roots)
     routed = routing.route_changes(latest, scopes.drop("audience"))
     placed = routed.join(scopes.select("file_id", "audience"), "file_id", "left")

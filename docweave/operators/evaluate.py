@@ -105,34 +105,28 @@ def by_segment(items: DataFrame, last_old_item: int = SEGMENT_LAST_ITEM, rank: s
     return items.groupBy(segment.alias("segment")).agg(*metrics(F.col(rank)))
 
 
-def exclusive_percentile(values: DataFrame, col: str, p: float, group: tuple[str, ...] = ()) -> DataFrame:
-    """Quantile at position (n + 1)p, linear between neighbours, from (value, count) pairs.
+def distance_distribution(items: DataFrame, col: str = "hit_score", p: float = 0.95) -> DataFrame:
+    """Least, median, p95 (both forms) and greatest distance of the right answers.
 
-    Equal values are counted before they are ordered, and only the neighbours of the position
-    are kept, so nothing but distinct values is sorted.
+    The exclusive form lies at position (n + 1)p, linear between its neighbours. Equal values are
+    counted before they are ordered, so that only distinct values, of a distance rounded to six
+    digits, are sorted.
     """
-    counts = values.filter(F.col(col).isNotNull()).groupBy(*group, F.col(col).alias("v")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    below = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*group)
-    placed = counts.withColumn("upto", F.sum("c").over(below)).withColumn("n", F.sum("c").over(whole))
+    counts = items.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    ordered = Window.orderBy("v")
+    placed = counts.withColumn(
+        "upto", F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    ).withColumn("n", F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     # The lower neighbour is the row j of 1..n-1; the weight may leave 0..1 at the ends.
     target = (F.col("n") + 1) * p
     j = F.greatest(F.lit(1), F.least(F.floor(target), F.col("n") - 1))
     first = F.col("upto") - F.col("c") + 1
-    low = F.max(F.when((first <= j) & (F.col("upto") >= j), F.col("v")))
-    high = F.max(F.when((first <= j + 1) & (F.col("upto") >= j + 1), F.col("v")))
-    weight = F.max(target - j)
-    return placed.groupBy(*group).agg((low + (high - low) * weight).alias("exclusive_percentile"))
-
-
-def distance_distribution(items: DataFrame) -> DataFrame:
-    """Least, median, p95 (both forms) and greatest distance of the right answers."""
-    exclusive = exclusive_percentile(items, "hit_score", 0.95)
-    plain = items.agg(
-        F.min("hit_score").alias("min_score"), F.percentile("hit_score", 0.5).alias("median_score"),
-        F.percentile("hit_score", 0.95).alias("p95_inclusive"), F.max("hit_score").alias("max_score"),
+
+    def value_at(place: Column) -> Column:
+        return F.max(F.when((first <= place) & (F.col("upto") >= place), F.col("v")))
+
+    return placed.agg(
+        F.min("v").alias("min_score"), F.percentile("v", 0.5, F.col("c")).alias("median_score"),
+        F.percentile("v", p, F.col("c")).alias("p95_inclusive"), F.max("v").alias("max_score"),
+        (value_at(j) + (value_at(j + 1) - value_at(j)) * F.max(target - j)).alias("p95_exclusive"),
     )
-    joined = plain.join(exclusive, F.lit(True), "left")  # two one-row aggregates
-    return joined.withColumnRenamed("exclusive_percentile", "p95_exclusive")

@@ -201,7 +201,7 @@ UNION ALL SELECT 'drive_9', 0, 20, FALSE
 """)
 def _(t: Tables):
     drives = t.v_changes.select("drive_id").distinct()
-    idle = drives.limit(1).select(F.lit("drive_9").alias("drive_id"))
+    idle = drives.select(F.regexp_replace("drive_id", "[0-9]+", "9").alias("drive_id")).distinct()
     tokens = drives.unionByName(idle).withColumn("token", F.lit(20).cast("bigint"))
     return readers.page_tokens(t.v_changes, 120, tokens)
 
@@ -340,6 +340,18 @@ def _(t: Tables):
     return routing.snapshot_counts(routing.route_changes(files, scopes))
 
 
+@query("snapshot_plan", "S3 P3 P15 snapshot_plan", f"""
+WITH {SCOPES} SELECT file_id, CASE o % 8 WHEN 1 THEN 'HWP_PARSE' WHEN 2 THEN 'HWP_PARSE' WHEN 6 THEN 'GOOGLE_EXPORT' ELSE 'FILE_COPY' END AS route,
+  CASE WHEN in_student THEN 'STUDENT' ELSE 'STAFF' END AS audience, folder_path || '/' || trim(name) AS path,
+  CASE WHEN o % 8 = 4 AND size_bytes > 10485760 THEN 'SPLIT_QUEUED' ELSE 'GCS_READY' END AS disposition
+FROM (SELECT *, CAST(right(file_id, 8) AS BIGINT) AS o FROM v_files WHERE NOT trashed) f JOIN folder_flags USING (parent_id) WHERE in_sync AND o % 8 <> 7
+""")
+def _(t: Tables):
+    nothing_read = t.v_files.select("file_id").withColumn("parts", F.lit(None).cast("int"))
+    plan = sync.snapshot_plan(t.v_files, full_state(t), t.v_folders, nothing_read, OPTS)
+    return plan.select("file_id", "route", "audience", "path", "disposition")
+
+
 @query("size_limits", "P8 P9", """
 SELECT file_id, CASE WHEN o % 8 = 0 THEN 20971520 ELSE 10485760 END AS size_limit,
   CASE WHEN size_bytes > CASE WHEN o % 8 = 0 THEN 20971520 ELSE 10485760 END THEN 'SIZE_EXCEEDED:' || size_bytes || '>'

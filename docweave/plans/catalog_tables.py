@@ -163,19 +163,28 @@ def _(t: Tables):
     return table_documents(t).select("doc_id", text.count_markdown_tables(F.col("text")).alias("table_count"))
 
 
-@query("chunk_study", "A12", f"""
-WITH {DOCS}, sizes AS (SELECT unnest([512, 768, 1024, 1536, 2048, 3072]) AS chunk_tokens),
+STUDY = f"""{DOCS}, sizes AS (SELECT unnest([512, 768, 1024, 1536, 2048, 3072]) AS chunk_tokens),
 s AS (SELECT chunk_tokens, CAST(floor(chunk_tokens * 0.96::DOUBLE) AS BIGINT) AS span FROM sizes),
 t AS (SELECT chunk_tokens, count(*) AS tables, count(*) FILTER (first_char // span <> (end_char - 1) // span) AS split FROM s, spans GROUP BY 1),
 d AS (SELECT chunk_tokens, span, greatest(1, ceil(length(text) / span)) AS n FROM s, docs),
-e AS (SELECT chunk_tokens, span, count(*) FILTER (n = 1) / count(*) * 100 AS single_doc_pct, avg(n) AS avg_chunks FROM d GROUP BY 1, 2)
-SELECT e.chunk_tokens, span AS span_chars, tables, split, round(split / tables * 100, 6) AS split_pct, round(single_doc_pct, 6) AS single_doc_pct, round(avg_chunks, 6) AS avg_chunks
-FROM e JOIN t USING (chunk_tokens)
-""")
+e AS (SELECT chunk_tokens, span, count(*) FILTER (n = 1) / count(*) * 100 AS single_doc_pct, avg(n) AS avg_chunks FROM d GROUP BY 1, 2),
+study AS (SELECT e.chunk_tokens, span AS span_chars, tables, split, round(split / tables * 100, 6) AS split_pct,
+  round(single_doc_pct, 6) AS single_doc_pct, round(avg_chunks, 6) AS avg_chunks FROM e JOIN t USING (chunk_tokens))"""
+
+
+def study(t: Tables) -> DataFrame:
+    rows = chunking.chunk_study(table_documents(t))
+    return rows.withColumns({c: F.round(c, 6) for c in ("split_pct", "single_doc_pct", "avg_chunks")})
+
+
+@query("chunk_study", "A12", f"WITH {STUDY} SELECT * FROM study")
+def _(t: Tables):
+    return study(t)
+
+
+@query("best_chunk_size", "A12", f"WITH {STUDY} SELECT chunk_tokens, split_pct FROM study ORDER BY split_pct, chunk_tokens LIMIT 1")
 def _(t: Tables):
-    study = chunking.chunk_study(table_documents(t))
-    rounded = {c: F.round(c, 6) for c in ("split_pct", "single_doc_pct", "avg_chunks")}
-    return study.withColumns(rounded)
+    return chunking.best_chunk_size(study(t)).select("chunk_tokens", "split_pct")
 
 
 @query("document_lengths", "A13", """

@@ -35,7 +35,7 @@ def test_exclusive_percentile(spark, n):
     rng = random.Random(n)
     values = [round(rng.random(), 2) for _ in range(n)]
     frame = spark.createDataFrame([(v,) for v in values], "hit_score double")
-    got = evaluate.exclusive_percentile(frame, "hit_score", 0.95).first()[0]
+    got = evaluate.distance_distribution(frame).first().p95_exclusive
     assert got == pytest.approx(statistics.quantiles(values, n=100)[94])
 
 

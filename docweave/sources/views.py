@@ -34,14 +34,16 @@ def containing(texts: DataFrame, text_id: str, text: str, passages: DataFrame, p
             F.sequence(F.lit(1), F.least(F.lit(stride), F.length(passage) - stride + 1)),
             lambda i: F.substring(passage, i, F.lit(stride)),
         )
-        keys = passages.filter(members).withColumn("__key", F.explode(F.array_distinct(windows)))
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.floor(F.length(text) / stride).cast("int")),
-            lambda i: F.substring(text, i * stride + 1, F.lit(stride)),
-        )
+        own = passages.filter(members)
+        if own.isEmpty():
+            continue
+        keys = own.withColumn("__key", F.explode(F.array_distinct(windows)))
+        blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
         cut = texts.select(text_id, F.explode(F.array_distinct(blocks)).alias("__key"))
         pairs = cut.join(keys, "__key").drop("__key").distinct()
         found = pairs if found is None else found.unionByName(pairs)
+    if found is None:  # only empty passages, or none
+        found = passages.filter(F.lit(False)).withColumn(text_id, F.lit(None).cast(texts.schema[text_id].dataType))
     return found.join(texts.select(text_id, text), text_id).filter(F.contains(text, passage))
 
 

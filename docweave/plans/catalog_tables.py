@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docweave.functions import text
 from docweave.operators import chunking, gates, tables
 from docweave.plans.registry import query
+from docweave.session import cut_lineage
 from docweave.sources.views import Tables
 
 GRID = """
@@ -140,7 +141,7 @@ spans AS (SELECT doc_id, min(ends - length(line) - 1) AS first_char, least(max(e
 
 
 def table_documents(t: Tables) -> DataFrame:
-    one = rendered(t)
+    one = cut_lineage(rendered(t))  # read twice below
     second = one.select(F.col("table_id").alias("second_id"), F.col("markdown").alias("second"))
     joined = t.documents.select("doc_id", "text").join(one, F.col("table_id") == F.col("doc_id")).join(
         second, (F.col("second_id") == F.col("doc_id") + 1) & (F.col("doc_id") % 2 == 0), "left"

@@ -23,15 +23,22 @@ def build_session(app_name: str = "docweave", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for tables that cut lineage.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. A temporary one is
-    set only where the session names none, as in local tests.
+    It is the one the session names in ``spark.checkpoint.dir``. Where none is named, a local
+    master gets a temporary one; on a cluster, whose machines share no such folder, it is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="docweave-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and read it back."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)

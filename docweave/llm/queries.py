@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import exact_dedup
+from docweave.llm import exact_dedup, ngram_join
 from docweave.llm.shared import documents
 
 
@@ -12,10 +12,16 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(documents(spark, folder))
 
 
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(documents(spark, folder))
+
+
 QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 SQL = {
     "op9_exact_dedup": exact_dedup.SQL,
+    "op10_ngram_join": ngram_join.SQL,
 }

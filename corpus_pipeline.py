@@ -1,23 +1,73 @@
-"""From raw documents to a mixed, encoded corpus, stage by stage."""
+"""From raw documents to a mixed, encoded corpus, stage by stage.
+
+Every stage takes all rows of the one before. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docweave.llm import exact_dedup
+from docweave.llm import exact_dedup, mixing, ngram_join, pieces, quality
 from docweave.llm.shared import parked
 
+# The contract of the stages on word shingles: five words, a similarity of 0.8.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the quality rules keep. A row is judged by its own text, met by its digest."""
+    judged = quality.judged(docs.select(F.sha2("text", 256).alias("mark"), "text", "lang"))
+    rejected = judged.filter("NOT kept").select(F.col("mark").alias("__mark"), F.col("lang").alias("__lang")).distinct()
+    same = F.sha2("text", 256).eqNullSafe(F.col("__mark")) & F.col("lang").eqNullSafe(F.col("__lang"))
+    return docs.join(rejected, same, "left_anti")
+
 
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One row of each group of equal texts."""
     return exact_dedup.first_of_each(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group linked by shingles, the one with the smallest ``doc_id``.
+
+    Rows without ``doc_id`` name no group and stay.
+    """
+    groups = ngram_join.join(docs, NEAR_WIDTH, NEAR_PERCENT)
+    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    mix = mixing.mix(docs).groupBy("doc_id", "mark", "source").agg(F.max("copies").alias("copies"))
+    key = F.xxhash64("text")
+    chosen = mix.filter("copies > 0").select(
+        F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("source").alias("__source"),
+        F.col("copies").cast("int").alias("__copies"),
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("__doc")) & (key == F.col("__mark"))
+        & F.col("source").eqNullSafe(F.col("__source"))
+    )
+    taken = docs.join(chosen, same)
+    return taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+
+
+def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The mixed documents with their piece ids."""
+    return pieces.encode(docs, pieces.default_model())
+
+
 STAGES = [
+    ("quality rules", good_quality),
     ("exact dedup", exact),
+    ("n-gram join", near),
+    ("mixing", mixed),
+    ("SentencePiece", encoded),
 ]
 
-# A stage samples by random odds and another encodes by a vocabulary file, which SQL cannot express.
+# A stage fits histograms and another encodes by a vocabulary file, which SQL cannot express.
 ORACLE_SQL = None
 
 

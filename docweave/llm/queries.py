@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import exact_dedup, ngram_join
+from docweave.llm import exact_dedup, mixing, ngram_join, pieces, quality
 from docweave.llm.shared import documents
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(documents(spark, folder), pieces.default_model())
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(documents(spark, folder)).drop("mark")
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(documents(spark, folder).select("doc_id", "text", "lang")).drop("lang")
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(documents(spark, folder))
 
@@ -17,6 +29,9 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op4_mixing": op4_mixing,
+    "op7_quality_rules": op7_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_join": op10_ngram_join,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import exact_dedup, mixing, ngram_join, pieces, quality
+from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, quality
 from docweave.llm.shared import documents
 
 
@@ -16,6 +16,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("mark")
 
 
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return bitpack.written_and_read(documents(spark, folder), bitpack.default_vocabulary())
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(documents(spark, folder).select("doc_id", "text", "lang")).drop("lang")
 
@@ -31,6 +35,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_mixing": op4_mixing,
+    "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_join": op10_ngram_join,

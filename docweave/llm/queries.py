@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, quality
+from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, quality, secrets_crf
 from docweave.llm.shared import documents
 
 
@@ -12,6 +12,10 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(documents(spark, folder), pieces.default_model())
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets_crf.scan(documents(spark, folder))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("mark")
 
@@ -34,6 +38,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, quality, secrets_crf
+from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, quality, secrets_crf, warc
 from docweave.llm.shared import documents
 
 
@@ -20,6 +20,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("mark")
 
 
+def op5_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.audited(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return bitpack.written_and_read(documents(spark, folder), bitpack.default_vocabulary())
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
+    "op5_warc_audit": op5_warc_audit,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
@@ -47,6 +52,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op5_warc_audit": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_ngram_join": ngram_join.SQL,
 }

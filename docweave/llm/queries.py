@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, quality, secrets_crf, warc
+from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, pitman_yor, quality, secrets_crf, warc
 from docweave.llm.shared import documents
 
 
@@ -32,6 +32,10 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(documents(spark, folder).select("doc_id", "text", "lang")).drop("lang")
 
 
+def op8_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.score(documents(spark, folder))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(documents(spark, folder))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op5_warc_audit": op5_warc_audit,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
+    "op8_pitman_yor": op8_pitman_yor,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_join": op10_ngram_join,
 }

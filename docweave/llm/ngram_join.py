@@ -6,13 +6,15 @@ shingle hashes is cut into segments; a segment with allocation 1 is met by its e
 with allocation 2 also by its content less one shingle. If the allocations add up to more than
 ``H``, some segment of a linked pair differs by less than its allocation, so the pair shares a
 signature. Each band takes the allocation with the least cost, counted in signatures and in
-segments so small that unrelated documents share them. Allocations exceed ``H`` by a slack, which
-lets documents leave out empty segments; one with more empty segments than the slack indexes them.
+segments so small that unrelated documents share them. Allocations exceed ``H`` by a slack: of a
+linked pair, segments of more than the slack's weight agree, so a document may leave its smallest
+segments out, up to that weight, and the pair still shares a signature.
 
 Signatures are computed, combined and grouped as numpy arrays that Spark shuffles by hash bucket.
-Members of a signature meet its pivot, the least set id, not each other; each such pair is verified
-on the whole sets. A pair that shares a signature without being joined through a pivot is verified
-in a second step, unless the triangle inequality of the Jaccard distance rules it out.
+Members of a signature meet its pivots, the least and the largest set id, not each other. Members
+that are still in different components meet in a second step, in blocks of bounded size. Before a
+pair is verified on the whole sets, histograms of both over 128 classes of shingles are compared:
+their L1 distance is never more than the symmetric difference, so no link is lost.
 
 Equal sets share one id (a 64-bit fingerprint of the set), so copies are never paired.
 
@@ -39,6 +41,9 @@ WIDTH, PERCENT = 4, 85
 FLUSH_ENTRIES = 1 << 20
 BUCKETS_PER_PARTITION = 4
 SMALL_SEGMENT_COST = 50
+SMALL = 3  # segments of up to so many shingles may be left out
+CLASSES = 128
+BLOCK_MEMBERS = 1024
 _SEED = np.uint64(0xA0761D6478BD642F)
 
 
@@ -62,7 +67,7 @@ def allocation(band: int, percent: int) -> tuple[int, int, int]:
     bound = 2 * high * (100 - percent) // (100 + percent)
     if bound == 0:
         return 0, 0, 0  # only equal sets link, and those have one id
-    slack = 1 + bound // 24
+    slack = 1 + bound // 5
     need, size = bound + 1 + slack, (low + high) / 2
 
     def cost(twos: int) -> float:
@@ -137,12 +142,15 @@ def signatures(sets: Sets, ids: np.ndarray, percent: int) -> tuple[np.ndarray, n
         place = np.arange(total) - base[row]
         label = mixed((band[row].astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) + _SEED)
         double = place >= ones[row]
-        weight = np.where(double, 2 * (filled <= 1), filled == 0)
-        all_empty = np.bincount(row, weights=weight, minlength=len(segments)) > slack
-        indexed = (filled > 0) | all_empty[row]
+        left_out = np.full(len(segments), -1)
+        for small in range(SMALL + 1):
+            weight = np.where(double, 2 * (filled - 1 <= small), filled <= small)
+            fits = np.bincount(row, weights=weight, minlength=len(segments)) <= slack
+            left_out = np.where(fits & (left_out == small - 1), small, left_out)
+        indexed = filled > left_out[row]
         keys.append(mixed(content + label)[indexed])
         owners.append(ids[row[indexed]])
-        less = double[at] & ((filled[at] > 1) | all_empty[owner])
+        less = double[at] & (filled[at] - 1 > left_out[owner])
         keys.append(mixed(content[at[less]] - values[less] + label[at[less]]))
         owners.append(ids[owner[less]])
     return np.concatenate(keys), np.concatenate(owners)
@@ -157,8 +165,8 @@ def _distinct(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 _BLOB = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("data", pa.binary())])
-_PARTS = "kind byte, a long, b long, c long"
-_PARTS_ARROW = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())])
+_PARTS = "kind byte, a long, b long, c long, d long"
+_PARTS_ARROW = pa.schema([("kind", pa.int8()), *((c, pa.int64()) for c in "abcd")])
 _DOC, _MEMBER = 0, 1
 
 
@@ -214,13 +222,14 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, owner = _distinct(table[:, 0], table[:, 1])
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(start, len(key)))
-        pivot = np.repeat(owner[start], size)
+        least, most = np.repeat(owner[start], size), np.repeat(owner[start + size - 1], size)
         met = np.repeat(size, size) > 1
         for at in range(0, int(met.sum()), 100_000):
             rows = np.flatnonzero(met)[at:at + 100_000]
             yield pa.record_batch([
                 pa.array(np.full(len(rows), _MEMBER), pa.int8()), pa.array(key[rows].view(np.int64)),
-                pa.array(owner[rows].view(np.int64)), pa.array(pivot[rows].view(np.int64)),
+                pa.array(owner[rows].view(np.int64)), pa.array(least[rows].view(np.int64)),
+                pa.array(most[rows].view(np.int64)),
             ], schema=_PARTS_ARROW)
 
     current, parts = None, []
@@ -231,7 +240,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([
                     pa.array(np.full(len(table), _DOC), pa.int8()),
                     pa.array(table[:, 0], pa.int64(), mask=table[:, 1] == 0),
-                    pa.array(table[:, 2].copy()), pa.array(table[:, 3].copy()),
+                    pa.array(table[:, 2].copy()), pa.array(table[:, 3].copy()), pa.nulls(len(table), pa.int64()),
                 ], schema=_PARTS_ARROW)
                 continue
             if bucket != current:
@@ -247,13 +256,78 @@ def _sets_of(width: int):
             text = batch.column("text")
             for begin, end in slices(text):
                 sets = Sets(text.slice(begin, end - begin), width)
+                cell = sets.owner * CLASSES + (mixed(sets.values ^ _SEED) >> np.uint64(40)).astype(np.int64) % CLASSES
+                classes = np.minimum(np.bincount(cell, minlength=(end - begin) * CLASSES), 255).astype(np.uint8)
                 yield pa.record_batch([
-                    pa.array(sets.ids().view(np.int64)),
+                    pa.array(sets.ids().view(np.int64)), pa.array(sets.sizes.astype(np.int64)),
+                    pa.array([row.tobytes() for row in classes.reshape(-1, CLASSES)], pa.binary()),
                     pa.array([
                         sets.values[a:b].tobytes()
                         for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)
                     ], pa.binary()),
-                ], names=["id", "items"])
+                ], names=["id", "n", "classes", "items"])
+
+    return run
+
+
+def _table(column: pa.Array) -> np.ndarray:
+    """Histograms of equal length as rows."""
+    return np.frombuffer(b"".join(v.as_buffer() for v in column), np.uint8).reshape(-1, CLASSES)
+
+
+def _may_link(n_x, n_y, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and histograms allow a pair to link."""
+    apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1)
+    return (apart * (100 + percent) <= (n_x + n_y) * (100 - percent)) & (
+        np.minimum(n_x, n_y) * 100 >= np.maximum(n_x, n_y) * percent
+    )
+
+
+def _likely(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_x, n_y = np.asarray(batch.column("n_x")), np.asarray(batch.column("n_y"))
+            keep = _may_link(n_x, n_y, _table(batch.column("classes_x")), _table(batch.column("classes_y")), percent)
+            yield pa.record_batch(
+                [batch.column(c).filter(pa.array(keep)) for c in ("x", "y")], names=["x", "y"]
+            )
+
+    return run
+
+
+def _across(percent: int):
+    """Pairs of members of a cell (key and two blocks) that may link and have different roots."""
+
+    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        cell = pa.Table.from_batches(rows).combine_chunks()
+        ids, n, root, side = (np.asarray(cell.column(c)) for c in ("id", "n", "root", "side"))
+        classes = _table(cell.column("classes").combine_chunks())
+        same_block = bool(cell.column("low")[0].as_py() == cell.column("high")[0].as_py())
+        found = []
+        for i in np.flatnonzero(side == 0).tolist():
+            others = np.flatnonzero((root != root[i]) & ((ids > ids[i]) if same_block else (side == 1)))
+            if len(others):
+                ok = others[_may_link(n[i], n[others], classes[i][None], classes[others], percent)]
+                found.append(np.stack([np.minimum(ids[ok], ids[i]), np.maximum(ids[ok], ids[i])], axis=1))
+        kept = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        return pa.record_batch([pa.array(kept[:, 0].copy()), pa.array(kept[:, 1].copy())], names=["x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+        for batch in batches:
+            cells = np.stack([np.asarray(batch.column(c)) for c in ("key", "low", "high")], axis=1)
+            cuts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1).tolist(), len(cells)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if b == a:
+                    continue
+                cell = tuple(cells[a].tolist())
+                if cell != current and held:
+                    yield pairs(held)
+                    held = []
+                current = cell
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield pairs(held)
 
     return run
 
@@ -274,6 +348,15 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["x", "y", "common", "n_x", "n_y"])
 
 
+def _likely_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and histograms allow a link."""
+    sides = {
+        c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("classes").alias(f"classes_{c}"))
+        for c in ("x", "y")
+    }
+    return pairs.join(sides["y"], "y").join(sides["x"], "x").mapInArrow(_likely(percent), "x long, y long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Each pair (x, y) with the sizes of its sets and of their intersection, counted on whole sets."""
     one = sets.select(F.col("id").alias("y"), F.col("items").alias("two"))
@@ -297,9 +380,9 @@ def _texts_of(docs: DataFrame, parts: DataFrame, ids: DataFrame, width: int) ->
     texts = docs.select("doc_id", "text").join(
         named, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi"
     ).select("text")
-    sets = texts.mapInArrow(_sets_of(width), "id long, items binary")
+    sets = texts.mapInArrow(_sets_of(width), "id long, n long, classes binary, items binary")
     # Documents that share an id by number, or a missing number, may bring the same set twice.
-    return parked(sets.groupBy("id").agg(F.first("items").alias("items")), "sets")
+    return parked(sets.dropDuplicates(["id"]), "sets")
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -313,46 +396,57 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
         blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, _PARTS), "signatures"
     )
     members = parts.filter(F.col("kind") == _MEMBER).select(
-        F.col("a").alias("key"), F.col("b").alias("id"), F.col("c").alias("pivot")
+        F.col("a").alias("key"), F.col("b").alias("id"), F.col("c").alias("least"), F.col("d").alias("most")
     )
     stars = parked(
-        members.filter("id <> pivot").select(F.col("id").alias("x"), F.col("pivot").alias("y")).distinct(), "pairs"
+        members.select(F.col("id").alias("x"), F.explode(F.array_distinct(F.array("least", "most"))).alias("y"))
+        .filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
+        "pairs",
     )
     wanted = stars.select(F.explode(F.array("x", "y")).alias("id")).distinct()
     sets = _texts_of(docs, parts, wanted, width)
-    checked = parked(_verified(stars, sets), "checked")
-    linked = checked.filter(_links(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    linked = _linked(_likely_pairs(stars, sets, percent), sets, percent)
     roots = components(linked)
-    rest = parked(_verified(_left_over(members, checked, roots, percent), sets).filter(_links(percent)), "checked")
+    rest = _linked(_left_over(members, roots, sets, percent), sets, percent)
     if not rest.isEmpty():
-        roots = components(linked.unionByName(rest.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+        roots = components(linked.unionByName(rest))
     return _labelled(parts, roots)
 
 
-def _left_over(members: DataFrame, checked: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a signature, are in different components so far, and may still link."""
-    distance = 1 - F.col("common") / (F.col("n_x") + F.col("n_y") - F.col("common"))
-    known = checked.select(F.col("x").alias("id"), F.col("y").alias("pivot"), F.col("n_x").alias("n"), distance.alias("d"))
-    named = roots.select(F.col("node").alias("id"), "root")
-    rows = (
-        members.filter("id <> pivot")
-        .join(known, ["id", "pivot"])
-        .join(named, "id", "left")
-        .select("key", "id", "n", "d", F.coalesce("root", "id").alias("root"))
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    checked = _verified(parked(pairs, "pairs"), sets).filter(_links(percent))
+    return parked(checked.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+
+
+def _left_over(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a signature, are in different components so far, and may link.
+
+    The members of a signature are cut into blocks, and each pair of blocks is one small cell.
+    """
+    spark = members.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = members.select("key", "id").join(
+        roots.select(F.col("node").alias("id"), "root"), "id", "left"
+    ).select("key", "id", F.coalesce("root", "id").alias("root"))
+    keys = rows.groupBy("key").agg(
+        F.min("root").alias("one"), F.max("root").alias("other"), F.count(F.lit(1)).alias("size"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"),
+    ).filter("one < other AND size > 2")  # of two members, one is the pivot
+    # Signatures with the same members are one.
+    keys = keys.groupBy("members", "size").agg(F.min("key").alias("key")).select(
+        "key", F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int")
+    cells = rows.join(keys, "key").withColumn("own", own).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met")
+    ).select(
+        "key", "id", "root", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"),
+        (F.col("own") > F.col("met")).cast("int").alias("side"),
     )
-    mixed_keys = rows.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")
-    ).filter("low < high").select("key")
-    rows = rows.join(mixed_keys, "key", "left_semi")
-    one = rows.select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "n", "d", "root")))
-    two = rows.select("key", *(F.col(c).alias(f"{c}_y") for c in ("id", "n", "d", "root")))
-    reach = F.lit((100 - percent) / 100 + 1e-9)
     return (
-        one.join(two, "key")
-        .filter("id_x < id_y AND root_x <> root_y")
-        .filter(F.abs(F.col("d_x") - F.col("d_y")) <= reach)
-        .filter(F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent)
-        .select(F.col("id_x").alias("x"), F.col("id_y").alias("y"))
+        cells.join(sets.select("id", "n", "classes"), "id")
+        .repartition(partitions, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+        .mapInArrow(_across(percent), "x long, y long")
         .distinct()
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, pitman_yor, quality, secrets_crf, warc
+from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, pitman_yor, quality, secrets_crf, suffix_dedup, warc
 from docweave.llm.shared import documents
 
 
@@ -12,6 +12,10 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(documents(spark, folder), pieces.default_model())
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, folder))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets_crf.scan(documents(spark, folder))
 
@@ -46,6 +50,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
     "op5_warc_audit": op5_warc_audit,
@@ -57,6 +62,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_suffix_dedup": suffix_dedup.SQL,
     "op5_warc_audit": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_ngram_join": ngram_join.SQL,

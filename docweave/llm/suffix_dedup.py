@@ -345,7 +345,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hash of every string of hot segments, with its place."""
     for batch in batches:
         for row in range(batch.num_rows):
-            data = Texts(pa.array([None]))
+            data = Texts(pa.array([""]))
             data.data = np.frombuffer(batch.column("bytes")[row].as_buffer(), np.uint8)
             first = np.arange(batch.column("count")[row].as_py())
             hashes = range_hashes(data.prefix_hash(), first, first + LENGTH)

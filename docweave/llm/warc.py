@@ -90,7 +90,10 @@ _ROWS = "shard int, leaf long, offset long, n_bytes long, page_id long"
 
 
 def _files(spark, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select(F.col("shard").cast("int"), "content")
+    shard = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("int").alias("shard")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.gz"
+    ).load(path).select(shard, "content")
 
 
 def _rows_of(batch: pa.RecordBatch, last: str, value) -> Iterator[pa.RecordBatch]:

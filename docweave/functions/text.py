@@ -16,7 +16,6 @@ from pyspark.sql.types import StringType
 WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 LINE_BREAK = rf"\r\n|[{LINE_END}]"
-FINGERPRINT_CHARS = 180
 
 # Page-number lines.
 ROMAN = r"(?=[mdclxvi])m{0,4}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
@@ -66,10 +65,10 @@ def lines(col: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
-def fingerprint(col: Column, n: int = FINGERPRINT_CHARS) -> Column:
-    """Lower case, one blank per white-space run, trimmed, first ``n`` characters."""
-    folded = F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), rf"[{WS}]+", " ")
-    return F.substring(F.trim(folded), 1, n)
+def fingerprint(col: Column, n: int | None = None) -> Column:
+    """Lower case, one blank per white-space run, trimmed; of that the first ``n`` characters, if given."""
+    folded = F.trim(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), rf"[{WS}]+", " "))
+    return F.substring(folded, 1, n) if n else folded
 
 
 @F.pandas_udf(StringType())

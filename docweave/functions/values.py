@@ -63,9 +63,24 @@ def cell_text(value: Column) -> Column:
 
 
 def cell_number(value: Column) -> Column:
-    """A numeric cell; a whole number loses its fraction."""
-    whole = value == F.floor(value)
-    return F.when(whole, value.cast("decimal(38,0)").cast("string")).otherwise(value.cast("string"))
+    """A numeric cell: a whole number loses its fraction, others get their shortest digits.
+
+    Digits are written out from 0.0001 on; smaller fractions have an exponent of two digits.
+    """
+    value = value.cast("double")
+    shortest = value.cast("string")
+    whole = F.when(F.abs(value) < 1e38, value.cast("decimal(38,0)").cast("string")).otherwise(
+        F.format_string("%.0f", value)
+    )
+    plain = F.rtrim(shortest.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    small = F.regexp_replace(F.regexp_replace(shortest, r"\.0E", "E"), r"E-(\d)$", "E-0$1")
+    small = F.lower(F.regexp_replace(small, r"E-(\d\d)", "e-$1"))
+    return (
+        F.when(F.isnan(value) | (F.abs(value) == float("inf")), shortest)
+        .when(value % 1 == 0, whole)
+        .when(F.abs(value) >= 1e-4, plain)
+        .otherwise(small)
+    )
 
 
 def cell_boolean(value: Column) -> Column:

@@ -43,12 +43,10 @@ def merge_rows(target: DataFrame, updates: DataFrame, key: str = "file_id") -> D
         named = F.col(FIELDS).isNull() | F.array_contains(FIELDS, c)
         return F.when(F.col("__met") & named, F.col(f"__new_{c}"))
 
-    few = sizes.if_small(renamed)
-    met = target.join(few, key, "left").select(
+    met = target.join(renamed, key, "left").select(
         key, *[written(c).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    old_keys = target.select(key).join(few, key, "left_semi")
-    added = renamed.join(old_keys, key, "left_anti").select(key, *[written(c).alias(c) for c in columns])
+    added = renamed.join(target.select(key), key, "left_anti").select(key, *[written(c).alias(c) for c in columns])
     return met.unionByName(added)
 
 

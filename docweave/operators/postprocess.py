@@ -58,8 +58,9 @@ def drop_shadowed_sidecars(hits: DataFrame) -> DataFrame:
 
 
 def drop_repeated_texts(hits: DataFrame) -> DataFrame:
-    """Keep the first hit of each text fingerprint of a query; texts without one all stay."""
-    marked = hits.withColumn("__fp", text.fingerprint(F.col("text")))
+    """Keep the first hit of each folded text of a query; texts that fold to nothing all stay."""
+    folded = text.fingerprint(F.col("text"))
+    marked = hits.withColumn("__fp", F.when(folded == "", "").otherwise(F.sha2(folded, 256)))
     first = Window.partitionBy("query_id", "__fp").orderBy("position")
     return (
         marked.withColumn("__nth", F.row_number().over(first))
@@ -84,7 +85,11 @@ def spend_budget(ranked: DataFrame, top_k: Column, opts: SearchOptions) -> DataF
     That order is (ordinal, file rank), so the rounds become one row number.
     """
     m = opts.max_chunks_per_file
-    chosen = ranked.filter((F.col("ordinal") <= m) & (F.col("file_rank") <= top_k))
+    chosen = ranked.filter(F.col("file_rank") <= top_k)
+    if m:
+        chosen = chosen.filter(F.col("ordinal") <= m)
+    if not opts.max_total_chunks and not m:
+        return chosen
     files = F.col("__files")
     budget = F.lit(opts.max_total_chunks) if opts.max_total_chunks else files * m
     rounds = F.row_number().over(_query().orderBy("ordinal", "file_rank"))

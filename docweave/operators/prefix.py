@@ -18,14 +18,8 @@ BLOCK_ROWS = 65_536
 _BLOCK = "__block"
 
 
-def row_block(df: DataFrame, number: str) -> Column | None:
-    """Block of a row number, or NULL where no group is longer than one block.
-
-    The check reads the number alone, and the filter sinks to the scan. With one block for each
-    group a plain window is as good, and the rows are not read a second time for their carry.
-    """
-    if df.filter(F.col(number) > BLOCK_ROWS).isEmpty():
-        return None
+def row_block(number: str) -> Column:
+    """Block of a row number."""
     return F.floor(F.col(number) / BLOCK_ROWS)
 
 

@@ -124,11 +124,11 @@ def document_batches(documents: DataFrame, run: str, position: str, count: str,
 
     ``position`` counts from 0 inside a run; documents without objects must be left out.
     """
-    block = prefix.row_block(documents, position)
+    block = prefix.row_block(position)
     upto = prefix.running_sum(documents, [run], [position], F.col(count), block, "__upto")
     upto = upto.withColumn("__before", (F.col("__upto") - F.col(count)).cast("bigint"))
     marked = restarts.mark_restarts(
-        upto, [run], position, "__before", "__before", threshold, inclusive=True, name="__opens", short=block is None
+        upto, [run], position, "__before", "__before", threshold, inclusive=True, name="__opens"
     )
     opened = prefix.running_sum(marked, [run], [position], F.col("__opens").cast("int"), block, "batch_no")
     return opened.withColumn("batch_no", F.col("batch_no") - 1).drop("__upto", "__before", "__opens")
@@ -146,21 +146,24 @@ def pack_pages(pages: DataFrame, limit: int, key: str = "doc", page_no: str = "p
     """
     target = int(limit * PART_SAFETY)
     position = (F.col(page_no) - 1).cast("bigint")
-    block = prefix.row_block(pages, page_no)
-    rows = pages.withColumn("__pos", position)
+    block = prefix.row_block("__pos")
     totals = pages.groupBy(key).agg(
         F.sum(size).alias("__total"), F.count(F.lit(1)).alias("__pages"), F.min_by(size, page_no).alias("__first")
     )
+    fits = F.col("__total") <= limit
+    placed = pages.join(totals, key)
+    # Only documents over the limit are folded; the others are one part.
+    rows = placed.filter(~fits).withColumn("__pos", position)
     upto = prefix.running_sum(rows, [key], ["__pos"], F.col(size), block, "__upto")
     upto = upto.withColumn("__upto", F.col("__upto").cast("bigint")).withColumn(
         "__before", (F.col("__upto") - F.col(size)).cast("bigint")
     )
-    marked = restarts.mark_restarts(upto, [key], "__pos", "__before", "__upto", target, name="__opens", short=block is None)
+    marked = restarts.mark_restarts(upto, [key], "__pos", "__before", "__upto", target, name="__opens")
     numbered = prefix.running_sum(marked, [key], ["__pos"], F.col("__opens").cast("int"), block, "__part")
     parts = numbered.groupBy(key, "__part").agg(F.sum(size).alias("__part_size"))
     widest = parts.groupBy(key).agg(F.max("__part_size").alias("__widest"))
-    joined = numbered.join(totals, key).join(widest, key)
-    fits = F.col("__total") <= limit
+    whole = placed.filter(fits).withColumn("__part", F.lit(1)).withColumn("__widest", F.lit(None).cast("long"))
+    joined = whole.unionByName(numbered.join(widest, key).select(*whole.columns))
     error = (
         F.when(fits, F.lit(None).cast("string"))
         .when(F.col("__pages") <= 1, "single_page_over_limit")

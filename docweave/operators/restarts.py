@@ -31,7 +31,7 @@ def _first_beyond(test: np.ndarray, start: int, base: float, limit: float, inclu
 
 
 def _walk(base: np.ndarray, test: np.ndarray, first: int, limit: float, inclusive: bool) -> list[int]:
-    """Rows of a block that restart, from the row ``first`` on."""
+    """Rows that restart, from the row ``first`` on, found by jumps from one to the next."""
     marks = []
     row = first
     while row < len(test):
@@ -40,6 +40,16 @@ def _walk(base: np.ndarray, test: np.ndarray, first: int, limit: float, inclusiv
     return marks
 
 
+def _changes(frame: pd.DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Rows at which a group begins, in a frame that is ordered by group."""
+    new = np.zeros(len(frame), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        values, before = frame[c].iloc[1:], frame[c].shift().iloc[1:]
+        new[1:] |= ((values != before) & ~(values.isna() & before.isna())).to_numpy()
+    return np.flatnonzero(new)
+
+
 def _block_report(base: np.ndarray, test: np.ndarray, limit: float, inclusive: bool) -> tuple[list, list, int]:
     """For each row that can restart first: its reading and the base after the block's last restart.
 
@@ -57,13 +67,12 @@ def _block_report(base: np.ndarray, test: np.ndarray, limit: float, inclusive: b
 
 def mark_restarts(
     df: DataFrame, keys: Sequence[str], position: str, base: str, test: str, limit: float,
-    inclusive: bool = False, block_rows: int = BLOCK_ROWS, name: str = "restarts", short: bool = False,
+    inclusive: bool = False, block_rows: int = BLOCK_ROWS, name: str = "restarts",
 ) -> DataFrame:
     """Add a boolean column that is true on the rows that restart their group's fold.
 
     ``position`` counts from 0 inside a group; ``base`` and ``test`` are bigint columns that do
-    not fall along it. The first row of a group always restarts. ``short`` says that no group is
-    longer than a block, so that nothing has to be chained.
+    not fall along it. The first row of a group always restarts.
     """
     keys = list(keys)
     blocked = df.withColumn("__block", F.floor(F.col(position) / block_rows).cast("bigint"))
@@ -110,22 +119,24 @@ def mark_restarts(
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, anchor = None, None
         for pdf in batches:
-            codes = list(zip(*(pdf[c] for c in [*keys, "__block"])))
+            if not len(pdf):
+                continue
             bases, tests = pdf[base].to_numpy(), pdf[test].to_numpy()
-            entry = pdf["__entry"].to_numpy(dtype=float, na_value=np.nan)
             flags = np.zeros(len(pdf), dtype=bool)
-            for i, code in enumerate(codes):
+            starts = _changes(pdf, [*keys, "__block"])
+            for a, b in zip(starts, np.append(starts[1:], len(pdf))):
+                code = [None if pd.isna(v) else v for v in pdf[[*keys, "__block"]].iloc[a]]
                 if code != group:
-                    group = code
-                    anchor = None if np.isnan(entry[i]) else int(entry[i])
-                gap = None if anchor is None else tests[i] - anchor
-                if gap is None or gap > limit or (inclusive and gap == limit):
-                    flags[i] = True
-                    anchor = bases[i]
+                    entry = pdf["__entry"].iloc[a]
+                    group, anchor = code, None if pd.isna(entry) else int(entry)
+                first = 0 if anchor is None else _first_beyond(tests[a:b], 0, anchor, limit, inclusive)
+                marks = _walk(bases[a:b], tests[a:b], first, limit, inclusive)
+                flags[a + np.array(marks, dtype=int)] = True
+                if marks:
+                    anchor = bases[a + marks[-1]]
             yield pdf.drop(columns=["__entry", "__block"]).assign(**{name: flags})
 
-    none = F.lit(None).cast("bigint")
-    joined = blocked.withColumn("__entry", none) if short else blocked.join(entries, [*keys, "__block"], "left")
+    joined = blocked.join(entries, [*keys, "__block"], "left")
     ordered = joined.repartition(*keys, "__block").sortWithinPartitions(*keys, "__block", position)
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())])
     columns = [*df.columns, "__block", "__entry"]

@@ -1,28 +1,18 @@
-"""Joins of a large table with few rows, without shuffling the large one."""
+"""Rows of a table that are, or are not, among given ids.
+
+Plain joins: the planner broadcasts the ids where they are few by its byte limit, at run time too.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of ids, or of ids and a few short fields, that every executor can hold.
-SMALL_ROWS = 100_000
-
-
-def if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count, stopped early, finds no more than ``rows``.
-
-    Beyond that it is left to a shuffled join. The plan's own estimates come too late here:
-    by the time a shuffle has shown how small one side is, the other has been written too.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def rows_of(table: DataFrame, wanted: DataFrame, key: str = "file_id") -> DataFrame:
-    """Rows of a large table whose key is wanted."""
-    return table.join(if_small(wanted.select(key).distinct()), key, "left_semi")
+    """Rows of a table whose key is wanted."""
+    return table.join(wanted.select(key).distinct(), key, "left_semi")
 
 
 def rows_without(table: DataFrame, unwanted: DataFrame, key: str = "file_id") -> DataFrame:
-    """Rows of a large table whose key is not among the unwanted."""
-    return table.join(if_small(unwanted.select(key).distinct()), key, "left_anti")
+    """Rows of a table whose key is not among the unwanted."""
+    return table.join(unwanted.select(key).distinct(), key, "left_anti")

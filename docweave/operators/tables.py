@@ -9,29 +9,18 @@ size of its result.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from docweave.functions import text
 from docweave.operators import prefix
+from docweave.session import cut_lineage
 
 NESTED_SEPARATOR = " / "
-MAX_CELLS = 300_000
-MAX_BYTES = 8 * 1024 * 1024
+# The marks of a cut and of a blank workbook.
 TRUNCATED = "> (크기 상한에서 잘림 — 원본 일부만 색인됨)"
 BLANK_WORKBOOK = "내용 없는 스프레드시트(빈 셀만)"
 
-_BLOCK = prefix.BLOCK_ROWS
-
-
-def _row_block(row: str = "row_no") -> Column:
-    return F.floor(F.col(row) / _BLOCK)
-
-
 # --- Grids ---------------------------------------------------------------------------
 
 def grid_rows(cells: DataFrame) -> DataFrame:
@@ -104,7 +93,7 @@ def trim_blank(rows: DataFrame) -> DataFrame:
         "table_id", "row_no",
         F.transform("__columns", lambda c: F.coalesce(F.get("texts", c - 1), F.lit(""))).alias("texts"),
     )
-    block = prefix.row_block(rows, "row_no")
+    block = prefix.row_block("row_no")
     numbered = prefix.running_sum(kept, ["table_id"], ["row_no"], F.lit(1), block, "__new")
     return numbered.select("table_id", F.col("__new").cast("int").alias("row_no"), "texts")
 
@@ -113,34 +102,51 @@ def fold_nested(cells: DataFrame, nested: DataFrame) -> DataFrame:
     """Cells of the outermost tables, with the texts of nested tables folded into them.
 
     ``nested`` has (table_id, parent_id, row_no, col_no): the nested table and the cell that holds
-    it. The innermost tables are folded first, a level each round; a nested table's texts follow
-    the cell's own, in row order, joined by a slash. Levels of nesting are few.
+    it. All texts below one table of a cell are joined by slashes, in the order in which they are
+    read: a cell's own text, then its nested tables. Each nested table is placed by the path of
+    places that leads to it, so the texts are gathered once, for the outermost nested table. Levels
+    of nesting are few, and one is resolved each round.
     """
-    open_links = nested
-    while not open_links.isEmpty():
-        parents = open_links.select(F.col("parent_id").alias("table_id")).distinct()
-        leaves = open_links.join(parents, "table_id", "left_anti")
-        if leaves.isEmpty():
+    def place(row: str, col: str, table: str) -> Column:
+        return F.struct(F.col(row).cast("long"), F.col(col).cast("long"), F.col(table).cast("long"))
+
+    held = nested.select(
+        "table_id", F.col("parent_id").alias("at_table"), F.col("row_no").alias("at_row"), F.col("col_no").alias("at_col")
+    )
+    inner = held.select("table_id").distinct()
+    # Tables of cells that are not nested themselves; then, round by round, those below them.
+    level = held.join(inner.withColumnRenamed("table_id", "at_table"), "at_table", "left_anti").select(
+        "table_id", "at_table", "at_row", "at_col", F.col("table_id").alias("top"), F.array().cast(
+            "array<struct<r:bigint,c:bigint,t:bigint>>").alias("path")
+    )
+    placed, open_tables = level, held.join(level.select("table_id"), "table_id", "left_anti")
+    while not open_tables.isEmpty():
+        above = level.select(F.col("table_id").alias("below"), "at_table", "at_row", "at_col", "top", "path")
+        inside = open_tables.select("table_id", F.col("at_table").alias("below"), F.col("at_row").alias("r"), F.col("at_col").alias("c"))
+        level = cut_lineage(inside.join(above, "below").select(
+            "table_id", "at_table", "at_row", "at_col", "top",
+            F.array_append("path", place("r", "c", "table_id").cast("struct<r:bigint,c:bigint,t:bigint>")).alias("path"),
+        ))
+        if level.isEmpty():
             raise ValueError("nested tables contain themselves")
-        inner = cells.join(leaves.select("table_id", "parent_id", F.col("row_no").alias("at_row"), F.col("col_no").alias("at_col")), "table_id")
-        spoken = inner.filter(~text.is_blank(F.col("cell_text"))).groupBy("table_id", "parent_id", "at_row", "at_col").agg(
-            F.array_join(
-                F.array_sort(F.collect_list(F.struct("row_no", "col_no", text.strip(F.col("cell_text")).alias("t"))))["t"],
-                NESTED_SEPARATOR,
-            ).alias("folded")
-        )
-        into = spoken.groupBy(
-            F.col("parent_id").alias("table_id"), F.col("at_row").alias("row_no"), F.col("at_col").alias("col_no")
-        ).agg(F.array_join(F.array_sort(F.collect_list(F.struct("table_id", "folded")))["folded"], "\n").alias("folded"))
-        joined = cells.join(leaves.select("table_id"), "table_id", "left_anti").join(
-            into, ["table_id", "row_no", "col_no"], "left"
-        )
-        own = text.blank_to_null(F.col("cell_text"))
-        cells = joined.withColumn(
-            "cell_text", F.coalesce(F.concat_ws("\n", own, F.col("folded")), F.lit(""))
-        ).select(*cells.columns)
-        open_links = open_links.join(leaves.select("table_id"), "table_id", "left_anti")
-    return cells
+        placed = placed.unionByName(level)
+        open_tables = open_tables.join(level.select("table_id"), "table_id", "left_anti")
+    texts = cells.join(placed, "table_id").filter(~text.is_blank(F.col("cell_text"))).select(
+        "at_table", "at_row", "at_col", "top", F.array_append("path", F.struct(
+            F.col("row_no").cast("long").alias("r"), F.col("col_no").cast("long").alias("c"), F.lit(-1).cast("long").alias("t")
+        )).alias("path"), text.strip(F.col("cell_text")).alias("t"),
+    )
+    folded = texts.groupBy("at_table", "at_row", "at_col", "top").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("path", "t")))["t"], NESTED_SEPARATOR).alias("folded")
+    )
+    into = folded.groupBy(
+        F.col("at_table").alias("table_id"), F.col("at_row").alias("row_no"), F.col("at_col").alias("col_no")
+    ).agg(F.array_join(F.array_sort(F.collect_list(F.struct("top", "folded")))["folded"], "\n").alias("folded"))
+    outer = cells.join(inner, "table_id", "left_anti").join(into, ["table_id", "row_no", "col_no"], "left")
+    own = text.blank_to_null(F.col("cell_text"))
+    return outer.withColumn(
+        "cell_text", F.coalesce(F.concat_ws("\n", own, F.col("folded")), F.lit(""))
+    ).select(*cells.columns)
 
 
 def fill_down(cells: DataFrame) -> DataFrame:
@@ -156,7 +162,7 @@ def fill_down(cells: DataFrame) -> DataFrame:
     joined = cells.join(inside, ["table_id", "row_no", "col_no"], "left")
     above = prefix.last_value(
         joined, ["table_id", "col_no"], ["row_no"], text.blank_to_null(F.col("cell_text")),
-        prefix.row_block(cells, "row_no"), "__above",
+        prefix.row_block("row_no"), "__above",
     )
     fill = F.coalesce("__inside", F.lit(False)) & (F.col("cell_text") == "")
     return above.withColumn(
@@ -215,59 +221,56 @@ def render_lines(rows: DataFrame) -> DataFrame:
     )
 
 
-def within_cell_budget(rows: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
+def within_cell_budget(rows: DataFrame, max_cells: int) -> DataFrame:
     """Rows read before the cells of a table's earlier rows have used the budget up.
 
     Adds ``cells_cut``, true for all rows of a table whose budget ran out.
     """
-    block = prefix.row_block(rows, "row_no")
+    block = prefix.row_block("row_no")
     upto = prefix.running_sum(rows, ["table_id"], ["row_no"], F.size("texts"), block, "__upto")
     total = rows.groupBy("table_id").agg((F.sum(F.size("texts")) >= max_cells).alias("cells_cut"))
     kept = upto.filter(F.col("__upto") - F.size("texts") < max_cells).drop("__upto")
     return kept.join(total, "table_id")
 
 
-SHORTEST_LINE = len("|  |\n")
+PART_BYTES = 8 * 1024 * 1024
 
 
-def assemble(lines: DataFrame, keys: list[str], order: list[str], max_bytes: int = MAX_BYTES) -> DataFrame:
-    """One text per document (keys, markdown): its lines up to the first that passes the budget.
+def assemble(lines: DataFrame, keys: list[str], order: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Texts of tables (keys, part_no, markdown): a table too large for one text has several parts.
 
-    Every line takes at least five bytes with its end, so a line numbered beyond a fifth of the
-    budget can never be part of the text. Such lines are dropped before the shuffle, which
-    bounds what one document brings to a task; the window then only streams over it. The last
-    entry of ``order`` numbers the lines from 1 where it is the only one.
+    Every part but the first repeats the header, the lines numbered 1 and 2. No line is left out,
+    and no task holds more than a part.
     """
-    if len(order) == 1:
-        lines = lines.filter(F.col(order[0]) <= max_bytes // SHORTEST_LINE + 1)
-    down = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    used = lines.withColumn("__used", F.sum(F.octet_length("line") + 1).over(down))
-    inside = F.when(F.col("__used") <= max_bytes, F.struct(*order, "line"))
-    return used.groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_list(inside))["line"], "\n").alias("__text"),
-        (F.max("__used") > max_bytes).alias("__cut"),
-    ).select(
-        *keys,
-        F.when(F.col("__cut"), F.concat("__text", F.lit(f"\n\n{TRUNCATED}"))).otherwise(F.col("__text")).alias("markdown"),
-        F.col("__cut").alias("bytes_cut"),
+    block = prefix.row_block(order)
+    upto = prefix.running_sum(lines, keys, [order], (F.octet_length("line") + 1).cast("long"), block, "__upto")
+    parted = upto.withColumn("part_no", F.floor((F.col("__upto") - 1) / part_bytes).cast("int"))
+    heads = parted.filter(F.col(order) <= 2).select(*keys, F.struct(F.col(order).alias("__no"), "line").alias("__head")).groupBy(*keys).agg(
+        F.array_sort(F.collect_list("__head"))["line"].alias("__head")
+    )
+    texts = parted.groupBy(*keys, "part_no").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct(F.col(order).alias("__no"), "line")))["line"], "\n").alias("__text"),
+        F.min(order).alias("__from"),
     )
+    headed = F.when(F.col("__from") > 2, F.array_join(F.array_append("__head", F.col("__text")), "\n")).otherwise(F.col("__text"))
+    return texts.join(heads, keys).select(*keys, "part_no", headed.alias("markdown"))
 
 
 def workbook_markdown(
-    sheets: DataFrame, rows: DataFrame, max_cells: int = MAX_CELLS, max_bytes: int = MAX_BYTES
+    sheets: DataFrame, rows: DataFrame, max_cells: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
-    """(book_id, markdown, error) of workbooks.
+    """(book_id, markdown, error) of workbooks, whole unless the caller sets a budget.
 
     ``sheets`` has (book_id, sheet_no, title), ``rows`` (book_id, sheet_no, row_no, texts) with every
     row read, blank ones too. A title line is set only where a workbook has more than one sheet.
     A workbook without any text is an error.
     """
-    block = F.struct("sheet_no", _row_block().alias("b"))
+    block = F.struct("sheet_no", prefix.row_block("row_no").alias("b"))
     upto = prefix.running_sum(rows, ["book_id"], ["sheet_no", "row_no"], F.size("texts"), block, "__upto")
     books = sheets.groupBy("book_id").agg(F.count(F.lit(1)).alias("sheet_count"))
-    spent = rows.groupBy("book_id").agg((F.sum(F.size("texts")) >= max_cells).alias("cells_cut"))
-    # No more than max_cells rows of a workbook pass here.
-    read = drop_trailing_blanks(upto.filter(F.col("__upto") - F.size("texts") < max_cells).drop("__upto"))
+    most_cells = F.lit(max_cells or (1 << 62))
+    spent = rows.groupBy("book_id").agg((F.sum(F.size("texts")) >= most_cells).alias("cells_cut"))
+    read = drop_trailing_blanks(upto.filter(F.col("__upto") - F.size("texts") < most_cells).drop("__upto"))
     keyed = read.withColumn("table_id", F.struct("book_id", "sheet_no"))
     in_sheet = Window.partitionBy("table_id")
     dense = keyed.withColumn("__width", F.max(F.size("texts")).over(in_sheet)).select(
@@ -287,10 +290,11 @@ def workbook_markdown(
     # An empty line divides a sheet from the one before.
     opens = first_line & (F.col("part") == 0) & (F.col("sheet_no") != F.col("__lead"))
     spaced = F.when(opens, F.concat(F.lit("\n"), "line")).otherwise(F.col("line")).alias("line")
-    inside = F.when(F.col("__used") <= max_bytes, F.struct("sheet_no", "line_no", "part", spaced))
+    most_bytes = F.lit(max_bytes or (1 << 62))
+    inside = F.when(F.col("__used") <= most_bytes, F.struct("sheet_no", "line_no", "part", spaced))
     texts = used.groupBy("book_id").agg(
         F.array_join(F.array_sort(F.collect_list(inside))["line"], "\n").alias("__text"),
-        (F.max("__used") > max_bytes).alias("bytes_cut"),
+        (F.max("__used") > most_bytes).alias("bytes_cut"),
     )
     out = books.join(texts, "book_id", "left").join(spent, "book_id", "left")
     cut = F.coalesce("cells_cut", F.lit(False)) | F.coalesce("bytes_cut", F.lit(False))
@@ -319,57 +323,73 @@ def broken_tables(markdown: Column) -> Column:
     return F.size(F.filter(blocks, is_broken))
 
 
-_LINE_ENDS = re.compile(r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85" + chr(0x2028) + chr(0x2029) + "]")
+def _torn_lines(rows: Column) -> Column:
+    """Numbers of the lines that continue the table row above them.
 
+    A table starts at a line with a bar in front whose paragraph has a rule at or below it; the
+    rule's bars are the width. A row is open while it has fewer bars than that, and takes the
+    following lines of its paragraph. Only the width, the bars that the open row still lacks and the
+    numbers found are carried from line to line.
+    """
+    def bars(line: Column) -> Column:
+        return F.regexp_count(line, F.lit(r"\|"))
 
-def _table_width(rows: list[str], start: int) -> int:
-    """Bar count of the first rule from ``start`` on, within the paragraph; 0 without one."""
-    for row in rows[start:]:
-        if not row.strip():
-            return 0
-        if "---" in row and "|" in row:
-            return row.count("|")
-    return 0
-
+    def is_rule(line: Column) -> Column:
+        return F.contains(line, F.lit("---")) & F.contains(line, F.lit("|"))
 
-def _gather_row(rows: list[str], start: int, width: int) -> tuple[str, int]:
-    """The row that starts at ``start``, joined until it has ``width`` bars or its paragraph ends."""
-    row, after = rows[start], start + 1
-    while row.count("|") < width and after < len(rows) and rows[after].strip():
-        row = f"{row} {rows[after].strip()}".strip()
-        after += 1
-    return row, after
+    facts = F.transform(rows, lambda line, i: F.struct(
+        i.alias("no"), bars(line).alias("bars"), text.is_blank(line).alias("blank"),
+        F.startswith(text.lstrip(line), F.lit("|")).alias("opens"), is_rule(line).alias("rule"),
+    ))
+    # What ends the search for a rule: the first rule, or the blank line that ends the paragraph.
+    stops = text.let(facts, lambda all_: F.struct(all_.alias("lines"), F.filter(all_, lambda x: x["rule"] | x["blank"]).alias("stops")))
 
+    def fold(found: Column) -> Column:
+        start = F.struct(
+            F.lit(0).alias("width"), F.lit(0).alias("lacks"), F.array().cast("array<int>").alias("torn")
+        )
 
-def _rejoin(markdown: str) -> str:
-    rows = _LINE_ENDS.split(markdown)
-    if rows[-1] == "":
-        rows.pop()
-    original, out, at = set(rows), [], 0
-    while at < len(rows):
-        width = _table_width(rows, at) if rows[at].lstrip().startswith("|") else 0
-        if width < 2:
-            out.append(rows[at])
-            at += 1
-            continue
-        while at < len(rows) and rows[at].lstrip().startswith("|"):
-            row, at = _gather_row(rows, at, width)
-            out.append(row)
-    return markdown if original.issuperset(out) else "\n".join(out)
+        def step(state: Column, line: Column) -> Column:
+            joins = (state["lacks"] > 0) & ~line["blank"]
+            ahead = F.get(F.filter(found["stops"], lambda x: x["no"] >= line["no"]), F.lit(0))
+            width = F.when((state["width"] > 0) & (state["lacks"] <= 0), state["width"]).otherwise(
+                F.coalesce(F.when(~ahead["blank"], ahead["bars"]), F.lit(0))
+            )
+            width = F.when(line["opens"], F.when(width >= 2, width).otherwise(0)).otherwise(0)
+            return F.when(joins, F.struct(
+                state["width"].alias("width"), (state["lacks"] - line["bars"]).alias("lacks"),
+                F.array_append(state["torn"], line["no"]).alias("torn"),
+            )).otherwise(F.struct(
+                width.alias("width"), F.when(width > 0, width - line["bars"]).otherwise(0).alias("lacks"),
+                state["torn"].alias("torn"),
+            ))
 
+        return F.aggregate(found["lines"], start, step, lambda state: state["torn"])
 
-@F.pandas_udf(StringType())
-def _rejoined(texts: pd.Series) -> pd.Series:
-    return texts.map(_rejoin, na_action="ignore")
+    return text.let(stops, fold)
 
 
 def rejoin_split_rows(markdown: Column) -> Column:
     """Join table rows that line ends inside cells have torn, up to the rule's bar count.
 
-    Only texts with a rule travel to Python; the fold goes down the lines of one text.
+    A text stays as it is if joining gives no line that it does not have already.
     """
-    torn = F.contains(markdown, F.lit("---")) & F.contains(markdown, F.lit("|"))
-    return F.coalesce(_rejoined(F.when(torn, markdown)), markdown)
+    def joined(found: Column) -> Column:
+        rows, torn = found["rows"], found["torn"]
+        whole = F.array_join(F.transform(rows, lambda line, i: F.concat(
+            F.when(F.array_contains(torn, i), " ").when(i > 0, "\n").otherwise(""),
+            F.when(F.array_contains(torn, i), text.strip(line))
+            .when(F.array_contains(torn, i + 1), text.lstrip(line)).otherwise(line),
+        )), "")
+        return text.let(F.struct(whole.alias("whole"), rows.alias("rows")), lambda f: F.when(
+            F.size(F.array_except(F.split(f["whole"], "\n", -1), f["rows"])) > 0, f["whole"]
+        ))
+
+    rows = text.lines(markdown)
+    found = text.let(rows, lambda r: F.struct(r.alias("rows"), _torn_lines(r).alias("torn")))
+    changed = text.let(found, lambda f: F.when(F.size(f["torn"]) > 0, joined(f)))
+    has_rule = F.contains(markdown, F.lit("---")) & F.contains(markdown, F.lit("|"))
+    return F.coalesce(F.when(has_rule, changed), markdown)
 
 
 _TOKEN_MARK = "\x01"  # no white space, no mark, never part of a composition

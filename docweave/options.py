@@ -12,15 +12,16 @@ class SearchOptions:
     """Parameters of a search batch."""
 
     top_k_default: int = 5
-    top_k_max: int = 20
+    # None sets no upper limit to what a caller asks for.
+    top_k_max: int | None = None
     fetch_multiplier: int = 3
-    fetch_max: int = 60
+    fetch_max: int | None = None
     # A chunk farther away than this is dropped; zero or less turns the filter off.
     distance_threshold: float = 0.30
     lexical_rerank: bool = True
-    max_chunks_per_file: int = 3
-    # Zero means no budget beyond max_chunks_per_file for each file.
-    max_total_chunks: int = 15
+    # None or zero: all chunks of a file, and no budget over the files of a query.
+    max_chunks_per_file: int | None = None
+    max_total_chunks: int | None = None
     drive_id: str | None = None
     # Up to this many query vectors are broadcast; a larger batch is shuffled in blocks.
     broadcast_query_limit: int = 4096
@@ -29,11 +30,13 @@ class SearchOptions:
     chunk_block_rows: int = 100_000
 
     def clamp_top_k(self, top_k: int | None) -> int:
-        return max(1, min(top_k or self.top_k_default, self.top_k_max))
+        k = max(1, top_k or self.top_k_default)
+        return min(k, self.top_k_max) if self.top_k_max else k
 
     def fetch_k(self, top_k: int | None) -> int:
         k = self.clamp_top_k(top_k)
-        return min(self.fetch_max, max(k * self.fetch_multiplier, k))
+        fetch = max(k * self.fetch_multiplier, k)
+        return min(self.fetch_max, fetch) if self.fetch_max else fetch
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,8 @@ from docweave.plans.catalog_text import FINGERPRINT_SQL, LABEL_SQL, TOKENS_SQL,
 from docweave.plans.registry import query
 from docweave.sources.views import Tables
 
-OPTS = SearchOptions(distance_threshold=0.80)
+LIMITS = {"top_k_max": 20, "fetch_max": 60, "max_chunks_per_file": 3, "max_total_chunks": 15}
+OPTS = SearchOptions(distance_threshold=0.80, **LIMITS)
 
 
 def state_of(t: Tables) -> DataFrame:
@@ -132,7 +133,7 @@ def _(t: Tables):
 WITH {NEAR.replace('0.80', '0.30')} SELECT query_id, chunk_id, distance, vec_rank FROM near
 """)
 def _(t: Tables):
-    return retrieve.nearest_chunks(t.v_queries, t.v_chunks, SearchOptions())
+    return retrieve.nearest_chunks(t.v_queries, t.v_chunks, SearchOptions(**LIMITS))
 
 
 @query("search_limits", "P21", """
@@ -142,7 +143,7 @@ FROM (SELECT event_id, CAST(user_id % 30 AS INTEGER) - 2 AS k FROM events) x
 """)
 def _(t: Tables):
     asked = t.events.select("event_id", ((F.col("user_id") % 30).cast("int") - 2).alias("top_k"))
-    return jobs.with_limits(asked, SearchOptions())
+    return jobs.with_limits(asked, SearchOptions(**LIMITS))
 
 
 @query("bm25_statistics", "A6 J12", f"""
@@ -194,7 +195,7 @@ def _(t: Tables):
 @query("chunk_budget", "W7", f"WITH {spent_sql('7')} SELECT query_id, chunk_id, ordinal, file_rank FROM spent")
 def _(t: Tables):
     unique = postprocess.drop_repeated_texts(postprocess.drop_shadowed_sidecars(served(t)))
-    tight = SearchOptions(distance_threshold=0.80, max_total_chunks=7)
+    tight = SearchOptions(distance_threshold=0.80, **LIMITS | {"max_total_chunks": 7})
     spent = postprocess.spend_budget(postprocess.rank_files(unique), F.lit(5), tight)
     return spent.select("query_id", "chunk_id", "ordinal", "file_rank")
 

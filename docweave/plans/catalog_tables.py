@@ -32,7 +32,13 @@ def trimmed_rows(t: Tables) -> DataFrame:
 def rendered(t: Tables) -> DataFrame:
     """One Markdown table per order, from its trimmed grid."""
     lines = tables.render_lines(trimmed_rows(t))
-    return tables.assemble(lines, ["table_id"], ["line_no"]).drop("bytes_cut")
+    return tables.assemble(lines, ["table_id"], "line_no")
+
+
+def whole(t: Tables) -> DataFrame:
+    """The text of each table from all its parts; a document that holds it is one text as well."""
+    parts = F.array_sort(F.collect_list(F.struct("part_no", "markdown")))
+    return rendered(t).groupBy("table_id").agg(F.array_join(parts["markdown"], "\n").alias("markdown"))
 
 
 @query("expanded_rows", "T1", f"""
@@ -53,29 +59,35 @@ def _(t: Tables):
     return tables.cells_of_rows(trimmed_rows(t))
 
 
+# Of five tables in a row, the second and third lie in one filled cell of the first, the fourth in a
+# cell of the second, and the fifth in a cell of the fourth.
 @query("folded_tables", "T3", """
-WITH child AS (SELECT table_id, string_agg(trim(cell_text), ' / ' ORDER BY row_no, col_no) AS folded FROM v_cells WHERE table_id % 3 = 2 AND trim(cell_text) <> '' GROUP BY 1),
-middle AS (SELECT v.table_id, row_no, col_no, CASE WHEN row_no = 1 AND col_no = 3 AND folded IS NOT NULL THEN folded ELSE cell_text END AS cell_text
-  FROM v_cells v LEFT JOIN child c ON c.table_id = v.table_id + 1 WHERE v.table_id % 3 = 1),
-mid AS (SELECT table_id, string_agg(trim(cell_text), ' / ' ORDER BY row_no, col_no) AS folded FROM middle WHERE trim(cell_text) <> '' GROUP BY 1)
-SELECT v.table_id, row_no, col_no, CASE WHEN row_no = 1 AND col_no = 4 AND folded IS NOT NULL THEN cell_text || chr(10) || folded ELSE cell_text END AS cell_text
-FROM v_cells v LEFT JOIN mid m ON m.table_id = v.table_id + 1 WHERE v.table_id % 3 = 0
-UNION ALL SELECT m.table_id, m.row_no, m.col_no, m.cell_text FROM middle m WHERE m.table_id - 1 NOT IN (SELECT table_id FROM v_cells)
-UNION ALL SELECT v.table_id, v.row_no, v.col_no, v.cell_text FROM v_cells v WHERE v.table_id % 3 = 2 AND v.table_id - 1 NOT IN (SELECT table_id FROM v_cells)
+WITH heads AS (SELECT DISTINCT table_id, table_id - table_id % 5 AS root FROM v_cells),
+five AS (SELECT h.table_id, root, h.table_id % 5 AS slot FROM heads h JOIN (SELECT root FROM heads GROUP BY 1 HAVING count(*) = 5) x USING (root)),
+told AS (SELECT root, slot, row_no, col_no, trim(cell_text) AS t FROM v_cells JOIN five USING (table_id) WHERE trim(cell_text) <> ''),
+keyed AS (SELECT root, CASE WHEN slot = 2 THEN 2 ELSE 1 END AS top, t, CASE slot
+    WHEN 1 THEN [row_no, col_no, -1] WHEN 2 THEN [row_no, col_no, -1] WHEN 3 THEN [1, 2, 3, row_no, col_no, -1]
+    ELSE [1, 2, 3, 1, 1, 4, row_no, col_no, -1] END AS path FROM told WHERE slot > 0),
+folded AS (SELECT root, top, string_agg(t, ' / ' ORDER BY path) AS f FROM keyed GROUP BY 1, 2),
+into_cell AS (SELECT root AS table_id, string_agg(f, chr(10) ORDER BY top) AS f FROM folded GROUP BY 1)
+SELECT v.table_id, row_no, col_no, CASE WHEN row_no = 1 AND col_no = 1 AND f IS NOT NULL
+  THEN CASE WHEN cell_text = '' THEN f ELSE cell_text || chr(10) || f END ELSE cell_text END AS cell_text
+FROM v_cells v LEFT JOIN into_cell i ON i.table_id = v.table_id
+WHERE v.table_id NOT IN (SELECT table_id FROM five WHERE slot > 0)
 """)
 def _(t: Tables):
-    heads = t.v_cells.select("table_id").distinct()
-    slot = F.col("table_id") % 3
-    links = heads.filter(slot > 0).select(
-        "table_id", (F.col("table_id") - 1).alias("parent_id"), F.lit(1).alias("row_no"),
-        F.when(slot == 2, 3).otherwise(4).alias("col_no"),
+    heads = t.v_cells.select("table_id").distinct().withColumn("root", F.col("table_id") - F.col("table_id") % 5)
+    full = heads.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n = 5").select("root")
+    slot, root = F.col("table_id") % 5, F.col("root")
+    parent = F.when(slot.isin(1, 2), root).when(slot == 3, root + 1).otherwise(root + 3)
+    links = heads.join(full, "root", "left_semi").filter(slot > 0).select(
+        "table_id", parent.alias("parent_id"), F.lit(1).alias("row_no"), F.when(slot == 3, 2).otherwise(1).alias("col_no"),
     )
-    links = links.join(heads.select(F.col("table_id").alias("parent_id")), "parent_id", "left_semi")
     cells = t.v_cells.select("table_id", "row_no", "col_no", "cell_text")
-    return tables.fold_nested(cells, links.select("table_id", "parent_id", "row_no", "col_no"))
+    return tables.fold_nested(cells, links)
 
 
-@query("table_markdown", "T4 S10", f"WITH {GRID} SELECT table_id, markdown FROM gfm")
+@query("table_markdown", "T4 S10", f"WITH {GRID} SELECT table_id, 0 AS part_no, markdown FROM gfm")
 def _(t: Tables):
     return rendered(t)
 
@@ -98,7 +110,7 @@ cells AS (SELECT s.book_id, s.sheet_no, v.row_no, v.col_no, CASE WHEN s.book_id
 read_rows AS (SELECT book_id, sheet_no, row_no, count(*) AS n, list(cell_text ORDER BY col_no) AS texts,
            max(CASE WHEN cell_text <> '' THEN col_no ELSE 0 END) AS filled FROM cells GROUP BY 1, 2, 3),
 budget AS (SELECT *, sum(n) OVER (PARTITION BY book_id ORDER BY sheet_no, row_no) AS upto FROM read_rows),
-live AS (SELECT * FROM budget WHERE upto - n < 120 AND filled > 0),
+live AS (SELECT * FROM budget WHERE upto - n < {cells} AND filled > 0),
 widths AS (SELECT book_id, sheet_no, max(filled) AS w, min(row_no) AS first_row FROM live GROUP BY 1, 2),
 body AS (SELECT book_id, sheet_no, row_no * 2 AS line_no, '| ' || array_to_string(list_transform(range(1, w + 1), lambda i: CASE WHEN i <= filled THEN texts[i] ELSE '' END), ' | ') || ' |' AS line,
            w, row_no = first_row AS head FROM live JOIN widths USING (book_id, sheet_no)),
@@ -107,17 +119,23 @@ all_lines AS (SELECT book_id, sheet_no, line_no, line FROM body
   UNION ALL SELECT book_id, sheet_no, line_no + 1, '| ' || array_to_string(list_transform(range(w), lambda x: '---'), ' | ') || ' |' FROM body WHERE head
   UNION ALL SELECT w.book_id, w.sheet_no, 0, '## ' || title FROM widths w JOIN sheets USING (book_id, sheet_no) JOIN counts c ON c.book_id = w.book_id WHERE sheet_count > 1),
 sized AS (SELECT *, sum(strlen(line) + 1) OVER (PARTITION BY book_id ORDER BY sheet_no, line_no) AS used FROM all_lines),
-kept AS (SELECT *, row_number() OVER (PARTITION BY book_id, sheet_no ORDER BY line_no) = 1 AND sheet_no <> min(sheet_no) OVER (PARTITION BY book_id) AS gap FROM sized WHERE used <= 600),
-cut AS (SELECT book_id, bool_or(n_cut) AS cut FROM (SELECT book_id, sum(n) >= 120 AS n_cut FROM read_rows GROUP BY 1 UNION ALL SELECT book_id, max(used) > 600 FROM sized GROUP BY 1) x GROUP BY 1),
+kept AS (SELECT *, row_number() OVER (PARTITION BY book_id, sheet_no ORDER BY line_no) = 1 AND sheet_no <> min(sheet_no) OVER (PARTITION BY book_id) AS gap FROM sized WHERE used <= {bytes}),
+cut AS (SELECT book_id, bool_or(n_cut) AS cut FROM (SELECT book_id, sum(n) >= {cells} AS n_cut FROM read_rows GROUP BY 1 UNION ALL SELECT book_id, max(used) > {bytes} FROM sized GROUP BY 1) x GROUP BY 1),
 texts AS (SELECT book_id, string_agg(CASE WHEN gap THEN chr(10) ELSE '' END || line, chr(10) ORDER BY sheet_no, line_no) AS body FROM kept GROUP BY 1)"""
 
 
-@query("workbook_markdown", "T9 W17 C23", f"""
-WITH {BOOKS} SELECT c.book_id, body || CASE WHEN cut THEN chr(10) || chr(10) || '> (크기 상한에서 잘림 — 원본 일부만 색인됨)' ELSE '' END AS markdown,
+BOOK_TEXTS = """
+WITH {books} SELECT c.book_id, body || CASE WHEN cut THEN chr(10) || chr(10) || '> (크기 상한에서 잘림 — 원본 일부만 색인됨)' ELSE '' END AS markdown,
   CASE WHEN body IS NULL THEN '내용 없는 스프레드시트(빈 셀만)' END AS error
 FROM counts c LEFT JOIN texts USING (book_id) LEFT JOIN cut USING (book_id)
-""")
-def _(t: Tables):
+"""
+
+
+def book_sql(cells: int, size: int) -> str:
+    return BOOK_TEXTS.replace("{books}", BOOKS.replace("{cells}", str(cells)).replace("{bytes}", str(size)))
+
+
+def books(t: Tables) -> tuple[DataFrame, DataFrame]:
     sheets = t.orders.select(
         F.col("o_custkey").alias("book_id"), F.col("o_orderkey").alias("sheet_no"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
@@ -125,13 +143,23 @@ def _(t: Tables):
     rows = tables.rows_of_cells(t.v_cells).select(F.col("table_id").alias("sheet_no"), "row_no", "texts")
     joined = rows.join(sheets.select("book_id", "sheet_no"), "sheet_no")
     blank = F.when(F.col("book_id") % 10 == 0, F.transform("texts", lambda _: F.lit(""))).otherwise(F.col("texts"))
-    return tables.workbook_markdown(sheets, joined.withColumn("texts", blank), max_cells=120, max_bytes=600)
+    return sheets, joined.withColumn("texts", blank)
+
+
+@query("workbook_markdown", "T9 W17 C23", book_sql(1 << 60, 1 << 60))
+def _(t: Tables):
+    return tables.workbook_markdown(*books(t))
+
+
+@query("workbook_within_budget", "T9", book_sql(120, 600))
+def _(t: Tables):
+    return tables.workbook_markdown(*books(t), max_cells=120, max_bytes=600)
 
 
 # Documents with one or two tables each, some of them broken.
 DOCS = f"""{GRID},
-docs AS (SELECT d.doc_id, d.text || chr(10) || chr(10) || a.markdown || chr(10) || CASE WHEN b.markdown IS NULL THEN 'end' ELSE 'middle' || chr(10) || b.markdown END AS text
-  FROM documents d JOIN gfm a ON a.table_id = d.doc_id LEFT JOIN gfm b ON b.table_id = d.doc_id + 1 AND d.doc_id % 2 = 0),
+docs AS (SELECT d.doc_id, d.text || coalesce(chr(10) || chr(10) || a.markdown, '') || chr(10) || CASE WHEN b.markdown IS NULL THEN 'end' ELSE 'middle' || chr(10) || b.markdown END AS text
+  FROM documents d LEFT JOIN gfm a ON a.table_id = d.doc_id LEFT JOIN gfm b ON b.table_id = d.doc_id + 1 AND d.doc_id % 2 = 0),
 doc_lines AS (SELECT doc_id, length(text) AS chars, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs),
 placed AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS ends, lag(line) OVER (PARTITION BY doc_id ORDER BY i) AS before,
              starts_with(trim(line), '|') AND ends_with(trim(line), '|') AS is_row FROM doc_lines),
@@ -141,13 +169,14 @@ spans AS (SELECT doc_id, min(ends - length(line) - 1) AS first_char, least(max(e
 
 
 def table_documents(t: Tables) -> DataFrame:
-    one = cut_lineage(rendered(t))  # read twice below
+    one = cut_lineage(whole(t))  # read twice below
     second = one.select(F.col("table_id").alias("second_id"), F.col("markdown").alias("second"))
-    joined = t.documents.select("doc_id", "text").join(one, F.col("table_id") == F.col("doc_id")).join(
+    joined = t.documents.select("doc_id", "text").join(one, F.col("table_id") == F.col("doc_id"), "left").join(
         second, (F.col("second_id") == F.col("doc_id") + 1) & (F.col("doc_id") % 2 == 0), "left"
     )
     tail = F.coalesce(F.concat(F.lit("middle\n"), "second"), F.lit("end"))
-    return joined.select("doc_id", F.concat("text", F.lit("\n\n"), "markdown", F.lit("\n"), tail).alias("text"))
+    head = F.coalesce(F.concat(F.lit("\n\n"), "markdown"), F.lit(""))
+    return joined.select("doc_id", F.concat("text", head, F.lit("\n"), tail).alias("text"))
 
 
 @query("table_spans", "W14", f"WITH {DOCS} SELECT doc_id, CAST(first_char AS BIGINT) AS first_char, CAST(end_char AS BIGINT) AS end_char FROM spans")
@@ -201,7 +230,7 @@ def damaged(t: Tables) -> DataFrame:
     table, markdown = F.col("table_id"), F.col("markdown")
     extra = F.regexp_replace(markdown, r"\A([^\n]*)", "$1 x |")
     ruleless = F.regexp_replace(markdown, r"\n[| -]*---[| -]*", "")
-    return rendered(t).select(
+    return whole(t).select(
         "table_id", F.when(table % 5 == 0, ruleless).when(table % 7 == 0, extra).otherwise(markdown).alias("markdown")
     )
 
@@ -216,7 +245,7 @@ def _(t: Tables):
     # Every last cell is torn onto a line of its own and must come back.
     torn = F.regexp_replace("markdown", r"(?m)^(\|.*) (\S+ \|)$", "$1\n$2")
     ruled = F.regexp_replace(torn, r"\n(--- \|)", " $1")
-    return rendered(t).select("table_id", tables.rejoin_split_rows(ruled).alias("markdown"))
+    return whole(t).select("table_id", tables.rejoin_split_rows(ruled).alias("markdown"))
 
 
 @query("repaired_tables", "T7", f"""
@@ -226,7 +255,7 @@ SELECT table_id AS doc_id, markdown, CASE WHEN table_id % 4 = 0 THEN 1 ELSE 0 EN
 """)
 def _(t: Tables):
     cells = tables.cells_of_rows(trimmed_rows(t)).groupBy("table_id").agg(F.collect_list("cell_text").alias("tokens"))
-    rows = rendered(t).join(cells, "table_id")
+    rows = whole(t).join(cells, "table_id")
     base = F.when(F.col("table_id") % 4 == 0, "lost").otherwise(F.col("markdown"))
     options = F.array(
         F.struct(F.lit(0).alias("priority"), base.alias("markdown")),

@@ -32,7 +32,7 @@ def terms_sql(text_sql: str) -> str:
     return f"list_filter({long_words}, lambda w, i: list_position({low}, lower(w)) = i)"
 
 
-FINGERPRINT_SQL = r"substring(trim(regexp_replace(lower({0}), '\s+', ' ', 'g')), 1, 180)"
+FINGERPRINT_SQL = r"trim(regexp_replace(lower({0}), '\s+', ' ', 'g'))"
 
 
 @query("extract_file_id", "C1", f"""
@@ -293,7 +293,9 @@ def _(t: Tables):
 
 
 @query("cell_format", "C23", r"""
-SELECT p_partkey, CASE WHEN p_retailprice = floor(p_retailprice) THEN CAST(CAST(p_retailprice AS BIGINT) AS VARCHAR) END AS whole,
+SELECT p_partkey, CASE WHEN p_retailprice = floor(p_retailprice) THEN CAST(CAST(p_retailprice AS BIGINT) AS VARCHAR)
+         ELSE regexp_replace(CAST(p_retailprice AS VARCHAR), '0+$', '') END AS price,
+       regexp_replace(CAST(CAST(p_retailprice * 10000 + 12345678.5 AS DECIMAL(18,2)) AS VARCHAR), '\.?0+$', '') AS large,
        CAST(CAST(p_size AS BIGINT) AS VARCHAR) AS integral, CASE WHEN p_size > 25 THEN 'TRUE' ELSE 'FALSE' END AS flag,
        p_brand || '\| ' || p_type AS cell
 FROM part
@@ -303,7 +305,8 @@ def _(t: Tables):
     raw = F.concat(F.lit(" "), "p_brand", F.lit("|\r"), "p_type", F.lit("\n"))
     return t.part.select(
         "p_partkey",
-        F.when(price == F.floor(price), values.cell_number(price)).alias("whole"),
+        values.cell_number(price).alias("price"),
+        values.cell_number(F.round(price * 10000 + 12345678.5, 2)).alias("large"),
         values.cell_number(F.col("p_size").cast("double")).alias("integral"),
         values.cell_boolean(F.col("p_size") > 25).alias("flag"),
         values.cell_text(raw).alias("cell"),

@@ -17,10 +17,10 @@ def with_limits(queries: DataFrame, opts: SearchOptions, top_k: int | None = Non
     """Add top_k and fetch_k; a ``top_k`` column wins, and 0 or NULL means the default."""
     asked = F.col("top_k") if "top_k" in queries.columns else F.lit(top_k).cast("int")
     k = F.coalesce(F.nullif(asked, F.lit(0)), F.lit(opts.top_k_default))
-    clamped = F.greatest(F.lit(1), F.least(k, F.lit(opts.top_k_max)))
-    return queries.withColumn("top_k", clamped).withColumn(
-        "fetch_k",
-        F.least(F.lit(opts.fetch_max), F.greatest(clamped * opts.fetch_multiplier, clamped)),
+    k = F.greatest(F.lit(1), F.least(k, F.lit(opts.top_k_max)) if opts.top_k_max else k)
+    fetch = F.greatest(k * opts.fetch_multiplier, k)
+    return queries.withColumn("top_k", k).withColumn(
+        "fetch_k", F.least(F.lit(opts.fetch_max), fetch) if opts.fetch_max else fetch
     )
 
 

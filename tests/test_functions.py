@@ -185,3 +185,12 @@ def test_rejections(spark):
         '{"detail":"text"}': "PARSE_REJECTED", '{"detail":"text","error":"E"}': "E", '{"detail":{"x":1}}': "PARSE_REJECTED",
     }
     assert column(spark, cases, values.rejection_kind) == list(cases.values())
+
+
+@pytest.mark.parametrize("value", [
+    12345678.5, 0.0001, 0.00012345678901234567, 1.5, -2.25, 3.0, 1e22, 0.00001, -1.25e-7, 123456789012345.67, 1e300,
+])
+def test_numbers_in_cells_are_written_out(one, value):
+    found = one(values.cell_number(F.col("v")), v=value)
+    wanted = str(int(value)) if value.is_integer() else str(value)
+    assert found == wanted or abs(value) > 2**53 and float(found) == value

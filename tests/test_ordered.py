@@ -11,7 +11,7 @@ from docweave.operators import prefix, profile, recover, restarts
 @pytest.fixture
 def tiny_blocks(monkeypatch):
     monkeypatch.setattr(prefix, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(restarts.mark_restarts, "__defaults__", (False, 7, "restarts", False))
+    monkeypatch.setattr(restarts.mark_restarts, "__defaults__", (False, 7, "restarts"))
 
 
 def test_prefix_forms(spark):
@@ -115,3 +115,10 @@ def test_bursts_and_silence(spark):
     frame = spark.createDataFrame(rows, "query_text string, s bigint, event_id bigint").withColumn("ts", F.timestamp_seconds("s"))
     assert sorted(r.calls for r in profile.query_bursts(frame, 60).collect()) == [1, 2, 2]
     assert profile.silent_periods(frame, ["query_text"], 86_000).count() == 1
+
+
+@pytest.mark.parametrize("rows", [65_536, 65_537, 65_538])
+def test_batches_around_the_border_of_a_block(spark, rows):
+    frame = spark.range(rows).select(F.lit(1).alias("run"), F.col("id").alias("position"), F.lit(1).cast("long").alias("n"))
+    found = recover.document_batches(frame, "run", "position", "n", 10)
+    assert found.filter(F.col("batch_no") != F.floor(F.col("position") / 10)).count() == 0

@@ -56,7 +56,10 @@ def test_nearest_chunks(spark, opts, as_text):
 
 
 def test_fetch_limits(spark):
-    opts = SearchOptions()
+    free = SearchOptions()
+    assert [free.clamp_top_k(k) for k in (None, 0, 1, 99)] == [5, 5, 1, 99]
+    assert [free.fetch_k(k) for k in (None, 1, 99)] == [15, 3, 297]
+    opts = SearchOptions(top_k_max=20, fetch_max=60)
     assert [opts.clamp_top_k(k) for k in (None, 0, 1, 99)] == [5, 5, 1, 20]
     assert [opts.fetch_k(k) for k in (None, 1, 20)] == [15, 3, 60]
 

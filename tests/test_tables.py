@@ -35,6 +35,19 @@ def test_nested_tables(spark):
     assert grid(tables.fold_nested(frame, links)) == [["부모", "x / z / y"]]
 
 
+def test_nested_tables_in_filled_cells(spark):
+    """A cell's own text comes before the tables in it, at every depth; two tables of a cell are two lines."""
+    rows = [(1, 1, 1, "top"), (2, 1, 1, "x"), (2, 1, 2, "w"), (2, 2, 1, "y"), (3, 1, 1, "z"), (4, 1, 1, "v"), (5, 1, 1, "u")]
+    frame = spark.createDataFrame(rows, "table_id int, row_no int, col_no int, cell_text string")
+    links = spark.createDataFrame(
+        [(2, 1, 1, 1), (3, 2, 1, 2), (4, 3, 1, 1), (5, 1, 1, 1)], "table_id int, parent_id int, row_no int, col_no int"
+    )
+    assert grid(tables.fold_nested(frame, links)) == [["top\nx / w / z / v / y\nu"]]
+    loop = spark.createDataFrame([(2, 1, 1, 1), (3, 4, 1, 1), (4, 3, 1, 1)], links.schema)
+    with pytest.raises(ValueError):
+        tables.fold_nested(frame, loop)
+
+
 def test_fill_down(spark):
     frame = cells(spark, [(1, 1, "head"), (2, 1, "분류", 3, 1), (3, 1, ""), (4, 1, "real"), (5, 1, ""), (2, 2, "w", 1, 2), (2, 3, "")])
     got = {(r.row_no, r.col_no): r.cell_text for r in tables.fill_down(frame).collect()}
@@ -44,14 +57,29 @@ def test_fill_down(spark):
 def test_rendering_and_budgets(spark):
     frame = tables.rows_of_cells(cells(spark, [(1, 1, "h"), (2, 1, "a"), (2, 2, "가"), (3, 1, ""), (4, 3, "z")]))
     lines = tables.render_lines(tables.pad_rows(tables.drop_trailing_blanks(frame)))
-    whole = tables.assemble(lines, ["table_id"], ["line_no"]).first().markdown
+    whole = tables.assemble(lines, ["table_id"], "line_no").first().markdown
     assert whole == "| h |  |  |\n| --- | --- | --- |\n| a | 가 |  |\n|  |  | z |"
-    cut = tables.assemble(lines, ["table_id"], ["line_no"], max_bytes=35).first().markdown
-    assert cut == "| h |  |  |\n| --- | --- | --- |\n\n" + tables.TRUNCATED
+    parts = tables.assemble(lines, ["table_id"], "line_no", part_bytes=52).orderBy("part_no").collect()
+    head = "| h |  |  |\n| --- | --- | --- |\n"
+    assert [p.markdown for p in parts] == [head + "| a | 가 |  |", head + "|  |  | z |"]
     rows = tables.within_cell_budget(frame, 3)
     assert sorted((r.row_no, r.cells_cut) for r in rows.collect()) == [(1, True), (2, True)]
 
 
+def test_a_table_over_one_part_loses_no_line(spark):
+    """About 9 MB of rows: every line is in one part, and each part starts with the header."""
+    rows = spark.range(1, 90_001).select(
+        F.lit(1).alias("table_id"), F.col("id").cast("int").alias("row_no"),
+        F.array(F.concat(F.lit("row "), F.col("id")), F.lit("x" * 90)).alias("texts"),
+    )
+    parts = tables.assemble(tables.render_lines(rows), ["table_id"], "line_no").orderBy("part_no").collect()
+    assert len(parts) == 2
+    split = [p.markdown.split("\n") for p in parts]
+    assert split[0][:2] == split[1][:2]
+    body = [line for lines in split for line in lines[2:]]
+    assert len(body) == 89_999 and len(set(body)) == 89_999
+
+
 def test_workbooks(spark):
     sheets = spark.createDataFrame([(1, 1, "가"), (1, 2, "빈"), (1, 3, "나"), (2, 1, "S"), (3, 1, "S")], "book_id int, sheet_no int, title string")
     rows = spark.createDataFrame(
@@ -73,7 +101,11 @@ def test_broken(one, markdown, broken):
 
 
 @pytest.mark.parametrize("markdown, joined", [
-    ("| a | b |\n| --- | --- |\n| 줄1\n줄2 | 값 |\n끝", "| a | b |\n| --- | --- |\n| 줄1 줄2 | 값 |\n끝"),
+    ("| name | n |\n| --- | --- |\n| two\nwords | 7 |\nend", "| name | n |\n| --- | --- |\n| two words | 7 |\nend"),
+    ("| k | v |\n|---|---|\n  | one \n two \n three | 3 |\n| q | 4 |", "| k | v |\n|---|---|\n| one  two three | 3 |\n| q | 4 |"),
+    ("| k | v |\n| --- | --- |\n| p q | 1 |\n\n| k | v |\n| --- | --- |\n| p\nq | 1 |\n",
+     "| k | v |\n| --- | --- |\n| p q | 1 |\n\n| k | v |\n| --- | --- |\n| p\nq | 1 |\n"),
+    ("| open\n| --- |\n| x |", "| open | --- |\n| x |"),
     ("| a | b |\n| --- | --- |\n| 1 | 2 |\n", "| a | b |\n| --- | --- |\n| 1 | 2 |\n"),
     ("| a\nb |", "| a\nb |"),
     ("| a | b |\n| --- | --- |\n| 1\n\n| 2 | 3 |", "| a | b |\n| --- | --- |\n| 1\n\n| 2 | 3 |"),

@@ -140,7 +140,7 @@ def evicted_rows(changes: DataFrame, now: Column) -> DataFrame:
         F.when(failed, "FAILED").otherwise("EXCLUDED").alias("status"),
         F.lit("NONE").alias("parse_route"),
         F.col("web_view_link").alias("source_uri"),
-        F.when(failed, F.left(reason, F.lit(2000))).otherwise(OUT_OF_SCOPE).alias("error"),
+        F.when(failed, reason).otherwise(OUT_OF_SCOPE).alias("error"),
         now.alias("last_synced_at"),
         F.lit("STAFF").alias("audience"),
         F.when(failed, F.array(*[F.lit(f) for f in (

@@ -1,8 +1,7 @@
 """Merging rows into keyed tables where a row may write only some of its fields.
 
-Updates are few against the table they meet, so the table is not shuffled as a whole: a left
-join, with the updates broadcast where a count shows them small, rewrites the met rows, and new
-keys are added.
+A left join rewrites the met rows, and new keys are added. Updates are few against the table they
+meet; the planner broadcasts them where its byte limit allows.
 """
 
 from __future__ import annotations
@@ -63,10 +62,10 @@ def stub_defaults(state: DataFrame) -> DataFrame:
 
 
 def failed_rows(rows: DataFrame, now: Column) -> DataFrame:
-    """Updates of documents that failed: ``reason`` is cut and becomes the error."""
-    update = rows.withColumn("status", F.lit("FAILED")).withColumn(
-        "error", F.left("reason", F.lit(values.REASON_CHARS))
-    ).withColumn("last_synced_at", now)
+    """Updates of documents that failed: ``reason`` becomes the error, in full."""
+    update = rows.withColumn("status", F.lit("FAILED")).withColumn("error", F.col("reason")).withColumn(
+        "last_synced_at", now
+    )
     named = [f for f in ("drive_id", "name", "mime_type", "modified_time", "source_uri") if f in rows.columns]
     return writes(update, *FAILED_FIELDS, *named)
 
@@ -85,22 +84,25 @@ def touched_rows(rows: DataFrame, now: Column, with_audience: bool) -> DataFrame
     return writes(update, *TOUCHED_FIELDS, *(("audience",) if with_audience else ()))
 
 
-def mark_indexed(state: DataFrame, queue: DataFrame, ids: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
-    """State and retry queue after a set of ids was indexed.
+def mark_indexed(
+    state: DataFrame, queues: list[DataFrame], ids: DataFrame, now: Column
+) -> tuple[DataFrame, list[DataFrame]]:
+    """State and queues after a set of ids was indexed.
 
-    An id without a state row gets a stub; one that had failed leaves the queue.
+    An id without a state row gets a stub; one that had failed leaves the queues, the one of retries
+    and the one of splits alike.
     """
     update = ids.select("file_id").distinct().select(
         "file_id", F.lit("INDEXED").alias("status"), now.alias("last_synced_at")
     )
     recovered = state.filter(F.col("status") == "FAILED").join(update, "file_id", "left_semi")
     merged = merge_rows(state, writes(update, *INDEXED_FIELDS))
-    return merged, clear(queue, recovered)
+    return merged, [clear(queue, recovered) for queue in queues]
 
 
 def enqueue(queue: DataFrame, rows: DataFrame, now: Column) -> DataFrame:
     """Queue after ``rows`` with a reason entered it; an earlier attempt count survives."""
-    entry = rows.withColumn("reason", F.left("reason", F.lit(values.REASON_CHARS))).withColumn("enqueued_at", now)
+    entry = rows.withColumn("enqueued_at", now)
     named = [c for c in entry.columns if c in queue.columns and c != "file_id"]
     return merge_rows(queue, writes(entry, *named))
 

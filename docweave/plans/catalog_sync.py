@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import ids
+from docweave import schemas
 from docweave.operators import corpus, gates, merge, reconcile, recover, routing, scope
 from docweave.options import GateOptions, SyncOptions
 from docweave.plans import sync
@@ -529,7 +530,7 @@ def _(t: Tables):
 
 # --- State, queues, indexes ----------------------------------------------------------
 
-@query("merged_state", "S11 X2 X3 apply_changes", f"""
+MERGED_STATE = f"""
 WITH {PLANNED}, first_object AS (SELECT file_id, min(object_name) FILTER (object_name NOT LIKE '%.meta.md') AS body, min(object_name) AS side FROM made GROUP BY 1),
 u AS (SELECT p.*, 'gs://source/' || coalesce(o.body, o.side) AS first_uri FROM planned p LEFT JOIN first_object o USING (file_id)
       WHERE disposition <> 'UNCHANGED' AND NOT cleanup_skipped),
@@ -545,7 +546,10 @@ SELECT file_id,
   CASE WHEN u.disposition = 'GCS_READY' THEN u.path WHEN f.all_fields THEN NULL ELSE st.path END AS path,
   CASE WHEN u.disposition = 'GCS_READY' OR u.disposition = 'HASH_UNCHANGED' THEN u.audience WHEN f.all_fields THEN 'STAFF' ELSE st.audience END AS audience
 FROM st FULL JOIN u USING (file_id) LEFT JOIN full_write f USING (file_id)
-""")
+"""
+
+
+@query("merged_state", "S11 X2 X3 apply_changes", MERGED_STATE)
 def _(t: Tables):
     updates = sync.state_updates(planned(t), BUCKET, now(), OPTS)
     merged = merge.merge_rows(full_state(t), updates)
@@ -554,6 +558,13 @@ def _(t: Tables):
     )
 
 
+@query("applied_state", "S12 X1 index_batch", MERGED_STATE.replace("'GCS_READY' THEN 'PARSED'", "'GCS_READY' THEN 'INDEXED'"))
+def _(t: Tables):
+    return applied(t)["state"].select(
+        "file_id", "status", "modified_time", "content_hash", "error", "source_uri", "path", "audience"
+    )
+
+
 @query("indexed_state", "S12", f"""
 WITH {STATE}, batch AS (SELECT DISTINCT file_id FROM v_changes WHERE file_id <> '' AND seq % 2 = 0)
 SELECT file_id, CASE WHEN b.file_id IS NOT NULL THEN 'INDEXED' WHEN st.status = 'NEW_VALUE' THEN 'PENDING' ELSE st.status END AS status,
@@ -564,7 +575,7 @@ def _(t: Tables):
     state = full_state(t)
     batch = t.v_changes.filter((F.col("file_id") != "") & (F.col("seq") % 2 == 0)).select("file_id").distinct()
     queue = state.filter(F.col("status") == "FAILED").select("file_id", F.lit("r").alias("reason"))
-    merged, left = merge.mark_indexed(state, queue, batch, now())
+    merged, (left,) = merge.mark_indexed(state, [queue], batch, now())
     cleared = queue.join(left, "file_id", "left_anti").select("file_id", F.lit(True).alias("cleared"))
     return merge.stub_defaults(merged).join(cleared, "file_id", "left").select(
         "file_id", "status", "drive_id", "error", F.coalesce("cleared", F.lit(False)).alias("cleared")
@@ -588,7 +599,7 @@ def retry_queue(t: Tables) -> DataFrame:
 
 
 @query("enqueued_failures", "S13", f"""
-WITH {QUEUE}, entered AS (SELECT file_id, left(repeat(any_value(event_type), 300), 2000) AS reason FROM (
+WITH {QUEUE}, entered AS (SELECT file_id, repeat(any_value(event_type), 300) AS reason FROM (
     SELECT 'doc_' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS file_id, event_type FROM events WHERE event_type = 'error') x GROUP BY 1)
 SELECT file_id, coalesce(e.reason, q0.reason) AS reason, q0.retry_count FROM q0 FULL JOIN entered e USING (file_id)
 """)
@@ -612,6 +623,35 @@ def _(t: Tables):
     return merge.clear(retry_queue(t), removed_files(t)).select("file_id")
 
 
+def applied(t: Tables) -> dict[str, DataFrame]:
+    """All tables after the page of changes."""
+    tables = {
+        "state": full_state(t), "retry_queue": retry_queue(t),
+        "split_queue": t.spark.createDataFrame([], schemas.SPLIT_QUEUE), "objects": objects(t),
+        "staff_index": staff_index(t), "student_index": student_index(t),
+    }
+    return sync.apply_changes(planned(t), tables, BUCKET, now(), OPTS)
+
+
+@query("applied_queue", "S13 X5 apply_changes", f"""
+WITH {QUEUE.removeprefix(STATE).lstrip(", ")}, {PLANNED}, entered AS (SELECT file_id, reason, web_view_link FROM planned WHERE disposition IN ('DLQ', 'FAILED')),
+left_it AS (SELECT file_id FROM made UNION SELECT file_id FROM planned WHERE disposition IN ('DELETE_PENDING', 'EXCLUDED'))
+SELECT file_id, coalesce(e.reason, q0.reason) AS reason, q0.retry_count, e.web_view_link AS source_uri
+FROM q0 FULL JOIN entered e USING (file_id) WHERE file_id NOT IN (SELECT file_id FROM left_it)
+""")
+def _(t: Tables):
+    return applied(t)["retry_queue"].select("file_id", "reason", "retry_count", "source_uri")
+
+
+@query("applied_index", "S14 X1 index_batch", f"""
+WITH {INDEXES}, {PLANNED}, gone AS (SELECT file_id FROM planned WHERE disposition IN ('DELETE_PENDING', 'EXCLUDED'))
+SELECT file_id, uri FROM staff WHERE file_id NOT IN (SELECT file_id FROM made) AND file_id NOT IN (SELECT file_id FROM gone)
+UNION ALL SELECT file_id, 'gs://source/' || object_name FROM made
+""")
+def _(t: Tables):
+    return applied(t)["staff_index"].select("file_id", "uri")
+
+
 @query("replaced_index", "S14", f"""
 WITH {INDEXES}, {PLANNED}
 SELECT file_id, uri FROM staff WHERE file_id NOT IN (SELECT file_id FROM made) UNION ALL SELECT file_id, 'gs://source/' || object_name FROM made

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.operators import corpus, merge, reconcile, routing, scope, sizes
+from docweave.operators.postprocess import CLEANUP_FAILED
 from docweave.options import SyncOptions
 from docweave.session import cut_lineage
 from docweave.sources import readers
@@ -63,6 +64,13 @@ def snapshot_plan(
     return routing.snapshot_rows(plan_changes(listed, state, folders, measures, opts))
 
 
+def with_cleanup(planned: DataFrame) -> DataFrame:
+    """``cleanup_error``, NULL where the plan has none: why an eviction did not succeed."""
+    if "cleanup_error" in planned.columns:
+        return planned
+    return planned.withColumn("cleanup_error", F.lit(None).cast("string"))
+
+
 def state_updates(planned: DataFrame, bucket: str, now: Column, opts: SyncOptions) -> DataFrame:
     """State rows to merge: one for each planned file that writes any."""
     d = F.col("disposition")
@@ -84,9 +92,7 @@ def state_updates(planned: DataFrame, bucket: str, now: Column, opts: SyncOption
         F.lit("NONE").alias("parse_route"), F.col("web_view_link").alias("source_uri"),
         now.alias("last_synced_at"), F.lit("STAFF").alias("audience"),
     )
-    excluded = corpus.evicted_rows(
-        planned.filter(d == "EXCLUDED").withColumn("cleanup_error", F.lit(None).cast("string")), now
-    )
+    excluded = corpus.evicted_rows(with_cleanup(planned).filter(d == "EXCLUDED"), now)
     deleted = merge.deleted_rows(planned.filter(d == "DELETE_PENDING"), now)
     failed = merge.failed_rows(
         planned.filter(d.isin("DLQ", "SPLIT_QUEUED", "FAILED")).select(
@@ -111,18 +117,27 @@ def apply_changes(
 
     ``tables`` has state, retry_queue, split_queue, objects, staff_index and student_index, the
     indexes as (file_id, uri). Ready files enter the staff index with all their objects, and
-    the student index if they are open to students; both change in the same step.
+    the student index if they are open to students; both change in the same step. They are then
+    INDEXED, so that an equal page finds them unchanged, and leave the queues. A file whose
+    eviction failed (``cleanup_error`` in the plan) keeps its objects and waits in the retry queue.
     """
+    planned = with_cleanup(planned)
     d = F.col("disposition")
     ready = planned.filter(d == "GCS_READY")
-    gone = planned.filter(d.isin("DELETE_PENDING", "EXCLUDED"))
+    stuck = (d == "EXCLUDED") & F.col("cleanup_error").isNotNull()
+    gone = planned.filter(d.isin("DELETE_PENDING", "EXCLUDED") & ~stuck)
     made = corpus.source_objects(ready).select(
         "file_id", F.lit(bucket).alias("bucket"), F.col("object_name").alias("name")
     )
     uris = made.select("file_id", F.concat(F.lit("gs://"), "bucket", F.lit("/"), "name").alias("uri"))
     open_files = ready.filter(F.col("audience") == "STUDENT").select("file_id")
-    parked = planned.filter(d.isin("DLQ", "FAILED"))
-    split = planned.filter(d == "SPLIT_QUEUED").withColumn(
+    # A queue row keeps what a later run needs to try again: the link, the path and the route.
+    linked = planned.withColumn("source_uri", F.col("web_view_link")).withColumn("parse_route", F.col("route"))
+    evicted = F.concat(F.lit(f"{CLEANUP_FAILED}: "), "cleanup_error")
+    parked = linked.filter(d.isin("DLQ", "FAILED") | stuck).withColumn(
+        "reason", F.when(stuck, evicted).otherwise(F.col("reason"))
+    )
+    split = linked.filter(d == "SPLIT_QUEUED").withColumn(
         "size_bytes", F.coalesce("md_bytes", "raw_bytes", "size_bytes")
     )
     touched = ready.select("file_id").unionByName(gone.select("file_id"))
@@ -131,10 +146,17 @@ def apply_changes(
     objects = objects.join(body_names.select("bucket", "name"), ["bucket", "name"], "left_anti").unionByName(
         made.select("bucket", "name")
     ).dropDuplicates(["bucket", "name"])
+    indexed = uris.select("file_id").distinct()
+    retries, splits = (
+        merge.clear(merge.enqueue(tables[name], rows, now), indexed.unionByName(gone.select("file_id")))
+        for name, rows in (("retry_queue", parked), ("split_queue", split))
+    )
+    merged = merge.merge_rows(tables["state"], state_updates(planned, bucket, now, opts))
+    state, _ = merge.mark_indexed(merged, [], indexed, now)
     return {
-        "state": merge.merge_rows(tables["state"], state_updates(planned, bucket, now, opts)),
-        "retry_queue": merge.enqueue(tables["retry_queue"], parked, now),
-        "split_queue": merge.enqueue(tables["split_queue"], split, now),
+        "state": state,
+        "retry_queue": retries,
+        "split_queue": splits,
         "objects": corpus.drop_stale_sidecars(objects, bucket),
         "staff_index": corpus.delete_files(tables["staff_index"], touched).unionByName(uris),
         "student_index": corpus.delete_files(tables["student_index"], touched).unionByName(
@@ -143,6 +165,18 @@ def apply_changes(
     }
 
 
+def indexed_counts(planned: DataFrame, index: DataFrame, bucket: str) -> DataFrame:
+    """(drive_id, indexed): how many of the plan's objects an index really holds."""
+    ready = planned.filter(F.col("disposition") == "GCS_READY")
+    wanted = corpus.source_objects(ready).select(
+        "file_id", F.concat(F.lit(f"gs://{bucket}/"), "object_name").alias("uri")
+    )
+    held = wanted.join(index.select("file_id", "uri").distinct(), ["file_id", "uri"], "left_semi")
+    return held.join(ready.select("file_id", "drive_id"), "file_id").groupBy("drive_id").agg(
+        F.count(F.lit(1)).alias("indexed")
+    )
+
+
 def outcomes(planned: DataFrame) -> DataFrame:
     """(file_id, drive_id, disposition, uri_count) of a plan, for its totals."""
     counts = corpus.source_objects(planned.filter(F.col("disposition") == "GCS_READY")).groupBy("file_id").agg(

@@ -39,11 +39,11 @@ WIRE_STATE = _struct(
 )
 RETRY_QUEUE = _struct(
     file_id=S, reason=S, enqueued_at=TS, retry_count=L, last_retry_at=TS, drive_id=S, name=S,
-    mime_type=S, modified_time=S, route=S, source_uri=S, size_bytes=L,
+    mime_type=S, modified_time=S, route=S, source_uri=S, size_bytes=L, path=S, bundle=S, parse_route=S,
 )
 SPLIT_QUEUE = _struct(
     file_id=S, reason=S, size_bytes=L, enqueued_at=TS, drive_id=S, name=S, mime_type=S,
-    modified_time=S,
+    modified_time=S, source_uri=S, path=S, bundle=S, parse_route=S,
 )
 OBJECT = _struct(bucket=S, name=S)
 GOLDEN = _struct(n=L, q=S, type=S, file_id=S, name=S, bundle=S, also_accept=STRINGS)

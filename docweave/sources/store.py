@@ -34,13 +34,20 @@ class TableStore:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}/v={self.version()}")
 
-    def publish(self, version: int, tables: dict[str, DataFrame]) -> None:
-        """Write all tables of a version, then make it visible. A repeat changes nothing."""
+    def stage(self, version: int, tables: dict[str, DataFrame]) -> None:
+        """Write all tables of a version; readers do not see it yet."""
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={version}")
+
+    def staged(self, version: int, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{table}/v={version}")
+
+    def publish(self, version: int, tables: dict[str, DataFrame] | None = None) -> None:
+        """Make a version visible, staging ``tables`` first if given. A repeat changes nothing."""
         current = self.version()
         if current is not None and current >= version:
             return
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={version}")
+        self.stage(version, tables or {})
         marker = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
         marker.coalesce(1).write.mode("append").parquet(self._published())
 

@@ -7,6 +7,7 @@ same rows come again. Parked files do not fail a batch, unknown scopes and failu
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,15 +45,15 @@ def apply_batch(
         return  # published before the offset was committed
     tables = {name: store.read(name) for name in TABLES}
     planned = sync.plan_changes(changes, tables["state"], folders, measure(changes), opts)
-    applied = sync.apply_changes(planned, tables, bucket, now, opts)
-    outcomes = sync.outcomes(planned)
-    indexed = outcomes.groupBy("drive_id").agg(F.coalesce(F.sum("uri_count"), F.lit(0)).alias("indexed"))
+    store.stage(batch_id + 1, sync.apply_changes(planned, tables, bucket, now, opts))
+    # The gate counts what was written, not what was meant to be.
+    indexed = sync.indexed_counts(planned, store.staged(batch_id + 1, "staff_index"), bucket)
     ends = changes.groupBy("drive_id").agg(F.max("seq").alias("token")).withColumn("has_more", F.lit(False))
     report = sync.run_report(planned, indexed, ends, opts)
     refused = report.filter(~F.col("commit")).select("drive_id", "failed", "unaccounted").head(1)
     if refused:
         raise BatchRefused(f"batch {batch_id} refused: {refused[0].asDict()}")
-    store.publish(batch_id + 1, applied)
+    store.publish(batch_id + 1)
 
 
 def run_changes(
@@ -60,9 +61,9 @@ def run_changes(
     bucket: str, opts: SyncOptions, checkpoint: str, now: Column | None = None,
 ) -> StreamingQuery:
     """Take all files that are there, batch by batch, and stop. Version 0 must be published."""
-    stamp = now if now is not None else F.current_timestamp()
-
     def step(changes: DataFrame, batch_id: int) -> None:
+        # One time for all tables of a batch.
+        stamp = now if now is not None else F.lit(dt.datetime.now(dt.timezone.utc))
         apply_batch(changes, batch_id, store, folders, measure, bucket, opts, stamp)
 
     return (

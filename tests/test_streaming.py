@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docweave import schemas
 from docweave.options import SyncOptions
+from docweave.plans import sync
 from docweave.sources import readers, store
 from docweave.streaming import changes, monitors
 
@@ -61,7 +62,7 @@ def test_change_stream(spark, tmp_path):
     run(spark, feed, tables, folders, checkpoint)
     assert tables.version() == 2
     state = {r.file_id: (r.status, r.content_hash) for r in tables.read("state").collect()}
-    assert state == {"f1": ("PARSED", "h2"), "f2": ("DELETED", "h1")}
+    assert state == {"f1": ("INDEXED", "h2"), "f2": ("DELETED", "h1")}
     # A batch whose scope is in doubt is refused: nothing is published and the offset stays.
     write_feed(spark, feed, 3, [dict(seq=5, file_id="f3", modified_time="t1", md5_checksum="1", parents=["nowhere"])])
     with pytest.raises(Exception, match="refused"):
@@ -72,6 +73,30 @@ def test_change_stream(spark, tmp_path):
     assert tables.version() == 3 and tables.read("state").filter("file_id = 'f3'").first().path == "Drive/A/N/n.txt"
 
 
+def test_an_equal_page_changes_nothing_and_a_lost_row_refuses(spark, tmp_path, monkeypatch):
+    folders = spark.createDataFrame(FOLDERS, "folder_id string, parent_id string, name string")
+    tables = store.TableStore(spark, str(tmp_path / "tables"))
+    tables.publish(0, empty_tables(spark))
+    feed = tmp_path / "feed"
+    write_feed(spark, feed, 1, [dict(seq=1, file_id="f1", modified_time="t1", md5_checksum="1"), dict(seq=2, file_id="f2", modified_time="t1", md5_checksum="1")])
+    page = spark.read.schema(schemas.CHANGE).parquet(str(feed))
+    stamp = F.lit("2024-06-01").cast("timestamp")
+    whole = sync.apply_changes
+
+    def losing(*args):
+        after = whole(*args)
+        return after | {"staff_index": after["staff_index"].filter("file_id <> 'f2'")}
+
+    monkeypatch.setattr(sync, "apply_changes", losing)
+    with pytest.raises(changes.BatchRefused):
+        changes.apply_batch(page, 0, tables, folders, measure, "s", OPTS, stamp)
+    assert tables.version() == 0
+    monkeypatch.setattr(sync, "apply_changes", whole)
+    changes.apply_batch(page, 0, tables, folders, measure, "s", OPTS, stamp)
+    again = sync.plan_changes(page, tables.read("state"), folders, measure(page), OPTS)
+    assert {r.disposition for r in again.collect()} <= {"UNCHANGED", "HASH_UNCHANGED"}
+
+
 def log_stream(spark, tmp_path, rows, schema):
     folder = tmp_path / "logs"
     frame = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("s")).drop("s")

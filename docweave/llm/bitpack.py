@@ -16,6 +16,8 @@ result.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,7 +31,7 @@ from docweave.llm.shared import parked, slices
 
 END_ID = 1
 BLOCK_IDS = 1 << 18
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 _SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -65,32 +67,89 @@ def unpack(packed: bytes | memoryview, bits: int, start: int, count: int) -> np.
     return ((value >> (first % 8).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+# How the vocabulary's file splits a normalised text, and what of it plain words need.
+_SPLIT_OF_FILE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_PLAIN_WORD = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+_PLAIN_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte: itself if it prints, else one from 256 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class _Vocabulary:
+    """A tokenizer, and whether plain words may go to its model without its normaliser and splitter."""
 
-    return Tokenizer.from_file(path)
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size()
+        own = json.loads(self.tokenizer.to_str())
+        steps = [n["type"] for n in (own["normalizer"] or {}).get("normalizers", [])]
+        split = [p.get("pattern") for p in (own["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.plain = steps == ["NFC", "Replace", "Lowercase"] and split == [{"Regex": _SPLIT_OF_FILE}, None]
+        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self.words, self.old_words, self.parts = {}, {}, {}
+
+    def of_plain(self, word: str) -> bytes:
+        """Ids of a word of ASCII and precomposed Latin letters, which lower-casing alone normalises."""
+        out = []
+        for part in _PLAIN_PART.findall(word.lower()):
+            ids = self.parts.get(part)
+            if ids is None:
+                spelled = part.encode().decode("latin-1").translate(self.letters)
+                ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+                self.parts[part] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def learn(self, fresh: set[str]) -> None:
+        """Encode new words; the words not met for longest are forgotten."""
+        if len(self.words) + len(fresh) > CACHED_WORDS:
+            self.old_words, self.words = self.words, {}
+        if len(self.parts) > CACHED_WORDS:
+            self.parts = {}
+        known = self.old_words
+        rest = []
+        for word in fresh:
+            ids = known.get(word)
+            if ids is None and self.plain and "<|" not in word and _PLAIN_WORD.fullmatch(word):
+                ids = self.of_plain(word)
+            if ids is None:
+                rest.append(word)
+            else:
+                self.words[word] = ids
+        for word, found in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+            self.words[word] = np.array(found.ids, "<u4").tobytes()
+
+
+@lru_cache(maxsize=2)
+def _vocabulary(path: str) -> _Vocabulary:
+    """One for each Python worker, which keeps it from task to task."""
+    return _Vocabulary(path)
 
 
 class WordEncoder:
     """Whole texts in the ids of a vocabulary whose tokens never cross ASCII white space.
 
-    Words are encoded once per task; a text's ids are those of its words.
+    Words are encoded once per worker; a text's ids are those of its words.
     """
 
     def __init__(self, path: str):
-        self.path = path
-        self.known: dict[str, bytes] = {}
+        self.vocabulary = _vocabulary(path)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [_split(t) for t in texts]
-        fresh = list({w for words in split for w in words} - self.known.keys())
-        if len(self.known) + len(fresh) > CACHED_WORDS:
-            self.known = {}
-            fresh = list({w for words in split for w in words})
-        found = _tokenizer(self.path).encode_batch(fresh, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(fresh, found, strict=True))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        met = {w for words in split for w in words}
+        fresh = met - self.vocabulary.words.keys()
+        if len(self.vocabulary.words) + len(fresh) > CACHED_WORDS:
+            fresh = met
+        self.vocabulary.learn(fresh)
+        return [b"".join(map(self.vocabulary.words.__getitem__, words)) for words in split]
 
 
 _TO_SPACE = str.maketrans(dict.fromkeys(_SPACES, " "))
@@ -113,7 +172,7 @@ def blocks(docs: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
         end = np.array([END_ID], "<u4").tobytes()
-        bits = bits_for(_tokenizer(path).get_vocab_size())
+        bits = bits_for(_vocabulary(path).size)
         number, part, doc_ids, held, size = 0, 0, [], [], 0
 
         def block() -> pa.RecordBatch:

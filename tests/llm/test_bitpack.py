@@ -30,12 +30,21 @@ def tokens_of(text):
 
 @pytest.mark.parametrize("text", [
     "Hello World x  it's <|endoftext|>foo İi ́a", "ΑΣ ΑΣ. ＡＢＣ １２3 日本 'll'd", "a\x85b\x1cc", "", " \n ",
+    "Naïve café's ÉTÉ œuvre ×÷ ªº µ it'll WE'RE 2024 x--y ...!? {a:'b'} <|x|> 'S don't",
 ])
 def test_words_encode_as_whole_texts(text):
     found = bitpack.WordEncoder(bitpack.default_vocabulary()).encode([text])[0]
     assert np.frombuffer(found, "<u4").tolist() == tokens_of(text)[:-1]
 
 
+def test_forgotten_words_encode_alike(monkeypatch):
+    texts = [" ".join(f"word{i * j}x é{i}!" for j in range(9)) for i in range(40)]
+    whole = bitpack.WordEncoder(bitpack.default_vocabulary()).encode(texts)
+    monkeypatch.setattr(bitpack, "CACHED_WORDS", 20)
+    encoder = bitpack.WordEncoder(bitpack.default_vocabulary())
+    assert [encoder.encode([t])[0] for t in texts] == whole == [np.array(tokens_of(t)[:-1], "<u4").tobytes() for t in texts]
+
+
 def brute_force(rows):
     """Documents in order, with the ids of all before them."""
     ids = {text: tokens_of(text) for _, text, *_ in rows}

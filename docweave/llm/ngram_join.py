@@ -275,10 +275,10 @@ def _table(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(v.as_buffer() for v in column), np.uint8).reshape(-1, CLASSES)
 
 
-def _may_link(n_x, n_y, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and histograms allow a pair to link."""
+def _may_link(n_x, n_y, x: np.ndarray, y: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distance of the histograms of pairs, and whether they and the sizes allow a link."""
     apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1)
-    return (apart * (100 + percent) <= (n_x + n_y) * (100 - percent)) & (
+    return apart, (apart * (100 + percent) <= (n_x + n_y) * (100 - percent)) & (
         np.minimum(n_x, n_y) * 100 >= np.maximum(n_x, n_y) * percent
     )
 
@@ -287,7 +287,7 @@ def _likely(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_x, n_y = np.asarray(batch.column("n_x")), np.asarray(batch.column("n_y"))
-            keep = _may_link(n_x, n_y, _table(batch.column("classes_x")), _table(batch.column("classes_y")), percent)
+            _, keep = _may_link(n_x, n_y, _table(batch.column("classes_x")), _table(batch.column("classes_y")), percent)
             yield pa.record_batch(
                 [batch.column(c).filter(pa.array(keep)) for c in ("x", "y")], names=["x", "y"]
             )
@@ -295,21 +295,33 @@ def _likely(percent: int):
     return run
 
 
-def _across(percent: int):
+def _across(percent: int, nearest: bool):
     """Pairs of members of a cell (key and two blocks) that may link and have different roots."""
 
+    def best(kept: np.ndarray, apart: np.ndarray, root_of: np.ndarray) -> np.ndarray:
+        """The nearest pair of each root, and the pair found again from its other end only once."""
+        order = np.argsort(apart, kind="stable")
+        first = np.unique(root_of[order], return_index=True)[1]
+        return np.unique(kept[order[first]], axis=0)
+
     def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         cell = pa.Table.from_batches(rows).combine_chunks()
         ids, n, root, side = (np.asarray(cell.column(c)) for c in ("id", "n", "root", "side"))
         classes = _table(cell.column("classes").combine_chunks())
         same_block = bool(cell.column("low")[0].as_py() == cell.column("high")[0].as_py())
-        found = []
+        found, gaps, owners = [], [], []
         for i in np.flatnonzero(side == 0).tolist():
             others = np.flatnonzero((root != root[i]) & ((ids > ids[i]) if same_block else (side == 1)))
             if len(others):
-                ok = others[_may_link(n[i], n[others], classes[i][None], classes[others], percent)]
+                apart, may = _may_link(n[i], n[others], classes[i][None], classes[others], percent)
+                ok = others[may]
                 found.append(np.stack([np.minimum(ids[ok], ids[i]), np.maximum(ids[ok], ids[i])], axis=1))
+                gaps.append(apart[may])
+                owners.append(np.stack([np.full(len(ok), root[i]), root[ok]]))
         kept = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        if nearest and len(kept):
+            both = np.concatenate(owners, axis=1)
+            kept = best(np.concatenate([kept, kept]), np.tile(np.concatenate(gaps), 2), both.reshape(-1))
         return pa.record_batch([pa.array(kept[:, 0].copy()), pa.array(kept[:, 1].copy())], names=["x", "y"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,9 +419,12 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     sets = _texts_of(docs, parts, wanted, width)
     linked = _linked(_likely_pairs(stars, sets, percent), sets, percent)
     roots = components(linked)
-    rest = _linked(_left_over(members, roots, sets, percent), sets, percent)
-    if not rest.isEmpty():
-        roots = components(linked.unionByName(rest))
+    # Two rounds join most components through their nearest members; the last looks at every pair left.
+    for nearest in (True, True, False):
+        more = _linked(_left_over(members, roots, sets, percent, nearest), sets, percent)
+        if not more.isEmpty():
+            linked = linked.unionByName(more)
+            roots = components(linked)
     return _labelled(parts, roots)
 
 
@@ -418,9 +433,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return parked(checked.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
 
 
-def _left_over(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _left_over(
+    members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, nearest: bool
+) -> DataFrame:
     """Pairs that share a signature, are in different components so far, and may link.
 
+    With ``nearest``, only the pair with the nearest histograms of each component in a cell.
+
     The members of a signature are cut into blocks, and each pair of blocks is one small cell.
     """
     spark = members.sparkSession
@@ -446,7 +465,7 @@ def _left_over(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: i
     return (
         cells.join(sets.select("id", "n", "classes"), "id")
         .repartition(partitions, "key", "low", "high").sortWithinPartitions("key", "low", "high")
-        .mapInArrow(_across(percent), "x long, y long")
+        .mapInArrow(_across(percent, nearest), "x long, y long")
         .distinct()
     )
 

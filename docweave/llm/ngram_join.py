@@ -73,8 +73,9 @@ def allocation(band: int, percent: int) -> tuple[int, int, int]:
     def cost(twos: int) -> float:
         ones = max(need - 2 * twos, 0)
         mean = size / (ones + twos)
-        small = exp(-mean) * (ones * (1 + mean) + twos * (1 + mean + mean * mean / 2))
-        return ones + twos * (1 + mean) + SMALL_SEGMENT_COST * small
+        small = exp(-mean) * (ones * (1 + mean) + 2 * twos * (1 + mean + mean * mean / 2))
+        # Small segments that the slack lets a document leave out cost nothing.
+        return ones + twos * (1 + mean) + SMALL_SEGMENT_COST * max(small - slack, 0.0)
 
     twos = min(range((need + 1) // 2 + 1), key=cost)
     return max(need - 2 * twos, 0), twos, slack

@@ -11,8 +11,8 @@ their suffixes compared. These meet in buckets of bounded size by minimizer.
 
 In a bucket, segments are dealt to shards, each of which sorts the suffixes of its own and has a
 Burrows-Wheeler transform. The shards are merged without sorting suffixes again: the interleave of
-their rows is refined by one symbol at a time, a stable counting sort of the merged transform. Rows
-that a step does not separate share a prefix of that many symbols, so the steps give the longest
+their rows is refined by two symbols at a time, a stable radix sort of the merged transform. Rows
+that the steps do not separate share a prefix of that many symbols, so the steps give the longest
 common prefixes, and rows still together after ``LENGTH`` steps are the repeated intervals.
 
 A minimizer with so much content that it would fill a bucket alone is not brought to one task: each
@@ -38,7 +38,7 @@ from docweave.llm.shared import Texts, mixed, parked, range_hashes, slices
 LENGTH, GRAM = 100, 48
 WIDTH = LENGTH - GRAM + 1  # grams in a string
 BUCKET_BYTES = 2 << 20
-SHARDS = 4
+SHARDS = 2
 FLUSH_SEGMENTS = 1 << 19
 _END = 0xFF  # no byte of UTF-8
 
@@ -194,53 +194,63 @@ def _same_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _sorted_rows(data: np.ndarray) -> np.ndarray:
-    """Places of one shard's bytes in the order of the ``LENGTH`` symbols that follow, by doubling."""
-    rank = data.astype(np.int64)
-    order = np.argsort(data, kind="stable")
-    reach = 1
-    while reach < LENGTH:
-        ahead = np.zeros(len(rank), np.int64)
-        ahead[:-reach] = rank[reach:] + 1
-        pair = rank * (len(rank) + 258) + ahead
-        order = np.argsort(pair, kind="stable")
-        ranked = pair[order]
-        step = np.zeros(len(rank), np.int64)
+    """Places of one shard's bytes in the order of the ``LENGTH`` symbols that follow.
+
+    The first eight symbols are one key; then the order is refined by doubling.
+    """
+    padded = np.append(data, np.zeros(7, np.uint8)).astype(np.uint64)
+    key = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        key = key << np.uint64(8) | padded[k:k + len(data)]
+    reach = 8
+    while True:
+        order = np.argsort(key, kind="stable")
+        ranked = key[order]
+        step = np.zeros(len(key), np.uint64)
         step[1:] = np.cumsum(ranked[1:] != ranked[:-1])
-        rank = np.empty(len(rank), np.int64)
+        rank = np.empty(len(key), np.uint64)
         rank[order] = step
+        if reach >= LENGTH:
+            return order
+        ahead = np.zeros(len(key), np.uint64)
+        ahead[:-reach] = rank[reach:] + np.uint64(1)
+        key = rank * np.uint64(len(key) + 2) + ahead
         reach *= 2
-    return order
+
+
+def _transform(data: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The two symbols before each sorted place of a shard, around the string that it is in."""
+    ends = np.flatnonzero(data == _END)
+    begins = np.append(0, ends[:-1] + 1)
+    before = np.empty(len(data), np.uint16)
+    before[1:] = data[:-1]
+    before[begins] = _END
+    previous = np.arange(-1, len(data) - 1)
+    previous[begins] = ends
+    return (before[previous] << 8 | before)[order]
 
 
 def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Merge shards given as (bytes, sorted places) of strings that each end with ``_END``.
 
-    Returns, for the merged rows, the row in the concatenated shards and the number of the interval of
-    rows with the same first ``LENGTH`` symbols.
+    A step takes two symbols: a stable sort of the merged transforms by both is the refinement by
+    one and then by the other. Returns, for the merged rows, the row in the concatenated shards and
+    the number of the interval of rows with the same first ``LENGTH`` symbols.
     """
-    transforms = []
-    for data, order in shards:
-        before = np.empty(len(data), np.uint8)
-        ends = np.flatnonzero(data == _END)
-        begins = np.append(0, ends[:-1] + 1)
-        before[1:] = data[:-1]
-        before[begins] = _END
-        transforms.append(before[order])
-    symbols = np.concatenate(transforms)
+    transforms = [_transform(data, order) for data, order in shards]
     interleave = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(t) for t in transforms])
-    interval = np.zeros(len(symbols), np.int32)
-    rows = np.arange(len(symbols))
-    for _ in range(LENGTH):
-        merged = np.empty(len(symbols), np.uint8)
-        merged[np.argsort(interleave, kind="stable")] = symbols
+    interval = np.zeros(len(interleave), np.int32)
+    merged = np.empty(len(interleave), np.uint16)
+    for _ in range(LENGTH // 2):
+        for number, transform in enumerate(transforms):
+            merged[interleave == number] = transform
         order = np.argsort(merged, kind="stable")
-        interleave, merged, last = interleave[order], merged[order], interval[order]
-        step = np.ones(len(order), np.int32)
-        step[0] = 0
-        step[1:] = (merged[1:] != merged[:-1]) | (last[1:] != last[:-1])
+        interleave, symbols, last = interleave[order], merged[order], interval[order]
+        step = np.zeros(len(order), np.int32)
+        step[1:] = (symbols[1:] != symbols[:-1]) | (last[1:] != last[:-1])
         interval = np.cumsum(step, dtype=np.int32)
-    at = np.empty(len(symbols), np.int64)
-    at[np.argsort(interleave, kind="stable")] = rows
+    at = np.empty(len(interleave), np.int64)
+    at[np.argsort(interleave, kind="stable")] = np.arange(len(at))
     return at, interval
 
 
@@ -292,6 +302,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table, sort_keys=[("named", "ascending"), ("doc_id", "ascending"), ("mark", "ascending"), ("start", "ascending")]
         )
         table = table.take(order).combine_chunks()
+        # A row that repeats doc_id and text brings the same segments again.
+        places = [np.asarray(table.column(c).fill_null(0)) for c in ("named", "doc_id", "mark", "start")]
+        fresh = np.ones(len(table), bool)
+        fresh[1:] = np.any([p[1:] != p[:-1] for p in places], axis=0)
+        table = table.filter(pa.array(fresh)).combine_chunks()
         counts = np.asarray(table.column("count"))
         found = repeated_starts(table.column("bytes").to_pylist(), counts)
         row, start, count = [], [], []
@@ -417,7 +432,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         ).alias("segment"),
     ).groupBy("doc_id", "mark").agg(F.collect_list("segment").alias("segments"))  # bounded by the document
     pieces = parked(
-        _met(docs.dropDuplicates(["doc_id", "mark"]), wanted, "inner").select("doc_id", "mark", "text", "segments").mapInArrow(
+        _met(docs, wanted, "inner").select("doc_id", "mark", "text", "segments").mapInArrow(
             _cut_out, "bucket int, hot boolean, doc_id long, mark long, start int, count int, bytes binary"
         ),
         "pieces",

@@ -357,8 +357,8 @@ def _class_totals(words: DataFrame, shipped, vocabulary: int, discount: float) -
                 seats = word_tables(count, word, given, vocabulary, discount)
                 classes = classes_of(word)
                 yield pa.record_batch([
-                    pa.array(np.arange(CLASSES)), pa.array(np.bincount(classes, weights=count, minlength=CLASSES)),
-                    pa.array(np.bincount(classes, weights=seats, minlength=CLASSES)),
+                    pa.array(np.arange(CLASSES)),
+                    *(pa.array(np.bincount(classes, weights=w, minlength=CLASSES).astype(float)) for w in (count, seats)),
                 ], names=["class", "c", "t"])
 
         rows = words.mapInArrow(part, "class long, c double, t double").groupBy("class").agg(
@@ -437,10 +437,15 @@ def score(docs: DataFrame) -> DataFrame:
             c, t = ((np.where(known, x[at], 0) if len(word) else np.zeros(len(pairs))) for x in (count, seats))
             logs = _word_log(c, t, classes_of(pairs[:, 0]), customers, tables, vocabulary, discount)
             base = np.log10((c + 1) / (total + vocabulary + 1))
-            key, row = np.unique(pairs[:, 1], return_inverse=True)
+            yield from _blob(partitions, *per_document(pairs[:, 1], [known, base, logs]), 2)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums over the buckets of each document."""
+        for held in _buckets(batches):
+            table = np.frombuffer(b"".join(held[2]), np.uint64).reshape(-1, 4)
+            key, columns = per_document(table[:, 0], list(np.ascontiguousarray(table[:, 1:].T).view(float)))
             yield pa.record_batch([
-                pa.array(key.view(np.int64)), pa.array(np.bincount(row, weights=known).astype(np.int64)),
-                pa.array(np.bincount(row, weights=base)), pa.array(np.bincount(row, weights=logs)),
+                pa.array(key.view(np.int64)), pa.array(columns[1].astype(np.int64)), pa.array(columns[2]), pa.array(columns[3]),
             ], names=["key", "n_known", "base_score", "score"])
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,8 +456,9 @@ def score(docs: DataFrame) -> DataFrame:
 
     scored = parked(docs.mapInArrow(read, _SCHEMA), "scores")
     blobs = scored.filter("bucket IS NOT NULL").select("bucket", "kind", "data").unionByName(words.mapInArrow(ship, _BLOBS))
-    rare = blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        meet, "key long, n_known long, base_score double, score double"
+    sums_of_buckets = blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, _BLOBS)
+    rare = sums_of_buckets.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        add, "key long, n_known long, base_score double, score double"
     )
     whole = scored.filter("bucket IS NULL").select("key", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
     sums = (
@@ -473,6 +479,12 @@ def score(docs: DataFrame) -> DataFrame:
     ).drop("__copy")
 
 
+def per_document(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys, and as 8-byte columns the keys and the sums of each column."""
+    unique, row = np.unique(keys, return_inverse=True)
+    return unique, [unique, *(np.bincount(row, weights=c, minlength=len(unique)).astype(float) for c in columns)]
+
+
 _FIELDS = ["bucket", "kind", "data", "key", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 _SCHEMA = (
     "bucket int, kind byte, data binary, key long, doc_id long, held_out boolean, n_tokens long, n_known long, "

@@ -71,3 +71,36 @@ def test_reruns_agree(docs):
 
 def test_empty_table(no_docs):
     assert pitman_yor.score(no_docs).count() == 0
+
+
+def chain(n_words, n_texts, size):
+    """Text in which each of many words has one that follows it."""
+    draw = random.Random(2)
+    rows = []
+    for i in range(n_texts):
+        at = draw.randrange(n_words)
+        rows.append((i, " ".join(f"w{(at + k) * 7 % n_words}" for k in range(size))))
+    return rows
+
+
+def digits_a_token(found):
+    held = [r for r in found if r.held_out]
+    return [-sum(r[c] for r in held) / sum(r.n_tokens for r in held) for c in ("base_score", "score")]
+
+
+def test_contexts_without_a_floor(spark):
+    """Each word is one in 5,000 of the tokens, and is always followed by the same one."""
+    rows = chain(5000, 700, 60)
+    base, model = digits_a_token(pitman_yor.score(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert base > 3.5
+    assert model < 0.35 * base
+
+
+def test_rare_words_meet_in_buckets_as_frequent_ones_do(spark, monkeypatch):
+    docs = spark.createDataFrame(chain(300, 120, 60), "doc_id long, text string")
+    all_frequent = digits_a_token(pitman_yor.score(docs).collect())
+    for support in (0.01, 1.0):  # the end alone is broadcast, and nothing
+        monkeypatch.setattr(pitman_yor, "SUPPORT", support)
+        found = digits_a_token(pitman_yor.score(docs).collect())
+        assert found[0] == pytest.approx(all_frequent[0])
+        assert found[1] == pytest.approx(all_frequent[1], rel=0.02)

@@ -3,9 +3,10 @@
 Each document has two histograms: its characters by class, and its words by common word. The
 reference of a language is the sum of the histograms of all its documents that pass the base rules.
 A document whose Jensen-Shannon distance (base 2, so between 0 and 1) from its reference exceeds a
-limit is rejected, if it has enough words for the histogram to mean anything. Languages that name
-fewer than ``support`` of the documents, and missing ones, are held against all documents together,
-so there are at most ``1 / support`` references.
+limit is rejected, if it has enough words for the histogram to mean anything. Every language has a
+reference: those with at least ``support`` of the documents are broadcast, at most ``1 / support``, and
+the documents of the others meet theirs by a shuffle. A document without a language has its distances
+from all documents together, and is not rejected by them.
 
 Defined results: a null or blank text has no words and fails the base rules. Rows that repeat are
 judged alike. An empty table gives an empty result. Columns of other names are left alone.
@@ -28,7 +29,7 @@ LEAST_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 
 @dataclass(frozen=True)
 class QualityOptions:
-    """Limits on the distances, the words a document needs to be judged by each, and the support."""
+    """Limits on the distances, the words a document needs to be judged by each, and the support from which a reference is broadcast."""
 
     char_distance: float = 0.34
     char_words: int = 50
@@ -166,32 +167,37 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the histograms of each language in a batch."""
+    """Documents of each language in a batch, those that pass the base rules, and the sums of their histograms."""
     for batch in batches:
         table = np.asarray(batch.column("histogram").flatten()).reshape(batch.num_rows, BINS).astype(np.int64)
+        passed = ~np.asarray(batch.column("base_failed"))
         coded = batch.column("lang").dictionary_encode()
         codes = np.asarray(coded.indices.fill_null(len(coded.dictionary)))
         sums = np.zeros((len(coded.dictionary) + 1, BINS), np.int64)
-        np.add.at(sums, codes, table)
-        rows = np.bincount(codes, minlength=len(sums))
+        np.add.at(sums, codes[passed], table[passed])
+        rows, good = np.bincount(codes, minlength=len(sums)), np.bincount(codes[passed], minlength=len(sums))
         yield pa.record_batch(
-            [pa.array([*coded.dictionary.to_pylist(), None], pa.string()), pa.array(rows), _arrays(sums)],
-            names=["lang", "rows", "sums"],
+            [pa.array([*coded.dictionary.to_pylist(), None], pa.string()), pa.array(rows), pa.array(good), _arrays(sums)],
+            names=["lang", "rows", "passed", "sums"],
         )
 
 
-def references(measured: DataFrame, support: float) -> DataFrame:
-    """``lang`` and the summed ``reference`` of each language with enough documents."""
-    parts = measured.filter("NOT base_failed").select("lang", "histogram").mapInArrow(
-        _summed, "lang string, rows long, sums array<long>"
+def references(measured: DataFrame, support: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``lang`` and the summed ``reference`` of languages with much and with little support, and the pooled sums."""
+    parts = measured.select("lang", "base_failed", "histogram").mapInArrow(
+        _summed, "lang string, rows long, passed long, sums array<long>"
     )
-    cells = parts.select("lang", "rows", F.posexplode("sums").alias("bin", "sum"))
-    sums = cells.groupBy("lang", "bin").agg(F.sum("sum").alias("sum"), F.sum("rows").alias("rows"))
-    whole = sums.groupBy("bin").agg(F.sum("sum").alias("sum"), F.sum("rows").alias("rows"))
+    cells = parts.select("lang", "rows", "passed", F.posexplode("sums").alias("bin", "sum"))
+    totals = [F.sum(c).alias(c) for c in ("sum", "rows", "passed")]
+    sums = parked(cells.groupBy("lang", "bin").agg(*totals), "references")
+    whole = sums.groupBy("bin").agg(*totals)
     total = whole.agg(F.max("rows").alias("total"))
-    large = sums.join(F.broadcast(total), F.col("rows") >= F.col("total") * support).filter("lang IS NOT NULL")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("bin", "sum"))), lambda c: c["sum"])
-    return large.groupBy("lang").agg(ordered.alias("reference")), whole.agg(ordered.alias("pooled"))
+    named = sums.filter("lang IS NOT NULL AND passed > 0").join(F.broadcast(total)).withColumn(
+        "large", F.col("rows") >= F.col("total") * support
+    )
+    by_language = [named.filter(c).groupBy("lang").agg(ordered.alias("reference")) for c in ("large", "NOT large")]
+    return *by_language, whole.agg(ordered.alias("pooled"))
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -228,18 +234,25 @@ def judged(docs: DataFrame, options: QualityOptions = QualityOptions()) -> DataF
         | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")),
     )
     measured = parked(measured, "measured")
-    by_language, pooled = references(measured, options.support)
-    referred = measured.join(
-        F.broadcast(by_language.withColumnRenamed("lang", "__lang")), F.col("lang") == F.col("__lang"), "left"
-    ).join(F.broadcast(pooled))  # one row, and at most 1 / support rows
+    large, small, pooled = references(measured, options.support)
+    large, small = (
+        by_language.withColumnRenamed("lang", "__lang").withColumnRenamed("reference", f"__{name}")
+        for by_language, name in ((large, "large"), (small, "small"))
+    )
+    met = measured.join(F.broadcast(large), F.col("lang") == F.col("__lang"), "left").drop("__lang")
+    rest = F.col("__large").isNull() & F.col("lang").isNotNull()  # no such language has many documents that pass
+    by_broadcast = met.filter(~rest).withColumnRenamed("__large", "reference")
+    by_shuffle = met.filter(rest).drop("__large").join(small, F.col("lang") == F.col("__lang"), "left").drop("__lang")
+    referred = by_broadcast.unionByName(by_shuffle.withColumnRenamed("__small", "reference"))
+    referred = referred.withColumn("own", F.col("reference").isNotNull()).join(F.broadcast(pooled))  # one row
     zeros = F.array_repeat(F.lit(0).cast("long"), BINS)
     referred = referred.withColumn(
         "reference", F.coalesce(F.when(F.size("reference") == BINS, F.col("reference")), F.when(F.size("pooled") == BINS, F.col("pooled")), zeros)
-    ).drop("__lang", "pooled")
-    schema = ", ".join([*kept, counts, "base_failed boolean, char_js double, word_js double"])
-    order = [*(f.name for f in docs.schema if f.name != "text"), *_COUNTS, "base_failed", "histogram", "reference"]
+    ).drop("pooled")
+    schema = ", ".join([*kept, counts, "base_failed boolean, own boolean, char_js double, word_js double"])
+    order = [*(f.name for f in docs.schema if f.name != "text"), *_COUNTS, "base_failed", "own", "histogram", "reference"]
     rows = referred.select(*order).mapInArrow(_diverged, schema)
     far = ((F.col("n_words") >= options.char_words) & (F.col("char_js") > options.char_distance)) | (
         (F.col("n_words") >= options.word_words) & (F.col("word_js") > options.word_distance)
     )
-    return rows.withColumn("kept", ~F.col("base_failed") & ~far)
+    return rows.withColumn("kept", ~F.col("base_failed") & ~(F.col("own") & far)).drop("own")

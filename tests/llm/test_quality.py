@@ -73,3 +73,18 @@ def test_rare_languages_use_all_documents(spark, docs):
 
 def test_empty_table(no_docs):
     assert quality.judged(no_docs.select("doc_id", "text", "lang")).count() == 0
+
+
+def test_a_rare_language_is_held_against_itself(spark):
+    """Two clean documents of a language among 2,500, and one that names none, differ from the rest in their letters."""
+    english = "the river runs to the sea and it is wide in the summer with boats on it and a bridge of stone"
+    rows = [(i, f"{english} {i} {' '.join(f'{w}{i}' for w in english.split())}", "en") for i in range(2500)]
+    draw = np.random.default_rng(0)
+    russian = ["".join(map(chr, draw.integers(0x430, 0x450, 3 + i % 6))) for i in range(140)]
+    rows += [(9000, " ".join(russian[:90]), "ru"), (9001, " ".join(russian[50:]), "ru"), (9002, " ".join(russian), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for support in (1e-3, 2.0):
+        found = {r.doc_id: r for r in quality.judged(docs, quality.QualityOptions(support=support)).collect()}
+        assert len(found) == len(rows)
+        assert found[9000].char_js < 0.34 and found[9001].char_js < 0.34 < found[9002].char_js
+        assert all(found[i].kept for i in (0, 9000, 9001, 9002))

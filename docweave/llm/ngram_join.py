@@ -100,7 +100,7 @@ class Sets:
             at = np.minimum(starts + k, len(words) - 1)
             values = np.where(use, mixed(values + words[at] * np.uint64(2 * k + 1)), values)
         order = np.argsort(values)
-        order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
+        order = order[np.argsort(owner[order].astype(np.uint16 if rows <= 1 << 16 else np.uint32), kind="stable")]
         values, owner = values[order], owner[order]
         fresh = np.ones(len(values), bool)
         fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])

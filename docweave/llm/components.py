@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.shared import parked
+from docweave.llm.shared import parked, unparked
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = parked(links.select("a", "b").filter("a <> b").distinct(), "links")
     state = None
     while True:
-        edges = parked(_small_star(_large_star(edges).filter("a <> b").distinct()), "links")
+        last, edges = edges, parked(_small_star(_large_star(edges).filter("a <> b").distinct()), "links")
+        unparked(last)
         found = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if found == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import bitpack, exact_dedup, mixing, ngram_join, pieces, pitman_yor, quality, secrets_crf, suffix_dedup, warc
+from docweave.llm import (
+    bitpack, bottom_k, exact_dedup, hard_negatives, mixing, ngram_join, pieces, pitman_yor, quality, repair, secrets_crf,
+    suffix_dedup, warc,
+)
 from docweave.llm.shared import documents
 
 
@@ -48,6 +51,18 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(documents(spark, folder))
 
 
+def op11_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
+    return bottom_k.near_duplicates(documents(spark, folder))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -59,6 +74,9 @@ QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_bottom_k": op11_bottom_k,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_repair": op13_repair,
 }
 
 SQL = {
@@ -66,4 +84,7 @@ SQL = {
     "op5_warc_audit": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_ngram_join": ngram_join.SQL,
+    "op11_bottom_k": bottom_k.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_repair": repair.SQL,
 }

@@ -29,7 +29,16 @@ def parked(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.parked_at = path
+    return table
+
+
+def unparked(*tables: DataFrame) -> None:
+    """Remove the files of parked tables that nothing will read again."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.parked_at)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

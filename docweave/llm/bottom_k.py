@@ -36,10 +36,10 @@ from docweave.llm.ngram_join import Sets
 from docweave.llm.shared import parked, slices, unparked
 
 WIDTH, PERCENT = 2, 80
-K = 32
+K = 96
 RISK = 1e-10
 BLOCK_MEMBERS = 1024
-_FILL = np.uint64(0xFFFFFFFFFFFFFFFF)
+_FILL = np.uint32(0xFFFFFFFF)
 
 
 @lru_cache(maxsize=64)
@@ -102,16 +102,20 @@ def _whole_sets(width: int):
 
 
 def _rows(sketches: pa.Array) -> np.ndarray:
-    """Sketches as rows of a matrix, filled up with a value no set holds."""
+    """Short sketches as rows of a matrix, filled up with the greatest value."""
     sizes = np.asarray(sketches.value_lengths(), dtype=np.int64)
     found = np.full((len(sketches), K), _FILL)
     row = np.repeat(np.arange(len(sketches)), sizes)
-    found[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = np.asarray(sketches.flatten()).view(np.uint64)
+    found[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = np.asarray(sketches.flatten()).view(np.uint32)
     return found
 
 
 def may_link(n_x, n_y, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and union sketch of each pair of rows allow a link."""
+    """Whether sizes and union sketch of each pair of rows allow a link.
+
+    Sketches are given by the upper halves of their values: equal halves of different values can only
+    raise the estimate.
+    """
     both = np.concatenate([x, y], axis=1)
     both.sort(axis=1)
     same = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != _FILL)
@@ -161,21 +165,22 @@ def _confirmed(percent: int):
 # Members of a list that are still apart
 
 
-class Roots:
-    """Union-find over the members of a block."""
-
-    def __init__(self, roots: np.ndarray):
-        names, first = np.unique(roots, return_index=True)
-        self.parent = first[np.searchsorted(names, roots)].tolist()
+def meetings(root: np.ndarray, side: np.ndarray, same_block: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Each pair of members that is to meet once, as a member and the mask of its partners.
 
-    def of(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.parent[max(self.of(i), self.of(j))] = min(self.of(i), self.of(j))
+    Members of the root that most have meet only those of other roots, so they need no turn of their own.
+    """
+    names, place, sizes = np.unique(root, return_inverse=True, return_counts=True)
+    most = place == np.argmax(sizes)
+    for i in np.flatnonzero(~most).tolist():
+        partners = most.copy()
+        if same_block:
+            partners[i + 1:] = True
+        else:
+            partners &= side != side[i]
+            if side[i] == 0:
+                partners |= side == 1
+        yield i, partners & (root != root[i])
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -197,16 +202,6 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _opposite(side: np.ndarray, same_block: bool, i: int) -> np.ndarray:
-    """Members that ``i`` is to meet: later ones of its block, or those of the other block."""
-    others = np.zeros(len(side), bool)
-    if same_block:
-        others[i + 1:] = True
-    elif side[i] == 0:
-        others = side == 1
-    return others
-
-
 def _suspects(percent: int):
     """Members with a partner of another root that sizes and union sketch allow."""
 
@@ -215,29 +210,18 @@ def _suspects(percent: int):
             root, side, n = (np.asarray(cell.column(c)) for c in ("root", "side", "n"))
             sketch = _rows(cell.column("sketch").combine_chunks())
             same_block = cell.column("low")[0].as_py() == cell.column("high")[0].as_py()
-            values, slot = np.unique(sketch, return_inverse=True)
-            slot = slot.reshape(sketch.shape)
-            flat = np.argsort(slot, axis=None, kind="stable")
-            begin = np.searchsorted(slot.ravel()[flat], np.arange(len(values) + 1))
-            member = flat // K
-            kept = values != _FILL
             found = np.zeros(len(n), bool)
-            least = np.where(n <= K, 1, floor_of(percent))
-            for i in range(len(n)):
-                others = _opposite(side, same_block, i) & (root != root[i])
-                if not others.any():
-                    continue
-                lists = [member[begin[v]:begin[v + 1]] for v in slot[i] if kept[v]]
-                overlap = np.bincount(np.concatenate(lists), minlength=len(n)) if lists else np.zeros(len(n), int)
-                at = np.flatnonzero(others & (overlap >= np.minimum(least, least[i])))
+            for i, partners in meetings(root, side, same_block):
+                at = np.flatnonzero(partners & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
+                overlap = np.isin(sketch[at], sketch[i][sketch[i] != _FILL]).sum(axis=1)
+                at = at[overlap >= np.where(np.minimum(n[at], n[i]) <= K, 1, floor_of(percent))]
                 if len(at):
                     at = at[may_link(n[i], n[at], np.broadcast_to(sketch[i], (len(at), K)), sketch[at], percent)]
                     found[at] = True
                     found[i] |= len(at) > 0
-            yield pa.record_batch(
-                [cell.column(c).filter(pa.array(found)).combine_chunks() for c in ("key", "low", "high", "id", "root", "side", "n", "sketch")],
-                names=["key", "low", "high", "id", "root", "side", "n", "sketch"],
-            )
+            if found.any():
+                names = ["key", "low", "high", "id", "root", "side", "n", "sketch"]
+                yield pa.record_batch([cell.column(c).filter(pa.array(found)).combine_chunks() for c in names], names=names)
 
     return run
 
@@ -248,19 +232,18 @@ def _settled(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
             ids, side, n = (np.asarray(cell.column(c)) for c in ("id", "side", "n"))
+            root = np.unique(np.asarray(cell.column("root")), return_inverse=True)[1]
             sketch = _rows(cell.column("sketch").combine_chunks())
             items = [np.frombuffer(v.as_buffer(), np.uint64) for v in cell.column("items").combine_chunks()]
             same_block = cell.column("low")[0].as_py() == cell.column("high")[0].as_py()
-            roots = Roots(np.asarray(cell.column("root")))
             links = []
-            for i in range(len(ids)):
-                now = np.array([roots.of(j) for j in range(len(ids))])
-                at = np.flatnonzero(_opposite(side, same_block, i) & (now != now[i]))
+            for i, partners in meetings(root.copy(), side, same_block):
+                at = np.flatnonzero(partners & (root != root[i]))
                 if len(at):
                     at = at[may_link(n[i], n[at], np.broadcast_to(sketch[i], (len(at), K)), sketch[at], percent)]
                 for j in at.tolist():
-                    if roots.of(i) != roots.of(j) and _linked(items[i], items[j], percent):
-                        roots.join(i, j)
+                    if root[i] != root[j] and _linked(items[i], items[j], percent):
+                        root[root == root[j]] = root[i]
                         links.append((ids[i], ids[j]))
             x, y = np.array(links, np.int64).reshape(-1, 2).T
             yield pa.record_batch([pa.array(x.copy()), pa.array(y.copy())], names=["a", "b"])
@@ -296,7 +279,7 @@ def _in_cells(rows: DataFrame, run, schema: str) -> DataFrame:
 
 
 def lists(sketches: DataFrame, percent: int) -> DataFrame:
-    """``key``, ``id``: lists of the rarest retained values, by band of set sizes, with two members or more."""
+    """``key``, ``id``, ``n``: lists of the rarest retained values, by band of set sizes, with two members or more."""
     entries = sketches.select("id", "n", F.explode("sketch").alias("value"))
     often = entries.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     # Values of one document only come first in its order and list nothing.
@@ -308,36 +291,47 @@ def lists(sketches: DataFrame, percent: int) -> DataFrame:
     alone = F.least(F.col("n"), F.lit(K)) - F.size("values")
     rare = counted.select("id", "n", F.slice("values", 1, F.greatest(most - alone, F.lit(0)).cast("int")).alias("values"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-    split = rare.select("id", F.explode("values.value").alias("value"), band.alias("own")).select(
-        "id", "value", F.explode(F.array("own", F.col("own") + 1)).alias("band")
+    split = rare.select("id", "n", F.explode("values.value").alias("value"), band.alias("own")).select(
+        "id", "n", "value", F.explode(F.array("own", F.col("own") + 1)).alias("band")
     )
-    members = split.select(F.xxhash64("value", "band").alias("key"), "id")
-    ends = members.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
+    members = split.select(F.xxhash64("value", "band").alias("key"), "id", "n")
+    least, most_of = (f(F.struct("id", "n")) for f in (F.min, F.max))
+    ends = members.groupBy("key").agg(least.alias("least"), most_of.alias("most")).filter("least.id < most.id")
     return members.join(ends, "key")
 
 
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of members with the pivots of their lists, of sizes that allow a link."""
+    met = members.select("id", "n", F.explode(F.array("least", "most")).alias("pivot"))
+    fits = 100 * F.least("n", "pivot.n") >= percent * F.greatest("n", "pivot.n")
+    return met.filter(fits & (F.col("id") != F.col("pivot.id"))).select(
+        F.least("id", "pivot.id").alias("x"), F.greatest("id", "pivot.id").alias("y")
+    ).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    rows = parked(docs.select("doc_id", "text").mapInArrow(
+    found = parked(docs.select("doc_id", "text").mapInArrow(
         _sketches(width), "doc_id long, id long, n long, sketch array<long>"
     ), "sketches")
-    sketches = parked(
-        rows.filter("n > 0 AND size(sketch) > 0").groupBy("id").agg(
-            F.first("n").alias("n"), F.first("sketch").alias("sketch")
-        ), "distinct-sketches",
-    )
-    members = parked(lists(sketches, percent), "lists")
-    pairs = members.select(F.col("id").alias("x"), F.explode(F.array("least", "most")).alias("y")).filter("x <> y").select(
-        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")
-    ).distinct()
+    rows = parked(found.select("doc_id", "id", "n"), "documents")
+    whole = parked(found.filter("size(sketch) > 0").groupBy("id").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    ), "whole-sketches")
+    unparked(found)
+    members = parked(lists(whole, percent), "lists")
+    # Halves keep the order as unsigned numbers.
+    upper = F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int"))
+    sketches = parked(whole.select("id", "n", upper.alias("sketch")), "short-sketches")
+    unparked(whole)
     sides = {c: sketches.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "xy"}
     likely = parked(
-        pairs.join(sides["y"], "y").join(sides["x"], "x").mapInArrow(_likely(percent), "x long, y long"), "likely"
+        _stars(members, percent).join(sides["y"], "y").join(sides["x"], "x").mapInArrow(_likely(percent), "x long, y long"), "likely"
     )
     roots = components(_exact(docs, rows, likely, width, percent))
     cells = parked(_in_cells(
         _left_over(members.select("key", "id"), roots, sketches), _suspects(percent),
-        "key long, low int, high int, id long, root long, side int, n long, sketch array<long>",
+        "key long, low int, high int, id long, root long, side int, n long, sketch array<int>",
     ), "cells")
     unparked(members, sketches, likely)
     more = _exact_links(docs, rows, cells, width, percent)

@@ -36,6 +36,17 @@ def test_short_texts_and_a_common_passage(spark):
     assert found(spark.createDataFrame(rows, NAMED).repartition(3)) == expected(rows)
 
 
+def test_each_pair_of_a_cell_meets_once():
+    draw = np.random.default_rng(7)
+    for _ in range(200):
+        n = int(draw.integers(1, 12))
+        root, same = draw.integers(0, 4, n), bool(draw.integers(0, 2))
+        side = np.zeros(n, int) if same else draw.integers(0, 2, n)
+        met = [frozenset((i, j)) for i, mask in bottom_k.meetings(root, side, same) for j in np.flatnonzero(mask).tolist()]
+        wanted = {frozenset((i, j)) for i in range(n) for j in range(i) if root[i] != root[j] and (same or side[i] != side[j])}
+        assert len(met) == len(set(met)) and set(met) == wanted
+
+
 def test_chains_and_large_groups_in_small_blocks(spark, monkeypatch):
     """Copies of one text that differ from each other more than from their neighbours."""
     monkeypatch.setattr(bottom_k, "BLOCK_MEMBERS", 4)
@@ -57,14 +68,17 @@ def test_no_rows(no_docs):
 
 def test_union_sketches_keep_linked_pairs_and_drop_others():
     draw = np.random.default_rng(1)
-    for n in (5, 20, 30, 40, 300, 4000):
+    for n in (5, 20, 90, 110, 300, 4000):
         for _ in range(40):
             base = draw.integers(0, 1 << 63, 2 * n).astype(np.uint64)
             off = n // 10
             x, y = np.sort(base[:n]), np.sort(base[off:n + off])
             link = 100 * (n - off) >= 80 * (n + off)
             z = np.sort(base[n:])
-            rows = [np.append(v[:bottom_k.K], np.full(max(bottom_k.K - len(v), 0), bottom_k._FILL))[None] for v in (x, y, z)]
+            rows = [
+                np.append((v[:bottom_k.K] >> np.uint64(32)).astype(np.uint32), np.full(max(bottom_k.K - len(v), 0), bottom_k._FILL))[None]
+                for v in (x, y, z)
+            ]
             size = np.array([n])
             if link:
                 assert bottom_k.may_link(size, size, rows[0], rows[1], 80).all()
@@ -72,6 +86,6 @@ def test_union_sketches_keep_linked_pairs_and_drop_others():
 
 
 def test_bounds_of_lists():
-    assert bottom_k.floor_of(80) == 9 and bottom_k.floor_of(100) == bottom_k.K
+    assert bottom_k.floor_of(80, 32) == 9 and bottom_k.floor_of(100) == bottom_k.K
     assert [bottom_k.listed(n, 80) for n in (1, 3, 4, 10, 25)] == [0, 0, 1, 3, 6]
-    assert bottom_k.listed(1000, 80) == bottom_k.K - 9 + 1
+    assert bottom_k.listed(1000, 80, 32) == 32 - 9 + 1

@@ -165,22 +165,31 @@ def _confirmed(percent: int):
 # Members of a list that are still apart
 
 
-def meetings(root: np.ndarray, side: np.ndarray, same_block: bool) -> Iterator[tuple[int, np.ndarray]]:
-    """Each pair of members that is to meet once, as a member and the mask of its partners.
+def meetings(ids: np.ndarray, root: np.ndarray, side: np.ndarray, minor: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member of side 0 with the members of side 1 it is to meet: of other roots, and two minor ones once."""
+    for i in np.flatnonzero(side == 0).tolist():
+        yield i, np.flatnonzero((side == 1) & (root != root[i]) & (~minor | (ids > ids[i])))
 
-    Members of the root that most have meet only those of other roots, so they need no turn of their own.
-    """
-    names, place, sizes = np.unique(root, return_inverse=True, return_counts=True)
-    most = place == np.argmax(sizes)
-    for i in np.flatnonzero(~most).tolist():
-        partners = most.copy()
-        if same_block:
-            partners[i + 1:] = True
-        else:
-            partners &= side != side[i]
-            if side[i] == 0:
-                partners |= side == 1
-        yield i, partners & (root != root[i])
+
+class Overlaps:
+    """Inverted lists of the values that members of a cell retain."""
+
+    def __init__(self, sketch: np.ndarray):
+        kept = sketch != _FILL
+        member, values = np.nonzero(kept)[0], sketch[kept]
+        order = np.argsort(values, kind="stable")
+        values, self.member = values[order], member[order]
+        start = np.flatnonzero(np.append(True, values[1:] != values[:-1]))[: len(values)]
+        self.begin, self.end = start, np.append(start[1:], len(values))
+        slot = np.empty(len(values), np.int64)
+        slot[order] = np.repeat(np.arange(len(start)), self.end - self.begin)
+        self.slots, self.of = slot, np.concatenate([[0], np.cumsum(kept.sum(axis=1))])
+        self.n = len(sketch)
+
+    def count(self, i: int) -> np.ndarray:
+        """How many values each member shares with ``i``."""
+        lists = [self.member[self.begin[v]:self.end[v]] for v in self.slots[self.of[i]:self.of[i + 1]]]
+        return np.bincount(np.concatenate(lists), minlength=self.n) if lists else np.zeros(self.n, np.int64)
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -202,26 +211,29 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+_CELL = ("key", "low", "high", "id", "root", "side", "minor", "n", "sketch")
+
+
 def _suspects(percent: int):
-    """Members with a partner of another root that sizes and union sketch allow."""
+    """Members with a partner of another root that overlap, sizes and union sketch allow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
-            root, side, n = (np.asarray(cell.column(c)) for c in ("root", "side", "n"))
+            ids, root, side, minor, n = (np.asarray(cell.column(c)) for c in ("id", "root", "side", "minor", "n"))
             sketch = _rows(cell.column("sketch").combine_chunks())
-            same_block = cell.column("low")[0].as_py() == cell.column("high")[0].as_py()
+            overlaps = Overlaps(sketch)
             found = np.zeros(len(n), bool)
-            for i, partners in meetings(root, side, same_block):
-                at = np.flatnonzero(partners & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
-                overlap = np.isin(sketch[at], sketch[i][sketch[i] != _FILL]).sum(axis=1)
-                at = at[overlap >= np.where(np.minimum(n[at], n[i]) <= K, 1, floor_of(percent))]
+            for i, at in meetings(ids, root, side, minor):
+                at = at[100 * np.minimum(n[at], n[i]) >= percent * np.maximum(n[at], n[i])]
+                if not len(at):
+                    continue
+                at = at[overlaps.count(i)[at] >= np.where(np.minimum(n[at], n[i]) <= K, 1, floor_of(percent))]
                 if len(at):
                     at = at[may_link(n[i], n[at], np.broadcast_to(sketch[i], (len(at), K)), sketch[at], percent)]
                     found[at] = True
                     found[i] |= len(at) > 0
             if found.any():
-                names = ["key", "low", "high", "id", "root", "side", "n", "sketch"]
-                yield pa.record_batch([cell.column(c).filter(pa.array(found)).combine_chunks() for c in names], names=names)
+                yield pa.record_batch([cell.column(c).filter(pa.array(found)).combine_chunks() for c in _CELL], names=list(_CELL))
 
     return run
 
@@ -231,14 +243,13 @@ def _settled(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
-            ids, side, n = (np.asarray(cell.column(c)) for c in ("id", "side", "n"))
+            ids, side, minor, n = (np.asarray(cell.column(c)) for c in ("id", "side", "minor", "n"))
             root = np.unique(np.asarray(cell.column("root")), return_inverse=True)[1]
             sketch = _rows(cell.column("sketch").combine_chunks())
             items = [np.frombuffer(v.as_buffer(), np.uint64) for v in cell.column("items").combine_chunks()]
-            same_block = cell.column("low")[0].as_py() == cell.column("high")[0].as_py()
             links = []
-            for i, partners in meetings(root.copy(), side, same_block):
-                at = np.flatnonzero(partners & (root != root[i]))
+            for i in np.flatnonzero(side == 0).tolist():
+                at = np.flatnonzero((side == 1) & (root != root[i]) & (~minor | (ids > ids[i])))
                 if len(at):
                     at = at[may_link(n[i], n[at], np.broadcast_to(sketch[i], (len(at), K)), sketch[at], percent)]
                 for j in at.tolist():
@@ -252,24 +263,44 @@ def _settled(percent: int):
 
 
 def _left_over(members: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Cells (list and two blocks of its members) with members of several roots."""
+    """Cells of the lists with members of several roots.
+
+    Members of the root that most have (major) need not meet each other. So a cell is a block of minor
+    members (side 0) and a block of all (side 1), and where a list has few minor ones, each of the many
+    others goes to one cell.
+    """
     rows = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "key", "id", F.coalesce("root", "id").alias("root")
     )
-    keys = rows.groupBy("key").agg(
-        F.min("root").alias("one"), F.max("root").alias("other"), F.count(F.lit(1)).alias("size"),
-        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"),
-    ).filter("one < other AND size > 3")  # among three, two are pivots
-    keys = keys.groupBy("members", "size").agg(F.min("key").alias("key")).select(
-        "key", F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int").alias("blocks")
+    counts = rows.groupBy("key", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members")
+    )
+    keys = counts.groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("size"),
+        F.sum("members").alias("members"),
+    ).filter("most < size AND size > 3")  # among three, two are pivots
+
+    def blocks(n):
+        return F.ceil(n / BLOCK_MEMBERS).cast("int")
+
+    # Lists with the same members are one.
+    keys = keys.groupBy("members", "size").agg(F.min(F.struct("key", "major", "most")).alias("k")).select(
+        "k.key", "k.major", blocks(F.col("size")).alias("blocks"), blocks(F.col("size") - F.col("k.most")).alias("minor_blocks")
     )
-    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int")
-    return rows.join(keys, "key").withColumn("own", own).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met")
-    ).select(
-        "key", "id", "root", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"),
-        (F.col("own") > F.col("met")).cast("int").alias("side"),
-    ).join(sketches.select("id", "n", "sketch"), "id")
+    minor = F.col("root") != F.col("major")
+
+    def own(salt: int, of: str):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(of)).cast("int")
+
+    def place(low, high, side: int):
+        return F.struct(low.alias("low"), high.alias("high"), F.lit(side).alias("side"))
+
+    met = F.transform(F.sequence(F.lit(0), F.col("minor_blocks") - 1), lambda low: place(low, own(1, "blocks"), 1))
+    asks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda high: place(own(2, "minor_blocks"), high, 0))
+    cells = rows.join(keys, "key").select("key", "id", "root", minor.alias("minor"), F.inline(
+        F.when(minor, F.concat(met, asks)).otherwise(met)
+    ))
+    return cells.join(sketches.select("id", "n", "sketch"), "id").select(*_CELL)
 
 
 def _in_cells(rows: DataFrame, run, schema: str) -> DataFrame:
@@ -331,7 +362,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     roots = components(_exact(docs, rows, likely, width, percent))
     cells = parked(_in_cells(
         _left_over(members.select("key", "id"), roots, sketches), _suspects(percent),
-        "key long, low int, high int, id long, root long, side int, n long, sketch array<int>",
+        "key long, low int, high int, id long, root long, side int, minor boolean, n long, sketch array<int>",
     ), "cells")
     unparked(members, sketches, likely)
     more = _exact_links(docs, rows, cells, width, percent)

@@ -36,15 +36,34 @@ def test_short_texts_and_a_common_passage(spark):
     assert found(spark.createDataFrame(rows, NAMED).repartition(3)) == expected(rows)
 
 
-def test_each_pair_of_a_cell_meets_once():
+def test_overlaps_of_a_cell():
     draw = np.random.default_rng(7)
-    for _ in range(200):
-        n = int(draw.integers(1, 12))
-        root, same = draw.integers(0, 4, n), bool(draw.integers(0, 2))
-        side = np.zeros(n, int) if same else draw.integers(0, 2, n)
-        met = [frozenset((i, j)) for i, mask in bottom_k.meetings(root, side, same) for j in np.flatnonzero(mask).tolist()]
-        wanted = {frozenset((i, j)) for i in range(n) for j in range(i) if root[i] != root[j] and (same or side[i] != side[j])}
-        assert len(met) == len(set(met)) and set(met) == wanted
+    sketch = np.sort(draw.integers(0, 40, (9, bottom_k.K)).astype(np.uint32), axis=1)
+    sketch = np.stack([np.append(u := np.unique(r), np.full(bottom_k.K - len(u), bottom_k._FILL)) for r in sketch])
+    sketch[3] = bottom_k._FILL
+    overlaps = bottom_k.Overlaps(sketch)
+    sets = [set(r.tolist()) - {int(bottom_k._FILL)} for r in sketch]
+    for i in range(9):
+        assert overlaps.count(i).tolist() == [len(sets[i] & s) for s in sets]
+
+
+def test_each_pair_of_a_list_meets_once(spark, monkeypatch):
+    monkeypatch.setattr(bottom_k, "BLOCK_MEMBERS", 3)
+    draw = random.Random(2)
+    roots = {i: draw.choice([0, 0, 0, 1, 2, i]) for i in range(20)}
+    members = spark.createDataFrame([(7, i) for i in range(20)] + [(8, i) for i in range(20)] + [(9, 1), (9, 2), (9, 3)], "key long, id long")
+    links = spark.createDataFrame([(i, r) for i, r in roots.items() if i != r], "node long, root long")
+    sketches = spark.createDataFrame([(i, 1, [i]) for i in range(20)], "id long, n long, sketch array<int>")
+    cells = {}
+    for r in bottom_k._left_over(members, links, sketches).collect():
+        cells.setdefault((r.key, r.low, r.high), []).append(r)
+    met = []
+    for rows in cells.values():
+        ids, root, side, minor = (np.array([r[c] for r in rows]) for c in ("id", "root", "side", "minor"))
+        met += [frozenset((int(ids[i]), int(ids[j]))) for i, at in bottom_k.meetings(ids, root, side, minor) for j in at]
+    real = {i: roots[i] for i in range(20)}
+    assert len(met) == len(set(met)) and set(met) == {frozenset((i, j)) for i in range(20) for j in range(i) if real[i] != real[j]}
+    assert len({key for key, _, _ in cells}) == 1  # lists with the same members are one
 
 
 def test_chains_and_large_groups_in_small_blocks(spark, monkeypatch):

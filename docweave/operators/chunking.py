@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import text
+from docweave.operators import quantiles
 
 CHUNK_TOKENS = 1024
 OVERLAP_TOKENS = 256
@@ -74,7 +75,8 @@ def best_chunk_size(study: DataFrame) -> DataFrame:
 
 def length_statistics(documents: DataFrame) -> DataFrame:
     chars = F.length("text")
+    (median,) = quantiles.quantiles(documents, chars, [(quantiles.inclusive, 0.5)])
     return documents.agg(
-        F.percentile(chars, 0.5).alias("median_chars"), F.avg(chars).alias("mean_chars"),
+        F.lit(median).cast("double").alias("median_chars"), F.avg(chars).alias("mean_chars"),
         F.min(chars).alias("min_chars"), F.max(chars).alias("max_chars"),
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions.text import blank_to_null, strip
+from docweave.operators import quantiles
 
 SEGMENT_LAST_ITEM = 38
 
@@ -24,7 +25,10 @@ def accept_sets(golden: DataFrame) -> DataFrame:
 
 
 def gather_answers(pairs: DataFrame) -> DataFrame:
-    """One item per question from (n, q, type, file_id) pairs; the lowest id leads."""
+    """One item per question from (n, q, type, file_id) pairs; the lowest id leads.
+
+    The answers are one value of the item, as the golden set states them.
+    """
     ids = F.array_sort(F.collect_set("file_id"))
     return pairs.groupBy("n", "q").agg(
         F.min("type").alias("type"), ids[0].alias("file_id"), ids.alias("also_accept")
@@ -108,25 +112,12 @@ def by_segment(items: DataFrame, last_old_item: int = SEGMENT_LAST_ITEM, rank: s
 def distance_distribution(items: DataFrame, col: str = "hit_score", p: float = 0.95) -> DataFrame:
     """Least, median, p95 (both forms) and greatest distance of the right answers.
 
-    The exclusive form lies at position (n + 1)p, linear between its neighbours. Equal values are
-    counted before they are ordered, so that only distinct values, of a distance rounded to six
-    digits, are sorted.
+    The exclusive form lies at position (n + 1)p, linear between its neighbours.
     """
-    counts = items.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ordered = Window.orderBy("v")
-    placed = counts.withColumn(
-        "upto", F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("n", F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    # The lower neighbour is the row j of 1..n-1; the weight may leave 0..1 at the ends.
-    target = (F.col("n") + 1) * p
-    j = F.greatest(F.lit(1), F.least(F.floor(target), F.col("n") - 1))
-    first = F.col("upto") - F.col("c") + 1
-
-    def value_at(place: Column) -> Column:
-        return F.max(F.when((first <= place) & (F.col("upto") >= place), F.col("v")))
-
-    return placed.agg(
-        F.min("v").alias("min_score"), F.percentile("v", 0.5, F.col("c")).alias("median_score"),
-        F.percentile("v", p, F.col("c")).alias("p95_inclusive"), F.max("v").alias("max_score"),
-        (value_at(j) + (value_at(j + 1) - value_at(j)) * F.max(target - j)).alias("p95_exclusive"),
+    median, within, beyond = quantiles.quantiles(
+        items, F.col(col), [(quantiles.inclusive, 0.5), (quantiles.inclusive, p), (quantiles.exclusive, p)]
+    )
+    return items.agg(F.min(col).alias("min_score"), F.max(col).alias("max_score")).select(
+        "min_score", F.lit(median).cast("double").alias("median_score"), F.lit(within).cast("double").alias("p95_inclusive"),
+        "max_score", F.lit(beyond).cast("double").alias("p95_exclusive"),
     )

@@ -23,20 +23,30 @@ def row_block(number: str) -> Column:
     return F.floor(F.col(number) / BLOCK_ROWS)
 
 
-def _plain(keys: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(*order)
+def blocked(df: DataFrame, keys: Sequence[str], block: Column) -> DataFrame:
+    """``df`` with ``__block``, written once: the blocks' summaries and their rows are read from it."""
+    return cut_lineage(df.withColumn(_BLOCK, block))
+
+
+def _carried(rows: DataFrame, keys: Sequence[str], per_block: DataFrame, carry: Column) -> DataFrame:
+    """Add ``__carry``: what other blocks of the group hand over.
+
+    Groups of one block, as most are, get none, so the joined side is short or empty.
+    """
+    named = [*keys, _BLOCK]
+    handed = per_block.select(*[F.col(c).alias(f"__of_{c}") for c in named], carry.alias("__carry")).filter("__carry IS NOT NULL")
+    same = [rows[c].eqNullSafe(handed[f"__of_{c}"]) for c in named]
+    return rows.join(handed, same, "left").drop(*[f"__of_{c}" for c in named])
 
 
 def _with_carry(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
-    summary: Column, over_blocks: Column,
+    df: DataFrame, keys: Sequence[str], block: Column, summary: Column, over_blocks: Column,
 ) -> DataFrame:
-    """Add ``__block`` and ``__carry``: what the earlier blocks of the group hand over."""
-    blocked = df.withColumn(_BLOCK, block)
-    per_block = blocked.groupBy(*keys, _BLOCK).agg(summary.alias("__summary"))
+    """Rows in blocks, with what the earlier blocks of the group hand over."""
+    rows = blocked(df, keys, block)
+    per_block = rows.groupBy(*keys, _BLOCK).agg(summary.alias("__summary"))
     before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_block.select(*keys, _BLOCK, over_blocks.over(before).alias("__carry"))
-    return blocked.join(carried, [*keys, _BLOCK], "left")
+    return _carried(rows, keys, per_block, over_blocks.over(before))
 
 
 def _inside(keys: Sequence[str], order: Sequence[str]):
@@ -44,14 +54,11 @@ def _inside(keys: Sequence[str], order: Sequence[str]):
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row of its group."""
-    if block is None:
-        upto = _plain(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.sum(value).over(upto))
     valued = df.withColumn("__value", value)
-    out = _with_carry(valued, keys, order, block, F.sum("__value"), F.sum("__summary"))
+    out = _with_carry(valued, keys, block, F.sum("__value"), F.sum("__summary"))
     inside = F.sum("__value").over(_inside(keys, order).rowsBetween(Window.unboundedPreceding, 0))
     return out.withColumn(name, inside + F.coalesce("__carry", F.lit(0))).drop(
         "__value", "__carry", _BLOCK
@@ -59,15 +66,12 @@ def running_sum(
 
 
 def last_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
 ) -> DataFrame:
     """Latest non-null ``value`` at or above each row of its group."""
-    if block is None:
-        upto = _plain(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.last(value, ignorenulls=True).over(upto))
     valued = df.withColumn("__value", value)
     newest = F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(*order)))
-    out = _with_carry(valued, keys, order, block, newest, F.last("__summary", ignorenulls=True))
+    out = _with_carry(valued, keys, block, newest, F.last("__summary", ignorenulls=True))
     inside = F.last("__value", ignorenulls=True).over(
         _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -75,16 +79,11 @@ def last_value(
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
 ) -> DataFrame:
     """``value`` of the row before, NULL on the first row of a group."""
-    if block is None:
-        return df.withColumn(name, F.lag(value).over(_plain(keys, order)))
     valued = df.withColumn("__value", value)
-    out = _with_carry(
-        valued, keys, order, block,
-        F.max_by("__value", F.struct(*order)), F.last("__summary"),
-    )
+    out = _with_carry(valued, keys, block, F.max_by("__value", F.struct(*order)), F.last("__summary"))
     inside = _inside(keys, order)
     lagged = F.when(F.row_number().over(inside) == 1, F.col("__carry")).otherwise(
         F.lag("__value").over(inside)
@@ -93,22 +92,27 @@ def previous_value(
 
 
 def next_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column | None, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
 ) -> DataFrame:
     """``value`` of the row after, NULL on the last row of a group."""
-    if block is None:
-        return df.withColumn(name, F.lead(value).over(_plain(keys, order)))
-    blocked = df.withColumn("__value", value).withColumn(_BLOCK, block)
-    per_block = blocked.groupBy(*keys, _BLOCK).agg(
-        F.min_by("__value", F.struct(*order)).alias("__summary")
-    )
+    rows = blocked(df.withColumn("__value", value), keys, block)
+    per_block = rows.groupBy(*keys, _BLOCK).agg(F.min_by("__value", F.struct(*order)).alias("__summary"))
     over = Window.partitionBy(*keys).orderBy(_BLOCK)
-    carried = per_block.select(*keys, _BLOCK, F.lead("__summary").over(over).alias("__carry"))
-    out = blocked.join(carried, [*keys, _BLOCK], "left")
-    led = F.coalesce(F.lead("__value").over(_inside(keys, order)), "__carry")
+    out = _carried(rows, keys, per_block, F.lead("__summary").over(over))
+    inside = _inside(keys, order)
+    led = F.when(F.lead(F.lit(1)).over(inside).isNull(), F.col("__carry")).otherwise(F.lead("__value").over(inside))
     return out.withColumn(name, led).drop("__value", "__carry", _BLOCK)
 
 
+def in_even_blocks(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Rows numbered in a total order, and blocks of at most ``BLOCK_ROWS`` of them, whatever the keys are.
+
+    The order begins with the keys. Its range partitions follow a sample, so rows of one key and one
+    moment, however many, are spread over tasks, and the blocks are cut at row numbers.
+    """
+    return numbered(df, order, "__row"), row_block("__row")
+
+
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
     """Number all rows from 0 in a total order without a one-task window.
 

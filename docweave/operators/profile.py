@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import ids, values
-from docweave.operators import prefix, restarts
+from docweave.operators import prefix, quantiles, restarts
+from docweave.session import cut_lineage
 
 # Statuses of documents whose objects are kept.
 LIVE_STATUSES = ("INDEXED", "PARSED", "PENDING", "SKIPPED", "FAILED")
@@ -16,9 +17,6 @@ REASON_UNKNOWN = "doc_state 에 없음"
 NO_BODY = "NO_BODY_EXTRACTOR"
 PROBLEM_STATUSES = ("SPLIT_QUEUED", "DLQ", "FAILED")
 
-# How far apart the rows of one time block may lie in the ordered log computations.
-BLOCK = "1 hour"
-
 
 # --- Objects without a document ------------------------------------------------------
 
@@ -78,12 +76,13 @@ def parse_summary(runs: DataFrame) -> DataFrame:
     """One row over a quality table with ok, triggered and ms."""
     ok = F.col("ok")
     ms = F.when(ok, F.col("ms"))
+    (median,) = quantiles.quantiles(runs, ms, [(quantiles.inclusive, 0.5)])
     return runs.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("ok"), F.count_if(~ok).alias("fail"),
         F.count_if(ok & ~F.col("triggered")).alias("gate_pass"),
         F.count_if(ok & F.col("triggered")).alias("gate_soft_fail"),
         F.round(F.avg(ms), 1).alias("ms_avg"), F.round(F.sum(ms), 1).alias("ms_sum"),
-        F.round(F.percentile(ms, 0.5), 1).alias("ms_p50"), F.round(F.max(ms), 1).alias("ms_max"),
+        F.round(F.lit(median).cast("double"), 1).alias("ms_p50"), F.round(F.max(ms), 1).alias("ms_max"),
     )
 
 
@@ -94,9 +93,10 @@ def conversion_failures(runs: DataFrame) -> DataFrame:
 
 def conversion_sizes(runs: DataFrame) -> DataFrame:
     size = F.when(F.col("error").isNull(), F.length("markdown"))
+    (median,) = quantiles.quantiles(runs, size, [(quantiles.inclusive, 0.5)])
     return runs.agg(
         F.count(size).alias("converted"), F.count("error").alias("failed"), F.min(size).alias("min_chars"),
-        F.percentile(size, 0.5).alias("median_chars"), F.max(size).alias("max_chars"),
+        F.lit(median).cast("double").alias("median_chars"), F.max(size).alias("max_chars"),
     )
 
 
@@ -137,10 +137,11 @@ def hygiene(state: DataFrame, copy_pattern: str, draft_pattern: str) -> DataFram
 def bundle_sizes(state: DataFrame) -> DataFrame:
     """Files per bundle of the indexed documents."""
     live = state.filter((F.col("status") == "INDEXED") & (F.coalesce("bundle", F.lit("")) != ""))
-    files = live.groupBy("bundle").agg(F.count(F.lit(1)).alias("files"))
+    files = cut_lineage(live.groupBy("bundle").agg(F.count(F.lit(1)).alias("files")))
+    (median,) = quantiles.quantiles(files, F.col("files"), [(quantiles.inclusive, 0.5)])
     return files.agg(
         F.count(F.lit(1)).alias("bundles"), F.sum("files").alias("documents"), F.avg("files").alias("mean_files"),
-        F.percentile("files", 0.5).alias("median_files"), F.max("files").alias("max_files"),
+        F.lit(median).cast("double").alias("median_files"), F.max("files").alias("max_files"),
         (F.count_if(F.col("files") >= 2) / F.count(F.lit(1))).alias("share_of_two_or_more"),
     )
 
@@ -175,22 +176,19 @@ def repeat_profile(calls: DataFrame) -> DataFrame:
     )
 
 
-def _time_block(ts: str = "ts") -> Column:
-    return F.date_trunc("hour", F.col(ts))
-
-
 def query_bursts(calls: DataFrame, gap_seconds: int) -> DataFrame:
     """(query_text, started, ended, calls) of runs of one query with no longer gap in them.
 
-    Gaps are found hour by hour, so one query may make up most of the log.
+    Gaps are found in blocks of rows, so one query, in one hour, may make up most of the log.
     """
     keys, order = ["query_text"], ["ts", "event_id"]
-    before = prefix.previous_value(calls, keys, order, F.col("ts"), _time_block(), "before")
+    rows, block = prefix.in_even_blocks(calls, [*keys, *order])
+    before = prefix.previous_value(rows, keys, order, F.col("ts"), block, "before")
     opens = F.coalesce(
         F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("before").cast("timestamp"))
         > gap_seconds * 1_000_000, F.lit(True),
     )
-    numbered = prefix.running_sum(before, keys, order, opens.cast("int"), _time_block(), "burst")
+    numbered = prefix.running_sum(before, keys, order, opens.cast("int"), block, "burst")
     return numbered.groupBy("query_text", "burst").agg(
         F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count(F.lit(1)).alias("calls")
     )
@@ -202,7 +200,8 @@ def answered_calls(calls: DataFrame, keys: list[str], ttl_seconds: int, order: t
     The time runs from the answer, not from the last repeat.
     """
     ts = order[0]
-    placed = prefix.running_sum(calls, keys, list(order), F.lit(1), _time_block(ts), "__place")
+    rows, block = prefix.in_even_blocks(calls, [*keys, *order])
+    placed = prefix.running_sum(rows, keys, list(order), F.lit(1), block, "__place").drop("__row")
     timed = placed.withColumn("__position", (F.col("__place") - 1).cast("bigint")).withColumn(
         "__micros", F.unix_micros(F.col(ts).cast("timestamp"))
     ).drop("__place")
@@ -213,7 +212,9 @@ def answered_calls(calls: DataFrame, keys: list[str], ttl_seconds: int, order: t
 
 def silent_periods(events: DataFrame, keys: list[str], limit_seconds: int) -> DataFrame:
     """(keys, since, until) of gaps between successive events that are longer than the limit."""
-    after = prefix.next_value(events, keys, ["ts", "event_id"], F.col("ts"), _time_block(), "until")
+    order = ["ts", "event_id"]
+    rows, block = prefix.in_even_blocks(events, [*keys, *order])
+    after = prefix.next_value(rows, keys, order, F.col("ts"), block, "until")
     gap = F.unix_micros(F.col("until").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
     return after.filter(gap > limit_seconds * 1_000_000).select(*keys, F.col("ts").alias("since"), "until")
 

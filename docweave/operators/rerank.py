@@ -1,6 +1,6 @@
 """Lexical re-ranking of the candidates of each query.
 
-A query has at most ``fetch_max`` candidates, so every window here is over a short group.
+A query has the ``fetch_k`` candidates its caller asked for, so every window here is over a short group.
 """
 
 from __future__ import annotations
@@ -13,34 +13,27 @@ from docweave.functions import lexical
 SCORE_DIGITS = 9
 
 
-def candidate_tokens(candidates: DataFrame) -> DataFrame:
-    """(query_id, chunk_id, length, tokens); the length of a text without tokens is 1."""
-    return candidates.select(
-        "query_id", "chunk_id", lexical.tokens(F.col("text")).alias("tokens")
-    ).withColumn("length", F.greatest(F.size("tokens"), F.lit(1)))
-
-
 def term_statistics(candidates: DataFrame, queries: DataFrame) -> DataFrame:
     """Query terms met in candidates: tf, the query's df, n and mean length.
 
-    Token counts are summed before they are joined, so a text sends one row for each of its
-    distinct tokens.
+    A candidate meets its query's distinct terms as one array and counts them inside the row, so only
+    terms that occur become rows; the length of a text without tokens is 1.
     """
-    tokens = candidate_tokens(candidates)
-    in_query = Window.partitionBy("query_id")
-    sized = tokens.withColumn("n", F.count(F.lit(1)).over(in_query)).withColumn(
-        "mean_length", F.avg("length").over(in_query)
-    )
-    counts = (
-        sized.select("query_id", "chunk_id", "n", "length", "mean_length", F.explode("tokens").alias("term"))
-        .groupBy("query_id", "chunk_id", "n", "length", "mean_length", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    asked = queries.select(
-        "query_id", F.explode(F.array_distinct(lexical.tokens(F.col("query_text")))).alias("term")
+    asked = queries.select("query_id", F.array_distinct(lexical.tokens(F.col("query_text"))).alias("terms"))
+    held = candidates.select("query_id", "chunk_id", lexical.tokens(F.col("text")).alias("tokens"))
+    met = held.join(asked, "query_id", "left").select(
+        "query_id", "chunk_id", F.greatest(F.size("tokens"), F.lit(1)).alias("length"),
+        F.filter("tokens", lambda t: F.array_contains("terms", t)).alias("hits"),
     )
+    in_query = Window.partitionBy("query_id")
+    sized = met.withColumn("n", F.count(F.lit(1)).over(in_query)).withColumn("mean_length", F.avg("length").over(in_query))
+    counted = F.transform(F.array_distinct("hits"), lambda t: F.struct(
+        t.alias("term"), F.size(F.filter("hits", lambda h: h == t)).cast("bigint").alias("tf")
+    ))
     in_term = Window.partitionBy("query_id", "term")
-    return counts.join(asked, ["query_id", "term"]).withColumn("df", F.count(F.lit(1)).over(in_term))
+    return sized.select("query_id", "chunk_id", "n", "length", "mean_length", F.inline(counted)).withColumn(
+        "df", F.count(F.lit(1)).over(in_term)
+    )
 
 
 def bm25_scores(candidates: DataFrame, queries: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
 """Nearest chunks of many queries at once.
 
-The exact answer needs every query measured against every chunk, so what counts is that the
-chunks are read once where they lie and that no pair leaves a task. Each task multiplies its
-Arrow batches of chunk vectors with the query vectors and keeps the best ``fetch_k`` of every
-query; only those rows are shuffled. Query vectors are broadcast up to a checked number. A
-larger batch is cut into blocks that meet blocks of chunks in a shuffle.
+Blocks of queries stream past the chunks where they lie: each block, of bounded size, is broadcast, and no
+chunk vector is ever shuffled. A task groups its chunk vectors around pivots. On unit vectors the distance
+to a pivot and the group's radius bound, by the triangle inequality, how near a query can come to any
+member, so a group is multiplied only with the queries whose best list it may still enter. A task keeps the
+best ``fetch_k`` of each query; these short lists are shuffled and merged in two levels.
 """
 
 from __future__ import annotations
@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.options import SearchOptions
+from docweave.session import cut_lineage
 
 DISTANCE_DIGITS = 6
 _PRODUCT_CELLS = 4_000_000
+PIVOT_ROWS = 256  # about so many vectors share a pivot
+_MARGIN = 2e-6  # rounding of a distance and of its bound
+MERGE_LISTS = 64  # lists of a query met by the first level of the merge
 
 
 class _Best:
@@ -66,21 +70,48 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat.reshape(count, -1 if count else 0), valid
 
 
-def _measure(best: _Best, queries: np.ndarray, chunks: np.ndarray, ids: np.ndarray, threshold: float) -> None:
-    """Fold one batch of chunk vectors into ``best``."""
+def pivot_groups(unit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Rows of each group, its pivot and its radius. Pivots are rows far apart from each other."""
+    count = max(1, len(unit) // PIVOT_ROWS)
+    nearest = np.full(len(unit), np.inf)
+    owner = np.zeros(len(unit), dtype=np.int64)
+    row = 0
+    for number in range(count):
+        squared = np.maximum(2.0 - 2.0 * (unit @ unit[row]), 0.0)
+        closer = squared < nearest
+        owner[closer], nearest[closer] = number, squared[closer]
+        row = int(np.argmax(nearest))
+    groups = []
+    for number in np.unique(owner):
+        rows = np.flatnonzero(owner == number)
+        pivot = unit[rows].mean(axis=0)
+        groups.append((rows, pivot, float(np.linalg.norm(unit[rows] - pivot, axis=1).max())))
+    return groups
+
+
+def _measure(best: _Best, queries: np.ndarray, chunks: np.ndarray, ids: np.ndarray, threshold: float) -> int:
+    """Fold one batch of chunk vectors into ``best``; the number of products that bounds did not spare."""
     unit = _unit_rows(chunks)
-    step = max(1, _PRODUCT_CELLS // max(1, len(ids)))
-    for lo in range(0, len(queries), step):
-        hi = min(lo + step, len(queries))
-        distance = np.abs(np.round(1.0 - queries[lo:hi] @ unit.T, DISTANCE_DIGITS))  # no minus zero
-        distance[np.isnan(distance)] = np.inf
-        limit = np.minimum(best.bound[lo:hi], threshold)
-        widest = int(best.keep[lo:hi].max())
-        if distance.shape[1] > widest:
-            limit = np.minimum(limit, np.partition(distance, widest - 1, axis=1)[:, widest - 1])
-        rows, cols = np.nonzero((distance <= limit[:, None]) & np.isfinite(distance))
-        if len(rows):
-            best.add(rows + lo, distance[rows, cols], ids[cols])
+    sound = np.isfinite(unit).all(axis=1)
+    unit, ids = unit[sound], ids[sound]
+    products = 0
+    for rows, pivot, radius in pivot_groups(unit) if len(unit) else ():
+        gap = np.maximum(np.linalg.norm(queries - pivot, axis=1) - radius, 0.0)
+        # One minus the cosine is half the squared distance.
+        near = np.flatnonzero(gap * gap / 2 <= np.minimum(best.bound, threshold) + _MARGIN)
+        step = max(1, _PRODUCT_CELLS // len(rows))
+        for lo in range(0, len(near), step):
+            some = near[lo:lo + step]
+            distance = np.abs(np.round(1.0 - queries[some] @ unit[rows].T, DISTANCE_DIGITS))  # no minus zero
+            products += distance.size
+            limit = np.minimum(best.bound[some], threshold)
+            widest = int(best.keep[some].max())
+            if distance.shape[1] > widest:
+                limit = np.minimum(limit, np.partition(distance, widest - 1, axis=1)[:, widest - 1])
+            i, j = np.nonzero(distance <= limit[:, None])
+            if len(i):
+                best.add(some[i], distance[i, j], ids[rows[j]])
+    return products
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -95,30 +126,49 @@ def nearest_chunks(queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -
     ``queries`` has query_id, embedding and, where it varies, fetch_k; ``chunks`` has chunk_id
     and embedding. The distance is one minus the cosine, rounded to six digits.
     """
-    return _nearest(queries, chunks, opts)[0]
+    if "fetch_k" not in queries.columns:
+        queries = queries.withColumn("fetch_k", F.lit(opts.fetch_k(None)))
+    queries = queries.select("query_id", "embedding", F.col("fetch_k").cast("int"))
+    chunks = chunks.select("chunk_id", "embedding")
+    found = None
+    for block in query_blocks(queries, opts.query_block_rows):
+        near = _merged(_against(block, queries, chunks, opts))
+        found = near if found is None else found.unionByName(near)
+    return found
 
 
 def with_chunk_fields(queries: DataFrame, chunks: DataFrame, fields: list[str], opts: SearchOptions) -> DataFrame:
     """The nearest chunks with more of their fields, read for the kept rows only.
 
-    Up to the checked number of queries the kept rows are at most that times ``fetch_max`` short
-    rows; they are broadcast, and the texts are scanned where they lie.
+    The kept rows are short and written first, so that the planner knows their size and lets the texts
+    stay where they lie if it is small.
     """
-    near, bounded = _nearest(queries, chunks, opts)
-    return chunks.select("chunk_id", *fields).join(F.broadcast(near) if bounded else near, "chunk_id")
-
-
-def _nearest(queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -> tuple[DataFrame, bool]:
-    if "fetch_k" not in queries.columns:
-        queries = queries.withColumn("fetch_k", F.lit(opts.fetch_k(None)))
-    queries = queries.select("query_id", "embedding", F.col("fetch_k").cast("int"))
-    chunks = chunks.select("chunk_id", "embedding")
-    head = queries.limit(opts.broadcast_query_limit + 1).toArrow()
-    fits = head.num_rows <= opts.broadcast_query_limit
-    local = _against_broadcast(head, queries, chunks, opts) if fits else _in_blocks(queries, chunks, opts)
-    order = Window.partitionBy("query_id").orderBy("distance", "chunk_id")
-    ranked = local.withColumn("vec_rank", F.row_number().over(order) - 1)
-    return ranked.filter(F.col("vec_rank") < F.col("fetch_k")).drop("fetch_k"), fits
+    near = cut_lineage(nearest_chunks(queries, chunks, opts))
+    return chunks.select("chunk_id", *fields).join(near, "chunk_id")
+
+
+def query_blocks(queries: DataFrame, rows: int) -> Iterator[pa.Table]:
+    """Queries in blocks of about ``rows``, even by hash; a batch that fits is one block."""
+    head = queries.limit(rows + 1).toArrow()
+    if head.num_rows <= rows:
+        yield head
+        return
+    kept = cut_lineage(queries)
+    blocks = -(-kept.count() // rows)
+    for number in range(blocks):
+        yield kept.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number).toArrow()
+
+
+def _merged(lists: DataFrame) -> DataFrame:
+    """The first ``fetch_k`` of all lists of a query, in two levels so that no task meets all of them."""
+    order = ("distance", "chunk_id")
+    some = Window.partitionBy("query_id", "__some").orderBy(*order)
+    every = Window.partitionBy("query_id").orderBy(*order)
+    first = lists.withColumn("__some", F.floor(F.spark_partition_id() / MERGE_LISTS)).withColumn(
+        "__rank", F.row_number().over(some)
+    ).filter(F.col("__rank") <= F.col("fetch_k")).drop("__some", "__rank")
+    ranked = first.withColumn("vec_rank", F.row_number().over(every) - 1)
+    return ranked.filter(F.col("vec_rank") < F.col("fetch_k")).drop("fetch_k")
 
 
 def _result_schema(queries: DataFrame, chunks: DataFrame) -> T.StructType:
@@ -154,7 +204,8 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return pa.string() if isinstance(kind, T.StringType) else pa.int64()
 
 
-def _against_broadcast(head: pa.Table, queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -> DataFrame:
+def _against(head: pa.Table, queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -> DataFrame:
+    """The lists of a block of queries, one for each task over the chunks."""
     schema = _result_schema(queries, chunks)
     id_types = (_arrow_type(schema["query_id"].dataType), _arrow_type(schema["chunk_id"].dataType))
     table = head.combine_chunks()
@@ -178,38 +229,3 @@ def _against_broadcast(head: pa.Table, queries: DataFrame, chunks: DataFrame, op
             yield _emit(best, query_ids, id_types)
 
     return chunks.mapInArrow(scan, schema)
-
-
-def _in_blocks(queries: DataFrame, chunks: DataFrame, opts: SearchOptions) -> DataFrame:
-    """Blocks of queries meet blocks of chunks; a task holds one of each."""
-    schema = _result_schema(queries, chunks)
-    id_types = (_arrow_type(schema["query_id"].dataType), _arrow_type(schema["chunk_id"].dataType))
-    query_blocks = -(-queries.count() // opts.query_block_rows)
-    chunk_blocks = max(1, -(-chunks.count() // opts.chunk_block_rows))
-
-    def spread(df: DataFrame, key: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_blocks))).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
-        )
-
-    q = spread(queries, "query_id", "__qb", query_blocks, "__cb", chunk_blocks)
-    c = spread(chunks, "chunk_id", "__cb", chunk_blocks, "__qb", query_blocks)
-    threshold = _threshold(opts)
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        matrix, valid = _matrix(left["embedding"].combine_chunks())
-        query_ids = _ids(left["query_id"].combine_chunks())[valid]
-        best = _Best(left["fetch_k"].to_numpy()[valid])
-        vectors, present = _matrix(right["embedding"].combine_chunks())
-        if len(query_ids) and len(vectors):
-            chunk_ids = _ids(right["chunk_id"].combine_chunks())[present]
-            units = _unit_rows(matrix)
-            for lo in range(0, len(vectors), 10_000):
-                part = slice(lo, lo + 10_000)
-                _measure(best, units, vectors[part], chunk_ids[part], threshold)
-        return pa.Table.from_batches([_emit(best, query_ids, id_types)])
-
-    keys = [F.col("__qb").cast("bigint").alias("__qb"), F.col("__cb").cast("bigint").alias("__cb")]
-    q = q.select("query_id", "embedding", "fetch_k", *keys)
-    c = c.select("chunk_id", "embedding", *keys)
-    return q.groupBy("__qb", "__cb").cogroup(c.groupBy("__qb", "__cb")).applyInArrow(meet, schema)

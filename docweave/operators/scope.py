@@ -1,60 +1,111 @@
 """Folder scope, audience and paths over a folder graph.
 
-Folders are an edge table (folder_id, parent_id, name): a row for each parent, the parent NULL
-at a root. Both walks below are joins in rounds; every round ends in a checkpoint.
+Folders are an edge table (folder_id, parent_id, name): a row for each parent, the parent NULL at a
+root, ``parent_no`` the place of a parent in its list. What a file needs to know of the graph is in its
+closure, one row for each folder and ancestor. It is built by doubling the paths, in as many joins as the
+logarithm of the depth, may be stored, and is changed only below the folders that moved; scope, audience
+and paths of a page of files are then one join each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import paths
 from docweave.functions.text import blank_to_null
 from docweave.session import cut_lineage
 
-SYNC, STUDENT, UNKNOWN = "sync", "student", "unknown"
+CLOSURE = ("folder_id", "ancestor_id", "distance", "first_distance", "known")
 
 
-def roots_frame(spark: SparkSession, labelled: dict[str, tuple[str, ...]]) -> DataFrame:
-    rows = [(folder, label) for label, folders in labelled.items() for folder in folders if folder]
-    return spark.createDataFrame(rows, "folder_id string, label string")
+def _edges(folders: DataFrame) -> DataFrame:
+    """Each folder's parents once; ``first`` marks the one listed first, else the least."""
+    named = folders.withColumn("parent_id", blank_to_null(F.col("parent_id"))).filter("parent_id IS NOT NULL")
+    place = F.col("parent_no") if "parent_no" in folders.columns else F.lit(0)
+    placed = named.groupBy("folder_id", "parent_id").agg(F.min(place).alias("place"))
+    first = placed.groupBy("folder_id").agg(F.min(F.struct("place", "parent_id"))["parent_id"].alias("first_parent"))
+    return placed.join(first, "folder_id").select(
+        "folder_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("distance"),
+        F.when(F.col("parent_id") == F.col("first_parent"), 1).alias("first_distance"),
+    )
 
 
-def labelled_descendants(folders: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(folder_id, label) for every folder at or below a seed of that label.
+def _extended(lower: DataFrame, upper: DataFrame) -> DataFrame:
+    """Paths that go on where others begin."""
+    after = upper.select(
+        F.col("folder_id").alias("ancestor_id"), F.col("ancestor_id").alias("top"), F.col("distance").alias("more"),
+        F.col("first_distance").alias("first_more"),
+    )
+    return lower.join(after, "ancestor_id").filter("folder_id <> top").select(
+        "folder_id", F.col("top").alias("ancestor_id"), (F.col("distance") + F.col("more")).alias("distance"),
+        (F.col("first_distance") + F.col("first_more")).alias("first_distance"),
+    )
 
-    All labels walk down together, one join a level. A folder reached again, by a second parent
-    or a cycle, is dropped by the anti join.
-    """
-    edges = folders.filter(F.col("parent_id").isNotNull()).select(
-        F.col("folder_id").alias("child"), F.col("parent_id").alias("folder_id")
+
+def _shortest(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("folder_id", "ancestor_id").agg(
+        F.min("distance").alias("distance"), F.min("first_distance").alias("first_distance")
     )
-    reached = frontier = cut_lineage(seeds.select("folder_id", "label").distinct())
+
+
+def _doubled(edges: DataFrame) -> DataFrame:
+    """All ancestors along ``edges``. Round ``i`` finds the paths of up to ``2 ** i`` steps; cycles end there."""
+    pairs, found = cut_lineage(edges.filter("folder_id <> ancestor_id")), None
     while True:
-        below = edges.join(frontier, "folder_id").select(F.col("child").alias("folder_id"), "label")
-        frontier = cut_lineage(below.distinct().join(reached, ["folder_id", "label"], "left_anti"))
-        if frontier.isEmpty():
-            return reached
-        reached = reached.unionByName(frontier)
+        counts = pairs.agg(F.count(F.lit(1)), F.count("first_distance")).first()
+        if counts == found:
+            return pairs
+        found = counts
+        pairs = cut_lineage(_shortest(pairs.unionByName(_extended(pairs, pairs))))
 
 
-def missing_parents(folders: DataFrame, file_parents: DataFrame, known: DataFrame) -> DataFrame:
-    """Parents that files or folders name but that the folder table lacks, allowlisted ones aside."""
-    named = folders.select(F.col("parent_id").alias("folder_id")).unionByName(
-        file_parents.select(F.col("parent_id").alias("folder_id"))
-    )
-    return (
-        named.filter(blank_to_null(F.col("folder_id")).isNotNull())
-        .distinct()
-        .join(folders.select("folder_id"), "folder_id", "left_anti")
-        .join(known.select("folder_id"), "folder_id", "left_anti")
+def _with_known(pairs: DataFrame, folders: DataFrame) -> DataFrame:
+    ids = folders.select(F.col("folder_id").alias("ancestor_id"), F.lit(True).alias("known")).distinct()
+    return pairs.join(ids, "ancestor_id", "left").withColumn("known", F.coalesce("known", F.lit(False))).select(*CLOSURE)
+
+
+def _themselves(folders: DataFrame) -> DataFrame:
+    return folders.select("folder_id").distinct().select(
+        "folder_id", F.col("folder_id").alias("ancestor_id"), F.lit(0).alias("distance"), F.lit(0).alias("first_distance"),
+        F.lit(True).alias("known"),
     )
 
 
+def folder_closure(folders: DataFrame) -> DataFrame:
+    """(folder_id, ancestor_id, distance, first_distance, known), each folder its own ancestor at 0.
+
+    ``first_distance`` counts the steps along first parents, NULL off that chain; ``known`` is false
+    for an ancestor that the folder table lacks.
+    """
+    return cut_lineage(_with_known(_doubled(_edges(folders)), folders).unionByName(_themselves(folders)))
+
+
+def moved_closure(closure: DataFrame, folders: DataFrame, moved: DataFrame) -> DataFrame:
+    """The closure after the folders in ``moved`` (folder_id) were added, removed or given other parents.
+
+    Only folders at or below a moved one are worked on: paths among them, and from where they leave
+    them the stored ancestors. ``folders`` is the table after the moves.
+    """
+    ids = moved.select("folder_id").distinct()
+    below = closure.join(ids.withColumnRenamed("folder_id", "ancestor_id"), "ancestor_id", "left_semi").select("folder_id")
+    touched = cut_lineage(below.unionByName(ids).distinct())
+    kept = closure.join(touched, "folder_id", "left_anti")
+    there = folders.join(touched, "folder_id", "left_semi")
+    inside = _doubled(_edges(there))
+    outward = _extended(inside, kept.filter("distance > 0"))
+    renewed = _with_known(_shortest(inside.unionByName(outward)), folders).unionByName(_themselves(there))
+    return cut_lineage(kept.unionByName(renewed))
+
+
+def _among(column: Column, ids: tuple[str, ...]) -> Column:
+    named = [i for i in ids if i]
+    return F.coalesce(column.isin(*named), F.lit(False)) if named else F.lit(False)
+
+
 def resolve_scope(
     files: DataFrame, folders: DataFrame, sync_roots: tuple[str, ...],
-    student_roots: tuple[str, ...] = (),
+    student_roots: tuple[str, ...] = (), closure: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file: ``scope`` (IN, OUT or UNKNOWN) and ``audience``.
 
@@ -62,79 +113,60 @@ def resolve_scope(
     all files are in scope. A file outside the roots with a parent that could not be looked up
     is UNKNOWN, which must stop a commit; for the audience the same doubt means STAFF.
     """
-    spark = files.sparkSession
-    roots = roots_frame(spark, {SYNC: sync_roots, STUDENT: student_roots})
-    parents = files.select("file_id", "parent_id")
-    missing = missing_parents(folders, parents, roots.filter(F.col("label") == SYNC))
-    seeds = roots.unionByName(missing.withColumn("label", F.lit(UNKNOWN)))
-    reached = labelled_descendants(folders, seeds)
-    flags = reached.groupBy(F.col("folder_id").alias("parent_id")).agg(
-        *[F.max(F.col("label") == label).alias(label) for label in (SYNC, STUDENT, UNKNOWN)]
+    closure = folder_closure(folders) if closure is None else closure
+    parent, ancestor = F.col("parent_id"), F.col("ancestor_id")
+    flags = closure.groupBy(F.col("folder_id").alias("parent_id")).agg(
+        F.max(_among(ancestor, sync_roots)).alias("sync"), F.max(_among(ancestor, student_roots)).alias("student"),
+        F.max(~F.col("known") & ~_among(ancestor, sync_roots)).alias("unknown"),
     )
-    def found(label: str):
-        return F.coalesce(F.col(label), F.lit(False))
-
-    def listed(ids: tuple[str, ...]):
-        return F.col("file_id").isin(*ids) if ids else F.lit(False)
-
-    per_file = parents.join(flags, "parent_id", "left").groupBy("file_id").agg(
-        F.max(found(SYNC)).alias(SYNC), F.max(found(STUDENT)).alias(STUDENT),
-        F.max(found(UNKNOWN)).alias(UNKNOWN),
+    lost = blank_to_null(parent).isNotNull() & ~_among(parent, sync_roots)
+    per_file = files.select("file_id", "parent_id").join(flags, "parent_id", "left").groupBy("file_id").agg(
+        F.max(F.coalesce("sync", _among(parent, sync_roots))).alias("sync"),
+        F.max(F.coalesce("student", _among(parent, student_roots))).alias("student"),
+        F.max(F.coalesce("unknown", lost)).alias("unknown"),
     )
-    in_scope = F.lit(True) if not sync_roots else F.col(SYNC) | listed(sync_roots)
+    in_scope = F.col("sync") | _among(F.col("file_id"), sync_roots) if sync_roots else F.lit(True)
     return per_file.select(
         "file_id",
-        F.when(in_scope, "IN").when(F.col(UNKNOWN), "UNKNOWN").otherwise("OUT").alias("scope"),
-        F.when(F.col(STUDENT) | listed(student_roots), "STUDENT").otherwise("STAFF").alias("audience"),
+        F.when(in_scope, "IN").when(F.col("unknown"), "UNKNOWN").otherwise("OUT").alias("scope"),
+        F.when(F.col("student") | _among(F.col("file_id"), student_roots), "STUDENT").otherwise("STAFF").alias("audience"),
     )
 
 
-def files_under(files: DataFrame, folders: DataFrame, roots: tuple[str, ...]) -> DataFrame:
+def files_under(
+    files: DataFrame, folders: DataFrame, roots: tuple[str, ...], closure: DataFrame | None = None
+) -> DataFrame:
     """Files whose parent lies at or below a root, each once."""
-    seeds = roots_frame(files.sparkSession, {SYNC: roots})
-    inside = labelled_descendants(folders, seeds).select(F.col("folder_id").alias("parent_id"))
-    return files.join(inside, "parent_id", "left_semi").dropDuplicates(["file_id"])
+    closure = folder_closure(folders) if closure is None else closure
+    inside = closure.filter(_among(F.col("ancestor_id"), roots)).select(F.col("folder_id").alias("parent_id")).distinct()
+    named = inside.withColumn("inside", F.lit(True))
+    held = F.coalesce("inside", _among(F.col("parent_id"), roots))
+    return files.join(named, "parent_id", "left").filter(held).drop("inside").dropDuplicates(["file_id"])
 
 
-def folder_chains(folders: DataFrame) -> DataFrame:
+def folder_chains(folders: DataFrame, wanted: DataFrame | None = None, closure: DataFrame | None = None) -> DataFrame:
     """(folder_id, names): names from the folder up along first parents, to the top.
 
-    Chains double in length each round, so a depth of 32 takes five joins. A chain that comes back
-    to a folder it holds is on a cycle; its first turn is kept and it is not followed further. A
-    folder without a name shows its id.
+    Only of the folders in ``wanted`` where given. A folder without a name shows its id; of several
+    names the least counts. A chain ends at a folder that the table lacks, or that it holds already.
     """
-    first = folders.groupBy("folder_id").agg(
-        F.min_by("parent_id", F.coalesce(F.col("parent_no"), F.lit(0))).alias("next")
-        if "parent_no" in folders.columns else F.min("parent_id").alias("next"),
-        F.first("name", ignorenulls=True).alias("name"),
-    )
-    shown = F.coalesce(blank_to_null(F.col("name")), F.col("folder_id"))
-    chains = cut_lineage(first.select(
-        "folder_id", F.array(F.struct(F.col("folder_id").alias("id"), shown.alias("name"))).alias("chain"), "next"
-    ))
-    while not chains.filter(F.col("next").isNotNull()).isEmpty():
-        upper = chains.select(
-            F.col("folder_id").alias("next"), F.col("chain").alias("upper"), F.col("next").alias("after")
-        )
-        done = chains.filter(F.col("next").isNull())
-        open_ = chains.filter(F.col("next").isNotNull()).join(upper, "next", "left").select(
-            "folder_id", F.concat("chain", F.coalesce("upper", F.array())).alias("chain"),
-            F.col("after").alias("next"),
-        )
-        seen = F.transform("chain", lambda c: c["id"])
-        turned = F.size(F.array_distinct(seen)) < F.size(seen)
-        chains = cut_lineage(done.unionByName(open_.withColumn("next", F.when(~turned, F.col("next")))))
-    ids = F.transform("chain", lambda c: c["id"])
-    once = F.filter("chain", lambda c, i: F.array_position(ids, c["id"]) == i + 1)
-    return chains.select("folder_id", F.transform(once, lambda c: c["name"]).alias("names"))
-
-
-def file_paths(files: DataFrame, folders: DataFrame) -> DataFrame:
+    closure = folder_closure(folders) if closure is None else closure
+    chain = closure.filter("known AND first_distance IS NOT NULL").select("folder_id", "ancestor_id", "first_distance")
+    if wanted is not None:
+        chain = chain.join(wanted.select("folder_id").distinct(), "folder_id", "left_semi")
+    names = folders.groupBy(F.col("folder_id").alias("ancestor_id")).agg(F.min(blank_to_null(F.col("name"))).alias("name"))
+    shown = chain.join(names, "ancestor_id").withColumn("name", F.coalesce("name", "ancestor_id"))
+    ordered = F.sort_array(F.collect_list(F.struct("first_distance", "name")))
+    return shown.groupBy("folder_id").agg(F.transform(ordered, lambda c: c["name"]).alias("names"))
+
+
+def file_paths(files: DataFrame, folders: DataFrame, closure: DataFrame | None = None) -> DataFrame:
     """Add path and bundle to files with (file_id, name, parent_id), the first parent's row.
 
     A file without a known parent keeps its name as path and has no bundle.
     """
-    chains = folder_chains(folders).withColumnRenamed("folder_id", "parent_id")
+    wanted = files.select(F.col("parent_id").alias("folder_id"))
+    chains = folder_chains(folders, wanted, closure).withColumnRenamed("folder_id", "parent_id")
     down = F.reverse(F.coalesce("names", F.array().cast("array<string>")))
     context = paths.path_context(down, F.coalesce(blank_to_null(F.col("name")), F.col("file_id")))
     return (

@@ -23,11 +23,8 @@ class SearchOptions:
     max_chunks_per_file: int | None = None
     max_total_chunks: int | None = None
     drive_id: str | None = None
-    # Up to this many query vectors are broadcast; a larger batch is shuffled in blocks.
-    broadcast_query_limit: int = 4096
-    # Block sizes of the shuffled form (rows held by one task).
-    query_block_rows: int = 16384
-    chunk_block_rows: int = 100_000
+    # Query vectors that pass the chunks in one broadcast block.
+    query_block_rows: int = 4096
 
     def clamp_top_k(self, top_k: int | None) -> int:
         k = max(1, top_k or self.top_k_default)

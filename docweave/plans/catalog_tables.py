@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import text
-from docweave.operators import chunking, gates, tables
+from docweave.operators import chunking, gates, html_tables, tables
 from docweave.plans.registry import query
 from docweave.session import cut_lineage
 from docweave.sources.views import Tables
@@ -54,6 +54,30 @@ def _(t: Tables):
     return tables.cells_of_rows(tables.dense_rows(tables.grid_rows(t.v_cells)))
 
 
+# The lists of a page, made tables: items span two rows and two columns, and a cell of the second row follows them.
+@query("html_grid", "T1", r"""
+WITH lists AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<ul>.*?</ul>')) AS body,
+    generate_subscripts(regexp_extract_all(html, '(?s)<ul>.*?</ul>'), 1) AS table_no FROM pages),
+items AS (SELECT page_id, table_no, list_transform(regexp_extract_all(body, '(?s)<li>(.*?)</li>', 1), lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(replace(regexp_replace(x, '(?s)<[^>]*>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&amp;', '&'), '\s+', ' ', 'g'))) AS t FROM lists),
+places AS (SELECT *, unnest(range(1, 2 * len(t) + 2)) AS col_no FROM items)
+SELECT page_id, table_no, r.row_no, CAST(col_no AS INTEGER) AS col_no, CASE WHEN col_no <= 2 * len(t) THEN CASE WHEN col_no % 2 = 1 THEN t[(col_no + 1) // 2] ELSE '' END
+  WHEN r.row_no = 2 THEN 'last & least' ELSE '' END AS cell_text FROM places, (SELECT unnest([1, 2]) AS row_no) r
+""")
+def _(t: Tables):
+    html = F.col("html")
+    for found, put in (
+        ("<ul>", '<TABLE title="a>b"><tr>'), ("</ul>", "<!-- <td>no</td> --></tr><tr><th>last\n &amp; least</table>"),
+        ("<li>", "<td rowspan='2' colspan=2>"), ("</li>", ""),
+    ):
+        html = F.replace(html, F.lit(found), F.lit(put))
+    cells, _ = html_tables.html_tables(t.pages.select("page_id", html.alias("html")))
+    grid = tables.cells_of_rows(tables.dense_rows(tables.grid_rows(cells)))
+    return grid.select(
+        F.shiftright("table_id", 24).alias("page_id"), (F.col("table_id") % (1 << 24)).alias("table_no"), "row_no", "col_no", "cell_text"
+    )
+
+
 @query("trimmed_grid", "T2", f"WITH {GRID} SELECT table_id, row_no, col_no, cell_text FROM trimmed")
 def _(t: Tables):
     return tables.cells_of_rows(trimmed_rows(t))

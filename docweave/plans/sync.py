@@ -32,20 +32,22 @@ def file_parents(changes: DataFrame) -> DataFrame:
 
 
 def plan_changes(
-    changes: DataFrame, state: DataFrame, folders: DataFrame, measures: DataFrame, opts: SyncOptions
+    changes: DataFrame, state: DataFrame, folders: DataFrame, measures: DataFrame, opts: SyncOptions,
+    closure: DataFrame | None = None,
 ) -> DataFrame:
     """The outcome of each file's last change: route, scope, audience, path, disposition, reason.
 
-    The plan, one row per changed file, is written to the checkpoint folder: everything that
+    ``closure`` is the stored one of ``folders``, built here where none is given. The plan, one row per changed file, is written to the checkpoint folder: everything that
     applies it reads it, so it must be computed once and stay the same.
     """
     latest = cut_lineage(routing.latest_changes(readers.has_file_id(changes)))
-    scopes = scope.resolve_scope(file_parents(latest), folders, opts.sync_roots, opts.student_roots)
+    closure = scope.folder_closure(folders) if closure is None else closure
+    scopes = scope.resolve_scope(file_parents(latest), folders, opts.sync_roots, opts.student_roots, closure)
     routed = routing.route_changes(latest, scopes.drop("audience"))
     placed = routed.join(scopes.select("file_id", "audience"), "file_id", "left")
     if "parent_id" not in placed.columns:
         placed = placed.withColumn("parent_id", F.get("parents", F.lit(0)))
-    placed = scope.file_paths(placed, folders)
+    placed = scope.file_paths(placed, folders, closure)
     known = [c for c in MEASURES if c in measures.columns]
     measured = placed.join(measures.select("file_id", *known), "file_id", "left")
     for name, kind in MEASURES.items():
@@ -55,13 +57,14 @@ def plan_changes(
 
 
 def snapshot_plan(
-    files: DataFrame, state: DataFrame, folders: DataFrame, measures: DataFrame, opts: SyncOptions
+    files: DataFrame, state: DataFrame, folders: DataFrame, measures: DataFrame, opts: SyncOptions,
+    closure: DataFrame | None = None,
 ) -> DataFrame:
     """The same plan for a full load: files in place and in scope, unsupported ones left out."""
     listed = readers.snapshot(files).withColumn("seq", F.lit(0).cast("bigint")).withColumn("removed", F.lit(False))
     if "web_view_link" not in listed.columns:
         listed = listed.withColumn("web_view_link", F.lit(None).cast("string"))
-    return routing.snapshot_rows(plan_changes(listed, state, folders, measures, opts))
+    return routing.snapshot_rows(plan_changes(listed, state, folders, measures, opts, closure))
 
 
 def with_cleanup(planned: DataFrame) -> DataFrame:

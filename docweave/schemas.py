@@ -46,6 +46,9 @@ SPLIT_QUEUE = _struct(
     modified_time=S, source_uri=S, path=S, bundle=S, parse_route=S,
 )
 OBJECT = _struct(bucket=S, name=S)
+INDEX = _struct(file_id=S, uri=S)
+# Tokens and cursors of jobs; the key is a job's or drive's name.
+CONTROL = _struct(file_id=S, value=S)
 GOLDEN = _struct(n=L, q=S, type=S, file_id=S, name=S, bundle=S, also_accept=STRINGS)
 LOG = _struct(
     event_id=L, ts=TS, service=S, severity=S, text_payload=S, json_message=S, status_message=S,

@@ -17,6 +17,9 @@ def build_session(app_name: str = "docweave", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Streams with timers or a time to live keep their state in it.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -39,6 +42,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back."""
+    """Write ``df`` to the reliable checkpoint folder and read it back.
+
+    The lineage ends there, so a lost executor repeats no work before it.
+    """
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -19,32 +19,66 @@ def _padded(prefix: str, col: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(_text(col), 8, "0"))
 
 
+# Passages of at least so many characters are met by aligned blocks of the given length.
+ALIGNED = ((79, 40), (19, 10))
+SHORT_WINDOW = 6
+
+
+def _blocks(text: str, size: int) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0)))
+
+
+def _windows(text: str, size: Column) -> Column:
+    """All windows of a text in order, overlapping ones too."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - size + 1))
+    return F.transform(starts, lambda i: F.substring(text, i, size))
+
+
+def _rarest(cut: DataFrame, own: DataFrame, passage: str, stride: Column) -> DataFrame:
+    """(passage, key): of each passage's windows the one that the fewest texts hold, for each residue.
+
+    ``own`` has passage and ``windows`` in order. Windows that no text holds find nothing.
+    """
+    keyed = own.select(passage, stride.alias("stride"), F.posexplode("windows").alias("at", "key"))
+    often = cut.join(keyed.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    least = F.min_by("key", F.struct(F.coalesce("often", F.lit(0)), "key")).alias("key")
+    return keyed.join(often, "key", "left").groupBy(passage, F.col("at") % F.col("stride")).agg(least).select(passage, "key").distinct()
+
+
 def containing(texts: DataFrame, text_id: str, text: str, passages: DataFrame, passage: str) -> DataFrame:
-    """Pairs of a text and a passage that occurs in it, by an equi-join on aligned blocks.
+    """Pairs of a text and a passage that occurs in it, by an equi-join on the passage's rarest windows.
 
-    A text is cut into adjacent blocks of ``s`` characters. An occurrence of a passage of at
-    least ``2s - 1`` characters covers one whole block, so that block equals one of the
-    passage's own windows of ``s``. Candidate pairs are then checked in full.
+    Texts are cut into adjacent blocks of ``s`` characters. An occurrence of a passage of at least
+    ``2s - 1`` characters covers one whole block wherever it begins, so for each of the ``s`` ways it can
+    lie, one window of the passage is a key: the one that the fewest texts hold as a block, by count.
+    Shorter passages have one key, their rarest window of up to six characters, among all windows of
+    the texts. Candidate pairs are then checked in full. Empty passages occur nowhere.
     """
     size = F.length(passage)
-    classes = ((40, size >= 79), (10, (size >= 19) & (size < 79)), (1, (size >= 1) & (size < 19)))
-    found = None
-    for stride, members in classes:
-        windows = F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(stride), F.length(passage) - stride + 1)),
-            lambda i: F.substring(passage, i, F.lit(stride)),
-        )
-        own = passages.filter(members)
-        if own.isEmpty():
-            continue
-        keys = own.withColumn("__key", F.explode(F.array_distinct(windows)))
-        blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
-        cut = texts.select(text_id, F.explode(F.array_distinct(blocks)).alias("__key"))
-        pairs = cut.join(keys, "__key").drop("__key").distinct()
+    distinct = passages.select(passage).filter(size > 0).distinct()
+    present = distinct.agg(F.max(size), F.min(size)).first()
+    found, below = None, (present[0] or 0) + 1
+    for least, stride in ALIGNED:
+        own = distinct.filter((size >= least) & (size < below))
+        if present[1] is not None and present[1] < below and present[0] >= least:
+            cut = texts.select(text_id, F.explode(_blocks(text, stride)).alias("key"))
+            keys = _rarest(cut, own.withColumn("windows", _windows(passage, F.lit(stride))), passage, F.lit(stride))
+            pairs = cut.join(keys, "key").select(text_id, passage)
+            found = pairs if found is None else found.unionByName(pairs)
+        below = least
+    short = distinct.filter(size < below)
+    if present[1] is not None and present[1] < below:
+        lengths = [r[0] for r in short.select(F.least(size, F.lit(SHORT_WINDOW))).distinct().collect()]
+        cut = texts.select(text_id, F.explode(F.array_distinct(F.flatten(F.array(*[
+            _windows(text, F.lit(n)) for n in sorted(lengths)
+        ])))).alias("key"))
+        windows = _windows(passage, F.least(size, F.lit(SHORT_WINDOW)))
+        pairs = cut.join(_rarest(cut, short.withColumn("windows", windows), passage, F.lit(1)), "key").select(text_id, passage)
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:  # only empty passages, or none
-        found = passages.filter(F.lit(False)).withColumn(text_id, F.lit(None).cast(texts.schema[text_id].dataType))
-    return found.join(texts.select(text_id, text), text_id).filter(F.contains(text, passage))
+        found = passages.filter(F.lit(False)).select(passage, F.lit(None).cast(texts.schema[text_id].dataType).alias(text_id))
+    met = found.distinct().join(texts.select(text_id, text), text_id).filter(F.contains(text, passage)).select(text_id, text, passage)
+    return passages.join(met, passage)
 
 
 class Tables:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docweave.operators import evaluate
+from docweave.sources import views
 from docweave.sources.views import containing
 
 
@@ -48,3 +49,20 @@ def test_containment_join(spark):
     right = spark.createDataFrame(list(enumerate(passages)), "item int, passage string")
     got = {(r.doc, r.item) for r in containing(left, "doc", "text", right, "passage").collect()}
     assert got == {(d, i) for d, t in enumerate(texts) for i, p in enumerate(passages) if p in t}
+
+
+def test_many_short_passages_have_rare_keys(spark):
+    """A key is the window of a passage that the fewest texts hold, so none of them meets all texts."""
+    rng = random.Random(6)
+    texts = ["common start " + "".join(rng.choices("abcdefgh ", k=rng.choice([30, 90]))) for _ in range(120)] + ["", None]
+    passages = [f"common {''.join(rng.choices('abcdefgh', k=5))}" for _ in range(9_900)]
+    passages += [t[i:i + n] for t in texts[:60] for i, n in ((3, 1), (14, 2), (20, 5), (11, 12), (13, 17), (0, 18))] + ["", None]
+    left = spark.createDataFrame(list(enumerate(texts)), "doc int, text string")
+    right = spark.createDataFrame(list(enumerate(passages)), "item int, passage string")
+    got = [(r.doc, r.item) for r in containing(left, "doc", "text", right, "passage").collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(d, i) for d, t in enumerate(texts) for i, p in enumerate(passages) if p and t and p in t}
+    cut = left.select("doc", F.explode(views._windows("text", F.lit(6))).alias("key"))
+    own = right.filter(F.length("passage") >= 6).distinct()
+    keys = views._rarest(cut, own.withColumn("windows", views._windows("passage", F.lit(6))), "passage", F.lit(1))
+    assert cut.join(keys, "key").groupBy("key").agg(F.count_distinct("doc").alias("n")).agg(F.max("n")).first()[0] < 60

@@ -1,16 +1,19 @@
 """Blocked ordered computations and folds against plain loops, with blocks of a few rows."""
 
 import random
+import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.operators import prefix, profile, recover, restarts
+from docweave.operators import evaluate, prefix, profile, quantiles, recover, restarts
 
 
 @pytest.fixture
 def tiny_blocks(monkeypatch):
     monkeypatch.setattr(prefix, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(restarts, "FAN", 3)
     monkeypatch.setattr(restarts.mark_restarts, "__defaults__", (False, 7, "restarts"))
 
 
@@ -110,6 +113,71 @@ def test_answers_are_kept_for_a_while(spark, tiny_blocks):
     assert got == want
 
 
+def test_one_key_of_two_million_rows(spark):
+    """Maps of 1,954 blocks are composed in two levels."""
+    rows = spark.range(2_000_000).select(
+        F.lit(None).cast("string").alias("k"), F.col("id").alias("position"), (F.col("id") * 3).alias("at")
+    )
+    marked = restarts.mark_restarts(rows, ["k"], "position", "at", "at", 299, block_rows=1024)
+    # From 0 the next restart is the first row beyond 299: every 100 rows.
+    assert marked.filter(F.col("restarts") != (F.col("position") % 100 == 0)).count() == 0
+    assert marked.filter("restarts").count() == 20_000
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_maps_of_blocks_compose(inclusive):
+    draw = np.random.default_rng(2)
+    for _ in range(200):
+        n, limit = int(draw.integers(2, 40)), int(draw.integers(0, 9))
+        base = np.cumsum(draw.integers(0, 4, n))
+        cuts = np.sort(draw.choice(np.arange(1, n), min(n - 1, 3), replace=False))
+        parts = [restarts.block_map(b, b, limit, inclusive) for b in np.split(base, cuts)]
+        left = parts[0]
+        for part in parts[1:]:
+            left = restarts.composed(left, part, limit, inclusive)
+        right = parts[-1]
+        for part in parts[-2::-1]:
+            right = restarts.composed(part, right, limit, inclusive)
+        for entry in range(int(base[0]) - 12, int(base[0]) + 1):
+            at = restarts._first_beyond(base, 0, entry, limit, inclusive)
+            marks = restarts._walk(base, base, at, limit, inclusive)
+            want = base[marks[-1]] if marks else entry
+            for tests, ends in (left, right):
+                assert restarts.mapped(tests, ends, np.array([entry]), limit, inclusive)[0] == want
+
+
+def test_all_rows_of_one_key_in_one_hour(spark, monkeypatch):
+    """Blocks are cut at row numbers: rows of one key and one moment are in many."""
+    monkeypatch.setattr(prefix, "BLOCK_ROWS", 10)
+    rows = [(None if i % 3 else "q", 1000 + i // 40, i) for i in range(300)] + [("q", 5000, 999)]
+    frame = spark.createDataFrame(rows, "query_text string, s bigint, event_id bigint").withColumn("ts", F.timestamp_seconds("s"))
+    held, block = prefix.in_even_blocks(frame, ["query_text", "ts", "event_id"])
+    assert held.groupBy(block.alias("b")).count().agg(F.max("count")).first()[0] == 10
+    bursts = {(r.query_text, r.calls) for r in profile.query_bursts(frame, 60).collect()}
+    assert bursts == {(None, 200), ("q", 100), ("q", 1)}
+    silent = profile.silent_periods(frame, ["query_text"], 60).collect()
+    assert [(r.query_text, r.since.timestamp(), r.until.timestamp()) for r in silent] == [("q", 1007, 5000)]
+
+
+@pytest.mark.parametrize("values", [
+    [], [4.0], [1.0, 2.0], [7.0] * 50, [0.1 * i for i in range(999)], [float(i % 7) for i in range(500)],
+    [-1.5e308, 1.5e308, 0.0, 5e-324, 3.5], [None, 2.0, None, 8.0, float("nan"), 4.0], list(np.random.default_rng(1).normal(size=3000)),
+])
+def test_quantiles_by_counting(spark, monkeypatch, values):
+    monkeypatch.setattr(quantiles, "BINS", 8)
+    frame = spark.createDataFrame([(None if v is None else float(v), "x") for v in values], "v double, other string").repartition(3)
+    sound = sorted(v for v in values if v is not None and v == v)
+    n, found = quantiles.order_statistics(frame, F.col("v"), lambda n: range(0, n, max(1, n // 10)))
+    assert n == len(sound) and found == {i: sound[i] for i in range(0, n, max(1, n // 10))}
+    got = evaluate.distance_distribution(frame.filter("NOT isnan(v) OR v IS NULL"), "v").first()
+    if len(sound) > 1 and sound[-1] < 1e300:
+        wanted = statistics.quantiles(sound, n=100, method="exclusive")[94], statistics.quantiles(sound, n=100, method="inclusive")[94]
+        assert (got.p95_exclusive, got.p95_inclusive) == pytest.approx(wanted)
+        assert got.median_score == pytest.approx(statistics.median(sound))
+    elif len(sound) < 2:
+        assert got.p95_exclusive is None and got.median_score == (sound[0] if sound else None)
+
+
 def test_bursts_and_silence(spark):
     rows = [("q", t, i) for i, t in enumerate([0, 10, 3700, 3750, 90_000])]
     frame = spark.createDataFrame(rows, "query_text string, s bigint, event_id bigint").withColumn("ts", F.timestamp_seconds("s"))

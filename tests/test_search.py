@@ -36,7 +36,7 @@ def nearest_model(queries, chunks, k, threshold):
 @pytest.mark.parametrize("opts", [
     SearchOptions(distance_threshold=0.9),
     SearchOptions(distance_threshold=0),
-    SearchOptions(distance_threshold=0.9, broadcast_query_limit=3, query_block_rows=4, chunk_block_rows=50),
+    SearchOptions(distance_threshold=0.9, query_block_rows=4),
 ])
 @pytest.mark.parametrize("as_text", [False, True])
 def test_nearest_chunks(spark, opts, as_text):
@@ -55,6 +55,34 @@ def test_nearest_chunks(spark, opts, as_text):
     assert got == nearest_model(queries, chunks, 15, threshold)
 
 
+def test_bounds_spare_products_and_lose_nothing():
+    """Chunks around 40 directions, queries near some: most groups are never multiplied."""
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(40, 16))
+    chunks = np.concatenate([c + 0.1 * draw.normal(size=(200, 16)) for c in centres])
+    queries = retrieve._unit_rows(centres[::4] + 0.1 * draw.normal(size=(10, 16)))
+    for threshold in (0.3, np.inf):
+        best, products = retrieve._Best(np.full(10, 15)), 0
+        for lo in range(0, len(chunks), 4000):
+            products += retrieve._measure(best, queries, chunks[lo:lo + 4000], np.arange(lo, lo + 4000), threshold)
+        assert products < 0.5 * len(queries) * len(chunks)
+        distance = np.abs(np.round(1 - queries @ retrieve._unit_rows(chunks).T, 6))
+        for q in range(10):
+            order = np.lexsort((np.arange(len(chunks)), distance[q]))[:15]
+            wanted = [(i, distance[q, i]) for i in order.tolist() if distance[q, i] <= threshold]
+            mine = best.query == q
+            assert list(zip(best.chunk[mine].tolist(), best.distance[mine].tolist(), strict=True)) == wanted
+
+
+def test_no_chunk_vector_is_shuffled(spark):
+    queries = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(40)], "query_id bigint, embedding array<float>")
+    chunks = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "chunk_id bigint, embedding array<float>")
+    found = retrieve.nearest_chunks(queries, chunks, SearchOptions(query_block_rows=16))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "embedding" in line]
+    assert found.select("query_id").distinct().count() == 40
+
+
 def test_fetch_limits(spark):
     free = SearchOptions()
     assert [free.clamp_top_k(k) for k in (None, 0, 1, 99)] == [5, 5, 1, 99]

@@ -1,11 +1,13 @@
 """Streams over files, run to the end of what is there."""
 
-import datetime as dt
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from docweave import schemas
+from docweave.operators import profile
 from docweave.options import SyncOptions
 from docweave.plans import sync
 from docweave.sources import readers, store
@@ -48,9 +50,9 @@ def run(spark, feed, tables, folders, checkpoint):
 def test_change_stream(spark, tmp_path):
     feed, checkpoint = tmp_path / "feed", tmp_path / "cp"
     folders = spark.createDataFrame(FOLDERS, "folder_id string, parent_id string, name string")
-    tables = store.TableStore(spark, str(tmp_path / "tables"))
+    tables = store.TableStore(spark, str(tmp_path / "tables"), changes.TABLES, buckets=4)
     assert tables.version() is None
-    tables.publish(0, empty_tables(spark))
+    tables.load(empty_tables(spark))
     write_feed(spark, feed, 1, [dict(seq=1, file_id="f1", modified_time="t1", md5_checksum="1"), dict(seq=2, file_id="f2", modified_time="t1", md5_checksum="1")])
     run(spark, feed, tables, folders, checkpoint)
     assert tables.version() == 1
@@ -75,8 +77,8 @@ def test_change_stream(spark, tmp_path):
 
 def test_an_equal_page_changes_nothing_and_a_lost_row_refuses(spark, tmp_path, monkeypatch):
     folders = spark.createDataFrame(FOLDERS, "folder_id string, parent_id string, name string")
-    tables = store.TableStore(spark, str(tmp_path / "tables"))
-    tables.publish(0, empty_tables(spark))
+    tables = store.TableStore(spark, str(tmp_path / "tables"), changes.TABLES, buckets=4)
+    tables.load(empty_tables(spark))
     feed = tmp_path / "feed"
     write_feed(spark, feed, 1, [dict(seq=1, file_id="f1", modified_time="t1", md5_checksum="1"), dict(seq=2, file_id="f2", modified_time="t1", md5_checksum="1")])
     page = spark.read.schema(schemas.CHANGE).parquet(str(feed))
@@ -95,6 +97,20 @@ def test_an_equal_page_changes_nothing_and_a_lost_row_refuses(spark, tmp_path, m
     changes.apply_batch(page, 0, tables, folders, measure, "s", OPTS, stamp)
     again = sync.plan_changes(page, tables.read("state"), folders, measure(page), OPTS)
     assert {r.disposition for r in again.collect()} <= {"UNCHANGED", "HASH_UNCHANGED"}
+    # A crash between stage and publish: the page is staged, then comes again.
+    write_feed(spark, tmp_path / "next", 1, [dict(seq=3, file_id="f1", removed=True)])
+    after = spark.read.schema(schemas.CHANGE).parquet(str(tmp_path / "next"))
+    published = store.TableStore.publish
+    monkeypatch.setattr(store.TableStore, "publish", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        changes.apply_batch(after, 1, tables, folders, measure, "s", OPTS, stamp)
+    assert tables.version() == 1 and tables.read("staff_index").count() == 2
+    monkeypatch.setattr(store.TableStore, "publish", published)
+    changes.apply_batch(after, 1, tables, folders, measure, "s", OPTS, stamp)
+    assert tables.version() == 2 and [r.uri for r in tables.read("staff_index").collect()] == ["gs://s/f2.md"]
+    before = {n: sorted(map(str, tables.read(n).collect())) for n in changes.TABLES}
+    assert tables.compact()
+    assert {n: sorted(map(str, tables.read(n).collect())) for n in changes.TABLES} == before
 
 
 def log_stream(spark, tmp_path, rows, schema):
@@ -113,12 +129,59 @@ def drain(spark, frame, name, tmp_path):
     return spark.table(name).collect()
 
 
-def test_silence_and_bursts(spark, tmp_path):
-    hour = 3600
-    rows = [("sync", t * hour, 0 if t < 40 else 1) for t in (0, 10, 20, 60, 200)]
-    stream = log_stream(spark, tmp_path, rows, "service string, s bigint, part int")
-    alerts = drain(spark, monitors.silence_alerts(stream), "silence", tmp_path)
-    assert [r.since for r in alerts] == [dt.datetime(1970, 1, 1, 20), dt.datetime(1970, 1, 3, 12)]
+def wait_for(spark, name, rows, seconds=90):
+    until = time.monotonic() + seconds
+    while time.monotonic() < until:
+        found = spark.table(name).collect()
+        if len(found) >= rows:
+            return found
+        time.sleep(0.5)
+    raise AssertionError(f"{name}: {spark.table(name).collect()}")
+
+
+def follow(spark, frame, name, checkpoint, rows):
+    """Run a stream with timers, which never ends by itself, until it has given so many rows."""
+    query = frame.writeStream.format("memory").queryName(name).outputMode("append").option(
+        "checkpointLocation", str(checkpoint)).trigger(processingTime="1 second").start()
+    try:
+        return wait_for(spark, name, rows)
+    finally:
+        query.stop()
+
+
+def test_silence_is_alerted_when_all_input_stops(spark, tmp_path):
+    """Gaps in the log, then a success just now, then nothing: the timer alone must fire, once."""
+    folder, now = tmp_path / "successes", int(time.time())
+    schema = "service string, s bigint"
+
+    def put(*rows):
+        spark.createDataFrame(rows, schema).select("service", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode(
+            "append").parquet(str(folder))
+
+    put(("sync", now - 100), ("sync", now - 97), ("sync", now), ("other", now + 3600), ("other", None))
+    stream = spark.readStream.schema("service string, ts timestamp").parquet(str(folder))
+    query = monitors.silence_alerts(stream, 10, 0).writeStream.format("memory").queryName("silence").outputMode("append").option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
+
+    def since():
+        return [(r.service, int(r.since.timestamp())) for r in spark.table("silence").collect()]
+
+    try:
+        wait_for(spark, "silence", 1)
+        assert since()[0] == ("sync", now - 97)  # the gap in the log
+        last = int(time.time())
+        put(("sync", last), ("sync", now - 50))  # a success moves the timer, a late row does not
+        until = time.monotonic() + 90
+        while ("sync", last) not in since() and time.monotonic() < until:
+            time.sleep(0.5)
+        assert time.time() >= last + 10  # no input came, the timer alone fired
+        put(("sync", int(time.time()) + 600))  # the end of an alerted silence is no alert
+        time.sleep(5)
+        found = since()
+        assert found.count(("sync", last)) == 1 and set(found) <= {("sync", now - 97), ("sync", now), ("sync", last)}
+        assert query.exception() is None
+    finally:
+        query.stop()
 
 
 def test_hourly_alerts_and_sessions(spark, tmp_path):
@@ -131,24 +194,99 @@ def test_hourly_alerts_and_sessions(spark, tmp_path):
 
 
 def test_repeats_are_suppressed_across_batches(spark, tmp_path):
-    rows = [("q", t, i, 0 if i < 4 else 1) for i, t in enumerate([0, 30, 59, 61, 100, 122, 200])]
+    draw = random.Random(3)
+    seconds = sorted(draw.randrange(4000) for _ in range(300))
+    rows = [(draw.choice(["q", "r", None]), s, i, 0 if i < 140 else 1) for i, s in enumerate(seconds)]
+    rows += [("edge", s, 1000 + i, i // 3) for i, s in enumerate([0, 60, 61, 121, 122])]
     stream = log_stream(spark, tmp_path, rows, "query_text string, s bigint, event_id bigint, part int")
-    tables = store.TableStore(spark, str(tmp_path / "answers"))
-    monitors.suppress_repeats(stream, tables, str(tmp_path / "cp"), ["query_text"], 60).awaitTermination()
-    got = []
-    for version in range(tables.version() + 1):
-        got += [r.event_id for r in spark.read.parquet(f"{tables.root}/answers/v={version}").collect()]
-    assert sorted(got) == [0, 3, 5, 6]
-
-
-def test_published_versions(spark, tmp_path):
-    tables = store.TableStore(spark, str(tmp_path / "t"))
-    tables.publish(0, {"x": spark.range(2)})
-    spark.range(9).write.parquet(str(tmp_path / "t" / "x" / "v=1"))  # staged by a step that failed
-    assert tables.version() == 0 and tables.read("x").count() == 2
-    tables.publish(1, {"x": spark.range(3)})
-    tables.publish(1, {"x": spark.range(7)})  # a repeat changes nothing
-    assert tables.version() == 1 and tables.read("x").count() == 3
+    batch = spark.createDataFrame(rows, "query_text string, s bigint, event_id bigint, part int").withColumn("ts", F.timestamp_seconds("s"))
+    wanted = profile.answered_calls(batch, ["query_text"], 60).filter("answered").collect()
+    answered = sorted(r.event_id for r in wanted)
+    got = follow(spark, monitors.suppress_repeats(stream, ["query_text"], 60), "answers", tmp_path / "cp", len(answered))
+    assert sorted(r.event_id for r in got) == answered
+    assert sorted(r.event_id for r in got if r.query_text == "edge") == [1000, 1002, 1004]
+
+
+def test_the_state_of_an_expired_key_is_gone(spark, tmp_path):
+    folder = tmp_path / "calls"
+
+    def put(name, second):
+        spark.createDataFrame([(name, second, second)], "query_text string, s bigint, event_id bigint").withColumn(
+            "ts", F.timestamp_seconds("s")).drop("s").coalesce(1).write.mode("append").parquet(str(folder))
+
+    put("old", 10)
+    stream = spark.readStream.schema("query_text string, event_id bigint, ts timestamp").parquet(str(folder))
+    query = monitors.suppress_repeats(stream, ["query_text"], 1, 1).writeStream.format("memory").queryName("expiring").outputMode(
+        "append").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
+    try:
+        wait_for(spark, "expiring", 1)
+        time.sleep(3)
+        put("new", 20)
+        wait_for(spark, "expiring", 2)
+    finally:
+        query.stop()
+    state = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "cp"))
+    assert "old" not in [r[0] for r in state.select("key.query_text").collect()]
+
+
+def stored(tables, name="x", **more):
+    return sorted(tuple(r) for r in tables.read(name, **more).collect())
+
+
+def pairs(spark, rows):
+    return spark.createDataFrame(rows, "file_id string, v int")
+
+
+def test_pages_of_a_keyed_table(spark, tmp_path):
+    schema = pairs(spark, []).schema
+    tables = store.TableStore(spark, str(tmp_path / "t"), {"x": schema, "y": schema}, buckets=4)
+    assert tables.version() is None
+    tables.load({"x": pairs(spark, [(f"f{i}", i) for i in range(20)]), "y": pairs(spark, [])})
+    start = stored(tables)
+    assert tables.version() == 0 and len(start) == 20 and stored(tables, "y") == []
+    keys = spark.createDataFrame([("f3",), ("f4",), ("new",)], "file_id string")
+    page = {"x": pairs(spark, [("f3", 30), ("f3", 31), ("new", 1)]), "y": pairs(spark, [("new", 9)])}
+    # What a step that failed has staged is not seen, and its retry replaces it.
+    tables.stage(1, {"x": pairs(spark, [("f9", -1)]), "y": pairs(spark, [])}, spark.createDataFrame([("f9",)], "file_id string"))
+    assert stored(tables) == start
+    tables.stage(1, page, keys)
+    assert stored(tables) == start
+    tables.publish(1)
+    tables.publish(1)
+    after = sorted([r for r in start if r[0] not in ("f3", "f4")] + [("f3", 30), ("f3", 31), ("new", 1)])
+    assert stored(tables) == after and stored(tables, "y") == [("new", 9)]
+    assert stored(tables, keys=keys) == [("f3", 30), ("f3", 31), ("new", 1)]
+    assert stored(tables, version=0) == start
+    tables.stage(2, {"x": pairs(spark, [("f4", 4)]), "y": pairs(spark, [])}, keys.filter("file_id <> 'f3'"))
+    tables.publish(2)
+    last = sorted([r for r in after if r[0] != "new"] + [("f4", 4)])
+    assert stored(tables) == last and stored(tables, "y") == []
+    # Only touched buckets get a new base, and the pages go.
+    touched = tables.compact()
+    assert 0 < len(touched) <= 3 and tables.compact() == []
+    assert stored(tables) == last and stored(tables, "y") == []
+    assert not list((tmp_path / "t" / "x" / "pages").glob("__v=*"))
+    bases = {(p.parent.name, p.name) for p in (tmp_path / "t" / "x" / "base").glob("*/__v=*")}
+    assert {b for b, v in bases if v == "__v=2"} <= {f"__bucket={b}" for b in touched}
+    assert len({b for b, _ in bases}) == len(bases)  # one base for each bucket
+    tables.stage(3, {"x": pairs(spark, []), "y": pairs(spark, [])}, keys.filter("file_id = 'f4'"))
+    tables.publish(3)
+    assert stored(tables) == [r for r in last if r[0] != "f4"]
+
+
+def test_bytes_written_follow_the_page(spark, tmp_path):
+    schema = pairs(spark, []).schema
+    tables = store.TableStore(spark, str(tmp_path / "t"), {"x": schema})
+    tables.load({"x": spark.range(50_000).select(F.concat(F.lit("file-"), F.col("id").cast("string")).alias("file_id"), F.lit(1).alias("v"))})
+
+    def size():
+        return sum(p.stat().st_size for p in (tmp_path / "t").rglob("*.parquet"))
+
+    before = size()
+    tables.stage(1, {"x": pairs(spark, [("file-1", 2)])}, spark.createDataFrame([("file-1",)], "file_id string"))
+    tables.publish(1)
+    assert size() - before < before / 20
+    assert tables.read("x").count() == 50_000 and tables.read("x").filter("v = 2").count() == 1
 
 
 def test_sources_and_sinks(spark, tmp_path):

@@ -31,11 +31,17 @@ def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group linked by shingles, the one with the smallest ``doc_id``.
 
-    Rows without ``doc_id`` name no group and stay.
+    A row is known by a digest of its ``doc_id`` and text, so texts that share a ``doc_id``, or lack one,
+    are told apart. Of rows without ``doc_id`` the least digest stays. Only rows that go are met again.
     """
-    groups = ngram_join.join(docs, NEAR_WIDTH, NEAR_PERCENT)
-    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    mark = F.xxhash64("doc_id", "text")
+    groups = ngram_join.join(docs.select(mark.alias("doc_id"), "text"), NEAR_WIDTH, NEAR_PERCENT)
+    linked = groups.select(F.col("doc_id").alias("mark"), F.col("component_id").alias("component")).distinct()
+    named = docs.select(mark.alias("mark"), F.col("doc_id").alias("named")).distinct()
+    placed = parked(linked.join(named, "mark"), "near-groups")
+    first = placed.groupBy("component").agg(F.min(F.struct(F.col("named").isNull(), "named", "mark")).alias("first"))
+    dropped = placed.join(first, "component").filter("mark <> first.mark").select(F.col("mark").alias("__dropped")).distinct()
+    return docs.join(dropped, mark == F.col("__dropped"), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -105,7 +105,7 @@ def retry_failed(
 ) -> DataFrame:
     """Plan failed files anew, index those that are ready, and clear them from the queue; one row of totals.
 
-    ``lookup`` is what the drive says of a file now: file_id, seq, parent_id, size_bytes. The attempts of a
+    ``lookup`` is what the drive says of a file now: file_id, and where known seq, parent_id, size_bytes. The attempts of a
     page, of all failed files without a limit, are published before they are made, with the cursor.
     """
     version, known = store.version(), cursors(store)
@@ -129,7 +129,10 @@ def retry_failed(
         "file_id", "drive_id", "name", "mime_type", "modified_time", F.lit(False).alias("removed"),
         F.col("link").alias("web_view_link"),
     ).join(lookup.select("file_id", *told), "file_id", "left")
-    changes = cut_lineage(changes if "seq" in told else changes.withColumn("seq", F.lit(0).cast("long")))
+    for name, kind in (("seq", "long"), ("size_bytes", "long"), *([] if "parents" in told else [("parent_id", "string")])):
+        if name not in told:
+            changes = changes.withColumn(name, F.lit(None).cast(kind))
+    changes = cut_lineage(changes)
     tables = store.read_all(FILE_TABLES, tried, version)
     planned = sync.plan_changes(changes, tables["state"], folders, measure(changes), opts, closure)
     after = sync.apply_changes(planned, tables, bucket, now, opts)

@@ -37,3 +37,14 @@ def test_registered():
     assert "pipeline" in names
     for n in range(1, 11):
         assert len([k for k in names if k.startswith(f"op{n}_")]) == 1
+
+
+def test_near_copies_go_and_texts_that_share_an_id_stay(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    copy, other = base.replace("w59", "changed"), " ".join(f"o{i}" for i in range(60))
+    third = other.replace("o0", "changed")
+    rows = [(1, base), (2, copy), (2, other), (None, third), (3, other + " more"), (None, ""), (4, None), (5, "x"), (6, "y")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near(spark, docs, "")
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, base), (2, other), (None, ""), (4, None), (5, "x"), (6, "y")])

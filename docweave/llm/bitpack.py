@@ -3,7 +3,7 @@
 A file is a Parquet folder, so that Spark's committer writes it and a lost task leaves nothing
 behind. A row is a block of whole documents in ascending ``doc_id``: the ids of the block as one
 stream of ``bits`` bits each, least significant bit first, and for each of its documents the number
-of ids. ``bits`` is the least number that holds every id of the vocabulary. Ids start at multiples of
+of ids; ``before`` is the number of ids in the earlier blocks of its part. ``bits`` is the least number that holds every id of the vocabulary. Ids start at multiples of
 ``bits``, so any range is unpacked by shifts on whole arrays without reading what lies before it.
 
 Texts are range-partitioned before they are encoded, so that only texts are shuffled. A block ends
@@ -27,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweave.llm.shared import parked, slices
+from docweave.llm.shared import Texts, parked, slices
 
 END_ID = 1
 BLOCK_IDS = 1 << 18
 CACHED_WORDS = 400_000
-_SPACES = " \t\n\x0b\x0c\r"
 
 
 def default_vocabulary() -> str:
@@ -95,36 +94,45 @@ class _Vocabulary:
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.words, self.old_words, self.parts = {}, {}, {}
 
+    def of_part(self, part: str) -> bytes:
+        # Printed ASCII characters stand for themselves.
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+        self.parts[part] = ids
+        return ids
+
     def of_plain(self, word: str) -> bytes:
         """Ids of a word of ASCII and precomposed Latin letters, which lower-casing alone normalises."""
-        out = []
-        for part in _PLAIN_PART.findall(word.lower()):
-            ids = self.parts.get(part)
-            if ids is None:
-                spelled = part.encode().decode("latin-1").translate(self.letters)
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
-                self.parts[part] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def learn(self, fresh: set[str]) -> None:
-        """Encode new words; the words not met for longest are forgotten."""
+        word = word.lower()
+        ids = self.parts.get(word)  # a part by itself is split no further
+        if ids is not None:
+            return ids
+        parts = _PLAIN_PART.findall(word)
+        return b"".join([self.parts.get(p) or self.of_part(p) for p in parts])
+
+    def ids_of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of the words. Those not met for longest are forgotten."""
+        fresh = [w for w in words if w not in self.words]
         if len(self.words) + len(fresh) > CACHED_WORDS:
             self.old_words, self.words = self.words, {}
+            fresh = words
         if len(self.parts) > CACHED_WORDS:
             self.parts = {}
-        known = self.old_words
         rest = []
         for word in fresh:
-            ids = known.get(word)
-            if ids is None and self.plain and "<|" not in word and _PLAIN_WORD.fullmatch(word):
-                ids = self.of_plain(word)
+            ids = self.old_words.get(word)
             if ids is None:
-                rest.append(word)
-            else:
-                self.words[word] = ids
-        for word, found in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-            self.words[word] = np.array(found.ids, "<u4").tobytes()
+                spelled = word.decode()
+                if self.plain and "<|" not in spelled and _PLAIN_WORD.fullmatch(spelled):
+                    ids = self.of_plain(spelled)
+                else:
+                    rest.append((word, spelled))
+                    continue
+            self.words[word] = ids
+        found = self.tokenizer.encode_batch([spelled for _, spelled in rest], add_special_tokens=False)
+        for (word, _), encoded in zip(rest, found, strict=True):
+            self.words[word] = np.array(encoded.ids, "<u4").tobytes()
+        return list(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
@@ -133,35 +141,52 @@ def _vocabulary(path: str) -> _Vocabulary:
     return _Vocabulary(path)
 
 
+def distinct_words(texts: Texts, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of words of different bytes, and for each word which of them it equals.
+
+    Hashes find the equal words and their bytes confirm them: a word that only shares a hash stands alone.
+    """
+    _, place, slot = np.unique(texts.word_hashes(first, last), return_index=True, return_inverse=True)
+    size, model = last - first, first[place][slot]
+    word = np.repeat(np.arange(len(first)), size)
+    at = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
+    other = np.minimum(model[word] + at, len(texts.data) - 1)
+    unlike = size != (last - first)[place][slot]
+    unlike[word[texts.data[first[word] + at] != texts.data[other]]] = True
+    alone = np.flatnonzero(unlike)
+    slot[alone] = len(place) + np.arange(len(alone))
+    return np.concatenate([place, alone]), slot
+
+
 class WordEncoder:
     """Whole texts in the ids of a vocabulary whose tokens never cross ASCII white space.
 
-    Words are encoded once per worker; a text's ids are those of its words.
+    Words are met once per slice of texts and encoded once per worker; a text's ids are those of its words.
     """
 
     def __init__(self, path: str):
         self.vocabulary = _vocabulary(path)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [_split(t) for t in texts]
-        met = {w for words in split for w in words}
-        fresh = met - self.vocabulary.words.keys()
-        if len(self.vocabulary.words) + len(fresh) > CACHED_WORDS:
-            fresh = met
-        self.vocabulary.learn(fresh)
-        return [b"".join(map(self.vocabulary.words.__getitem__, words)) for words in split]
-
-
-_TO_SPACE = str.maketrans(dict.fromkeys(_SPACES, " "))
-
-
-def _split(text: str | None) -> list[str]:
-    if not text:
-        return []
-    return [w for w in text.translate(_TO_SPACE).split(" ") if w]
+    def encode(self, column: list[str | None] | pa.Array) -> list[bytes]:
+        column = column if isinstance(column, pa.Array) else pa.array(column, pa.large_string())
+        texts = Texts(column)
+        first, last, owner = texts.words()
+        if not len(first):
+            return [b""] * len(column)
+        place, slot = distinct_words(texts, first, last)
+        data = texts.data.tobytes()
+        words = [data[a:b] for a, b in zip(first[place].tolist(), last[place].tolist(), strict=True)]
+        found = self.vocabulary.ids_of(words)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        n = sizes[slot]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[slot] - (ends - n), n) + np.arange(ends[-1])].tobytes()
+        cuts = np.concatenate([[0], ends])[np.searchsorted(owner, np.arange(len(column) + 1))].tolist()
+        return [ids[4 * a:4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-_BLOCK = "part int, block int, doc_ids array<long>, counts array<int>, bits int, n_ids long, packed binary"
+_BLOCK = "part int, block int, before long, doc_ids array<long>, counts array<int>, bits int, n_ids long, packed binary"
 
 
 def blocks(docs: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -173,28 +198,29 @@ def blocks(docs: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
         encoder = WordEncoder(path)
         end = np.array([END_ID], "<u4").tobytes()
         bits = bits_for(_vocabulary(path).size)
-        number, part, doc_ids, held, size = 0, 0, [], [], 0
+        number, before, part, doc_ids, held, size = 0, 0, 0, [], [], 0
 
         def block() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), "<u4")
             return pa.record_batch([
-                pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([doc_ids], pa.list_(pa.int64())),
+                pa.array([part], pa.int32()), pa.array([number], pa.int32()),
+                pa.array([before], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())),
                 pa.array([[len(h) // 4 for h in held]], pa.list_(pa.int32())), pa.array([bits], pa.int32()),
                 pa.array([len(ids)], pa.int64()), pa.array([pack(ids, bits)], pa.binary()),
-            ], names=["part", "block", "doc_ids", "counts", "bits", "n_ids", "packed"])
+            ], names=["part", "block", "before", "doc_ids", "counts", "bits", "n_ids", "packed"])
 
         for batch in batches:
             for begin, stop in slices(batch.column("text")):
                 rows = batch.slice(begin, stop - begin)
                 part = rows.column("part")[0].as_py()
-                found = encoder.encode(rows.column("text").to_pylist())
+                found = encoder.encode(rows.column("text"))
                 for doc, ids in zip(rows.column("doc_id").to_pylist(), found, strict=True):
                     doc_ids.append(doc)
                     held.append(ids + end)
                     size += len(ids) // 4 + 1
                     if size >= block_ids:
                         yield block()
-                        number, doc_ids, held, size = number + 1, [], [], 0
+                        number, before, doc_ids, held, size = number + 1, before + size, [], [], 0
         if held:
             yield block()
 
@@ -210,15 +236,12 @@ def blocks(docs: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
 
 
 def with_starts(written: DataFrame) -> DataFrame:
-    """Blocks of a file with ``start``, the ids of all blocks before."""
+    """Blocks of a file with ``start``, the ids of all blocks before. Only the sums of the parts are broadcast."""
     sizes = written.groupBy("part").agg(F.sum("n_ids").alias("ids"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sizes.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("of_parts"))
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    index = written.select(
-        "part", "block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("of_blocks")
-    ).join(parts, "part").select("part", "block", (F.col("of_parts") + F.col("of_blocks")).alias("start"))
-    return written.join(index, ["part", "block"])
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sizes.select("part", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("of_parts"))
+    # One row for each shuffle partition of the writer.
+    return written.join(F.broadcast(parts), "part").withColumn("start", F.col("of_parts") + F.col("before")).drop("of_parts")
 
 
 def read_digests(written: DataFrame) -> DataFrame:

@@ -39,14 +39,24 @@ def _carried(rows: DataFrame, keys: Sequence[str], per_block: DataFrame, carry:
     return rows.join(handed, same, "left").drop(*[f"__of_{c}" for c in named])
 
 
+def _in_one_block(rows: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether every group lies in one block: then no block hands anything over."""
+    several = rows.groupBy(*keys).agg((F.min(_BLOCK) != F.max(_BLOCK)).alias("several"))
+    return not several.agg(F.bool_or("several")).first()[0]
+
+
 def _with_carry(
-    df: DataFrame, keys: Sequence[str], block: Column, summary: Column, over_blocks: Column,
+    df: DataFrame, keys: Sequence[str], block: Column, summary: Column, over_blocks: Column, written: bool = False,
 ) -> DataFrame:
     """Rows in blocks, with what the earlier blocks of the group hand over."""
-    rows = blocked(df, keys, block)
+    rows = df.withColumn(_BLOCK, block) if written else blocked(df, keys, block)
     per_block = rows.groupBy(*keys, _BLOCK).agg(summary.alias("__summary"))
     before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    return _carried(rows, keys, per_block, over_blocks.over(before))
+    carry = over_blocks.over(before)
+    if _in_one_block(rows, keys):
+        kind = per_block.select(carry.alias("__carry")).schema["__carry"].dataType
+        return rows.withColumn("__carry", F.lit(None).cast(kind))
+    return _carried(rows, keys, per_block, carry)
 
 
 def _inside(keys: Sequence[str], order: Sequence[str]):
@@ -54,11 +64,12 @@ def _inside(keys: Sequence[str], order: Sequence[str]):
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str,
+    written: bool = False,
 ) -> DataFrame:
-    """Sum of ``value`` up to and including each row of its group."""
+    """Sum of ``value`` up to and including each row of its group. ``written``: ``df`` has its lineage cut already."""
     valued = df.withColumn("__value", value)
-    out = _with_carry(valued, keys, block, F.sum("__value"), F.sum("__summary"))
+    out = _with_carry(valued, keys, block, F.sum("__value"), F.sum("__summary"), written)
     inside = F.sum("__value").over(_inside(keys, order).rowsBetween(Window.unboundedPreceding, 0))
     return out.withColumn(name, inside + F.coalesce("__carry", F.lit(0))).drop(
         "__value", "__carry", _BLOCK

@@ -23,35 +23,56 @@ BLANK_WORKBOOK = "내용 없는 스프레드시트(빈 셀만)"
 
 # --- Grids ---------------------------------------------------------------------------
 
+def cell_rows(cells: DataFrame) -> DataFrame:
+    """(table_id, row_no, cells): the cells of each row as one array, in any order."""
+    return cells.groupBy("table_id", "row_no").agg(
+        F.collect_list(F.struct("col_no", "cell_text", "row_span", "col_span")).alias("cells")
+    )
+
+
 def grid_rows(cells: DataFrame) -> DataFrame:
     """(table_id, row_no, texts) of all rows that a cell covers, gaps blank.
 
     A row span repeats the text downwards, a column span keeps it in its first column. Where
     spans overlap, the cell that comes first in row order wins.
+
+    ``cells`` has a row for each cell, or a row for each table row with its cells as an array
+    (``cell_rows``). Only the rows below a span add to those that are grouped, and a source that
+    is partitioned by table is not shuffled again.
     """
-    down = F.sequence(F.col("row_no"), F.col("row_no") + F.greatest(F.lit(1), F.col("row_span")) - 1)
-    def slot(col: Column, value: Column) -> Column:
-        return F.named_struct(
-            F.lit("col"), col, F.lit("from_row"), F.col("row_no"), F.lit("from_col"), F.col("col_no"),
-            F.lit("text"), value,
-        )
+    rows = cells if "cells" in cells.columns else cell_rows(cells)
+    deepest = F.greatest(F.lit(1), F.array_max(F.col("cells")["row_span"]))
+    down = rows.select("table_id", "row_no", "cells", F.explode(F.sequence(F.lit(0), deepest - 1)).alias("__down"))
+    reaching = F.when(F.col("__down") == 0, F.col("cells")).otherwise(
+        F.filter("cells", lambda c: c["row_span"] > F.col("__down"))
+    )
 
-    own = F.array(slot(F.col("col_no"), F.coalesce("cell_text", F.lit(""))))
-    further = F.transform(
-        F.sequence(F.col("col_no") + 1, F.col("col_no") + F.col("col_span") - 1), lambda c: slot(c, F.lit(""))
+    def slot(col: Column, cell: Column, value: Column) -> Column:
+        return F.struct(col.alias("col"), F.col("row_no").alias("from_row"), cell["col_no"].alias("from_col"), value.alias("text"))
+
+    own = F.transform("cells", lambda c: slot(c["col_no"], c, F.coalesce(c["cell_text"], F.lit(""))))
+    further = F.flatten(F.transform(F.filter("cells", lambda c: c["col_span"] > 1), lambda cell: F.transform(
+        F.sequence(cell["col_no"] + 1, cell["col_no"] + cell["col_span"] - 1), lambda c: slot(c, cell, F.lit(""))
+    )))
+    widest = F.array_max(F.col("cells")["col_span"])
+    covered = down.select("table_id", "row_no", "__down", reaching.alias("cells")).select(
+        "table_id", (F.col("row_no") + F.col("__down")).alias("__row"),
+        F.when(widest > 1, F.concat(own, further)).otherwise(own).alias("slots"),
     )
-    slots = F.when(F.col("col_span") > 1, F.concat(own, further)).otherwise(own)
-    covered = cells.select("table_id", F.explode(down).alias("__row"), slots.alias("slots"))
-    rows = covered.groupBy("table_id", F.col("__row").alias("row_no")).agg(
+    taken = covered.groupBy("table_id", F.col("__row").alias("row_no")).agg(
         F.array_sort(F.flatten(F.collect_list("slots"))).alias("slots")
     )
+
+    def texts(winners: Column) -> Column:
+        width = F.element_at(winners, -1)["col"]
+        by_col = F.map_from_entries(F.transform(winners, lambda s: F.struct(s["col"], s["text"])))
+        gapped = text.let(by_col, lambda m: F.transform(
+            F.sequence(F.lit(1), width), lambda c: F.coalesce(F.element_at(m, c), F.lit(""))
+        ))
+        return F.when(F.size(winners) == width, winners["text"]).otherwise(gapped)
+
     winners = F.filter("slots", lambda s, i: (i == 0) | (F.get("slots", i - 1)["col"] != s["col"]))
-    by_col = F.map_from_entries(F.transform(winners, lambda s: F.struct(s["col"], s["text"])))
-    width = F.element_at("slots", -1)["col"]
-    texts = text.let(by_col, lambda m: F.transform(
-        F.sequence(F.lit(1), width), lambda c: F.coalesce(F.element_at(m, c), F.lit(""))
-    ))
-    return rows.select("table_id", "row_no", texts.alias("texts"))
+    return taken.withColumn("slots", winners).select("table_id", "row_no", texts(F.col("slots")).alias("texts"))
 
 
 def cells_of_rows(rows: DataFrame) -> DataFrame:
@@ -66,14 +87,40 @@ def _padded(width: Column) -> Column:
 
 
 def dense_rows(rows: DataFrame) -> DataFrame:
-    """The rows of each table's rectangle: all of one width, rows without cells blank."""
-    size = rows.groupBy("table_id").agg(F.max("row_no").alias("height"), F.max(F.size("texts")).alias("width"))
-    wanted = size.select(
-        "table_id", "width", F.explode(F.sequence(F.lit(1), F.col("height").cast("int"))).alias("row_no")
+    """The rows of each table's rectangle: all of one width, rows without cells blank.
+
+    The rows are written once: the tables' sizes and the rows themselves are read from it.
+    """
+    kept = cut_lineage(rows)
+    size = kept.groupBy("table_id").agg(
+        F.max("row_no").alias("height"), F.max(F.size("texts")).alias("width"), F.count(F.lit(1)).alias("__rows")
     )
-    return wanted.join(rows, ["table_id", "row_no"], "left").select(
+    padded = kept.join(size.select("table_id", "width"), "table_id").select(
         "table_id", "row_no", _padded(F.col("width")).alias("texts")
     )
+    # Rows without cells are few, or none: only the tables that have such rows are listed.
+    holed = size.filter("__rows < height")
+    numbers = holed.select("table_id", "width", F.explode(F.sequence(F.lit(1), F.col("height").cast("int"))).alias("row_no"))
+    blank = numbers.join(kept.select("table_id", "row_no"), ["table_id", "row_no"], "left_anti").select(
+        "table_id", "row_no", F.array_repeat(F.lit(""), F.col("width").cast("int")).alias("texts")
+    )
+    return padded.unionByName(blank)
+
+
+def _filled_columns(full: DataFrame) -> DataFrame:
+    """(table_id, __columns): the numbers of the columns that any row fills, in order.
+
+    They are gathered as bits of 64 columns each, so that a group holds one number and no list.
+    """
+    column = F.col("c") - 1
+    words = full.select("table_id", F.explode("__filled").alias("c")).groupBy(
+        "table_id", F.shiftright(column, 6).alias("word")
+    ).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), column.bitwiseAND(63))).alias("bits"))
+    numbers = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("bits", i) == 1)
+    listed = words.select("table_id", "word", F.transform(numbers, lambda i: F.col("word") * 64 + i + 1).alias("cs"))
+    return listed.groupBy("table_id").agg(
+        F.flatten(F.array_sort(F.collect_list(F.struct("word", "cs")))["cs"]).alias("__columns")
+    )
 
 
 def trim_blank(rows: DataFrame) -> DataFrame:
@@ -85,17 +132,14 @@ def trim_blank(rows: DataFrame) -> DataFrame:
     filled = F.filter(
         F.transform("texts", lambda t, i: F.when(~text.is_blank(t), i + 1)), lambda c: c.isNotNull()
     )
-    full = rows.withColumn("__filled", filled).filter(F.size("__filled") > 0)
-    columns = full.select("table_id", F.explode("__filled").alias("c")).groupBy("table_id").agg(
-        F.array_sort(F.collect_set("c")).alias("__columns")
-    )
-    kept = full.join(columns, "table_id").select(
-        "table_id", "row_no",
+    # Written before the filter, which would have the texts made twice; read twice below.
+    full = cut_lineage(rows.withColumn("__filled", filled)).filter(F.size("__filled") > 0)
+    block = prefix.row_block("row_no")
+    numbered = prefix.running_sum(full, ["table_id"], ["row_no"], F.lit(1), block, "__new", written=True)
+    return numbered.join(_filled_columns(full), "table_id").select(
+        "table_id", F.col("__new").cast("int").alias("row_no"),
         F.transform("__columns", lambda c: F.coalesce(F.get("texts", c - 1), F.lit(""))).alias("texts"),
     )
-    block = prefix.row_block("row_no")
-    numbered = prefix.running_sum(kept, ["table_id"], ["row_no"], F.lit(1), block, "__new")
-    return numbered.select("table_id", F.col("__new").cast("int").alias("row_no"), "texts")
 
 
 def fold_nested(cells: DataFrame, nested: DataFrame) -> DataFrame:
@@ -240,20 +284,27 @@ def assemble(lines: DataFrame, keys: list[str], order: str, part_bytes: int = PA
     """Texts of tables (keys, part_no, markdown): a table too large for one text has several parts.
 
     Every part but the first repeats the header, the lines numbered 1 and 2. No line is left out,
-    and no task holds more than a part.
+    and no task holds more than a part. Tables that fit one part, as most do, are joined at once.
     """
+    kept = cut_lineage(lines)
+    numbered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("__no"), "line")))
+    joined = F.array_join(numbered["line"], "\n")
+    size = F.sum((F.octet_length("line") + 1).cast("long"))
+    large = cut_lineage(kept.groupBy(*keys).agg(size.alias("__size")).filter(F.col("__size") > part_bytes).select(*keys))
+    if large.isEmpty():
+        return kept.groupBy(*keys).agg(joined.alias("markdown")).select(*keys, F.lit(0).alias("part_no"), "markdown")
+    # No more of them than parts of such size in all.
+    fitting, rest = (kept.join(F.broadcast(large), keys, how) for how in ("left_anti", "left_semi"))
+    texts = fitting.groupBy(*keys).agg(joined.alias("markdown")).select(*keys, F.lit(0).alias("part_no"), "markdown")
     block = prefix.row_block(order)
-    upto = prefix.running_sum(lines, keys, [order], (F.octet_length("line") + 1).cast("long"), block, "__upto")
+    upto = prefix.running_sum(rest, keys, [order], (F.octet_length("line") + 1).cast("long"), block, "__upto", written=True)
     parted = upto.withColumn("part_no", F.floor((F.col("__upto") - 1) / part_bytes).cast("int"))
     heads = parted.filter(F.col(order) <= 2).select(*keys, F.struct(F.col(order).alias("__no"), "line").alias("__head")).groupBy(*keys).agg(
         F.array_sort(F.collect_list("__head"))["line"].alias("__head")
     )
-    texts = parted.groupBy(*keys, "part_no").agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct(F.col(order).alias("__no"), "line")))["line"], "\n").alias("__text"),
-        F.min(order).alias("__from"),
-    )
+    parts = parted.groupBy(*keys, "part_no").agg(joined.alias("__text"), F.min(order).alias("__from"))
     headed = F.when(F.col("__from") > 2, F.array_join(F.array_append("__head", F.col("__text")), "\n")).otherwise(F.col("__text"))
-    return texts.join(heads, keys).select(*keys, "part_no", headed.alias("markdown"))
+    return texts.unionByName(parts.join(heads, keys).select(*keys, "part_no", headed.alias("markdown")))
 
 
 def workbook_markdown(

@@ -28,6 +28,35 @@ def test_spans_holes_and_collisions(spark):
     assert grid(tables.cells_of_rows(tables.trim_blank(tables.grid_rows(cells(spark, [(1, 1, " ")]))))) == []
 
 
+def test_rows_of_cells_make_the_same_grid_for_less(spark):
+    """A grid sorts and groups rows, not cells: no cell is a row of the plan, and no map is built for a full row."""
+    frame = cells(spark, [(1, 1, "a", 2, 1), (1, 2, "b", 1, 2), (2, 1, "hidden"), (2, 3, "c"), (4, 2, "d", 3, 2), (5, 3, "e"), (5, 5, "f")])
+    by_cell, by_row = tables.grid_rows(frame), tables.grid_rows(tables.cell_rows(frame))
+    want = {(1, ("a", "b", "")), (2, ("a", "", "c")), (4, ("", "d", "")), (5, ("", "d", "", "", "f")), (6, ("", "d", ""))}
+    assert {(r.row_no, tuple(r.texts)) for r in by_cell.collect()} == {(r.row_no, tuple(r.texts)) for r in by_row.collect()} == want
+    assert [r["__columns"] for r in tables._filled_columns(spark.createDataFrame(
+        [(1, [70, 2]), (1, [64, 2, 65]), (1, [130])], "table_id int, __filled array<int>")).collect()] == [[2, 64, 65, 70, 130]]
+
+
+def test_a_view_of_tables_is_grouped_where_it_lies(spark):
+    """The rows of a table that the view has brought together are shuffled once, and only rows are."""
+    from docweave.sources.views import Tables
+
+    plan = tables.grid_rows(Tables(spark, "/root/testdata/sf0.001").v_cell_rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Generate") == 1
+
+
+def test_groups_of_one_block_are_not_joined(spark):
+    """Where no group reaches a second block, nothing is handed over and no join is planned."""
+    from docweave.operators import prefix
+
+    rows = spark.range(0, 20).selectExpr("id % 4 AS k", "CAST(id AS INT) AS n")
+    short = prefix.running_sum(rows, ["k"], ["n"], F.lit(1), prefix.row_block("n"), "s")
+    assert "Join" not in short._jdf.queryExecution().optimizedPlan().toString()
+    long = prefix.running_sum(rows, ["k"], ["n"], F.lit(1), F.floor(F.col("n") / 8), "s")
+    assert sorted(tuple(r) for r in short.collect()) == sorted(tuple(r) for r in long.collect())
+
+
 def test_nested_tables(spark):
     rows = [(1, 1, 1, "부모"), (1, 1, 2, ""), (2, 1, 1, " x "), (2, 1, 2, ""), (2, 2, 1, "y"), (3, 1, 1, "z")]
     frame = spark.createDataFrame(rows, "table_id int, row_no int, col_no int, cell_text string")

@@ -39,9 +39,9 @@ def _carried(rows: DataFrame, keys: Sequence[str], per_block: DataFrame, carry:
     return rows.join(handed, same, "left").drop(*[f"__of_{c}" for c in named])
 
 
-def _in_one_block(rows: DataFrame, keys: Sequence[str]) -> bool:
+def in_one_block(rows: DataFrame, keys: Sequence[str], block: Column) -> bool:
     """Whether every group lies in one block: then no block hands anything over."""
-    several = rows.groupBy(*keys).agg((F.min(_BLOCK) != F.max(_BLOCK)).alias("several"))
+    several = rows.groupBy(*keys).agg((F.min(block) != F.max(block)).alias("several"))
     return not several.agg(F.bool_or("several")).first()[0]
 
 
@@ -53,7 +53,7 @@ def _with_carry(
     per_block = rows.groupBy(*keys, _BLOCK).agg(summary.alias("__summary"))
     before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = over_blocks.over(before)
-    if _in_one_block(rows, keys):
+    if in_one_block(rows, keys, F.col(_BLOCK)):
         kind = per_block.select(carry.alias("__carry")).schema["__carry"].dataType
         return rows.withColumn("__carry", F.lit(None).cast(kind))
     return _carried(rows, keys, per_block, carry)

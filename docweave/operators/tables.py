@@ -198,18 +198,24 @@ def fill_down(cells: DataFrame) -> DataFrame:
 
     A real text wins over the span, and spans across columns are left alone.
     """
-    inside = cells.filter(F.col("row_span") > 1).select(
-        "table_id", "col_no",
-        F.explode(F.sequence(F.col("row_no") + 1, F.col("row_no") + F.col("row_span") - 1)).alias("row_no"),
-        F.lit(True).alias("__inside"),
-    ).distinct()
-    joined = cells.join(inside, ["table_id", "row_no", "col_no"], "left")
-    above = prefix.last_value(
-        joined, ["table_id", "col_no"], ["row_no"], text.blank_to_null(F.col("cell_text")),
-        prefix.row_block("row_no"), "__above",
-    )
+    block, keys = prefix.row_block("row_no"), ["table_id", "col_no"]
+    own, last_row = text.blank_to_null(F.col("cell_text")), F.col("row_no") + F.col("row_span") - 1
+    if prefix.in_one_block(cells, keys, block):
+        # A cell lies inside a span if one that starts above reaches its row.
+        column = Window.partitionBy(*keys).orderBy("row_no")
+        reached = F.max(F.when(F.col("row_span") > 1, last_row)).over(column.rangeBetween(Window.unboundedPreceding, -1))
+        filled = cells.withColumns({
+            "__inside": reached >= F.col("row_no"),
+            "__above": F.last(own, ignorenulls=True).over(column.rowsBetween(Window.unboundedPreceding, 0)),
+        })
+    else:
+        inside = cells.filter(F.col("row_span") > 1).select(
+            *keys, F.explode(F.sequence(F.col("row_no") + 1, last_row)).alias("row_no"), F.lit(True).alias("__inside"),
+        ).distinct()
+        joined = cells.join(inside, ["table_id", "row_no", "col_no"], "left")
+        filled = prefix.last_value(joined, keys, ["row_no"], own, block, "__above")
     fill = F.coalesce("__inside", F.lit(False)) & (F.col("cell_text") == "")
-    return above.withColumn(
+    return filled.withColumn(
         "cell_text", F.when(fill, F.coalesce("__above", F.lit(""))).otherwise(F.col("cell_text"))
     ).select(*cells.columns)
 
@@ -217,16 +223,21 @@ def fill_down(cells: DataFrame) -> DataFrame:
 # --- Rendering -----------------------------------------------------------------------
 
 def rows_of_cells(cells: DataFrame) -> DataFrame:
-    """(table_id, row_no, texts): the texts of each row in column order, gaps blank."""
-    rows = cells.groupBy("table_id", "row_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_no", "cell_text"))).alias("__by_col"),
-        F.max("col_no").alias("__width"),
-    )
-    texts = F.transform(
-        F.sequence(F.lit(1), F.col("__width").cast("int")),
-        lambda c: F.coalesce(F.element_at(F.col("__by_col"), c), F.lit("")),
+    """(table_id, row_no, texts): the texts of each row in column order, gaps blank.
+
+    ``cells`` is a row for each cell, or for each table row with its cells as an array.
+    """
+    rows = cells if "cells" in cells.columns else cells.groupBy("table_id", "row_no").agg(
+        F.collect_list(F.struct("col_no", "cell_text")).alias("cells")
     )
-    return rows.select("table_id", "row_no", texts.alias("texts"))
+    at, width = F.col("cells")["col_no"], F.array_max(F.col("cells")["col_no"]).cast("int")
+    by_col = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["col_no"], c["cell_text"])))
+    gapped = text.let(by_col, lambda m: F.transform(
+        F.sequence(F.lit(1), width), lambda c: F.coalesce(F.element_at(m, c), F.lit(""))
+    ))
+    whole = F.transform("cells", lambda c: F.coalesce(c["cell_text"], F.lit("")))
+    in_order = at == F.sequence(F.lit(1), F.size("cells")).cast(rows.select(at).schema[0].dataType)
+    return rows.select("table_id", "row_no", F.when(in_order, whole).otherwise(gapped).alias("texts"))
 
 
 def drop_trailing_blanks(rows: DataFrame) -> DataFrame:

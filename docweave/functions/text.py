@@ -61,8 +61,9 @@ def is_blank(col: Column) -> Column:
 
 def lines(col: Column) -> Column:
     """Lines of a text, without a last empty one after a closing line end."""
-    parts = F.split(col, LINE_BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(col, LINE_BREAK, -1), lambda parts: F.when(
+        F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)
+    ).otherwise(parts))
 
 
 def fingerprint(col: Column, n: int | None = None) -> Column:

@@ -276,6 +276,19 @@ def render_lines(rows: DataFrame) -> DataFrame:
     )
 
 
+def whole_tables(rows: DataFrame) -> DataFrame:
+    """(table_id, markdown, tokens) of tables that are one text each, from rows of one width.
+
+    Each row gives one text, the first with its rule, so that rows are gathered once and not line by line.
+    """
+    rule = _line(F.transform("texts", lambda _: F.lit("---")))
+    line = F.when(F.col("row_no") == 1, F.concat_ws("\n", _line(F.col("texts")), rule)).otherwise(_line(F.col("texts")))
+    return rows.select("table_id", "row_no", "texts", line.alias("line")).groupBy("table_id").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("row_no", "line")))["line"], "\n").alias("markdown"),
+        F.flatten(F.collect_list("texts")).alias("tokens"),
+    )
+
+
 def within_cell_budget(rows: DataFrame, max_cells: int) -> DataFrame:
     """Rows read before the cells of a table's earlier rows have used the budget up.
 
@@ -327,12 +340,14 @@ def workbook_markdown(
     row read, blank ones too. A title line is set only where a workbook has more than one sheet.
     A workbook without any text is an error.
     """
-    block = F.struct("sheet_no", prefix.row_block("row_no").alias("b"))
-    upto = prefix.running_sum(rows, ["book_id"], ["sheet_no", "row_no"], F.size("texts"), block, "__upto")
     books = sheets.groupBy("book_id").agg(F.count(F.lit(1)).alias("sheet_count"))
-    most_cells = F.lit(max_cells or (1 << 62))
-    spent = rows.groupBy("book_id").agg((F.sum(F.size("texts")) >= most_cells).alias("cells_cut"))
-    read = drop_trailing_blanks(upto.filter(F.col("__upto") - F.size("texts") < most_cells).drop("__upto"))
+    read, spent = drop_trailing_blanks(rows), None
+    if max_cells:
+        rows = cut_lineage(rows)  # read by the running sum and by the books' totals
+        block = F.struct("sheet_no", prefix.row_block("row_no").alias("b"))
+        upto = prefix.running_sum(rows, ["book_id"], ["sheet_no", "row_no"], F.size("texts"), block, "__upto", written=True)
+        spent = rows.groupBy("book_id").agg((F.sum(F.size("texts")) >= max_cells).alias("cells_cut"))
+        read = drop_trailing_blanks(upto.filter(F.col("__upto") - F.size("texts") < max_cells).drop("__upto"))
     keyed = read.withColumn("table_id", F.struct("book_id", "sheet_no"))
     in_sheet = Window.partitionBy("table_id")
     dense = keyed.withColumn("__width", F.max(F.size("texts")).over(in_sheet)).select(
@@ -358,7 +373,8 @@ def workbook_markdown(
         F.array_join(F.array_sort(F.collect_list(inside))["line"], "\n").alias("__text"),
         (F.max("__used") > most_bytes).alias("bytes_cut"),
     )
-    out = books.join(texts, "book_id", "left").join(spent, "book_id", "left")
+    out = books.join(texts, "book_id", "left")
+    out = out.join(spent, "book_id", "left") if spent is not None else out.withColumn("cells_cut", F.lit(False))
     cut = F.coalesce("cells_cut", F.lit(False)) | F.coalesce("bytes_cut", F.lit(False))
     empty = F.col("__text").isNull()
     return out.select(

@@ -57,6 +57,45 @@ def test_groups_of_one_block_are_not_joined(spark):
     assert sorted(tuple(r) for r in short.collect()) == sorted(tuple(r) for r in long.collect())
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_spans_are_filled_without_a_join(spark, monkeypatch):
+    """Columns of one block need one window; longer ones, in blocks, give the same."""
+    from docweave.operators import prefix
+
+    frame = cells(spark, [
+        (1, 1, "a", 3, 1), (2, 1, ""), (3, 1, ""), (4, 1, ""), (5, 1, "b", 2, 1), (6, 1, ""), (7, 1, ""), (8, 1, "", 2, 1), (9, 1, ""),
+    ])
+    short = tables.fill_down(frame)
+    assert "Join" not in plan_of(short)
+    want = [["a"], ["a"], ["a"], [""], ["b"], ["b"], [""], [""], ["b"]]
+    assert grid(short) == want
+    monkeypatch.setattr(prefix, "BLOCK_ROWS", 2)
+    assert grid(tables.fill_down(frame)) == want
+
+
+def test_whole_tables_are_gathered_once(spark):
+    frame = cells(spark, [(1, 1, "h"), (1, 2, "i"), (2, 2, "가"), (4, 1, "z")])
+    whole = tables.whole_tables(tables.trim_blank(tables.grid_rows(frame)))
+    row = whole.first()
+    assert row.markdown == "| h | i |\n| --- | --- |\n|  | 가 |\n| z |  |"
+    assert sorted(row.tokens) == ["", "", "h", "i", "z", "가"]
+
+
+def test_a_workbook_without_a_budget_adds_up_nothing(spark, monkeypatch):
+    """Where no cells are counted, no running sum is written."""
+    from docweave.operators import prefix
+
+    sheets = spark.createDataFrame([(1, 1, "s")], "book_id int, sheet_no int, title string")
+    rows = spark.createDataFrame([(1, 1, 1, ["a", ""])], "book_id int, sheet_no int, row_no int, texts array<string>")
+    limited = tables.workbook_markdown(sheets, rows, max_cells=9).collect()
+    monkeypatch.setattr(prefix, "running_sum", None)
+    assert tables.workbook_markdown(sheets, rows).collect() == limited
+    assert limited[0].markdown == "| a |\n| --- |"
+
+
 def test_nested_tables(spark):
     rows = [(1, 1, 1, "부모"), (1, 1, 2, ""), (2, 1, 1, " x "), (2, 1, 2, ""), (2, 2, 1, "y"), (3, 1, 1, "z")]
     frame = spark.createDataFrame(rows, "table_id int, row_no int, col_no int, cell_text string")

@@ -44,6 +44,8 @@ SMALL_SEGMENT_COST = 50
 SMALL = 3  # segments of up to so many shingles may be left out
 CLASSES = 128
 BLOCK_MEMBERS = 1024
+PAIRS_AT_ONCE = 1 << 13  # whose histograms are compared in one step
+HELD_PAIRS = 1 << 18  # that a task holds to give a pair once
 _SEED = np.uint64(0xA0761D6478BD642F)
 
 
@@ -296,55 +298,97 @@ def _likely(percent: int):
     return run
 
 
+def _meetings(
+    ids: np.ndarray, n: np.ndarray, root: np.ndarray, side: np.ndarray, same_block: bool, percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of members of a cell that meet: of different roots and of sizes that allow a link, some at a time."""
+    left = np.flatnonzero(side == 0)
+    right = left if same_block else np.flatnonzero(side == 1)
+    step = max(PAIRS_AT_ONCE // max(len(right), 1), 1)
+    for at in range(0, len(left), step):
+        rows = left[at:at + step, None]
+        meet = (root[rows] != root[right]) & (
+            np.minimum(n[rows], n[right]) * 100 >= np.maximum(n[rows], n[right]) * percent
+        )
+        if same_block:
+            meet &= ids[rows] < ids[right]
+        i, j = np.nonzero(meet)
+        if len(i):
+            yield left[at + i], right[j]
+
+
 def _across(percent: int, nearest: bool):
-    """Pairs of members of a cell (key and two blocks) that may link and have different roots."""
+    """Pairs of members of a cell (key and two blocks) that may link and have different roots.
 
-    def best(kept: np.ndarray, apart: np.ndarray, root_of: np.ndarray) -> np.ndarray:
-        """The nearest pair of each root, and the pair found again from its other end only once."""
-        order = np.argsort(apart, kind="stable")
-        first = np.unique(root_of[order], return_index=True)[1]
-        return np.unique(kept[order[first]], axis=0)
+    Members share many signatures, so a pair is found in many cells. Cells that begin with the same member
+    lie side by side, and a task gives a pair it still holds only once.
+    """
 
-    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        cell = pa.Table.from_batches(rows).combine_chunks()
-        ids, n, root, side = (np.asarray(cell.column(c)) for c in ("id", "n", "root", "side"))
+    def found(cell: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        ids, n, side = (np.asarray(cell.column(c)) for c in ("id", "n", "side"))
+        root = np.unique(np.asarray(cell.column("root")), return_inverse=True)[1]
         classes = _table(cell.column("classes").combine_chunks())
-        same_block = bool(cell.column("low")[0].as_py() == cell.column("high")[0].as_py())
-        found, gaps, owners = [], [], []
-        for i in np.flatnonzero(side == 0).tolist():
-            others = np.flatnonzero((root != root[i]) & ((ids > ids[i]) if same_block else (side == 1)))
-            if len(others):
-                apart, may = _may_link(n[i], n[others], classes[i][None], classes[others], percent)
-                ok = others[may]
-                found.append(np.stack([np.minimum(ids[ok], ids[i]), np.maximum(ids[ok], ids[i])], axis=1))
-                gaps.append(apart[may])
-                owners.append(np.stack([np.full(len(ok), root[i]), root[ok]]))
-        kept = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        if nearest and len(kept):
-            both = np.concatenate(owners, axis=1)
-            kept = best(np.concatenate([kept, kept]), np.tile(np.concatenate(gaps), 2), both.reshape(-1))
-        return pa.record_batch([pa.array(kept[:, 0].copy()), pa.array(kept[:, 1].copy())], names=["x", "y"])
+        same_block = cell.column("low")[0].as_py() == cell.column("high")[0].as_py()
+        for i, j in _meetings(ids, n, root, side, same_block, percent):
+            apart, may = _may_link(n[i], n[j], classes[i], classes[j], percent)
+            i, j = i[may], j[may]
+            yield np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]), apart[may], root[i], root[j]
+
+    def pairs(cell: pa.Table) -> Iterator[np.ndarray]:
+        if not nearest:
+            yield from (met for met, _, _, _ in found(cell))
+            return
+        # The nearest pair of each root, of those looked at so far.
+        gap, best = np.full(len(cell), np.iinfo(np.int64).max), np.zeros((2, len(cell)), np.int64)
+        for met, apart, *ends in found(cell):
+            for of in ends:
+                nearer = np.flatnonzero(apart < gap[of])
+                nearer = nearer[np.argsort(-apart[nearer], kind="stable")]  # the last one written stays
+                gap[of[nearer]], best[:, of[nearer]] = apart[nearer], met[:, nearer]
+        yield best[:, gap < np.iinfo(np.int64).max]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
-        for batch in batches:
-            cells = np.stack([np.asarray(batch.column(c)) for c in ("key", "low", "high")], axis=1)
-            cuts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1).tolist(), len(cells)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if b == a:
-                    continue
-                cell = tuple(cells[a].tolist())
-                if cell != current and held:
-                    yield pairs(held)
-                    held = []
-                current = cell
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield pairs(held)
+        held = [np.empty((2, 0), np.int64)]
+
+        def kept() -> np.ndarray:
+            return np.stack(_distinct(*np.concatenate(held, axis=1)))
+
+        count = 0
+        for cell in _cells(batches):
+            for some in pairs(cell):
+                held.append(some)
+                count += some.shape[1]
+                if count > HELD_PAIRS:
+                    held = [kept()]
+                    count = held[0].shape[1]
+                    if 2 * count > HELD_PAIRS:
+                        yield pa.record_batch([pa.array(c) for c in held[0]], names=["x", "y"])
+                        held, count = [], 0
+        if count:
+            yield pa.record_batch([pa.array(c) for c in kept()], names=["x", "y"])
 
     return run
 
 
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each cell, of rows in the order of cells."""
+    current, held = None, []
+    for batch in batches:
+        cells = np.stack([np.asarray(batch.column(c)) for c in ("key", "low", "high")], axis=1)
+        cuts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1).tolist(), len(cells)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b == a:
+                continue
+            cell = tuple(cells[a].tolist())
+            if cell != current and held:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            current = cell
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sizes of both sets of a pair and of what they share."""
     for batch in batches:
@@ -445,9 +489,9 @@ def _left_over(
     """
     spark = members.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = members.select("key", "id").join(
+    rows = members.select("key", "id", "least").join(
         roots.select(F.col("node").alias("id"), "root"), "id", "left"
-    ).select("key", "id", F.coalesce("root", "id").alias("root"))
+    ).select("key", "id", "least", F.coalesce("root", "id").alias("root"))
     keys = rows.groupBy("key").agg(
         F.min("root").alias("one"), F.max("root").alias("other"), F.count(F.lit(1)).alias("size"),
         F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"),
@@ -460,12 +504,12 @@ def _left_over(
     cells = rows.join(keys, "key").withColumn("own", own).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met")
     ).select(
-        "key", "id", "root", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"),
+        "key", "id", "least", "root", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"),
         (F.col("own") > F.col("met")).cast("int").alias("side"),
     )
     return (
         cells.join(sets.select("id", "n", "classes"), "id")
-        .repartition(partitions, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+        .repartition(partitions, "least", "low", "high").sortWithinPartitions("least", "low", "high", "key")
         .mapInArrow(_across(percent, nearest), "x long, y long")
         .distinct()
     )

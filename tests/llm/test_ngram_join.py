@@ -97,3 +97,33 @@ def test_components(spark):
     links = [(1, 2), (2, 3), (9, 3), (20, 21), (30, 31), (31, 32), (32, 33), (33, 34), (34, 35), (35, 36)]
     found = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {(2, 1), (3, 1), (9, 1), (21, 20), *((i, 30) for i in range(31, 37))}
+
+
+def test_a_pair_of_many_cells_is_given_once():
+    """Members share many signatures: a task that meets them in a hundred cells gives each pair once."""
+    rng = np.random.default_rng(5)
+    members, cells = 30, 100
+    classes = np.tile(rng.integers(0, 4, ngram_join.CLASSES), (members, 1)).astype(np.uint8)
+    classes[np.arange(members), np.arange(members)] += rng.integers(0, 30, members).astype(np.uint8)
+    n, ids = classes.sum(axis=1).astype(np.int64), rng.permutation(members).astype(np.int64)
+    batches = [pa.record_batch([
+        pa.array(np.full(members, key)), pa.array(np.zeros(members, np.int32)), pa.array(np.zeros(members, np.int32)),
+        pa.array(np.zeros(members, np.int32)), pa.array(ids), pa.array(ids // 2), pa.array(n),
+        pa.array([c.tobytes() for c in classes], pa.binary()),
+    ], names=["key", "low", "high", "side", "id", "root", "n", "classes"]) for key in range(cells)]
+
+    def apart(i, j):
+        return int(np.abs(classes[i].astype(int) - classes[j].astype(int)).sum())
+
+    may = {
+        (min(ids[i], ids[j]), max(ids[i], ids[j])): apart(i, j) for i in range(members) for j in range(i)
+        if ids[i] // 2 != ids[j] // 2 and apart(i, j) * 180 <= (n[i] + n[j]) * 20
+        and min(n[i], n[j]) * 100 >= max(n[i], n[j]) * 80
+    }
+    given = [row for b in ngram_join._across(80, False)(iter(batches)) for row in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(given) == len(set(given)) and set(given) == set(may) and len(may) > 50
+    near = [row for b in ngram_join._across(80, True)(iter(batches)) for row in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(near) == len(set(near)) and set(near) <= set(may)
+    for root in {i // 2 for pair in may for i in pair}:
+        of = {pair: gap for pair, gap in may.items() if root in (pair[0] // 2, pair[1] // 2)}
+        assert any(pair in near and gap == min(of.values()) for pair, gap in of.items())

@@ -240,13 +240,17 @@ def rows_of_cells(cells: DataFrame) -> DataFrame:
     return rows.select("table_id", "row_no", F.when(in_order, whole).otherwise(gapped).alias("texts"))
 
 
+def _without_trailing_blanks(texts: Column) -> Column:
+    filled = F.size(texts) - F.coalesce(
+        F.nullif(F.array_position(F.transform(F.reverse(texts), lambda x: x != ""), True), F.lit(0)) - 1,
+        F.size(texts),
+    )
+    return F.slice(texts, 1, filled.cast("int"))
+
+
 def drop_trailing_blanks(rows: DataFrame) -> DataFrame:
     """Rows without blank cells at their right end; rows that become empty are dropped."""
-    filled = F.size(F.col("texts")) - F.coalesce(
-        F.nullif(F.array_position(F.transform(F.reverse("texts"), lambda x: x != ""), True), F.lit(0)) - 1,
-        F.size("texts"),
-    )
-    return rows.withColumn("texts", F.slice("texts", 1, filled.cast("int"))).filter(F.size("texts") > 0)
+    return rows.withColumn("texts", _without_trailing_blanks(F.col("texts"))).filter(F.size("texts") > 0)
 
 
 def _line(texts: Column) -> Column:
@@ -331,34 +335,60 @@ def assemble(lines: DataFrame, keys: list[str], order: str, part_bytes: int = PA
     return texts.unionByName(parts.join(heads, keys).select(*keys, "part_no", headed.alias("markdown")))
 
 
+def _within_book_budget(rows: DataFrame, max_cells: int) -> DataFrame:
+    """Rows read before the cells of a workbook's earlier rows have used the budget up, without blank right ends.
+
+    Adds ``cells_cut``. A block of a sheet is one row, with the few of its rows that the budget may reach,
+    and of a workbook's blocks no more are looked at than the budget has cells.
+    """
+    cells, sheet = F.size("texts"), ["book_id", "sheet_no"]
+    in_block = Window.partitionBy(*sheet, "__block").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
+    counted = rows.filter(cells > 0).withColumn("__block", prefix.row_block("row_no")).withColumns(
+        {"__cells": cells, "__before": F.sum(cells).over(in_block) - cells}
+    ).filter(F.col("__before") < max_cells)
+    blocks = counted.withColumn("texts", _without_trailing_blanks(F.col("texts"))).groupBy(*sheet, "title", "__block").agg(
+        F.sum("__cells").alias("__cells"),
+        F.collect_list(F.when(F.size("texts") > 0, F.struct("row_no", "__before", "texts"))).alias("__rows"),
+    )
+    in_book = Window.partitionBy("book_id").orderBy("sheet_no", "__block")
+    first = blocks.withColumn("__rank", F.row_number().over(in_book)).filter(F.col("__rank") <= max_cells)
+    spent = first.withColumns({
+        "__spent": F.coalesce(F.sum("__cells").over(in_book.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "cells_cut": F.sum("__cells").over(Window.partitionBy("book_id")) >= max_cells,
+    })
+    reached = F.filter("__rows", lambda r: F.col("__spent") + r["__before"] < max_cells)
+    return spent.select(*sheet, "title", "cells_cut", F.explode(reached).alias("row")).select(
+        *sheet, "title", "cells_cut", "row.row_no", "row.texts"
+    )
+
+
 def workbook_markdown(
     sheets: DataFrame, rows: DataFrame, max_cells: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
     """(book_id, markdown, error) of workbooks, whole unless the caller sets a budget.
 
     ``sheets`` has (book_id, sheet_no, title), ``rows`` (book_id, sheet_no, row_no, texts) with every
-    row read, blank ones too. A title line is set only where a workbook has more than one sheet.
-    A workbook without any text is an error.
+    row read, blank ones too, and may have the title of its sheet, which is met otherwise. A title line
+    is set only where a workbook has more than one sheet. A workbook without any text is an error.
     """
     books = sheets.groupBy("book_id").agg(F.count(F.lit(1)).alias("sheet_count"))
-    read, spent = drop_trailing_blanks(rows), None
+    if "title" not in rows.columns:
+        rows = rows.join(sheets, ["book_id", "sheet_no"])
     if max_cells:
-        rows = cut_lineage(rows)  # read by the running sum and by the books' totals
-        block = F.struct("sheet_no", prefix.row_block("row_no").alias("b"))
-        upto = prefix.running_sum(rows, ["book_id"], ["sheet_no", "row_no"], F.size("texts"), block, "__upto", written=True)
-        spent = rows.groupBy("book_id").agg((F.sum(F.size("texts")) >= max_cells).alias("cells_cut"))
-        read = drop_trailing_blanks(upto.filter(F.col("__upto") - F.size("texts") < max_cells).drop("__upto"))
-    keyed = read.withColumn("table_id", F.struct("book_id", "sheet_no"))
-    in_sheet = Window.partitionBy("table_id")
-    dense = keyed.withColumn("__width", F.max(F.size("texts")).over(in_sheet)).select(
-        "table_id", F.row_number().over(in_sheet.orderBy("row_no")).alias("row_no"), _padded(F.col("__width")).alias("texts")
+        read = _within_book_budget(rows, max_cells)
+    else:
+        read = drop_trailing_blanks(rows).withColumn("cells_cut", F.lit(False))
+    in_sheet = Window.partitionBy("book_id", "sheet_no")
+    dense = read.withColumn("__width", F.max(F.size("texts")).over(in_sheet)).select(
+        "book_id", "sheet_no", "title", "cells_cut",
+        F.row_number().over(in_sheet.orderBy("row_no")).alias("row_no"), _padded(F.col("__width")).alias("texts"),
     )
-    body = render_lines(dense).select("table_id.*", "line_no", "line")
-    joined = body.join(sheets, ["book_id", "sheet_no"]).join(books, "book_id")
+    body = render_lines(dense.withColumn("table_id", F.struct("book_id", "sheet_no", "title", "cells_cut")))
+    joined = body.select("table_id.*", "line_no", "line").join(books, "book_id")
     first_line = F.col("line_no") == 1
     title = F.concat(F.lit("## "), "title")
     parts = F.when(first_line & (F.col("sheet_count") > 1), F.array(title, F.col("line"))).otherwise(F.array("line"))
-    lines = joined.select("book_id", "sheet_no", "line_no", F.posexplode(parts).alias("part", "line"))
+    lines = joined.select("book_id", "sheet_no", "cells_cut", "line_no", F.posexplode(parts).alias("part", "line"))
     in_book = Window.partitionBy("book_id")
     down = in_book.orderBy("sheet_no", "line_no", "part").rowsBetween(Window.unboundedPreceding, 0)
     used = lines.withColumn("__used", F.sum(F.octet_length("line") + 1).over(down)).withColumn(
@@ -371,10 +401,9 @@ def workbook_markdown(
     inside = F.when(F.col("__used") <= most_bytes, F.struct("sheet_no", "line_no", "part", spaced))
     texts = used.groupBy("book_id").agg(
         F.array_join(F.array_sort(F.collect_list(inside))["line"], "\n").alias("__text"),
-        (F.max("__used") > most_bytes).alias("bytes_cut"),
+        (F.max("__used") > most_bytes).alias("bytes_cut"), F.max("cells_cut").alias("cells_cut"),
     )
     out = books.join(texts, "book_id", "left")
-    out = out.join(spent, "book_id", "left") if spent is not None else out.withColumn("cells_cut", F.lit(False))
     cut = F.coalesce("cells_cut", F.lit(False)) | F.coalesce("bytes_cut", F.lit(False))
     empty = F.col("__text").isNull()
     return out.select(

@@ -96,6 +96,26 @@ def test_a_workbook_without_a_budget_adds_up_nothing(spark, monkeypatch):
     assert limited[0].markdown == "| a |\n| --- |"
 
 
+def test_a_budget_sends_each_row_once(spark, monkeypatch):
+    """Rows that have their sheet's title go to their book once, a row for each block of a sheet, and are not written."""
+    monkeypatch.setattr(tables, "cut_lineage", None)
+    sheets = spark.createDataFrame([(1, n, f"s{n}") for n in range(1, 9)] + [(2, 9, "s9")], "book_id int, sheet_no int, title string")
+    rows = spark.createDataFrame(
+        [(1, n, f"s{n}", r, [f"{n}.{r}", ""]) for n in range(1, 9) for r in range(1, 4)]
+        + [(2, 9, "s9", r, ["", ""]) for r in range(1, 3)] + [(2, 9, "s9", 3, ["x"])],
+        "book_id int, sheet_no int, title string, row_no int, texts array<string>",
+    ).repartition(4, "sheet_no")
+    limited = tables.workbook_markdown(sheets, rows, max_cells=9)
+    got = {r.book_id: r.markdown for r in limited.collect()}
+    # Nine cells end in the second row of the second sheet; blank rows are cells as well.
+    assert got == {
+        1: f"## s1\n| 1.1 |\n| --- |\n| 1.2 |\n| 1.3 |\n\n## s2\n| 2.1 |\n| --- |\n| 2.2 |\n\n{tables.TRUNCATED}", 2: "| x |\n| --- |",
+    }
+    assert {r.book_id: r.markdown for r in tables.workbook_markdown(sheets, rows, max_cells=4).collect()}[2] is None
+    plan = limited._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_nested_tables(spark):
     rows = [(1, 1, 1, "부모"), (1, 1, 2, ""), (2, 1, 1, " x "), (2, 1, 2, ""), (2, 2, 1, "y"), (3, 1, 1, "z")]
     frame = spark.createDataFrame(rows, "table_id int, row_no int, col_no int, cell_text string")

@@ -154,9 +154,10 @@ def fold_nested(cells: DataFrame, nested: DataFrame) -> DataFrame:
     def place(row: str, col: str, table: str) -> Column:
         return F.struct(F.col(row).cast("long"), F.col(col).cast("long"), F.col(table).cast("long"))
 
-    held = nested.select(
+    # Narrow, and read by every round and twice after them.
+    held = cut_lineage(nested.select(
         "table_id", F.col("parent_id").alias("at_table"), F.col("row_no").alias("at_row"), F.col("col_no").alias("at_col")
-    )
+    ))
     inner = held.select("table_id").distinct()
     # Tables of cells that are not nested themselves; then, round by round, those below them.
     level = held.join(inner.withColumnRenamed("table_id", "at_table"), "at_table", "left_anti").select(

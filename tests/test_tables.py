@@ -116,6 +116,22 @@ def test_a_budget_sends_each_row_once(spark, monkeypatch):
     assert "WindowGroupLimit" in plan
 
 
+def test_nested_places_are_read_once(spark):
+    """Each round of nesting reads the places it was given, and does not make them again."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    frame = cells(spark, [(1, 1, "top")]).select("table_id", "row_no", "col_no", "cell_text")
+    deep = frame.unionByName(spark.createDataFrame([(n, 1, 1, f"t{n}") for n in range(2, 6)], frame.schema))
+    links = spark.createDataFrame([(n, n - 1, 1, 1) for n in range(2, 6)], "table_id int, parent_id int, row_no int, col_no int")
+    folded = tables.fold_nested(deep, links.mapInArrow(count, links.schema))
+    assert grid(folded) == [["top\nt2 / t3 / t4 / t5"]] and made.value == 4
+
+
 def test_nested_tables(spark):
     rows = [(1, 1, 1, "부모"), (1, 1, 2, ""), (2, 1, 1, " x "), (2, 1, 2, ""), (2, 2, 1, "y"), (3, 1, 1, "z")]
     frame = spark.createDataFrame(rows, "table_id int, row_no int, col_no int, cell_text string")

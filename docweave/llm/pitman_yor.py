@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.shared import Texts, mixed, parked, slices
+from docweave.llm.shared import Texts, mixed, parked, slices, unparked
 
 SUPPORT = 4e-6
 SWEEPS, SAMPLES = 4, 2
@@ -430,7 +430,7 @@ def score(docs: DataFrame) -> DataFrame:
         now = spark.sparkContext.broadcast(state)
         rooms = parked(seat_contexts(of(pairs, SEATS, SINGLES).unionByName(of(seated, ANSWER)), shipped, now, of_pair, sweep, partitions), "seats")
         asked = of(pairs, ONCE, ASK).unionByName(of(rooms, SENT, ROOM))
-        kept = sweep > SWEEPS - SAMPLES
+        last, kept = seated, sweep > SWEEPS - SAMPLES
         if kept:
             asked = asked.unionByName(of(pairs, LAST_ASK)).unionByName(counted)
         seated = parked(seat_words(asked, shipped, state.tables, vocabulary, of_word, sweep, partitions), "seats")
@@ -440,6 +440,8 @@ def score(docs: DataFrame) -> DataFrame:
             found = of(rooms, TABLES).unionByName(of(seated, LAST_ANSWER)).withColumn("kind", (F.col("kind") + 32 + k).cast("byte"))
             answers = found if answers is None else answers.unionByName(found)
             samples.append(state)
+        # Tables of a sweep that is not averaged are read by the next one only.
+        unparked(*([] if kept else [rooms]), *([] if sweep - 1 > SWEEPS - SAMPLES else [last]))
     model = spark.sparkContext.broadcast(samples)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -104,3 +104,13 @@ def test_rare_words_meet_in_buckets_as_frequent_ones_do(spark, monkeypatch):
         found = digits_a_token(pitman_yor.score(docs).collect())
         assert found[0] == pytest.approx(all_frequent[0])
         assert found[1] == pytest.approx(all_frequent[1], rel=0.02)
+
+
+def test_tables_of_finished_sweeps_are_removed(spark, tmp_path, monkeypatch):
+    """Of the sweeps, only the tables of those that are averaged stay until the texts are scored."""
+    from docweave.llm import shared
+
+    monkeypatch.setattr(shared, "checkpoint_folder", lambda _: str(tmp_path))
+    docs = spark.createDataFrame([(i, f"a b a b c{i % 3}") for i in range(20)], "doc_id long, text string")
+    assert pitman_yor.score(docs).count() == 20
+    assert len(list(tmp_path.glob("seats-*"))) == 2 * pitman_yor.SAMPLES

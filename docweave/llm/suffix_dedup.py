@@ -276,9 +276,10 @@ def repeated_starts(strings: list[bytes], counts: np.ndarray) -> list[np.ndarray
     again = np.zeros(len(owner), bool)
     again[1:] = interval[1:] == interval[:-1]
     owner, offset = owner[again], offset[again]
-    order = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[order], np.arange(len(strings) + 1))
-    return [np.sort(offset[order][a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    order = np.lexsort((offset, owner))
+    owner, offset = owner[order], offset[order]
+    cuts = np.searchsorted(owner, np.arange(len(strings) + 1))
+    return [offset[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -11,9 +11,9 @@ their suffixes compared. These meet in buckets of bounded size by minimizer.
 
 In a bucket, segments are dealt to shards, each of which sorts the suffixes of its own and has a
 Burrows-Wheeler transform. The shards are merged without sorting suffixes again: the interleave of
-their rows is refined by two symbols at a time, a stable radix sort of the merged transform. Rows
-that the steps do not separate share a prefix of that many symbols, so the steps give the longest
-common prefixes, and rows still together after ``LENGTH`` steps are the repeated intervals.
+their rows is refined by stable sorts of the merged transform, of four symbols at first and then of
+as many as the intervals so far name. Rows that the steps do not separate share a prefix of as many
+symbols, and rows still together after ``LENGTH`` symbols are the repeated intervals.
 
 A minimizer with so much content that it would fill a bucket alone is not brought to one task: each
 of its starts is then grouped by the hash of its string, with partial minima before the shuffle.
@@ -39,6 +39,7 @@ LENGTH, GRAM = 100, 48
 WIDTH = LENGTH - GRAM + 1  # grams in a string
 BUCKET_BYTES = 2 << 20
 SHARDS = 2
+HEAD = 5  # symbols that the sort of a shard begins with
 FLUSH_SEGMENTS = 1 << 19
 _END = 0xFF  # no byte of UTF-8
 
@@ -193,18 +194,28 @@ def _same_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from of_bucket(parts)
 
 
+def _stable_order(key: np.ndarray) -> np.ndarray:
+    """Stable order of unsigned numbers. Number and place are sorted as one where both fit in 64 bits."""
+    bits = np.uint64(len(key).bit_length())
+    if not len(key) or int(key.max()).bit_length() + int(bits) > 64:
+        return np.argsort(key, kind="stable")
+    both = key.astype(np.uint64) << bits | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    return (both & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+
+
 def _sorted_rows(data: np.ndarray) -> np.ndarray:
     """Places of one shard's bytes in the order of the ``LENGTH`` symbols that follow.
 
-    The first eight symbols are one key; then the order is refined by doubling.
+    The first ``HEAD`` symbols are one key; then the order is refined by doubling.
     """
-    padded = np.append(data, np.zeros(7, np.uint8)).astype(np.uint64)
+    padded = np.append(data, np.zeros(HEAD - 1, np.uint8)).astype(np.uint64)
     key = np.zeros(len(data), np.uint64)
-    for k in range(8):
+    for k in range(HEAD):
         key = key << np.uint64(8) | padded[k:k + len(data)]
-    reach = 8
+    reach = HEAD
     while True:
-        order = np.argsort(key, kind="stable")
+        order = _stable_order(key)
         ranked = key[order]
         step = np.zeros(len(key), np.uint64)
         step[1:] = np.cumsum(ranked[1:] != ranked[:-1])
@@ -218,37 +229,58 @@ def _sorted_rows(data: np.ndarray) -> np.ndarray:
         reach *= 2
 
 
-def _transform(data: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The two symbols before each sorted place of a shard, around the string that it is in."""
-    ends = np.flatnonzero(data == _END)
-    begins = np.append(0, ends[:-1] + 1)
-    before = np.empty(len(data), np.uint16)
-    before[1:] = data[:-1]
-    before[begins] = _END
-    previous = np.arange(-1, len(data) - 1)
-    previous[begins] = ends
-    return (before[previous] << 8 | before)[order]
+class _Shard:
+    """A shard with the transforms of its rows: names of some symbols before each, around the string that it is in."""
+
+    def __init__(self, data: np.ndarray, order: np.ndarray):
+        self.order = order
+        ends = np.flatnonzero(data == _END)
+        begins = np.append(0, ends[:-1] + 1)
+        sizes = ends - begins + 1
+        self.begin, self.size = np.repeat(begins, sizes)[order], np.repeat(sizes, sizes)[order]
+        following = np.arange(1, len(data) + 1)
+        following[ends] = begins
+        two = data.astype(np.uint32) << np.uint32(8) | data[following]
+        self.names = {4: two << np.uint32(16) | two[following[following]]}
+
+    def transform(self, width: int) -> np.ndarray:
+        before = self.order - width
+        wrapped = before < self.begin
+        before[wrapped] = ((before - self.begin) % self.size + self.begin)[wrapped]
+        return self.names[width][before]
+
+    def name(self, width: int, interval: np.ndarray) -> None:
+        names = np.empty(len(self.order), np.uint32)
+        names[self.order] = interval
+        self.names[width] = names
 
 
 def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Merge shards given as (bytes, sorted places) of strings that each end with ``_END``.
 
-    A step takes two symbols: a stable sort of the merged transforms by both is the refinement by
-    one and then by the other. Returns, for the merged rows, the row in the concatenated shards and
-    the number of the interval of rows with the same first ``LENGTH`` symbols.
+    A stable sort of the merged transforms by one symbol is a step of refinement; one by several symbols is
+    as many steps. The first steps take four symbols. Intervals of rows that share a number of symbols then
+    name these symbols, so that a later step takes as many at once. Returns, for the merged rows, the row in the
+    concatenated shards and the number of the interval of rows with the same first ``LENGTH`` symbols.
     """
-    transforms = [_transform(data, order) for data, order in shards]
-    interleave = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(t) for t in transforms])
-    interval = np.zeros(len(interleave), np.int32)
-    merged = np.empty(len(interleave), np.uint16)
-    for _ in range(LENGTH // 2):
-        for number, transform in enumerate(transforms):
-            merged[interleave == number] = transform
-        order = np.argsort(merged, kind="stable")
+    held = [_Shard(data, order) for data, order in shards]
+    interleave = np.repeat(np.arange(len(held), dtype=np.uint8), [len(shard.order) for shard in held])
+    interval = np.zeros(len(interleave), np.uint32)
+    merged = np.empty(len(interleave), np.uint32)
+    reach = 0
+    while reach < LENGTH:
+        width = max(w for w in held[0].names if w <= LENGTH - reach)
+        for number, shard in enumerate(held):
+            merged[interleave == number] = shard.transform(width)
+        order = _stable_order(merged)
         interleave, symbols, last = interleave[order], merged[order], interval[order]
-        step = np.zeros(len(order), np.int32)
+        step = np.zeros(len(order), np.uint32)
         step[1:] = (symbols[1:] != symbols[:-1]) | (last[1:] != last[:-1])
-        interval = np.cumsum(step, dtype=np.int32)
+        interval = np.cumsum(step, dtype=np.uint32)
+        reach += width
+        if reach not in held[0].names and 2 * reach <= LENGTH:
+            for number, shard in enumerate(held):
+                shard.name(reach, interval[interleave == number])
     at = np.empty(len(interleave), np.int64)
     at[np.argsort(interleave, kind="stable")] = np.arange(len(at))
     return at, interval

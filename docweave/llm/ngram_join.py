@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.components import components
-from docweave.llm.shared import Texts, mixed, parked, slices
+from docweave.llm.shared import Texts, mixed, parked, slices, swept, unparked
 
 WIDTH, PERCENT = 4, 85
 FLUSH_ENTRIES = 1 << 20
@@ -439,7 +439,7 @@ def _texts_of(docs: DataFrame, parts: DataFrame, ids: DataFrame, width: int) ->
     ).select("text")
     sets = texts.mapInArrow(_sets_of(width), "id long, n long, classes binary, items binary")
     # Documents that share an id by number, or a missing number, may bring the same set twice.
-    return parked(sets.dropDuplicates(["id"]), "sets")
+    return swept(parked(sets.dropDuplicates(["id"]), "sets"))
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -449,20 +449,21 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     blobs = docs.select("doc_id", "text").mapInArrow(
         _index(width, percent, partitions * BUCKETS_PER_PARTITION), "bucket int, kind byte, data binary"
     )
-    parts = parked(
+    parts = swept(parked(
         blobs.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, _PARTS), "signatures"
-    )
+    ))
     members = parts.filter(F.col("kind") == _MEMBER).select(
         F.col("a").alias("key"), F.col("b").alias("id"), F.col("c").alias("least"), F.col("d").alias("most")
     )
-    stars = parked(
+    stars = swept(parked(
         members.select(F.col("id").alias("x"), F.explode(F.array_distinct(F.array("least", "most"))).alias("y"))
         .filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
         "pairs",
-    )
+    ))
     wanted = stars.select(F.explode(F.array("x", "y")).alias("id")).distinct()
     sets = _texts_of(docs, parts, wanted, width)
     linked = _linked(_likely_pairs(stars, sets, percent), sets, percent)
+    unparked(stars)
     roots = components(linked)
     # Two rounds join most components through their nearest members; the last looks at every pair left.
     for nearest in (True, True, False):
@@ -470,12 +471,16 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
         if not more.isEmpty():
             linked = linked.unionByName(more)
             roots = components(linked)
+    unparked(sets)
     return _labelled(parts, roots)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    checked = _verified(parked(pairs, "pairs"), sets).filter(_links(percent))
-    return parked(checked.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+    likely = swept(parked(pairs, "pairs"))
+    checked = _verified(likely, sets).filter(_links(percent))
+    links = parked(checked.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+    unparked(likely)
+    return links
 
 
 def _left_over(

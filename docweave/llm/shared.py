@@ -35,15 +35,18 @@ def parked(df: DataFrame, name: str) -> DataFrame:
 
 
 def unparked(*tables: DataFrame) -> None:
-    """Remove the files of parked tables that nothing will read again.
-
-    Shuffle files of finished queries go when the driver's JVM collects their plans, so it is asked to.
-    """
+    """Remove the files of parked tables that nothing will read again, and shuffle files as ``swept`` does."""
     for table in tables:
         path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.parked_at)
         path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
     if tables:
-        tables[0].sparkSession._jvm.System.gc()
+        swept(tables[0])
+
+
+def swept(table: DataFrame) -> DataFrame:
+    """Shuffle files of finished queries go when the driver's JVM collects their plans, so it is asked to."""
+    table.sparkSession._jvm.System.gc()
+    return table
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

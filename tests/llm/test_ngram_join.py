@@ -127,3 +127,14 @@ def test_a_pair_of_many_cells_is_given_once():
     for root in {i // 2 for pair in may for i in pair}:
         of = {pair: gap for pair, gap in may.items() if root in (pair[0] // 2, pair[1] // 2)}
         assert any(pair in near and gap == min(of.values()) for pair, gap in of.items())
+
+
+def test_tables_of_finished_steps_are_removed(spark, tmp_path, monkeypatch):
+    """Only what the labels are read from stays, and the links."""
+    from docweave.llm import shared
+
+    monkeypatch.setattr(shared, "checkpoint_folder", lambda _: str(tmp_path))
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(words[:59] + [f"x{i}"])) for i in range(5)], "doc_id long, text string")
+    assert {r.component_id for r in ngram_join.join(docs).collect()} == {0}
+    assert {path.name.split("-")[0] for path in tmp_path.iterdir()} == {"signatures", "links"}

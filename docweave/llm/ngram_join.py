@@ -14,7 +14,8 @@ Signatures are computed, combined and grouped as numpy arrays that Spark shuffle
 Members of a signature meet its pivots, the least and the largest set id, not each other. Members
 that are still in different components meet in a second step, in blocks of bounded size. Before a
 pair is verified on the whole sets, histograms of both over 128 classes of shingles are compared:
-their L1 distance is never more than the symmetric difference, so no link is lost.
+their L1 distance is never more than the symmetric difference, so no link is lost. Histograms are
+made with the signatures; whole sets are made again, from texts, for members of pairs that they let pass.
 
 Equal sets share one id (a 64-bit fingerprint of the set), so copies are never paired.
 
@@ -25,7 +26,7 @@ takes part, but never names a component. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import exp
 
@@ -168,11 +169,17 @@ def _distinct(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 _BLOB = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("data", pa.binary())])
-_PARTS = "kind byte, a long, b long, c long, d long"
-_PARTS_ARROW = pa.schema([("kind", pa.int8()), *((c, pa.int64()) for c in "abcd")])
+_PARTS = "kind byte, a long, b long, c long, d long, classes binary"
+_PARTS_ARROW = pa.schema([("kind", pa.int8()), *((c, pa.int64()) for c in "abcd"), ("classes", pa.binary())])
 _DOC, _MEMBER = 0, 1
 
 
+def _histograms(sets: Sets, rows: int) -> np.ndarray:
+    """Shingles of each class in each set, as rows."""
+    cell = sets.owner * CLASSES + (mixed(sets.values ^ _SEED) >> np.uint64(40)).astype(np.int64) % CLASSES
+    return np.minimum(np.bincount(cell, minlength=rows * CLASSES), 255).astype(np.uint8).reshape(-1, CLASSES)
+
+
 def _index(width: int, percent: int, buckets: int):
     """Documents and signatures of each task as arrays, one row per bucket."""
 
@@ -199,7 +206,8 @@ def _index(width: int, percent: int, buckets: int):
                 named = np.asarray(part.is_valid()).astype(np.int64)
                 number = np.asarray(part.fill_null(0), dtype=np.int64)
                 sizes = sets.sizes.astype(np.int64)
-                yield from blobs(_DOC, mixed(number.view(np.uint64) ^ ids), [number, named, ids, sizes])
+                classes = _histograms(sets, end - begin).view(np.int64).T
+                yield from blobs(_DOC, mixed(number.view(np.uint64) ^ ids), [number, named, ids, sizes, *classes])
                 key, owner = signatures(sets, ids, percent)
                 keys.append(key)
                 owners.append(owner)
@@ -232,18 +240,19 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([
                 pa.array(np.full(len(rows), _MEMBER), pa.int8()), pa.array(key[rows].view(np.int64)),
                 pa.array(owner[rows].view(np.int64)), pa.array(least[rows].view(np.int64)),
-                pa.array(most[rows].view(np.int64)),
+                pa.array(most[rows].view(np.int64)), pa.nulls(len(rows), pa.binary()),
             ], schema=_PARTS_ARROW)
 
     current, parts = None, []
     for batch in batches:
         for bucket, kind, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if kind == _DOC:
-                table = np.frombuffer(data, np.int64).reshape(-1, 4)
+                table = np.frombuffer(data, np.int64).reshape(-1, 4 + CLASSES // 8)
                 yield pa.record_batch([
                     pa.array(np.full(len(table), _DOC), pa.int8()),
                     pa.array(table[:, 0], pa.int64(), mask=table[:, 1] == 0),
                     pa.array(table[:, 2].copy()), pa.array(table[:, 3].copy()), pa.nulls(len(table), pa.int64()),
+                    pa.array([row[4:].tobytes() for row in table], pa.binary()),
                 ], schema=_PARTS_ARROW)
                 continue
             if bucket != current:
@@ -259,16 +268,13 @@ def _sets_of(width: int):
             text = batch.column("text")
             for begin, end in slices(text):
                 sets = Sets(text.slice(begin, end - begin), width)
-                cell = sets.owner * CLASSES + (mixed(sets.values ^ _SEED) >> np.uint64(40)).astype(np.int64) % CLASSES
-                classes = np.minimum(np.bincount(cell, minlength=(end - begin) * CLASSES), 255).astype(np.uint8)
                 yield pa.record_batch([
-                    pa.array(sets.ids().view(np.int64)), pa.array(sets.sizes.astype(np.int64)),
-                    pa.array([row.tobytes() for row in classes.reshape(-1, CLASSES)], pa.binary()),
+                    pa.array(sets.ids().view(np.int64)),
                     pa.array([
                         sets.values[a:b].tobytes()
                         for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)
                     ], pa.binary()),
-                ], names=["id", "n", "classes", "items"])
+                ], names=["id", "items"])
 
     return run
 
@@ -437,9 +443,9 @@ def _texts_of(docs: DataFrame, parts: DataFrame, ids: DataFrame, width: int) ->
     texts = docs.select("doc_id", "text").join(
         named, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi"
     ).select("text")
-    sets = texts.mapInArrow(_sets_of(width), "id long, n long, classes binary, items binary")
+    items = texts.mapInArrow(_sets_of(width), "id long, items binary")
     # Documents that share an id by number, or a missing number, may bring the same set twice.
-    return swept(parked(sets.dropDuplicates(["id"]), "sets"))
+    return swept(parked(items.dropDuplicates(["id"]), "items"))
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -460,14 +466,21 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
         .filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
         "pairs",
     ))
-    wanted = stars.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-    sets = _texts_of(docs, parts, wanted, width)
-    linked = _linked(_likely_pairs(stars, sets, percent), sets, percent)
+    sets = swept(parked(
+        parts.filter((F.col("kind") == _DOC) & (F.col("c") > 0)).groupBy(F.col("b").alias("id")).agg(
+            F.first("c").alias("n"), F.first("classes").alias("classes")
+        ), "sets",
+    ))
+
+    def items(ids: DataFrame) -> DataFrame:
+        return _texts_of(docs, parts, ids, width)
+
+    linked = _linked(_likely_pairs(stars, sets, percent), items, percent)
     unparked(stars)
     roots = components(linked)
     # Two rounds join most components through their nearest members; the last looks at every pair left.
     for nearest in (True, True, False):
-        more = _linked(_left_over(members, roots, sets, percent, nearest), sets, percent)
+        more = _linked(_left_over(members, roots, sets, percent, nearest), items, percent)
         if not more.isEmpty():
             linked = linked.unionByName(more)
             roots = components(linked)
@@ -475,11 +488,12 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     return _labelled(parts, roots)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, items: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     likely = swept(parked(pairs, "pairs"))
+    sets = items(likely.select(F.explode(F.array("x", "y")).alias("id")).distinct())
     checked = _verified(likely, sets).filter(_links(percent))
     links = parked(checked.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
-    unparked(likely)
+    unparked(likely, sets)
     return links
 
 

@@ -138,3 +138,25 @@ def test_tables_of_finished_steps_are_removed(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, " ".join(words[:59] + [f"x{i}"])) for i in range(5)], "doc_id long, text string")
     assert {r.component_id for r in ngram_join.join(docs).collect()} == {0}
     assert {path.name.split("-")[0] for path in tmp_path.iterdir()} == {"signatures", "links"}
+
+
+def test_whole_sets_are_made_for_likely_pairs_only(spark, monkeypatch):
+    """Documents that share a signature but differ in too many shingles cost no whole set."""
+    tables = []
+
+    def recorded(df, name):
+        tables.append((name, parked(df, name)))
+        return tables[-1][1]
+
+    parked = ngram_join.parked
+    monkeypatch.setattr(ngram_join, "parked", recorded)
+    monkeypatch.setattr(ngram_join, "unparked", lambda *_: None)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:199] + [f"x{i}"])) for i in range(3)]
+    rows += [(10 + i, " ".join(words[:150] + [f"y{i}-{k}" for k in range(50)])) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 10: 10, 11: 11, 12: 12, 13: 13}
+    assert not [name for name, df in tables if "items" in df.columns and name != "items"]
+    assert max(df.count() for name, df in tables if name == "items") == 3
+    assert next(df for name, df in tables if name == "sets").count() == 7

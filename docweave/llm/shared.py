@@ -18,6 +18,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 SLICE_BYTES = 1 << 20
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD1342543DE82EF95)
 
@@ -25,10 +26,17 @@ _ODD = np.uint64(0xD1342543DE82EF95)
 def parked(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the folder of ``spark.checkpoint.dir`` and read it back.
 
-    The lineage ends there, so that a lost executor repeats no work before it.
+    The lineage ends there, so that a lost executor repeats no work before it, and the shuffle files of
+    the write are removed as it ends, not when the driver's garbage is collected.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLES_GO)
+    conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(SHUFFLES_GO, before)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.parked_at = path
     return table

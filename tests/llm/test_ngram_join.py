@@ -160,3 +160,23 @@ def test_whole_sets_are_made_for_likely_pairs_only(spark, monkeypatch):
     assert not [name for name, df in tables if "items" in df.columns and name != "items"]
     assert max(df.count() for name, df in tables if name == "items") == 3
     assert next(df for name, df in tables if name == "sets").count() == 7
+
+
+def test_shuffle_files_go_with_the_write_of_a_table(spark):
+    """Without waiting for the driver to collect its garbage, and other queries keep their setting."""
+    from time import sleep
+
+    from docweave.llm.shared import SHUFFLES_GO, parked
+
+    def files() -> set[str]:
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in manager.getAllFiles().mkString(" ").split() if "/shuffle_" in f}
+
+    before, setting = files(), spark.conf.get(SHUFFLES_GO)
+    table = parked(spark.range(1000).repartition(3, "id"), "numbers")
+    for _ in range(50):
+        if not files() - before:
+            break
+        sleep(0.1)
+    assert not files() - before
+    assert table.count() == 1000 and spark.conf.get(SHUFFLES_GO) == setting

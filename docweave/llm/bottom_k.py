@@ -9,7 +9,8 @@ Inverted lists of retained values generate the overlaps. A pair that shares ``c`
 one of the rarest ``K - c + 1`` of either sketch, so only those are listed: a common shingle, as of a
 passage that a third of all documents hold, is counted but not listed. Lists are split by bands of set
 sizes. Members of a list meet its two pivots (least and largest id). Members still in different
-components then meet in blocks: overlaps are counted from the lists within the block, the union sketch
+components then meet in blocks, a pair only in the first of the lists that both are in: overlaps are
+counted from the lists within the block, the union sketch
 leaves pairs out, and whole sets of what is left are compared there, skipping pairs that are joined
 already, so a block of ``m`` members sends at most ``m - 1`` links. Every link is confirmed on whole sets.
 
@@ -171,20 +172,18 @@ def meetings(ids: np.ndarray, root: np.ndarray, side: np.ndarray, minor: np.ndar
         yield i, np.flatnonzero((side == 1) & (root != root[i]) & (~minor | (ids > ids[i])))
 
 
-class Overlaps:
-    """Inverted lists of the values that members of a cell retain."""
+class Shared:
+    """Inverted lists of values of members, given in the order of members."""
 
-    def __init__(self, sketch: np.ndarray):
-        kept = sketch != _FILL
-        member, values = np.nonzero(kept)[0], sketch[kept]
+    def __init__(self, member: np.ndarray, values: np.ndarray, n: int):
+        self.of = np.concatenate([[0], np.cumsum(np.bincount(member, minlength=n))])
         order = np.argsort(values, kind="stable")
         values, self.member = values[order], member[order]
         start = np.flatnonzero(np.append(True, values[1:] != values[:-1]))[: len(values)]
         self.begin, self.end = start, np.append(start[1:], len(values))
         slot = np.empty(len(values), np.int64)
         slot[order] = np.repeat(np.arange(len(start)), self.end - self.begin)
-        self.slots, self.of = slot, np.concatenate([[0], np.cumsum(kept.sum(axis=1))])
-        self.n = len(sketch)
+        self.slots, self.n = slot, n
 
     def count(self, i: int) -> np.ndarray:
         """How many values each member shares with ``i``."""
@@ -192,6 +191,23 @@ class Overlaps:
         return np.bincount(np.concatenate(lists), minlength=self.n) if lists else np.zeros(self.n, np.int64)
 
 
+class Overlaps(Shared):
+    """The values that members of a cell retain."""
+
+    def __init__(self, sketch: np.ndarray):
+        kept = sketch != _FILL
+        super().__init__(np.nonzero(kept)[0], sketch[kept], len(sketch))
+
+
+def earlier(cell: pa.Table) -> Shared:
+    """Lists before that of the cell: members who share one have met there."""
+    keys = cell.column("keys").combine_chunks()
+    member = np.repeat(np.arange(len(cell)), np.asarray(keys.value_lengths(), dtype=np.int64))
+    values = np.asarray(keys.flatten())
+    before = values < cell.column("key")[0].as_py()
+    return Shared(member[before], values[before], len(cell))
+
+
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows of each cell (key, low, high) of a sorted partition."""
     current, held = None, []
@@ -211,7 +227,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-_CELL = ("key", "low", "high", "id", "root", "side", "minor", "n", "sketch")
+_CELL = ("key", "low", "high", "id", "root", "side", "minor", "keys", "n", "sketch")
 
 
 def _suspects(percent: int):
@@ -221,9 +237,11 @@ def _suspects(percent: int):
         for cell in _cells(batches):
             ids, root, side, minor, n = (np.asarray(cell.column(c)) for c in ("id", "root", "side", "minor", "n"))
             sketch = _rows(cell.column("sketch").combine_chunks())
-            overlaps = Overlaps(sketch)
+            overlaps, met = Overlaps(sketch), earlier(cell)
             found = np.zeros(len(n), bool)
             for i, at in meetings(ids, root, side, minor):
+                if len(at):
+                    at = at[met.count(i)[at] == 0]
                 at = at[100 * np.minimum(n[at], n[i]) >= percent * np.maximum(n[at], n[i])]
                 if not len(at):
                     continue
@@ -247,9 +265,11 @@ def _settled(percent: int):
             root = np.unique(np.asarray(cell.column("root")), return_inverse=True)[1]
             sketch = _rows(cell.column("sketch").combine_chunks())
             items = [np.frombuffer(v.as_buffer(), np.uint64) for v in cell.column("items").combine_chunks()]
-            links = []
+            met, links = earlier(cell), []
             for i in np.flatnonzero(side == 0).tolist():
                 at = np.flatnonzero((side == 1) & (root != root[i]) & (~minor | (ids > ids[i])))
+                if len(at):
+                    at = at[met.count(i)[at] == 0]
                 if len(at):
                     at = at[may_link(n[i], n[at], np.broadcast_to(sketch[i], (len(at), K)), sketch[at], percent)]
                 for j in at.tolist():
@@ -297,10 +317,12 @@ def _left_over(members: DataFrame, roots: DataFrame, sketches: DataFrame) -> Dat
 
     met = F.transform(F.sequence(F.lit(0), F.col("minor_blocks") - 1), lambda low: place(low, own(1, "blocks"), 1))
     asks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda high: place(own(2, "minor_blocks"), high, 0))
-    cells = rows.join(keys, "key").select("key", "id", "root", minor.alias("minor"), F.inline(
+    kept = rows.join(keys, "key")
+    cells = kept.select("key", "id", "root", minor.alias("minor"), F.inline(
         F.when(minor, F.concat(met, asks)).otherwise(met)
     ))
-    return cells.join(sketches.select("id", "n", "sketch"), "id").select(*_CELL)
+    own_keys = kept.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    return cells.join(own_keys, "id").join(sketches.select("id", "n", "sketch"), "id").select(*_CELL)
 
 
 def _in_cells(rows: DataFrame, run, schema: str) -> DataFrame:
@@ -362,7 +384,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     roots = components(_exact(docs, rows, likely, width, percent))
     cells = parked(_in_cells(
         _left_over(members.select("key", "id"), roots, sketches), _suspects(percent),
-        "key long, low int, high int, id long, root long, side int, minor boolean, n long, sketch array<int>",
+        "key long, low int, high int, id long, root long, side int, minor boolean, keys array<long>, n long, sketch array<int>",
     ), "cells")
     unparked(members, sketches, likely)
     more = _exact_links(docs, rows, cells, width, percent)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docweave.llm import bottom_k
@@ -108,3 +109,35 @@ def test_bounds_of_lists():
     assert bottom_k.floor_of(80, 32) == 9 and bottom_k.floor_of(100) == bottom_k.K
     assert [bottom_k.listed(n, 80) for n in (1, 3, 4, 10, 25)] == [0, 0, 1, 3, 6]
     assert bottom_k.listed(1000, 80, 32) == 32 - 9 + 1
+
+
+def test_a_pair_of_many_lists_is_compared_in_the_first(monkeypatch):
+    """Members of ten lists that are too far apart to link, two of them from the fourth list on."""
+    draw = np.random.default_rng(11)
+    base = draw.integers(0, 1 << 63, 400).astype(np.uint64)
+    sets = [np.sort(np.append(draw.permutation(base)[34:], draw.integers(0, 1 << 63, 34).astype(np.uint64))) for _ in range(8)]
+    keys = {i: list(range(3 if i > 5 else 0, 10)) for i in range(8)}
+    batches = []
+    for key in range(10):
+        rows = [(i, side) for i in range(8) if key in keys[i] for side in (0, 1)]
+        ids = np.array([i for i, _ in rows])
+        batches.append(pa.record_batch([
+            pa.array(np.full(len(rows), key)), *(pa.array(np.zeros(len(rows), np.int32)) for _ in range(2)),
+            pa.array(ids), pa.array(ids), pa.array(np.array([s for _, s in rows], np.int32)), pa.array([True] * len(rows)),
+            pa.array([keys[i] for i in ids], pa.list_(pa.int64())), pa.array(np.full(len(rows), 400)),
+            pa.array([(sets[i][:bottom_k.K] >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist() for i in ids], pa.list_(pa.int32())),
+            pa.array([sets[i].tobytes() for i in ids], pa.binary()),
+        ], names=[*bottom_k._CELL, "items"]))
+    compared, linked = [], bottom_k._linked
+
+    def recorded(x, y, percent):
+        compared.append(frozenset(next(i for i in range(8) if np.array_equal(sets[i], v)) for v in (x, y)))
+        return linked(x, y, percent)
+
+    monkeypatch.setattr(bottom_k, "_linked", recorded)
+    assert not sum(b.num_rows for b in bottom_k._settled(80)(iter(batches)))
+    short = [np.append(s[:bottom_k.K] >> np.uint64(32), []).astype(np.uint32)[None] for s in sets]
+    likely = [frozenset((i, j)) for i in range(8) for j in range(i) if bottom_k.may_link(400, np.array([400]), short[i], short[j], 80)[0]]
+    assert sorted(map(sorted, compared)) == sorted(map(sorted, likely)) and len(likely) > 20
+    suspects = list(bottom_k._suspects(80)(iter(batches)))
+    assert [b.column("key")[0].as_py() for b in suspects] == [0, 3]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm import exact_dedup, mixing, ngram_join, pieces, quality
-from docweave.llm.shared import parked
+from docweave.llm.shared import parked, unparked
 
 # The contract of the stages on word shingles: five words, a similarity of 0.8.
 NEAR_WIDTH, NEAR_PERCENT = 5, 80
@@ -78,7 +78,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs, before = spark.read.parquet(f"{folder}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
         docs = parked(stage(spark, docs, folder), name.replace(" ", "-"))
+        unparked(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, folder)

@@ -16,6 +16,9 @@ that are still in different components meet in a second step, in blocks of bound
 pair is verified on the whole sets, histograms of both over 128 classes of shingles are compared:
 their L1 distance is never more than the symmetric difference, so no link is lost. Histograms are
 made with the signatures; whole sets are made again, from texts, for members of pairs that they let pass.
+These sets do not travel with every pair, whose number may grow with the square of a group: pairs that
+hang together are one group, cut into blocks of bounded bytes, and a set goes once to each pair of
+blocks (a cell) that it has pairs in.
 
 Equal sets share one id (a 64-bit fingerprint of the set), so copies are never paired.
 
@@ -47,6 +50,8 @@ CLASSES = 128
 BLOCK_MEMBERS = 1024
 PAIRS_AT_ONCE = 1 << 13  # whose histograms are compared in one step
 HELD_PAIRS = 1 << 18  # that a task holds to give a pair once
+BLOCK_BYTES = 1 << 24  # of whole sets in a block of a group of pairs
+STEPS = 3  # from a set to the one that names its group
 _SEED = np.uint64(0xA0761D6478BD642F)
 
 
@@ -269,12 +274,12 @@ def _sets_of(width: int):
             for begin, end in slices(text):
                 sets = Sets(text.slice(begin, end - begin), width)
                 yield pa.record_batch([
-                    pa.array(sets.ids().view(np.int64)),
+                    pa.array(sets.ids().view(np.int64)), pa.array(sets.sizes.astype(np.int64)),
                     pa.array([
                         sets.values[a:b].tobytes()
                         for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)
                     ], pa.binary()),
-                ], names=["id", "items"])
+                ], names=["id", "n", "items"])
 
     return run
 
@@ -396,19 +401,26 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes of both sets of a pair and of what they share."""
-    for batch in batches:
-        common, left, right = [], [], []
-        for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
-            both = np.concatenate([x, y])
-            both.sort()
-            common.append(int(np.count_nonzero(both[1:] == both[:-1])))
-            left.append(len(x))
-            right.append(len(y))
-        yield pa.record_batch([
-            batch.column("x"), batch.column("y"), *(pa.array(v, pa.int64()) for v in (common, left, right)),
-        ], names=["x", "y", "common", "n_x", "n_y"])
+    """Sizes of both sets of a pair and of what they share. A cell has sets, with items and no ``y``, and pairs."""
+    for cell in _cells(batches):
+        y = cell.column("y")
+        held = cell.filter(y.is_null())
+        sets = {
+            x: np.frombuffer(v.as_buffer(), np.uint64)
+            for x, v in zip(held.column("x").to_pylist(), held.column("items"), strict=True)
+        }
+        pairs = cell.select(["x", "y"]).filter(y.is_valid())
+        for batch in pairs.to_batches(max_chunksize=10_000):
+            common, left, right = [], [], []
+            for one, two in zip(*(batch.column(c).to_pylist() for c in ("x", "y")), strict=True):
+                both = np.concatenate([sets[one], sets[two]])
+                both.sort()
+                common.append(int(np.count_nonzero(both[1:] == both[:-1])))
+                left.append(len(sets[one]))
+                right.append(len(sets[two]))
+            yield pa.record_batch([
+                *batch.columns, *(pa.array(v, pa.int64()) for v in (common, left, right)),
+            ], names=["x", "y", "common", "n_x", "n_y"])
 
 
 def _likely_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -420,12 +432,45 @@ def _likely_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sides["y"], "y").join(sides["x"], "x").mapInArrow(_likely(percent), "x long, y long")
 
 
+def _grouped(pairs: DataFrame) -> DataFrame:
+    """Each pair (x, y) with its group, ``key``: the least id within some steps along pairs."""
+    ends = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    named = ends.groupBy("x").agg(F.least("x", F.min("y")).alias("key"))
+    for _ in range(STEPS - 1):
+        met = ends.join(named.withColumnRenamed("x", "y"), "y").unionByName(
+            named.select(F.col("x").alias("y"), "x", "key")
+        )
+        named = met.groupBy("x").agg(F.min("key").alias("key"))
+    return pairs.join(named.withColumnRenamed("key", "key_x"), "x").join(
+        named.select(F.col("x").alias("y"), F.col("key").alias("key_y")), "y"
+    ).select("x", "y", F.least("key_x", "key_y").alias("key"))
+
+
+def _placed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each pair (x, y) with its cell: its group, and the blocks of the group that both sets are in."""
+    grouped = _grouped(pairs)
+    members = grouped.select("key", F.explode(F.array("x", "y")).alias("id")).distinct()
+    blocks = members.join(sets.select("id", "n"), "id").groupBy("key").agg(
+        F.ceil(F.sum("n") * 8 / BLOCK_BYTES).alias("blocks")
+    )
+    of = {c: F.pmod(F.xxhash64(c, F.lit(1)), F.col("blocks")).cast("int") for c in ("x", "y")}
+    return grouped.join(blocks, "key").select(
+        "key", F.least(of["x"], of["y"]).alias("low"), F.greatest(of["x"], of["y"]).alias("high"), "x", "y"
+    )
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each pair (x, y) with the sizes of its sets and of their intersection, counted on whole sets."""
-    one = sets.select(F.col("id").alias("y"), F.col("items").alias("two"))
-    two = sets.select(F.col("id").alias("x"), F.col("items").alias("one"))
-    joined = pairs.join(one, "y").join(two, "x").select("x", "y", "one", "two")
-    return joined.mapInArrow(_overlaps, "x long, y long, common long, n_x long, n_y long")
+    """Each placed pair (x, y) with the sizes of its sets and of their intersection, counted on whole sets."""
+    partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = pairs.select("key", "low", "high", F.explode(F.array("x", "y")).alias("id")).distinct()
+    held = needed.join(sets.select("id", "items"), "id").select(
+        "key", "low", "high", F.col("id").alias("x"), F.lit(None).cast("long").alias("y"), "items"
+    )
+    return (
+        held.unionByName(pairs.withColumn("items", F.lit(None).cast("binary")))
+        .repartition(partitions, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+        .mapInArrow(_overlaps, "x long, y long, common long, n_x long, n_y long")
+    )
 
 
 def _links(percent: int):
@@ -443,7 +488,7 @@ def _texts_of(docs: DataFrame, parts: DataFrame, ids: DataFrame, width: int) ->
     texts = docs.select("doc_id", "text").join(
         named, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi"
     ).select("text")
-    items = texts.mapInArrow(_sets_of(width), "id long, items binary")
+    items = texts.mapInArrow(_sets_of(width), "id long, n long, items binary")
     # Documents that share an id by number, or a missing number, may bring the same set twice.
     return swept(parked(items.dropDuplicates(["id"]), "items"))
 
@@ -491,9 +536,11 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 def _linked(pairs: DataFrame, items: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     likely = swept(parked(pairs, "pairs"))
     sets = items(likely.select(F.explode(F.array("x", "y")).alias("id")).distinct())
-    checked = _verified(likely, sets).filter(_links(percent))
+    placed = parked(_placed(likely, sets), "pairs")
+    unparked(likely)
+    checked = _verified(placed, sets).filter(_links(percent))
     links = parked(checked.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
-    unparked(likely, sets)
+    unparked(placed, sets)
     return links
 
 

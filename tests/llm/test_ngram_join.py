@@ -180,3 +180,24 @@ def test_shuffle_files_go_with_the_write_of_a_table(spark):
         sleep(0.1)
     assert not files() - before
     assert table.count() == 1000 and spark.conf.get(SHUFFLES_GO) == setting
+
+
+@pytest.mark.parametrize("blocks", [1, 4])
+def test_whole_sets_travel_once_for_all_pairs_of_a_cell(spark, monkeypatch, blocks):
+    """However many pairs a set has, it goes to as many cells as its group has blocks, at most."""
+    draw, members = random.Random(7), 40
+    sets = {i: sorted(draw.sample(range(80), 50)) for i in (*range(members), 1000, 1001)}
+    pairs = [(i, j) for j in range(members) for i in range(j)] + [(1000, 1001)]
+    if blocks > 1:
+        monkeypatch.setattr(ngram_join, "BLOCK_BYTES", members * 50 * 8 // blocks)
+    held = spark.createDataFrame(
+        [(i, len(v), bytearray(np.array(v, np.uint64).tobytes())) for i, v in sets.items()], "id long, n long, items binary"
+    )
+    placed = ngram_join._placed(spark.createDataFrame(pairs, "x long, y long").repartition(3), held)
+    cells = {}
+    for row in placed.collect():
+        cells.setdefault((row.key, row.low, row.high), set()).update((row.x, row.y))
+    assert {key for key, _, _ in cells} == {0, 1000}
+    assert max(sum(i in cell for cell in cells.values()) for i in sets) == blocks
+    found = sorted(tuple(r) for r in ngram_join._verified(placed, held).collect())
+    assert found == sorted((x, y, len(set(sets[x]) & set(sets[y])), 50, 50) for x, y in pairs)

@@ -32,6 +32,19 @@ def test_run_gives_the_rows_of_the_last_stage(spark, docs, tmp_path):
     assert out.columns == [*docs.columns, "ids"] and out.count() > 0
 
 
+def test_tables_of_finished_stages_are_removed(spark, docs, tmp_path, monkeypatch):
+    """Of the stages' tables only the one that the last stage reads stays, and the input."""
+    from docweave.llm import shared
+
+    (tmp_path / "in").mkdir()
+    monkeypatch.setattr(shared, "checkpoint_folder", lambda _: str(tmp_path))
+    docs.write.parquet(f"{tmp_path}/in/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/in").count() > 0
+    left = {path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir()}
+    assert left & {name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES} == {"mixing"}
+    assert spark.read.parquet(f"{tmp_path}/in/documents.parquet").count() == docs.count()
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
